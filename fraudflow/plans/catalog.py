@@ -311,3 +311,158 @@ def q_kpi_latest(spark, sf):
                               ["timestamp"])
     loss = W.fraud_loss(fx.fraud_txn(spark, sf))
     return kpis(alerts, loss, _summary_2m(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Profiling (AG1-AG8) on txn; sender operators (AG9-AG11, JN1-JN2) on txn_big
+# ---------------------------------------------------------------------------
+
+from ..schema import (HIGH_CARDINALITY, PROFILE_CATEGORICAL,  # noqa: E402
+                      TRANSACTION_COLUMNS, TRANSACTION_SCHEMA)
+
+_NUMERIC = ["amount", "time_since_last_transaction", "spending_deviation_score",
+            "velocity_score", "geo_anomaly_score"]
+
+
+def _unpivot_sql(src: str, cols: list[str], cast: str, name: str = "value") -> str:
+    sel = ", ".join(f"CAST({c} AS {cast}) AS {c}" for c in cols)
+    return (f"(UNPIVOT (SELECT {sel} FROM {src}) ON {', '.join(cols)} "
+            f"INTO NAME column_name VALUE {name})")
+
+
+def _txn(spark, sf):
+    return fx.txn(spark, sf).select(*TRANSACTION_COLUMNS)
+
+
+@query("value_counts_top10", O.with_ctes(O.TXN_CTE, f"""
+SELECT column_name, value, count, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT column_name, value, count(*) AS count,
+         row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) AS rank
+  FROM {_unpivot_sql('txn', PROFILE_CATEGORICAL, 'VARCHAR')}
+  GROUP BY column_name, value) WHERE rank <= 10"""))
+def q_value_counts_top10(spark, sf):
+    from ..operators.profile import value_counts_top
+    return value_counts_top(_txn(spark, sf), PROFILE_CATEGORICAL, 10)
+
+
+@query("distinct_counts", O.with_ctes(O.TXN_CTE, f"""
+SELECT column_name, count(DISTINCT value) AS n_distinct
+FROM {_unpivot_sql('txn', HIGH_CARDINALITY, 'VARCHAR')} GROUP BY column_name"""))
+def q_distinct_counts(spark, sf):
+    from ..operators.profile import distinct_counts
+    return distinct_counts(_txn(spark, sf), HIGH_CARDINALITY)
+
+
+@query("null_counts", O.with_ctes(O.TXN_CTE, """
+UNPIVOT (SELECT {} FROM txn) ON COLUMNS(*) INTO NAME column_name VALUE null_count""".format(
+    ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in TRANSACTION_COLUMNS))))
+def q_null_counts(spark, sf):
+    from ..operators.profile import null_counts
+    return null_counts(_txn(spark, sf))
+
+
+_SPARK_TYPE = {"StringType": "string", "DoubleType": "double", "IntegerType": "int",
+               "BooleanType": "boolean"}
+
+
+@query("table_profile", O.with_ctes(O.TXN_CTE, """
+SELECT c.column_name, c.non_null_count, t.dtype
+FROM (UNPIVOT (SELECT {} FROM txn) ON COLUMNS(*) INTO NAME column_name VALUE non_null_count) c
+JOIN (VALUES {}) t(column_name, dtype) USING (column_name)""".format(
+    ", ".join(f"count({c}) AS {c}" for c in TRANSACTION_COLUMNS),
+    ", ".join(f"('{f.name}', '{_SPARK_TYPE[type(f.dataType).__name__]}')"
+              for f in TRANSACTION_SCHEMA.fields))))
+def q_table_profile(spark, sf):
+    from ..operators.profile import table_profile
+    return table_profile(_txn(spark, sf))
+
+
+def _summary_sql(src: str, cols: list[str]) -> str:
+    return f"""
+SELECT column_name, CAST(count(value) AS BIGINT) AS count, round(avg(value), 6) AS mean,
+       round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min,
+       round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50,
+       round(quantile_cont(value, 0.75), 6) AS p75, round(max(value), 6) AS max
+FROM {_unpivot_sql(src, cols, 'DOUBLE')} GROUP BY column_name"""
+
+
+@query("numeric_summary", O.with_ctes(O.TXN_CTE, _summary_sql("txn", _NUMERIC)))
+def q_numeric_summary(spark, sf):
+    from ..operators.profile import numeric_summary
+    return numeric_summary(_txn(spark, sf), _NUMERIC)
+
+
+@query("class_balance", O.with_ctes(O.TXN_CTE, """
+SELECT is_fraud, count(*) AS count, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS pct
+FROM txn WHERE is_fraud IS NOT NULL GROUP BY is_fraud"""))
+def q_class_balance(spark, sf):
+    from ..operators.profile import class_balance
+    return class_balance(_txn(spark, sf))
+
+
+@query("overall_counts", O.with_ctes(O.BIG_CTE, """
+SELECT count(*) AS total_tx, CAST(count_if(is_fraud) AS BIGINT) AS fraud_tx,
+       count(DISTINCT CASE WHEN is_fraud THEN sender_account END) AS distinct_bad_senders
+FROM txn_big"""))
+def q_overall_counts(spark, sf):
+    from ..operators.profile import overall_counts
+    return overall_counts(fx.txn_big(spark, sf))
+
+
+@query("fraud_per_sender", O.with_ctes(O.BIG_CTE, """
+SELECT sender_account, count(*) AS fraud_tx_count
+FROM fraud_big WHERE sender_account IS NOT NULL GROUP BY sender_account"""))
+def q_fraud_per_sender(spark, sf):
+    from ..operators.senders import fraud_per_sender
+    return fraud_per_sender(fx.txn_big(spark, sf))
+
+
+@query("fraud_per_sender_summary", O.with_ctes(O.BIG_CTE + """,
+fps AS (SELECT sender_account, count(*) AS fraud_tx_count
+        FROM fraud_big WHERE sender_account IS NOT NULL GROUP BY sender_account)""",
+    _summary_sql("fps", ["fraud_tx_count"])))
+def q_fraud_per_sender_summary(spark, sf):
+    from ..operators.profile import numeric_summary
+    from ..operators.senders import fraud_per_sender
+    return numeric_summary(fraud_per_sender(fx.txn_big(spark, sf)), ["fraud_tx_count"])
+
+
+@query("bad_sender_all_tx", O.with_ctes(O.BIG_CTE, """
+SELECT * FROM txn_big
+WHERE sender_account IN (SELECT sender_account FROM fraud_big WHERE sender_account IS NOT NULL)"""))
+def q_bad_sender_all_tx(spark, sf):
+    from ..operators.senders import bad_senders, transactions_of
+    t = fx.txn_big(spark, sf)
+    return transactions_of(t, bad_senders(t))
+
+
+@query("per_sender_pivot", O.with_ctes(O.BIG_CTE, """
+SELECT sender_account, CAST(count_if(NOT is_fraud) AS BIGINT) AS nonfraud_tx_count,
+       CAST(count_if(is_fraud) AS BIGINT) AS fraud_tx_count,
+       CAST(count_if(NOT is_fraud) + count_if(is_fraud) AS BIGINT) AS total_tx,
+       round(count_if(is_fraud) / (count_if(NOT is_fraud) + count_if(is_fraud)), 6) AS fraud_rate
+FROM txn_big
+WHERE sender_account IN (SELECT sender_account FROM fraud_big WHERE sender_account IS NOT NULL)
+GROUP BY sender_account"""))
+def q_per_sender_pivot(spark, sf):
+    from ..operators.senders import per_sender_counts
+    return per_sender_counts(fx.txn_big(spark, sf))
+
+
+@query("clean_senders", O.with_ctes(O.BIG_CTE, """
+SELECT DISTINCT sender_account FROM txn_big WHERE is_fraud = false AND sender_account IS NOT NULL
+EXCEPT
+SELECT sender_account FROM fraud_big"""))
+def q_clean_senders(spark, sf):
+    from ..operators.senders import clean_senders
+    return clean_senders(fx.txn_big(spark, sf))
+
+
+@query("clean_senders_anti", ORACLE["clean_senders"])
+def q_clean_senders_anti(spark, sf):
+    """JN1 as the original wrote it: distinct non-fraud senders LEFT ANTI bad senders."""
+    from ..operators.senders import bad_senders, without
+    t = fx.txn_big(spark, sf)
+    nonfraud = t.where(~F.col("is_fraud") & F.col("sender_account").isNotNull()) \
+                .select("sender_account").distinct()
+    return without(nonfraud, bad_senders(t))
