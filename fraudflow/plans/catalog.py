@@ -466,3 +466,235 @@ def q_clean_senders_anti(spark, sf):
     nonfraud = t.where(~F.col("is_fraud") & F.col("sender_account").isNotNull()) \
                 .select("sender_account").distinct()
     return without(nonfraud, bad_senders(t))
+
+
+# ---------------------------------------------------------------------------
+# Bloom filter (AG17, JN3, ML13) on txn_big
+# ---------------------------------------------------------------------------
+
+def _bloom_big(spark, sf):
+    from ..operators import bloom
+    from ..operators.senders import bad_senders
+    t = fx.txn_big(spark, sf)
+    bad = bad_senders(t)
+    return t, bad, bloom.build(bad, "sender_account")
+
+
+@query("bloom_false_negatives", O.with_ctes(O.BIG_CTE, """
+SELECT count(DISTINCT sender_account) AS bad_senders, CAST(0 AS BIGINT) AS false_negatives
+FROM fraud_big WHERE sender_account IS NOT NULL"""))
+def q_bloom_false_negatives(spark, sf):
+    """Every inserted key must hit: false_negatives is 0 by construction."""
+    _, bad, bf = _bloom_big(spark, sf)
+    return bf.might_contain(bad, "sender_account").agg(
+        F.count(F.lit(1)).alias("bad_senders"),
+        F.count_if(~F.col("bf_hit")).alias("false_negatives"))
+
+
+@query("bloom_quality")
+def q_bloom_quality(spark, sf):
+    """ML13 report; false positives are random (rows-only check, FP rate
+    bounded in tests)."""
+    from ..operators.bloom import quality_report
+    t, _, bf = _bloom_big(spark, sf)
+    return quality_report(bf, t)
+
+
+@query("bloom_routed", O.with_ctes(O.BIG_CTE, """
+SELECT t.* FROM txn_big t
+WHERE t.sender_account IN (SELECT sender_account FROM fraud_big)"""))
+def q_bloom_routed(spark, sf):
+    """FLT4 + JN3: Bloom hits of txn_big minus the filter's false positives.
+
+    Hits are a superset of the bad senders' rows; removing the false
+    positives with an exact semi join must give exactly JN2's rows (checked
+    against SQL).  Streams use the hit flag alone.
+    """
+    from ..operators.senders import transactions_of
+    t, bad, bf = _bloom_big(spark, sf)
+    hits = bf.might_contain(t, "sender_account").where(F.col("bf_hit")).drop("bf_hit")
+    return transactions_of(hits, bad)
+
+
+# ---------------------------------------------------------------------------
+# Features, string index, sampling, metrics (ML1-ML14)
+# ---------------------------------------------------------------------------
+
+_FEAT_SQL = """
+SELECT transaction_id, event_time,
+       CAST(hour(event_time) AS INTEGER) AS hour_of_day,
+       CASE WHEN hour(event_time) BETWEEN 0 AND 5 THEN 1 ELSE 0 END AS is_night,
+       CASE WHEN dayofweek(event_time) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+       CASE WHEN payment_channel = 'online' THEN 1 ELSE 0 END AS is_online_channel,
+       CASE WHEN merchant_category IN ('online', 'travel', 'entertainment') THEN 1 ELSE 0 END AS high_risk_merchant,
+       CASE WHEN amount > 1000.0 THEN 1 ELSE 0 END AS is_large_amount,
+       CASE WHEN sender_account = receiver_account THEN 1 ELSE 0 END AS sender_equals_receiver
+FROM txn"""
+
+
+@query("features", O.with_ctes(O.TXN_CTE, _FEAT_SQL))
+def q_features(spark, sf):
+    from ..operators.features import FEATURE_COLUMNS, add_features
+    return add_features(_txn(spark, sf)).select("transaction_id", *FEATURE_COLUMNS)
+
+
+@query("features_cast_variant", O.with_ctes(O.TXN_CTE, """
+SELECT transaction_id, coalesce(time_since_last_transaction, 0.0) AS time_since_last_transaction,
+       CAST(is_fraud AS INTEGER) AS is_fraud, event_time,
+       CAST(hour(event_time) AS INTEGER) AS hour_of_day,
+       CAST(hour(event_time) BETWEEN 0 AND 5 AS INTEGER) AS is_night,
+       CAST(dayofweek(event_time) IN (0, 6) AS INTEGER) AS is_weekend,
+       CAST(payment_channel = 'online' AS INTEGER) AS is_online_channel,
+       CAST(merchant_category IN ('online', 'travel', 'entertainment') AS INTEGER) AS high_risk_merchant,
+       CAST(amount > 1000.0 AS INTEGER) AS is_large_amount,
+       CAST(sender_account = receiver_account AS INTEGER) AS sender_equals_receiver
+FROM txn WHERE event_time IS NOT NULL AND is_fraud IS NOT NULL"""))
+def q_features_cast_variant(spark, sf):
+    from ..operators.features import FEATURE_COLUMNS, add_features_cast_variant
+    return add_features_cast_variant(_txn(spark, sf)).select(
+        "transaction_id", "time_since_last_transaction", "is_fraud", *FEATURE_COLUMNS)
+
+
+@query("string_index", O.with_ctes(O.TXN_CTE, f"""
+SELECT column_name, value AS label, count(*) AS count,
+       CAST(row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) - 1 AS DOUBLE)
+         AS label_index
+FROM {_unpivot_sql('txn', ['transaction_type', 'merchant_category', 'location', 'device_used', 'payment_channel'], 'VARCHAR')}
+GROUP BY column_name, value"""))
+def q_string_index(spark, sf):
+    from ..operators.features import string_index_table
+    from ..schema import CATEGORICAL_COLS
+    return string_index_table(_txn(spark, sf), CATEGORICAL_COLS)
+
+
+def _unit_hash_sql(seed: int, id_col: str = "transaction_id") -> str:
+    return (f"CAST(('0x' || substr(md5('{seed}:' || {id_col}), 1, 8)) AS BIGINT)"
+            f" / 4294967296.0")
+
+
+@query("sample_hash", O.with_ctes(O.BIG_CTE, f"""
+SELECT * FROM txn_big
+WHERE (is_fraud AND {_unit_hash_sql(42)} < 1.0) OR (NOT is_fraud AND {_unit_hash_sql(42)} < 0.2)"""))
+def q_sample_hash(spark, sf):
+    from .model import hash_sample
+    return hash_sample(fx.txn_big(spark, sf))
+
+
+@query("split_hash", O.with_ctes(O.BIG_CTE, f"""
+SELECT *, CASE WHEN {_unit_hash_sql(43)} < 0.8 THEN 'train' ELSE 'test' END AS split
+FROM txn_big"""))
+def q_split_hash(spark, sf):
+    from .model import hash_split
+    return hash_split(fx.txn_big(spark, sf))
+
+
+@query("sample_by")
+def q_sample_by(spark, sf):
+    """ML1 with Spark's stratified sampler (rows-only check)."""
+    from .model import stratified_sample
+    return stratified_sample(fx.txn_big(spark, sf))
+
+
+@query("random_split")
+def q_random_split(spark, sf):
+    """ML2 with Spark's random split, tagged (rows-only check: all rows)."""
+    from .model import random_split
+    tr, te = random_split(fx.txn_big(spark, sf))
+    return (tr.withColumn("split", F.lit("train"))
+              .unionByName(te.withColumn("split", F.lit("test"))))
+
+
+_RULE_SCORE_SQL = """
+scored AS (
+  SELECT CAST(is_fraud AS INTEGER) AS is_fraud,
+         round(0.4 * (CASE WHEN amount > 1000.0 THEN 1 ELSE 0 END)
+             + 0.3 * (CASE WHEN merchant_category IN ('online', 'travel', 'entertainment') THEN 1 ELSE 0 END)
+             + 0.2 * (CASE WHEN hour(event_time) BETWEEN 0 AND 5 THEN 1 ELSE 0 END)
+             + 0.1 * (CASE WHEN payment_channel = 'online' THEN 1 ELSE 0 END), 2) AS fraud_probability
+  FROM txn),
+th AS (SELECT unnest([{}]) AS threshold),
+cm AS (
+  SELECT threshold,
+         CAST(count_if(fraud_probability >= threshold AND is_fraud = 1) AS BIGINT) AS tp,
+         CAST(count_if(fraud_probability >= threshold AND is_fraud <> 1) AS BIGINT) AS fp,
+         CAST(count_if(fraud_probability < threshold AND is_fraud <> 1) AS BIGINT) AS tn,
+         CAST(count_if(fraud_probability < threshold AND is_fraud = 1) AS BIGINT) AS fn
+  FROM th, scored WHERE is_fraud IS NOT NULL AND fraud_probability IS NOT NULL
+  GROUP BY threshold),
+m AS (
+  SELECT *, tp + fp + tn + fn AS n,
+         CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p1,
+         CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r1,
+         CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0.0 END AS p0,
+         CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0.0 END AS r0
+  FROM cm),
+m2 AS (
+  SELECT *, CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1_1,
+            CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f1_0,
+            CASE WHEN n > 0 THEN (tp + fn) / n ELSE 0.0 END AS w1,
+            CASE WHEN n > 0 THEN (tn + fp) / n ELSE 0.0 END AS w0
+  FROM m)"""
+
+_SWEEP_SELECT = """
+SELECT threshold, tp, fp, tn, fn,
+       round(CASE WHEN n > 0 THEN (tp + tn) / n ELSE 0.0 END, 6) AS accuracy,
+       round(p1, 6) AS precision, round(r1, 6) AS recall, round(f1_1, 6) AS f1,
+       round(w1 * p1 + w0 * p0, 6) AS weighted_precision,
+       round(w1 * r1 + w0 * r0, 6) AS weighted_recall,
+       round(w1 * f1_1 + w0 * f1_0, 6) AS weighted_f1
+FROM m2"""
+
+
+@query("threshold_sweep", O.with_ctes(
+    O.TXN_CTE + "," + _RULE_SCORE_SQL.format("0.05, 0.10, 0.15, 0.20"), _SWEEP_SELECT))
+def q_threshold_sweep(spark, sf):
+    from .model import rule_score, threshold_sweep
+    return threshold_sweep(rule_score(_txn(spark, sf)))
+
+
+@query("metrics_at_threshold", O.with_ctes(
+    O.TXN_CTE + "," + _RULE_SCORE_SQL.format("0.15"), _SWEEP_SELECT))
+def q_metrics_at_threshold(spark, sf):
+    from .model import metrics_at, rule_score
+    return metrics_at(rule_score(_txn(spark, sf)), 0.15)
+
+
+# -- the fitted forest (rows-only checks; properties in tests) -------------------
+
+_TRAINED: dict = {}
+
+
+def trained(spark, sf):
+    from .model import train_model
+    key = (id(spark), sf)
+    if key not in _TRAINED:
+        _TRAINED.clear()
+        _TRAINED[key] = train_model(_txn(spark, sf))
+    return _TRAINED[key]
+
+
+@query("model_scored")
+def q_model_scored(spark, sf):
+    from .model import score
+    t = trained(spark, sf)
+    return score(t.model, t.test).select("transaction_id", "is_fraud", "fraud_probability",
+                                         "prediction", "prediction_custom")
+
+
+@query("model_metrics")
+def q_model_metrics(spark, sf):
+    """ML10-ML11: evaluator metrics of the held-out split, one row."""
+    from .model import evaluator_metrics, score
+    t = trained(spark, sf)
+    m = evaluator_metrics(score(t.model, t.test))
+    return spark.createDataFrame([m])
+
+
+@query("ml_not_fraud")
+def q_ml_not_fraud(spark, sf):
+    """Q8: the whole txn stream scored with the online threshold, model-cleared rows."""
+    from ..operators.alerts import ml_not_fraud
+    from .model import score
+    from ..schema import ONLINE_THRESHOLD
+    t = trained(spark, sf)
+    return ml_not_fraud(score(t.model, _txn(spark, sf), ONLINE_THRESHOLD))
