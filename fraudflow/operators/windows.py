@@ -121,3 +121,21 @@ def summary_fraud_by_type(fraud: DataFrame, duration: str = WINDOW_2M, suffix: s
     """Q6 part 2: fraud count per (window, transaction_type) from the fraud stream."""
     return _windowed(fraud, duration, ["transaction_type"], [
         F.count(F.lit(1)).alias(f"fraud_tx{suffix}")])
+
+
+def summary_by_type(flagged: DataFrame, is_fraud: Column, duration: str = WINDOW_2M,
+                    suffix: str = "_2m") -> DataFrame:
+    """Q6 in one stateful aggregate over a flagged stream: totals, fraud
+    count and rate per (window, transaction_type).
+
+    The stream form of the merged summary: no second stream, no join, and
+    totals and fraud counts close on the same watermark.
+    """
+    out = _windowed(flagged, duration, ["transaction_type"], [
+        F.count(F.lit(1)).alias(f"total_tx{suffix}"),
+        F.round(F.sum("amount"), MONEY_DECIMALS).alias(f"total_amount{suffix}"),
+        F.round(F.avg("amount"), RATE_DECIMALS).alias(f"avg_amount{suffix}"),
+        F.count_if(F.coalesce(is_fraud, F.lit(False))).alias(f"fraud_tx{suffix}")])
+    return out.withColumn(
+        f"fraud_rate{suffix}",
+        F.round(safe_div(f"fraud_tx{suffix}", f"total_tx{suffix}"), RATE_DECIMALS))

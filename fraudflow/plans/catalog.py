@@ -698,3 +698,199 @@ def q_ml_not_fraud(spark, sf):
     from ..schema import ONLINE_THRESHOLD
     t = trained(spark, sf)
     return ml_not_fraud(score(t.model, _txn(spark, sf), ONLINE_THRESHOLD))
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks (SRC1-SRC7, SNK1, SNK3, FN11-FN13, FN19) on txn
+# ---------------------------------------------------------------------------
+
+_TXN18 = "SELECT " + ", ".join(TRANSACTION_COLUMNS) + " FROM txn"
+
+
+@query("json_roundtrip", O.with_ctes(O.TXN_CTE, _TXN18))
+def q_json_roundtrip(spark, sf):
+    """SNK1 encode -> SRC4 decode gives the records back."""
+    from ..sources.topics import decode, encode
+    return decode(encode(_txn(spark, sf)), TRANSACTION_SCHEMA)
+
+
+@query("csv_roundtrip", O.with_ctes(O.TXN_CTE, _TXN18))
+def q_csv_roundtrip(spark, sf):
+    """SNK3 sorted CSV write -> SRC1 declared-schema read."""
+    from ..session import work_path
+    from ..sources.tables import read_transactions, write_sorted
+    path = work_path(spark, "csv-roundtrip")
+    write_sorted(_txn(spark, sf), path)
+    return read_transactions(spark, path)
+
+
+@query("coerce_fields", O.with_ctes(O.TXN_CTE, _TXN18))
+def q_coerce_fields(spark, sf):
+    """FN13: all-text rows (null -> '') coerced back to typed records."""
+    from ..sources.topics import as_text, coerce_text_record
+    return coerce_text_record(as_text(_txn(spark, sf)))
+
+
+@query("sharded_rows", O.with_ctes(O.TXN_CTE, """
+SELECT transaction_id, timestamp,
+       CAST((row_number() OVER (ORDER BY timestamp, transaction_id) - 1) % 4 AS INTEGER) AS shard
+FROM txn"""))
+def q_sharded_rows(spark, sf):
+    """SRC7: every row tagged with its producer shard (row i -> i % 4)."""
+    from ..operators.ranking import shard
+    t = _txn(spark, sf).select("transaction_id", "timestamp")
+    return shard(t, 4, ["timestamp", "transaction_id"])
+
+
+@query("keyed_order", O.with_ctes(O.TXN_CTE, """
+SELECT sender_account AS key, transaction_id,
+       row_number() OVER (PARTITION BY sender_account ORDER BY timestamp, transaction_id) - 1 AS key_seq
+FROM txn"""))
+def q_keyed_order(spark, sf):
+    """SRC6: position of each record in its sender's ordered sequence."""
+    from ..operators.ranking import global_row_number
+    t = _txn(spark, sf).select("sender_account", "timestamp", "transaction_id")
+    r = global_row_number(t, ["sender_account", "timestamp", "transaction_id"], out="key_seq",
+                          group="sender_account")
+    return r.select(F.col("sender_account").alias("key"), "transaction_id", "key_seq")
+
+
+# ---------------------------------------------------------------------------
+# Serving store: WN1, LIM2, SRC5, SET1 on txn_big (ids repeat on purpose)
+# ---------------------------------------------------------------------------
+
+_BIG_DESC = "event_time DESC, transaction_id DESC, receiver_account DESC, amount DESC"
+_CUTOFF = "1998-01-01 00:00:00"
+
+
+@query("dedupe_keep_last", O.with_ctes(O.BIG_CTE, f"""
+SELECT * FROM txn_big
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY {_BIG_DESC}) = 1"""))
+def q_dedupe_keep_last(spark, sf):
+    from ..operators.serving import dedupe_keep_last
+    return dedupe_keep_last(fx.txn_big(spark, sf), ["transaction_id"], fx.BIG_ARRIVAL_ORDER)
+
+
+@query("bounded_store", O.with_ctes(O.BIG_CTE, f"""
+SELECT * FROM (
+  SELECT * FROM txn_big
+  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY {_BIG_DESC}) = 1)
+ORDER BY {_BIG_DESC} LIMIT 5000"""))
+def q_bounded_store(spark, sf):
+    """SET1 + WN1 + LIM2: stored ∪ new, keep last per id, retain the last 5,000."""
+    from ..operators.serving import bounded_store
+    t = fx.txn_big(spark, sf)
+    cut = F.col("event_time") < F.lit(_CUTOFF).cast("timestamp_ntz")
+    return bounded_store(t.where(cut), t.where(~cut), ["transaction_id"],
+                         fx.BIG_ARRIVAL_ORDER, 5000)
+
+
+@query("incremental_read", O.with_ctes(O.BIG_CTE, f"""
+SELECT * FROM txn_big WHERE event_time >= TIMESTAMP '{_CUTOFF}'
+ORDER BY event_time, transaction_id, receiver_account, amount LIMIT 200000"""))
+def q_incremental_read(spark, sf):
+    """SRC5: rows loaded before the cut-off set the cursor; the next refresh
+    returns exactly the rows after it."""
+    from ..sources.incremental import fetch_new, next_cursor
+    t = fx.txn_big(spark, sf)
+    keys = fx.BIG_ARRIVAL_ORDER
+    seen = t.where(F.col("event_time") < F.lit(_CUTOFF).cast("timestamp_ntz"))
+    cursor = next_cursor(seen, keys)
+    return fetch_new(t, keys, cursor)
+
+
+@query("union_append", O.with_ctes(O.BIG_CTE, f"""
+SELECT transaction_id, amount, sender_account FROM txn_big WHERE event_time < TIMESTAMP '{_CUTOFF}'
+UNION ALL BY NAME
+SELECT transaction_id, amount, receiver_account, is_fraud FROM txn_big
+WHERE event_time >= TIMESTAMP '{_CUTOFF}'"""))
+def q_union_append(spark, sf):
+    from ..operators.serving import union_append
+    t = fx.txn_big(spark, sf)
+    cut = F.col("event_time") < F.lit(_CUTOFF).cast("timestamp_ntz")
+    return union_append(t.where(cut).select("transaction_id", "amount", "sender_account"),
+                        t.where(~cut).select("transaction_id", "amount", "receiver_account",
+                                             "is_fraud"))
+
+
+# ---------------------------------------------------------------------------
+# Streams (ST1-ST11): replay txn_routed as a file topic, run the insight
+# queries to completion, read their sink tables back.  Append mode emits
+# closed windows only: window_end <= max(event_time) - 2 minutes.
+# ---------------------------------------------------------------------------
+
+def _stream_insight(spark, sf, names: list[str]) -> dict:
+    from ..session import work_path
+    from ..streaming.pipeline import TopologyPaths, await_all, replay, start_insights
+    from ..streaming.sinks import read_table
+    paths = TopologyPaths(work_path(spark, "stream-insights"))
+    replay(fx.txn_routed(spark, sf), f"{paths.topic('routed_transactions')}/replay")
+    qs = start_insights(spark, paths, names=names)
+    await_all(qs)
+    return {n: read_table(spark, paths.table(n)).drop("_batch", "_row") for n in names}
+
+
+_CLOSED = "(SELECT max(event_time) - INTERVAL '2 minutes' FROM txn_routed)"
+# The fraud filter is pushed below the watermark, so fraud-only aggregates
+# close on the fraud rows' own event time (as a separate fraud topic would).
+_CLOSED_FRAUD = "(SELECT max(event_time) - INTERVAL '2 minutes' FROM fraud_txn)"
+
+
+@query("stream_fraud_loss_2m", O.with_ctes(O.ROUTED_CTE, f"""
+SELECT * FROM ({ORACLE['fraud_loss_2m'].split('fraud_txn AS (SELECT * FROM txn_routed WHERE fraud_source IS NOT NULL)', 1)[1]})
+WHERE window_end <= {_CLOSED_FRAUD}"""))
+def q_stream_fraud_loss_2m(spark, sf):
+    return _stream_insight(spark, sf, ["fraud_loss_2m"])["fraud_loss_2m"]
+
+
+@query("stream_fraud_rate_2m", O.with_ctes(O.ROUTED_CTE, f"""
+SELECT * FROM ({ORACLE['fraud_rate_2m'].split('fraud_txn AS (SELECT * FROM txn_routed WHERE fraud_source IS NOT NULL)', 1)[1]})
+WHERE window_end <= {_CLOSED}"""))
+def q_stream_fraud_rate_2m(spark, sf):
+    return _stream_insight(spark, sf, ["fraud_rate_2m"])["fraud_rate_2m"]
+
+
+@query("stream_summary_by_type_2m", O.with_ctes(O.ROUTED_CTE, f"""
+SELECT * FROM (
+  SELECT transaction_type, CAST(count(*) AS BIGINT) AS total_tx_2m,
+         round(sum(amount), 2) AS total_amount_2m, round(avg(amount), 6) AS avg_amount_2m,
+         CAST(count(*) FILTER (WHERE fraud_source IS NOT NULL) AS BIGINT) AS fraud_tx_2m,
+         round(count(*) FILTER (WHERE fraud_source IS NOT NULL) / count(*), 6) AS fraud_rate_2m,
+         {O.w2m()} AS window_start, {O.w2m()} + INTERVAL '2 minutes' AS window_end
+  FROM txn_routed GROUP BY ALL)
+WHERE window_end <= {_CLOSED}"""))
+def q_stream_summary_by_type_2m(spark, sf):
+    return _stream_insight(spark, sf, ["summary_by_type_2m"])["summary_by_type_2m"]
+
+
+@query("stream_alerts", ORACLE["fraud_alerts"])
+def q_stream_alerts(spark, sf):
+    return _stream_insight(spark, sf, ["fraud_alerts_realtime"])["fraud_alerts_realtime"]
+
+
+@query("stream_pipeline_routes")
+def q_stream_pipeline_routes(spark, sf):
+    """ST9: raw stream -> Bloom route -> model -> routed topic; rows per route.
+
+    The filter holds txn's labelled bad senders, the model is the offline
+    forest; rows-only check (the property tests pin the routing laws).
+    """
+    from ..operators import bloom
+    from ..operators.senders import bad_senders
+    from ..session import work_path
+    from ..streaming.pipeline import TopologyPaths, replay, start_routing
+    from ..streaming.sinks import read_table
+    from ..sources.topics import decode, read_topic  # noqa: F401
+    t = _txn(spark, sf)
+    bf = bloom.build(bad_senders(t), "sender_account")
+    model = trained(spark, sf).model
+    paths = TopologyPaths(work_path(spark, "stream-pipeline"))
+    replay(t, f"{paths.base}/raw/replay")
+    q = start_routing(spark, f"{paths.base}/raw/*", bf, model, paths, max_files=None)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    from ..sources.topics import decode as _decode
+    routed = _decode(spark.read.schema("key string, value string")
+                     .json(f"{paths.topic('routed_transactions')}/*"))
+    return routed.groupBy("fraud_source").agg(F.count(F.lit(1)).alias("rows"))
