@@ -156,10 +156,11 @@ summary AS (
   FROM tot t LEFT JOIN fr f USING (window_start, window_end, transaction_type))"""
 
 
-def _summary_2m(spark, sf):
+def _summary_2m(spark, sf, fraud=None):
     from ..operators.serving import merge_summary
+    fraud = fx.fraud_txn(spark, sf) if fraud is None else fraud
     return merge_summary(W.summary_total_by_type(fx.txn(spark, sf)),
-                         W.summary_fraud_by_type(fx.fraud_txn(spark, sf)))
+                         W.summary_fraud_by_type(fraud))
 
 
 @query("summary_by_type_2m", O.with_ctes(O.ROUTED_CTE + "," + _SUMMARY_2M_SQL,
@@ -307,10 +308,9 @@ SELECT (SELECT CAST(count(DISTINCT transaction_id) AS BIGINT) FROM fraud_txn) AS
 def q_kpi_latest(spark, sf):
     from ..operators.alerts import fraud_alerts
     from ..operators.serving import dedupe_keep_last, kpis
-    alerts = dedupe_keep_last(fraud_alerts(fx.fraud_txn(spark, sf)), ["transaction_id"],
-                              ["timestamp"])
-    loss = W.fraud_loss(fx.fraud_txn(spark, sf))
-    return kpis(alerts, loss, _summary_2m(spark, sf))
+    fraud = fx.fraud_txn(spark, sf)
+    alerts = dedupe_keep_last(fraud_alerts(fraud), ["transaction_id"], ["timestamp"])
+    return kpis(alerts, W.fraud_loss(fraud), _summary_2m(spark, sf, fraud))
 
 
 # ---------------------------------------------------------------------------
