@@ -894,3 +894,20 @@ def q_stream_pipeline_routes(spark, sf):
     routed = _decode(spark.read.schema("key string, value string")
                      .json(f"{paths.topic('routed_transactions')}/*"))
     return routed.groupBy("fraud_source").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("head_rows", O.with_ctes(O.TXN_CTE, f"""
+{_TXN18} ORDER BY timestamp, transaction_id LIMIT 20"""))
+def q_head_rows(spark, sf):
+    """LIM1: first 20 rows by (timestamp, id) — a keyed head is deterministic."""
+    from ..operators.serving import head_n
+    return head_n(_txn(spark, sf), 20, ["timestamp", "transaction_id"])
+
+
+@query("latest_fraud_loss", O.with_ctes(O.ROUTED_CTE, f"""
+SELECT * FROM ({ORACLE['fraud_loss_2m'].split('fraud_txn AS (SELECT * FROM txn_routed WHERE fraud_source IS NOT NULL)', 1)[1]})
+ORDER BY window_start DESC LIMIT 1"""))
+def q_latest_fraud_loss(spark, sf):
+    """WN2: the most recent fraud-loss window."""
+    from ..operators.serving import latest_row
+    return latest_row(W.fraud_loss(fx.fraud_txn(spark, sf)), "window_start")
