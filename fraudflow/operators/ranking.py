@@ -36,7 +36,10 @@ def global_row_number(df: DataFrame, order: list, out: str = "rn",
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many range partitions as the input has splits (each split is at
+    # most spark.sql.files.maxPartitionBytes), at least the shuffle width
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                          df.rdd.getNumPartitions())
     cols = _sort_cols(order)
     positioned = (df.repartitionByRange(n, *cols)
                     .sortWithinPartitions(*cols)

@@ -13,18 +13,24 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Joins that AQE may turn into broadcast joins at run time, measured on the
-# real shuffle output (not on an estimate).  Static broadcasts stay at
-# Spark's default and are only forced behind an explicit row-count check.
+# AQE re-plans joins from measured shuffle sizes (broadcast when the real
+# output is small), coalesces small shuffle partitions and splits skewed
+# ones.  Explicit broadcasts in the library are only for proven bounds.
 _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
+}
+# Local runs (tests, bench): few cores, tiny files.  On a cluster the
+# shuffle width stays as the deployment sets it (sized to the data: a few
+# hundred MB per partition), and AQE coalesces what turns out small.
+_LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
     "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -36,9 +42,14 @@ def get_spark(master: str | None = None, app: str = "fraudflow",
         builder = builder.master(master)
     for k, v in {**_DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.driver.memory",
-                             os.environ.get("FRAUDFLOW_DRIVER_MEMORY", "16g"))
+    if master and master.startswith("local"):
+        builder = builder.config("spark.driver.memory",
+                                 os.environ.get("FRAUDFLOW_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
+    if spark.sparkContext.master.startswith("local"):
+        for k, v in _LOCAL_CONF.items():
+            if k not in (conf or {}) and k != "spark.ui.enabled":
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -55,6 +66,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints, "
+                               "stream state and intermediate tables must survive "
+                               "the loss of any executor")
         d = tempfile.mkdtemp(prefix="fraudflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
