@@ -911,3 +911,45 @@ def q_latest_fraud_loss(spark, sf):
     """WN2: the most recent fraud-loss window."""
     from ..operators.serving import latest_row
     return latest_row(W.fraud_loss(fx.fraud_txn(spark, sf)), "window_start")
+
+
+@query("per_sender_head10", O.with_ctes(O.BIG_CTE, """
+SELECT * FROM (
+  SELECT sender_account, CAST(count_if(NOT is_fraud) AS BIGINT) AS nonfraud_tx_count,
+         CAST(count_if(is_fraud) AS BIGINT) AS fraud_tx_count,
+         CAST(count(*) FILTER (WHERE is_fraud IS NOT NULL) AS BIGINT) AS total_tx,
+         round(count_if(is_fraud) / count(*) FILTER (WHERE is_fraud IS NOT NULL), 6) AS fraud_rate
+  FROM txn_big WHERE sender_account IS NOT NULL GROUP BY sender_account
+  HAVING count_if(is_fraud) > 0)
+ORDER BY sender_account LIMIT 10"""))
+def q_per_sender_head10(spark, sf):
+    """LIM1 over AG11: the first 10 bad senders by account (grouped output is key-sorted)."""
+    from ..operators.senders import per_sender_counts
+    from ..operators.serving import head_n
+    return head_n(per_sender_counts(fx.txn_big(spark, sf)), 10, ["sender_account"])
+
+
+@query("minmax_view_last200", O.with_ctes(O.ROUTED_CTE, f"""
+SELECT window_start, window_end, min_fraud_amount_2m, max_fraud_amount_2m FROM (
+  {ORACLE['fraud_minmax_2m'].split('fraud_txn AS (SELECT * FROM txn_routed WHERE fraud_source IS NOT NULL)', 1)[1]})
+ORDER BY window_start DESC LIMIT 200"""))
+def q_minmax_view_last200(spark, sf):
+    """SRT2 + LIM2 + PRJ7: the min/max table sorted by window start, last 200 rows."""
+    from ..operators.serving import last_n, select_present
+    mm = W.fraud_minmax(fx.fraud_txn(spark, sf))
+    view = select_present(mm, ["window_start", "window_end", "min_fraud_amount_2m",
+                               "max_fraud_amount_2m"])
+    return last_n(view, 200, ["window_start"])
+
+
+@query("summary_view_last2000", O.with_ctes(O.ROUTED_CTE + "," + _SUMMARY_2M_SQL, """
+SELECT window_start, window_end, transaction_type, total_tx_2m, total_amount_2m, avg_amount_2m,
+       fraud_tx_2m, fraud_rate_2m
+FROM summary ORDER BY window_end DESC, transaction_type DESC LIMIT 2000"""))
+def q_summary_view_last2000(spark, sf):
+    """SRT2 + LIM2: the merged summary sorted by (window_end, type), last 2,000 rows."""
+    from ..operators.serving import last_n, select_present
+    view = select_present(_summary_2m(spark, sf), [
+        "window_start", "window_end", "transaction_type", "total_tx_2m", "total_amount_2m",
+        "avg_amount_2m", "fraud_tx_2m", "fraud_rate_2m"])
+    return last_n(view, 2000, ["window_end", "transaction_type"])

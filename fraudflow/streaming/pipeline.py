@@ -97,8 +97,10 @@ def route_batch(bf, model, paths: TopologyPaths, threshold: float = ONLINE_THRES
             routed = as_stream_record(hits).unionByName(as_stream_record(
                 scored.withColumn("fraud_source",
                                   F.when(is_model_fraud(threshold=threshold), F.lit(SOURCE_MODEL)))))
-            # rows the assembler skipped: in `other` but not in `scored`
-            skipped = other.join(scored.select("transaction_id"), "transaction_id", "left_anti")
+            # rows the assembler skips (a null / NaN numeric input): same rule
+            # as the model's VectorAssembler, as a predicate (ids may repeat)
+            from ..plans.model import unscored
+            skipped = unscored(other.select(*[c for c in TRANSACTION_COLUMNS if c in other.columns]))
             for name, df in (("other_transactions", as_stream_record(other)),
                              ("fraud_transactions", fraud),
                              ("routed_transactions", routed.unionByName(as_stream_record(skipped)))):
