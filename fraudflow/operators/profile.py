@@ -1,19 +1,16 @@
 """Table profiling (AG1-AG8, AG10): the exploratory statistics, distributed.
 
 Wide-to-long is done with ``DataFrame.unpivot`` so one aggregate pass
-covers every column; all aggregates combine map-side.  Exact quartiles use
-the distributed global ranking of ``ranking.global_row_number`` instead of
-collecting a column's values into one buffer.
+covers every column; all aggregates combine map-side.  Exact quartiles are
+computed on value counts with block prefix sums (``exact_quantiles``)
+instead of collecting a column's values into one buffer.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import global_row_number
 
 STAT_DECIMALS = 6
 
@@ -57,6 +54,61 @@ def table_profile(df: DataFrame) -> DataFrame:
                .withColumn("dtype", types[F.col("column_name")]))
 
 
+def exact_quantiles(long: DataFrame, qs: dict[str, float], partitions: int | None = None) -> DataFrame:
+    """Exact quantiles (linear interpolation, as pandas / ``quantile_cont``)
+    per ``column_name`` of a long (column_name, value) frame.
+
+    1. ``(column_name, value) -> cnt``: a partial aggregate, so a value
+       holding a third of all rows becomes one row — every sort key below
+       is unique and range partitioning stays balanced.
+    2. The counted values are range-partitioned into blocks (checkpointed,
+       so block ids are stable); per-block totals (one row per block and
+       column) give each block's starting rank.
+    3. For each target rank the containing block is found on those small
+       totals; only those blocks (at most 2 per quantile and column) are
+       scanned with a running sum to pick the value at the rank.
+    """
+    spark = long.sparkSession
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = (counts.repartitionByRange(n, "column_name", "value")
+                    .withColumn("_blk", F.spark_partition_id())
+                    .checkpoint(eager=True))
+    blocks = placed.groupBy("column_name", "_blk").agg(F.sum("cnt").alias("_bn"))
+    before = Window.partitionBy("column_name").orderBy("_blk").rowsBetween(
+        Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
+    total = Window.partitionBy("column_name")
+    blocks = blocks.withColumn("_tot", F.sum("_bn").over(total))
+    # target ranks: floor / ceil of h = (N - 1) * q for every quantile
+    tgt = blocks.select("column_name", "_tot").distinct().select(
+        "column_name", F.explode(F.array(*[
+            F.struct(F.lit(name).alias("q"), F.lit(side).alias("side"),
+                     (F.floor if side == "lo" else F.ceil)((F.col("_tot") - 1) * q).alias("pos"),
+                     ((F.col("_tot") - 1) * q - F.floor((F.col("_tot") - 1) * q)).alias("frac"))
+            for name, q in qs.items() for side in ("lo", "hi")])).alias("t")).select("column_name", "t.*")
+    # equi-join on the column, range condition on the block's rank span
+    at = tgt.join(blocks, "column_name").where(
+        (F.col("pos") >= F.col("_off")) & (F.col("pos") < F.col("_off") + F.col("_bn")))
+    wanted = at.select("column_name", "_blk", "_off").distinct()
+    inside = Window.partitionBy("column_name", "_blk").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = (placed.join(wanted, ["column_name", "_blk"], "inner")
+                    .withColumn("_end", F.col("_off") + F.sum("cnt").over(inside)))
+    hit = ranked.join(at.select("column_name", "_blk", "q", "side", "pos", "frac"),
+                      ["column_name", "_blk"]).where(
+        (F.col("pos") >= F.col("_end") - F.col("cnt")) & (F.col("pos") < F.col("_end")))
+    aggs = []
+    for name in qs:
+        lo = F.max(F.when((F.col("q") == name) & (F.col("side") == "lo"), F.col("value")))
+        hi = F.max(F.when((F.col("q") == name) & (F.col("side") == "hi"), F.col("value")))
+        fr = F.max(F.when(F.col("q") == name, F.col("frac")))
+        aggs.append((lo + fr * (hi - lo)).alias(name))
+    return hit.groupBy("column_name").agg(*aggs)
+
+
 def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     """AG6 / AG10: count, mean, sample std, min, 25/50/75 % (linear
     interpolation), max per numeric column; nulls ignored."""
@@ -67,23 +119,7 @@ def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"))
-    ranked = global_row_number(long, ["column_name", "value"], out="rn", group="column_name")
-    qs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    pos = stats.select("column_name", *[
-        ((F.col("count") - 1) * q).alias(f"_h_{name}") for name, q in qs.items()])
-    # only the (at most 2 per quantile) rows around each target rank survive
-    near = reduce(lambda a, b: a | b, [
-        (F.col("rn") == F.floor(F.col(f"_h_{n}"))) | (F.col("rn") == F.ceil(F.col(f"_h_{n}")))
-        for n in qs])
-    picked = ranked.join(F.broadcast(pos), "column_name").where(near)
-    quant_aggs = []
-    for n in qs:
-        h = F.col(f"_h_{n}")
-        lo = F.max(F.when(F.col("rn") == F.floor(h), F.col("value")))
-        hi = F.max(F.when(F.col("rn") == F.ceil(h), F.col("value")))
-        frac = F.max(h - F.floor(h))
-        quant_aggs.append((lo + frac * (hi - lo)).alias(n))
-    quants = picked.groupBy("column_name").agg(*quant_aggs)
+    quants = exact_quantiles(long, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     out = stats.join(quants, "column_name", "left")
     r = lambda c: F.round(F.col(c), STAT_DECIMALS).alias(c)
     return out.select("column_name", F.col("count").cast("bigint").alias("count"),

@@ -178,3 +178,19 @@ def test_bloom_route_is_a_partition(spark):
     assert hits.join(rest, "transaction_id").count() == 0
     assert (bad_senders(t).join(hits.select("sender_account").distinct(), "sender_account",
                                 "left_anti").count() == 0)
+
+
+def test_exact_quantiles_match_numpy_under_skew(spark):
+    import numpy as np
+    from fraudflow.operators.profile import exact_quantiles
+    rng = np.random.default_rng(7)
+    a = np.concatenate([np.full(4000, 3.5), rng.normal(10, 4, 8000).round(2)])  # hot value: 1/3
+    b = np.array([42.0])
+    c = np.array([1.0, 2.0])
+    rows = [("a", float(x)) for x in a] + [("b", float(x)) for x in b] + [("c", float(x)) for x in c]
+    long = spark.createDataFrame(rows, "column_name string, value double").repartition(5)
+    qs = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
+    got = {r["column_name"]: r for r in exact_quantiles(long, qs, partitions=7).collect()}
+    for name, arr in (("a", a), ("b", b), ("c", c)):
+        for q, p in qs.items():
+            assert got[name][q] == pytest.approx(float(np.quantile(arr, p)), abs=1e-9), (name, q)
