@@ -20,13 +20,34 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Text accepted by the pattern yyyy-MM-dd'T'HH:mm:ss.SSSSSS (1 to 6
+# fraction digits; no fraction or date only -> null).
+TIMESTAMP_TEXT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}[.][0-9]{1,6}$"
+
+
 def parse_event_time(c="timestamp", fmt: str = TIMESTAMP_FORMAT) -> Column:
     """FN1/FN12: parse by pattern; unparseable -> null.
 
-    The result is TIMESTAMP_NTZ: the wall-clock value of the text, so window
-    bounds and hour/day features do not depend on the session time zone.
+    The result is TIMESTAMP_NTZ, the wall-clock value of the text, with no
+    time zone involved (a local time inside a daylight-saving gap is kept
+    as written), so window bounds and hour/day features are the same in
+    every session.  The default pattern is checked by a regular expression
+    and converted with a zone-free cast (impossible dates -> null); other
+    patterns go through ``try_to_timestamp``.
     """
-    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
+    col = _c(c)
+    if fmt == TIMESTAMP_FORMAT:
+        return F.when(col.rlike(TIMESTAMP_TEXT), col.try_cast("timestamp_ntz"))
+    return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
+
+
+def format_event_time(c) -> Column:
+    """Inverse of ``parse_event_time`` for TIMESTAMP_NTZ values, zone-free:
+    yyyy-MM-dd'T'HH:mm:ss.SSSSSS."""
+    t = _c(c)
+    micros = (F.date_part(F.lit("SECOND"), t) * 1000000 % 1000000).cast("bigint")
+    return F.concat(F.regexp_replace(F.substring(t.cast("string"), 1, 19), " ", "T"),
+                    F.lit("."), F.lpad(micros.cast("string"), 6, "0"))
 
 
 def flag(cond: Column) -> Column:

@@ -4,8 +4,8 @@
 ``SQLTransformer`` stage saved inside the model pipeline (so streaming
 scoring recomputes exactly the training features) and, through
 ``add_features``, the batch/stream feature function.  The time stamp is
-parsed once in an inner SELECT; ``try_to_timestamp`` keeps bad text as
-null under ANSI mode.
+parsed once in an inner SELECT, zone-free, bad text -> null (the same rule
+as ``functions.expressions.parse_event_time``).
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import bool_to_int, parse_event_time
-from ..schema import HIGH_RISK_MERCHANTS, LARGE_AMOUNT, TIMESTAMP_FORMAT
+from ..functions.expressions import TIMESTAMP_TEXT, bool_to_int, parse_event_time
+from ..schema import HIGH_RISK_MERCHANTS, LARGE_AMOUNT
 
 _RISKY = ", ".join(f"'{m}'" for m in HIGH_RISK_MERCHANTS)
 
@@ -28,7 +28,8 @@ SELECT *,
   CASE WHEN merchant_category IN ({_RISKY}) THEN 1 ELSE 0 END AS high_risk_merchant,
   CASE WHEN amount > {LARGE_AMOUNT} THEN 1 ELSE 0 END AS is_large_amount,
   CASE WHEN sender_account = receiver_account THEN 1 ELSE 0 END AS sender_equals_receiver
-FROM (SELECT *, CAST(try_to_timestamp(timestamp, "{TIMESTAMP_FORMAT}") AS TIMESTAMP_NTZ) AS event_time
+FROM (SELECT *, CASE WHEN timestamp RLIKE '{TIMESTAMP_TEXT}'
+                     THEN TRY_CAST(timestamp AS TIMESTAMP_NTZ) END AS event_time
       FROM __THIS__)
 """
 

@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import SOURCE_BLOOM, SOURCE_MODEL, TIMESTAMP_FORMAT
+from ..functions.expressions import format_event_time
+from ..schema import SOURCE_BLOOM, SOURCE_MODEL
 
 # Fixed values of the test views.
 ROUTE_CUTOFF = "2024-01-16 00:00:00"
@@ -59,7 +60,7 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     fraud = (F.col("event_type") == "error") & (val > 200)
     return e.select(
         F.concat(F.lit("T"), eid.cast("string")).alias("transaction_id"),
-        F.date_format("ts", TIMESTAMP_FORMAT).alias("timestamp"),
+        format_event_time("ts").alias("timestamp"),
         F.concat(F.lit("A"), uid.cast("string")).alias("sender_account"),
         F.concat(F.lit("A"), ((eid * 7) % 151).cast("string")).alias("receiver_account"),
         F.round(val * 10, 2).alias("amount"),
@@ -97,7 +98,7 @@ def txn_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.concat(F.lit("T"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("transaction_id"),
-        F.date_format(et, TIMESTAMP_FORMAT).alias("timestamp"),
+        format_event_time(et).alias("timestamp"),
         et.alias("event_time"),
         F.concat(F.lit("A"), F.col("o_custkey").cast("string")).alias("sender_account"),
         F.concat(F.lit("A"), F.col("l_suppkey").cast("string")).alias("receiver_account"),

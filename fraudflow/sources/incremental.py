@@ -17,23 +17,37 @@ from pyspark.sql import functions as F
 from ..schema import FETCH_BATCH_SIZE, FETCH_MAX_BATCHES
 
 
-def after(keys: list[str], cursor: tuple | None) -> Column | None:
+def _literal(value, dtype: str) -> Column:
+    """A literal of the key column's own type.  A TIMESTAMP_NTZ value comes
+    back to Python as a naive wall-clock datetime; it is passed as text and
+    cast, so no session or process time zone can shift it."""
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if dtype == "timestamp_ntz":
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value).cast(dtype)
+
+
+def after(keys: list[str], cursor: tuple | None, dtypes: dict | None = None) -> Column | None:
     """Lexicographic ``(keys) > cursor`` plus ``keys[0] >= cursor[0]``, which
     the scan can push down for row-group pruning."""
     if cursor is None:
         return None
+    dtypes = dtypes or {}
+    lit = [_literal(v, dtypes.get(k, "string")) if k in dtypes else F.lit(v)
+           for k, v in zip(keys, cursor)]
     terms = []
     for i, k in enumerate(keys):
-        eq = [F.col(keys[j]) == F.lit(cursor[j]) for j in range(i)]
-        terms.append(reduce(lambda a, b: a & b, eq + [F.col(k) > F.lit(cursor[i])]))
+        eq = [F.col(keys[j]) == lit[j] for j in range(i)]
+        terms.append(reduce(lambda a, b: a & b, eq + [F.col(k) > lit[i]]))
     lex = reduce(lambda a, b: a | b, terms)
-    return (F.col(keys[0]) >= F.lit(cursor[0])) & lex
+    return (F.col(keys[0]) >= lit[0]) & lex
 
 
 def fetch_new(df: DataFrame, keys: list[str], cursor: tuple | None = None,
               batch_size: int = FETCH_BATCH_SIZE, max_batches: int = FETCH_MAX_BATCHES) -> DataFrame:
     """Rows after ``cursor`` in key order, capped at one refresh's budget."""
-    cond = after(keys, cursor)
+    cond = after(keys, cursor, dict(df.dtypes))
     src = df if cond is None else df.where(cond)
     return src.orderBy(*keys).limit(batch_size * max_batches)
 

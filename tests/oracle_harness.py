@@ -75,6 +75,8 @@ if __name__ == "__main__":
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     only = sys.argv[1:]
     spark = get_spark("local[8]")
+    if os.environ.get("SPARK_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SPARK_TZ"])
     con = duck(sf)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0

@@ -131,3 +131,19 @@ def test_alert_filters_empty_list_means_no_filter(spark):
     v = S.alerts_view(f, limit=1).collect()
     assert v[0]["HIGH_AMOUNT"] is True and v[0]["transaction_id"] == "T3"
     assert S.alerts_view(f).columns[0] == "HIGH_AMOUNT"
+
+
+def test_event_time_is_zone_free(spark):
+    """A wall-clock time inside a daylight-saving gap survives parse and
+    format in any session time zone."""
+    from fraudflow.functions.expressions import format_event_time
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([("1999-04-04T02:15:08.000001",)], "t string")
+        r = df.select(parse_event_time("t").alias("e")).select(
+            "e", format_event_time("e").alias("back")).first()
+        assert r["e"] == dt.datetime(1999, 4, 4, 2, 15, 8, 1)
+        assert r["back"] == "1999-04-04T02:15:08.000001"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
