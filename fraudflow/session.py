@@ -24,6 +24,11 @@ _DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # window state grows with keys x open windows: keep it off the JVM heap
+    # (RocksDB spills to local disk, checkpoints to spark.checkpoint.dir)
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 # Local runs (tests, bench): few cores, tiny files.  On a cluster the
 # shuffle width stays as the deployment sets it (sized to the data: a few
