@@ -43,11 +43,11 @@ def parse_event_time(c="timestamp", fmt: str = TIMESTAMP_FORMAT) -> Column:
 
 def format_event_time(c) -> Column:
     """Inverse of ``parse_event_time`` for TIMESTAMP_NTZ values, zone-free:
-    yyyy-MM-dd'T'HH:mm:ss.SSSSSS."""
-    t = _c(c)
-    micros = (F.date_part(F.lit("SECOND"), t) * 1000000 % 1000000).cast("bigint")
-    return F.concat(F.regexp_replace(F.substring(t.cast("string"), 1, 19), " ", "T"),
-                    F.lit("."), F.lpad(micros.cast("string"), 6, "0"))
+    yyyy-MM-dd'T'HH:mm:ss.SSSSSS (from the NTZ text form, whose fraction
+    drops trailing zeros: right-pad it back to 6 digits)."""
+    s = _c(c).cast("string")
+    return F.concat(F.substring(s, 1, 10), F.lit("T"), F.substring(s, 12, 8), F.lit("."),
+                    F.rpad(F.substring(s, 21, 6), 6, "0"))
 
 
 def flag(cond: Column) -> Column:
