@@ -38,13 +38,18 @@ def with_event_time(df: DataFrame, watermark: str | None = WATERMARK_2M,
 
 
 def _windowed(df: DataFrame, duration: str, keys: list[str], aggs: list[Column],
-              time_col: str = "event_time") -> DataFrame:
+              time_col: str = "event_time", flatten: bool = True) -> DataFrame:
     w = F.window(F.col(time_col), duration).alias("window")
     agg = df.groupBy(w, *keys).agg(*aggs)
-    names = [c for c in agg.columns if c != "window" and c not in keys]
-    return agg.select(*keys, *names,
-                      F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("window.end").cast("timestamp_ntz").alias("window_end"))
+    return flatten_window(agg) if flatten else agg
+
+
+def flatten_window(df: DataFrame) -> DataFrame:
+    """FN20: ``window`` struct -> window_start / window_end (wall clock)."""
+    names = [c for c in df.columns if c != "window"]
+    return df.select(*names,
+                     F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+                     F.col("window.end").cast("timestamp_ntz").alias("window_end"))
 
 
 def fraud_loss(fraud: DataFrame, duration: str = WINDOW_2M, suffix: str = "_2m") -> DataFrame:
@@ -77,19 +82,27 @@ def fraud_rate(flagged: DataFrame, is_fraud: Column, duration: str = WINDOW_2M,
         F.round(safe_div(f"fraud_tx{suffix}", f"total_tx{suffix}"), RATE_DECIMALS))
 
 
-def window_counts(df: DataFrame, name: str, duration: str = WINDOW_2M) -> DataFrame:
-    """count(*) per window (the two sides of the JN5 form of Q1)."""
-    return _windowed(df, duration, [], [F.count(F.lit(1)).alias(name)])
+def window_counts(df: DataFrame, name: str, duration: str = WINDOW_2M,
+                  flatten: bool = True) -> DataFrame:
+    """count(*) per window (the two sides of the JN5 form of Q1).  Streams
+    that are joined afterwards keep the ``window`` struct (``flatten=False``):
+    it carries the watermark the stream-stream join needs."""
+    return _windowed(df, duration, [], [F.count(F.lit(1)).alias(name)], flatten=flatten)
 
 
 def fraud_rate_join(total: DataFrame, fraud: DataFrame, suffix: str = "_2m") -> DataFrame:
     """Q1, JN5 form: totals LEFT JOIN fraud counts on the window, missing -> 0.
 
-    Works on streams in append mode (both sides need watermarks); the batch
-    form is ``fraud_rate``.
+    On streams (append mode) both sides are watermarked window aggregates
+    joined on their ``window`` struct; a window is emitted once the global
+    watermark (the minimum of both inputs') passes it.  The batch form is
+    ``fraud_rate`` (one aggregate, no join).
     """
-    f = fraud.select("window_start", "window_end", f"fraud_tx{suffix}")
-    j = total.join(f, ["window_start", "window_end"], "left")
+    if "window" in total.columns and "window" in fraud.columns:
+        j = flatten_window(total.join(fraud.select("window", f"fraud_tx{suffix}"), "window", "left"))
+    else:
+        f = fraud.select("window_start", "window_end", f"fraud_tx{suffix}")
+        j = total.join(f, ["window_start", "window_end"], "left")
     return (j.withColumn(f"fraud_tx{suffix}", F.coalesce(F.col(f"fraud_tx{suffix}"), F.lit(0)).cast("bigint"))
              .withColumn(f"fraud_rate{suffix}",
                          F.round(safe_div(f"fraud_tx{suffix}", f"total_tx{suffix}"), RATE_DECIMALS)))

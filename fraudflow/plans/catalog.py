@@ -953,3 +953,11 @@ def q_summary_view_last2000(spark, sf):
         "window_start", "window_end", "transaction_type", "total_tx_2m", "total_amount_2m",
         "avg_amount_2m", "fraud_tx_2m", "fraud_rate_2m"])
     return last_n(view, 2000, ["window_end", "transaction_type"])
+
+
+@query("stream_fraud_minmax_2m", O.with_ctes(O.ROUTED_CTE, f"""
+SELECT * FROM ({ORACLE['fraud_minmax_2m'].split('fraud_txn AS (SELECT * FROM txn_routed WHERE fraud_source IS NOT NULL)', 1)[1]})
+WHERE window_end <= {_CLOSED_FRAUD}"""))
+def q_stream_fraud_minmax_2m(spark, sf):
+    """Q3 through the stream: closed windows of the fraud rows."""
+    return _stream_insight(spark, sf, ["fraud_minmax_2m"])["fraud_minmax_2m"]

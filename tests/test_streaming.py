@@ -167,3 +167,24 @@ def test_normalise_table_parses_text_times(spark):
                                "_id int, window_end string, timestamp string")
     r = normalise_table(df).first()
     assert r["_id"] == "1" and r["window_end"] == dt.datetime(2024, 1, 1, 0, 2) and r["timestamp"] is None
+
+
+def test_stream_stream_left_join_of_window_aggregates(spark, routed, tmp_path):
+    """JN5: totals LEFT JOIN fraud counts, both streaming aggregates, append
+    mode.  The join emits a window once the global watermark (the minimum
+    of both inputs') has passed it; every emitted row equals the batch row."""
+    from fraudflow.sources.topics import decode, read_topic
+    paths = TopologyPaths(str(tmp_path))
+    write_slices(routed, paths.topic("routed_transactions"), 3)
+    s = W.with_event_time(decode(read_topic(spark, "r", path=f"{paths.topic('routed_transactions')}/*",
+                                            max_per_trigger=1)))
+    total = W.window_counts(s, "total_tx_2m", flatten=False)
+    fraud = W.window_counts(s.where("fraud_source IS NOT NULL"), "fraud_tx_2m", flatten=False)
+    joined = W.fraud_rate_join(total, fraud)
+    q = (joined.writeStream.outputMode("append").format("memory").queryName("jn5")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("jn5")
+    exp, _ = batch_closed(spark, routed)
+    assert got.count() > 0
+    assert got.select(*COLS).exceptAll(exp.select(*COLS)).count() == 0
