@@ -123,13 +123,17 @@ class BloomFilter:
 def build(keys: DataFrame, key: str, n: int | None = None, fpp: float = BLOOM_FPP) -> BloomFilter:
     """AG17: filter over the non-null values of ``key``.
 
-    ``n`` is the capacity (the original uses the distinct count); counted
-    here when not given.  The result is materialised as a checkpoint so
-    every probe reads the same words.
+    ``n`` is the capacity (the original uses the exact distinct count, which
+    the offline job computes anyway).  When not given it is an upper bound
+    from a HyperLogLog sketch — map-side, no shuffle of the keys: the
+    estimate (rsd 1 %) plus 5 standard deviations.  A larger capacity only
+    lowers the false-positive rate.  The words are materialised as a
+    checkpoint so every probe reads the same filter.
     """
     ks = keys.where(F.col(key).isNotNull()).select(key)
     if n is None:
-        n = ks.distinct().count()
+        est = ks.agg(F.approx_count_distinct(key, 0.01).alias("n")).first()["n"] or 0
+        n = int(math.ceil(est * 1.05)) + 16
     num_blocks, k = plan_size(n, fpp)
     kc = F.col(key)
     words = (ks.select(block_of(kc, num_blocks).alias("block"), mask_of(kc, k).alias("mask"))
