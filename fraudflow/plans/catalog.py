@@ -76,7 +76,7 @@ ORACLE["fraud_rate_2m_join"] = ORACLE["fraud_rate_2m"]
 
 @query("summary_total_by_type_2m", O.with_ctes(O.TXN_CTE, f"""
 SELECT transaction_type, CAST(count(*) AS BIGINT) AS total_tx_2m,
-       round(sum(amount), 2) AS total_amount_2m, round(avg(amount), 6) AS avg_amount_2m,
+       round(sum(amount), 2) AS total_amount_2m, {O.avg_money()} AS avg_amount_2m,
        {O.w2m()} AS window_start, {O.w2m()} + INTERVAL '2 minutes' AS window_end
 FROM txn GROUP BY ALL"""))
 def q_summary_total_by_type_2m(spark, sf):
@@ -142,7 +142,7 @@ def q_suspicious_receivers_approx(spark, sf):
 _SUMMARY_2M_SQL = f"""
 tot AS (
   SELECT transaction_type, CAST(count(*) AS BIGINT) AS total_tx_2m,
-         round(sum(amount), 2) AS total_amount_2m, round(avg(amount), 6) AS avg_amount_2m,
+         round(sum(amount), 2) AS total_amount_2m, {O.avg_money()} AS avg_amount_2m,
          {O.w2m()} AS window_start, {O.w2m()} + INTERVAL '2 minutes' AS window_end
   FROM txn GROUP BY ALL),
 fr AS (
@@ -172,7 +172,7 @@ def q_summary_by_type_2m(spark, sf):
 @query("summary_by_type_1d", O.with_ctes(O.BIG_CTE + "," + f"""
 tot AS (
   SELECT transaction_type, CAST(count(*) AS BIGINT) AS total_tx_1d,
-         round(sum(amount), 2) AS total_amount_1d, round(avg(amount), 6) AS avg_amount_1d,
+         round(sum(amount), 2) AS total_amount_1d, {O.avg_money()} AS avg_amount_1d,
          {O.w1d()} AS window_start, {O.w1d()} + INTERVAL '1 day' AS window_end
   FROM txn_big GROUP BY ALL),
 fr AS (
@@ -853,7 +853,7 @@ def q_stream_fraud_rate_2m(spark, sf):
 @query("stream_summary_by_type_2m", O.with_ctes(O.ROUTED_CTE, f"""
 SELECT * FROM (
   SELECT transaction_type, CAST(count(*) AS BIGINT) AS total_tx_2m,
-         round(sum(amount), 2) AS total_amount_2m, round(avg(amount), 6) AS avg_amount_2m,
+         round(sum(amount), 2) AS total_amount_2m, {O.avg_money()} AS avg_amount_2m,
          CAST(count(*) FILTER (WHERE fraud_source IS NOT NULL) AS BIGINT) AS fraud_tx_2m,
          round(count(*) FILTER (WHERE fraud_source IS NOT NULL) / count(*), 6) AS fraud_rate_2m,
          {O.w2m()} AS window_start, {O.w2m()} + INTERVAL '2 minutes' AS window_end

@@ -75,3 +75,11 @@ def w2m(col: str = "event_time") -> str:
 
 def w1d(col: str = "event_time") -> str:
     return f"time_bucket(INTERVAL '1 day', {col}, TIMESTAMP '1970-01-01')"
+
+
+def avg_money(col: str = "amount") -> str:
+    """Exact half-up average to 6 decimals over integer micro-units."""
+    u = f"sum(CAST(round({col} * 1000000) AS BIGINT))"
+    n = f"count({col})"
+    return (f"CASE WHEN {n} > 0 THEN sign({u}) * ((abs({u}) * 2 + {n}) // (2 * {n}))"
+            f" / 1000000.0 END")

@@ -147,3 +147,18 @@ def test_event_time_is_zone_free(spark):
         assert r["back"] == "1999-04-04T02:15:08.000001"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_money_average_is_exact_and_partition_independent(spark):
+    """32 amounts whose exact mean ends in ...5 at the 7th decimal: the
+    result is half-up and the same for any partitioning."""
+    amounts = [48146.51] * 31 + [48146.51 - 0.0001 * 32 + 0.0032 - 0.01]  # odd cent total
+    exact = sum(round(a * 100) for a in amounts)                        # cents
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, i), "t", a)
+                                for i, a in enumerate(amounts)],
+                               "event_time timestamp_ntz, transaction_type string, amount double")
+    outs = {W.summary_total_by_type(df.repartition(n), "1 day").first()["avg_amount_2m"]
+            for n in (1, 3, 7)}
+    assert len(outs) == 1
+    want = (exact * 10000 * 2 + 32) // 64 / 1e6                           # half-up in micro-units
+    assert outs.pop() == want
