@@ -879,8 +879,7 @@ def q_stream_pipeline_routes(spark, sf):
     from ..operators.senders import bad_senders
     from ..session import work_path
     from ..streaming.pipeline import TopologyPaths, replay, start_routing
-    from ..streaming.sinks import read_table
-    from ..sources.topics import decode, read_topic  # noqa: F401
+    from ..sources.topics import decode
     t = _txn(spark, sf)
     bf = bloom.build(bad_senders(t), "sender_account")
     model = trained(spark, sf).model
@@ -890,8 +889,7 @@ def q_stream_pipeline_routes(spark, sf):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    from ..sources.topics import decode as _decode
-    routed = _decode(spark.read.schema("key string, value string")
+    routed = decode(spark.read.schema("key string, value string")
                      .json(f"{paths.topic('routed_transactions')}/*"))
     return routed.groupBy("fraud_source").agg(F.count(F.lit(1)).alias("rows"))
 

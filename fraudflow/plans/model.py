@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from ..functions.expressions import threshold_decision, vector_element
 from ..operators.features import feature_stage
 from ..schema import (CATEGORICAL_COLS, NUMERIC_FEATURE_COLS, OFFLINE_THRESHOLD,
-                      ONLINE_THRESHOLD, RF_PARAMS, SAMPLE_FRACTIONS, SEED,
-                      SPLIT_WEIGHTS, SWEEP_THRESHOLDS, TRANSACTION_COLUMNS)
+                      RF_PARAMS, SAMPLE_FRACTIONS, SEED, SPLIT_WEIGHTS,
+                      SWEEP_THRESHOLDS, TRANSACTION_COLUMNS)
 
 RATE_DECIMALS = 6
 
@@ -216,5 +216,3 @@ def rule_score(df: DataFrame) -> DataFrame:
          + 0.2 * F.col("is_night") + 0.1 * F.col("is_online_channel"))
     return f.withColumn("fraud_probability", F.round(s, 2))
 
-
-__all__ = ["ONLINE_THRESHOLD"]
