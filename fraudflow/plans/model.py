@@ -99,10 +99,16 @@ class Trained:
 
 def train_model(transactions: DataFrame, seed: int = SEED) -> Trained:
     """ML1 + ML2 + ML8: down-sample, split 80/20, fit."""
+    from pyspark import StorageLevel
     sampled = prepare(stratified_sample(transactions, seed=seed))
     train, test = random_split(sampled, seed=seed)
-    train = train.cache()
-    model = build_pipeline().fit(train)
+    # the imputer, five indexers and the forest each read the training set:
+    # keep it for the fit (spilling to disk if needed), then release it
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = build_pipeline().fit(train)
+    finally:
+        train.unpersist()
     return Trained(model, train, test)
 
 

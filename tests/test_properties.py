@@ -194,3 +194,24 @@ def test_exact_quantiles_match_numpy_under_skew(spark):
     for name, arr in (("a", a), ("b", b), ("c", c)):
         for q, p in qs.items():
             assert got[name][q] == pytest.approx(float(np.quantile(arr, p)), abs=1e-9), (name, q)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 5),
+                          st.integers(0, 3)), min_size=0, max_size=40))
+def test_dedupe_keep_last_matches_pandas(spark, rows):
+    def key(t):
+        return tuple((x is None, "" if x is None else str(x)) for x in t)
+    df = spark.createDataFrame(rows, "k string, seq int, v int")
+    got = sorted((tuple(r) for r in dedupe_keep_last(df, ["k"], ["seq"]).collect()), key=key)
+    pdf = pd.DataFrame(rows, columns=["k", "seq", "v"])
+    # last by seq, ties broken by the other columns (v) — deterministic
+    exp = (pdf.sort_values(["seq", "v"]).drop_duplicates("k", keep="last")
+              .astype(object).where(pdf.notna(), None))
+    exp = sorted((tuple(None if (x is None or x != x) else int(x) if not isinstance(x, str) else x
+                        for x in r) for r in exp.itertuples(index=False)), key=key)
+    assert got == exp
