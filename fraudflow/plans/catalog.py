@@ -802,7 +802,7 @@ def q_incremental_read(spark, sf):
 @query("union_append", O.with_ctes(O.BIG_CTE, f"""
 SELECT transaction_id, amount, sender_account FROM txn_big WHERE event_time < TIMESTAMP '{_CUTOFF}'
 UNION ALL BY NAME
-SELECT transaction_id, amount, receiver_account, is_fraud FROM txn_big
+SELECT transaction_id, amount, receiver_account, timestamp FROM txn_big
 WHERE event_time >= TIMESTAMP '{_CUTOFF}'"""))
 def q_union_append(spark, sf):
     from ..operators.serving import union_append
@@ -810,7 +810,7 @@ def q_union_append(spark, sf):
     cut = F.col("event_time") < F.lit(_CUTOFF).cast("timestamp_ntz")
     return union_append(t.where(cut).select("transaction_id", "amount", "sender_account"),
                         t.where(~cut).select("transaction_id", "amount", "receiver_account",
-                                             "is_fraud"))
+                                             "timestamp"))
 
 
 # ---------------------------------------------------------------------------

@@ -74,7 +74,12 @@ if __name__ == "__main__":
 
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     only = sys.argv[1:]
-    spark = get_spark("local[8]")
+    if os.environ.get("BARE"):
+        # a plain session, as an outside checker would build it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = get_spark("local[8]")
     if os.environ.get("SPARK_TZ"):
         spark.conf.set("spark.sql.session.timeZone", os.environ["SPARK_TZ"])
     con = duck(sf)
