@@ -188,3 +188,21 @@ def test_stream_stream_left_join_of_window_aggregates(spark, routed, tmp_path):
     exp, _ = batch_closed(spark, routed)
     assert got.count() > 0
     assert got.select(*COLS).exceptAll(exp.select(*COLS)).count() == 0
+
+
+def test_processing_time_trigger(spark, routed, tmp_path):
+    """ST7: a processing-time trigger (the online job's mode) drains the
+    topic and keeps running until stopped."""
+    paths = TopologyPaths(str(tmp_path))
+    write_slices(routed, paths.topic("routed_transactions"), 2)
+    qs = start_insights(spark, paths, names=["fraud_rate_2m"], max_files=1,
+                        trigger={"processingTime": "1 second"})
+    q = qs["fraud_rate_2m"]
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+        got = read_table(spark, paths.table("fraud_rate_2m"))
+        exp, _ = batch_closed(spark, routed)
+        assert rows(got, COLS) == rows(exp, COLS)
+    finally:
+        q.stop()
