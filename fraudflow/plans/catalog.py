@@ -825,7 +825,9 @@ def _stream_insight(spark, sf, names: list[str]) -> dict:
     from ..streaming.sinks import read_table
     paths = TopologyPaths(work_path(spark, "stream-insights"))
     replay(fx.txn_routed(spark, sf), f"{paths.topic('routed_transactions')}/replay")
-    qs = start_insights(spark, paths, names=names)
+    # state partitions sized to the cluster's cores for a replay
+    qs = start_insights(spark, paths, names=names,
+                        state_partitions=spark.sparkContext.defaultParallelism)
     await_all(qs)
     return {n: read_table(spark, paths.table(n)).drop("_batch", "_row") for n in names}
 

@@ -140,7 +140,8 @@ OUTPUT_MODES = {"suspicious_receivers_2m": "update"}
 
 
 def start_insights(spark: SparkSession, paths: TopologyPaths, names=None, trigger=None,
-                   max_files: int | None = None, modes: dict | None = None, **kw) -> dict:
+                   max_files: int | None = None, modes: dict | None = None,
+                   state_partitions: int | None = None, **kw) -> dict:
     """Start the stage-3 queries reading the routed topic; returns the
     running queries by name."""
     qs = {}
@@ -149,7 +150,8 @@ def start_insights(spark: SparkSession, paths: TopologyPaths, names=None, trigge
         if names and name not in names:
             continue
         qs[name] = start_table_query(df, paths.table(name), paths.checkpoint(name),
-                                     mode=modes.get(name, "append"), trigger=trigger)
+                                     mode=modes.get(name, "append"), trigger=trigger,
+                                     state_partitions=state_partitions)
     return qs
 
 

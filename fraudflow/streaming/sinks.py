@@ -47,12 +47,28 @@ def read_table(spark, path: str, schema: str | None = None) -> DataFrame:
 
 
 def start_table_query(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
-                      trigger: dict | None = None, name: str | None = None, log=None):
+                      trigger: dict | None = None, name: str | None = None, log=None,
+                      state_partitions: int | None = None):
     """Start ``df.writeStream.foreachBatch(table_sink(path))`` with its own
-    checkpoint (offsets, state, watermark survive restarts)."""
+    checkpoint (offsets, state, watermark survive restarts).
+
+    ``state_partitions`` sets the number of state-store partitions of a new
+    query (it is fixed in the checkpoint at the first start; AQE does not
+    resize streaming state).  The session setting is only changed while the
+    query starts — the query copies the configuration then.
+    """
     w = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
            .foreachBatch(table_sink(path, log)))
     if name:
         w = w.queryName(name)
     w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    if not state_partitions:
+        return w.start()
+    conf = df.sparkSession.conf
+    key = "spark.sql.shuffle.partitions"
+    old = conf.get(key)
+    conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        conf.set(key, old)
