@@ -123,6 +123,10 @@ class BloomFilter:
 def build(keys: DataFrame, key: str, n: int | None = None, fpp: float = BLOOM_FPP) -> BloomFilter:
     """AG17: filter over the non-null values of ``key``.
 
+    The keys need not be distinct: ``bit_or`` is idempotent, so repeated
+    keys collapse in the partial (map-side) aggregate — no separate
+    ``distinct`` shuffle.
+
     ``n`` is the capacity (the original uses the exact distinct count, which
     the offline job computes anyway).  When not given it is an upper bound
     from a HyperLogLog sketch — map-side, no shuffle of the keys: the
@@ -145,25 +149,31 @@ def build(keys: DataFrame, key: str, n: int | None = None, fpp: float = BLOOM_FP
 def quality_report(bf: BloomFilter, df: DataFrame, label: str = "is_fraud",
                    key: str = "sender_account") -> DataFrame:
     """ML13: false negatives (must be 0), false positives on clean senders,
-    and how many transactions the filter flags — one row."""
-    from .senders import clean_senders, bad_senders
-    bad = bf.might_contain(bad_senders(df, label, key), key)
-    clean = bf.might_contain(clean_senders(df, label, key), key)
-    tx = bf.might_contain(df.select(key), key)
-    b = bad.agg(F.count(F.lit(1)).alias("bad_senders"),
-                F.count_if(~F.col("bf_hit")).alias("false_negatives"))
-    c = clean.agg(F.count(F.lit(1)).alias("clean_senders"),
-                  F.count_if(F.col("bf_hit")).alias("false_positives"))
-    t = tx.agg(F.count(F.lit(1)).alias("total_tx"),
-               F.count_if(F.col("bf_hit")).alias("tx_flagged"))
-    # three one-row aggregates side by side, stacked then folded
+    and how many transactions the filter flags — one row.
+
+    One aggregate per sender gives both sender sets (bad: a fraud row;
+    clean: non-fraud rows only), one probe tags them, and the transaction
+    count is one more probe over the rows.
+    """
+    per = (df.where(F.col(key).isNotNull()).groupBy(key)
+             .agg(F.count_if(F.col(label)).alias("_f"),
+                  F.count_if(F.col(label) == F.lit(False)).alias("_ok")))
+    tagged = bf.might_contain(per, key)
+    bad, clean = F.col("_f") > 0, (F.col("_f") == 0) & (F.col("_ok") > 0)
+    s = tagged.agg(F.count_if(bad).alias("bad_senders"),
+                   F.count_if(bad & ~F.col("bf_hit")).alias("false_negatives"),
+                   F.count_if(clean).alias("clean_senders"),
+                   F.count_if(clean & F.col("bf_hit")).alias("false_positives"))
+    t = bf.might_contain(df.select(key), key).agg(
+        F.count(F.lit(1)).alias("total_tx"), F.count_if(F.col("bf_hit")).alias("tx_flagged"))
     cols = ["bad_senders", "false_negatives", "clean_senders", "false_positives",
             "total_tx", "tx_flagged"]
 
     def pad(d):
         return d.select(*[(F.col(x) if x in d.columns else F.lit(None)).cast("bigint").alias(x)
                           for x in cols])
-    one = pad(b).unionByName(pad(c)).unionByName(pad(t)).agg(*[F.max(x).alias(x) for x in cols])
+    # two one-row aggregates, stacked then folded (no cross join)
+    one = pad(s).unionByName(pad(t)).agg(*[F.max(x).alias(x) for x in cols])
     return (one.withColumn("fp_rate", F.when(F.col("clean_senders") > 0,
                                              F.col("false_positives") / F.col("clean_senders"))
                                        .otherwise(F.lit(0.0)))

@@ -477,7 +477,8 @@ def _bloom_big(spark, sf):
     from ..operators.senders import bad_senders
     t = fx.txn_big(spark, sf)
     bad = bad_senders(t)
-    return t, bad, bloom.build(bad, "sender_account")
+    # built from the fraud rows directly: repeats collapse in the build aggregate
+    return t, bad, bloom.build(t.where(F.col("is_fraud")), "sender_account")
 
 
 @query("bloom_false_negatives", O.with_ctes(O.BIG_CTE, """

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import bloom
 from ..operators.profile import overall_counts
-from ..operators.senders import bad_senders
 from ..schema import BLOOM_FPP, OFFLINE_THRESHOLD
 from . import model as M
 
@@ -26,8 +25,9 @@ def run_offline(spark: SparkSession, transactions: DataFrame, out: str,
                 fpp: float = BLOOM_FPP, threshold: float = OFFLINE_THRESHOLD) -> dict:
     raw = transactions.persist(StorageLevel.MEMORY_AND_DISK)
     counts = overall_counts(raw).first().asDict()              # AG1, one pass
-    bad = bad_senders(raw)
-    bf = bloom.build(bad, "sender_account", n=counts["distinct_bad_senders"], fpp=fpp)
+    # fraud rows as they are: duplicates collapse inside the build aggregate
+    fraud_senders = raw.where("is_fraud").select("sender_account")
+    bf = bloom.build(fraud_senders, "sender_account", n=counts["distinct_bad_senders"], fpp=fpp)
     bf.save(f"{out}/blacklist_senders")
     trained = M.train_model(raw)
     scored = M.score(trained.model, trained.test, threshold).persist(StorageLevel.MEMORY_AND_DISK)
