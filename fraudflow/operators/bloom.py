@@ -116,7 +116,8 @@ class BloomFilter:
         meta = spark.read.parquet(f"{path}/meta").first()
         if meta["salt"] != SALT:
             raise ValueError(f"filter at {path} was built with another hash salt")
-        return BloomFilter(spark.read.parquet(f"{path}/words"), int(meta["num_blocks"]),
+        nb = int(meta["num_blocks"])
+        return BloomFilter(_keep(spark.read.parquet(f"{path}/words"), nb), nb,
                            int(meta["k"]), int(meta["n"]), float(meta["fpp"]))
 
 
@@ -143,7 +144,17 @@ def build(keys: DataFrame, key: str, n: int | None = None, fpp: float = BLOOM_FP
     words = (ks.select(block_of(kc, num_blocks).alias("block"), mask_of(kc, k).alias("mask"))
                .groupBy("block").agg(F.bit_or("mask").alias("word")))
     words = words.checkpoint(eager=True)
-    return BloomFilter(words, num_blocks, k, int(n), fpp)
+    return BloomFilter(_keep(words, num_blocks), num_blocks, k, int(n), fpp)
+
+
+def _keep(words: DataFrame, num_blocks: int) -> DataFrame:
+    """Hold a broadcastable filter in executor memory: every micro-batch of
+    a stream re-broadcasts it, from memory instead of from files.  Bigger
+    filters stay on the shared storage (they are joined by shuffle)."""
+    if num_blocks <= DEFAULT_MAX_BROADCAST_BLOCKS:
+        from pyspark import StorageLevel
+        words = words.persist(StorageLevel.MEMORY_AND_DISK)
+    return words
 
 
 def quality_report(bf: BloomFilter, df: DataFrame, label: str = "is_fraud",
