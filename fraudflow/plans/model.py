@@ -71,7 +71,7 @@ def hash_split(df: DataFrame, train_fraction: float = SPLIT_WEIGHTS[0], seed: in
 
 # -- pipeline -----------------------------------------------------------------
 
-def build_pipeline(label: str = "is_fraud") -> Pipeline:
+def build_pipeline(label: str = "is_fraud", max_bins: int = 32) -> Pipeline:
     """ML3-ML8: features -> median imputer -> 5 indexers -> assembler -> forest."""
     imputer = Imputer(inputCols=["time_since_last_transaction"],
                       outputCols=["time_since_last_transaction"], strategy="median")
@@ -79,10 +79,19 @@ def build_pipeline(label: str = "is_fraud") -> Pipeline:
                 for c in CATEGORICAL_COLS]
     assembler = VectorAssembler(inputCols=NUMERIC_FEATURE_COLS + [f"{c}_idx" for c in CATEGORICAL_COLS],
                                 outputCol="features", handleInvalid="skip")
-    rf = RandomForestClassifier(labelCol=label, featuresCol="features", **RF_PARAMS)
+    rf = RandomForestClassifier(labelCol=label, featuresCol="features", maxBins=max_bins,
+                                **RF_PARAMS)
     return Pipeline(stages=[feature_stage(), imputer, *indexers, assembler, rf])
 
 
+def required_bins(train: DataFrame, floor: int = 32) -> int:
+    """The forest treats indexed columns as categorical and needs
+    ``maxBins >= categories``; with ``handleInvalid='keep'`` a column has
+    (distinct labels + 1) categories.  One aggregate over the training set."""
+    r = train.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL_COLS]).first()
+    return max(floor, max(int(r[c] or 0) for c in CATEGORICAL_COLS) + 1)
+
+
 def prepare(df: DataFrame) -> DataFrame:
     """Training input: raw transaction columns, no fraud_type, int label."""
     cols = [c for c in TRANSACTION_COLUMNS if c in df.columns and c != "fraud_type"]
@@ -106,7 +115,7 @@ def train_model(transactions: DataFrame, seed: int = SEED) -> Trained:
     # keep it for the fit (spilling to disk if needed), then release it
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = build_pipeline().fit(train)
+        model = build_pipeline(max_bins=required_bins(train)).fit(train)
     finally:
         train.unpersist()
     return Trained(model, train, test)

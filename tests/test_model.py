@@ -75,3 +75,12 @@ def test_model_scores_a_stream(spark, trained, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.table("scored_stream").count() == 300
+
+
+def test_many_categories_train(spark):
+    """More distinct locations than the forest's default 32 bins."""
+    t = (fx.txn(spark, SF_MID).select(*TRANSACTION_COLUMNS)
+         .withColumn("location", F.concat(F.lit("L"), (F.substring("transaction_id", 2, 9)
+                                                      .cast("int") % 40).cast("string"))))
+    tr = M.train_model(t)
+    assert M.score(tr.model, tr.test).count() > 0
