@@ -130,6 +130,10 @@ def insights(routed: DataFrame, duration: str = WINDOW_2M, watermark: str = WATE
         "fraud_alerts_realtime": (fraud_alerts(fraud.dropDuplicatesWithinWatermark(["transaction_id"]))
                                   if dedupe_alerts else fraud_alerts(fraud)),
         "summary_by_type_2m": W.summary_by_type(s, is_fraud, duration),
+        # the two-table form of Q6 (totals from all traffic, fraud counts from
+        # the fraud rows), merged by the serving layer (serving.merge_summary)
+        "summary_total_by_type_2m": W.summary_total_by_type(s, duration),
+        "summary_fraud_by_type_2m": W.summary_fraud_by_type(fraud, duration),
     }
 
 

@@ -234,3 +234,22 @@ def test_serving_refresh_over_sink_table(spark, routed, tmp_path):
     assert cursor3 == cursor2 and store3.count() == first   # nothing new
     small, _ = refresh_store(None, table, None, ["transaction_id"], 100)
     assert small.count() == min(100, first)
+
+
+def test_two_table_summary_merged_by_serving(spark, routed, tmp_path):
+    """Q6 as two stream outputs merged in serving (JN4) equals the single
+    aggregate on the windows both sides have closed."""
+    from fraudflow.operators.serving import latest_per_key, merge_summary
+    paths = TopologyPaths(str(tmp_path))
+    write_slices(routed, paths.topic("routed_transactions"), 2)
+    names = ["summary_total_by_type_2m", "summary_fraud_by_type_2m", "summary_by_type_2m"]
+    await_all(start_insights(spark, paths, names=names, max_files=1))
+    keys = ["window_start", "window_end", "transaction_type"]
+    tot, fr, one = (latest_per_key(read_table(spark, paths.table(n)), keys).drop("_batch", "_row")
+                    for n in names)
+    merged = merge_summary(tot, fr)
+    fraud_closed = fr.agg(F.max("window_end")).first()[0]
+    cols = keys + ["total_tx_2m", "total_amount_2m", "avg_amount_2m", "fraud_tx_2m", "fraud_rate_2m"]
+    a = rows(merged.where(F.col("window_end") <= F.lit(fraud_closed)), cols)
+    b = rows(one.where(F.col("window_end") <= F.lit(fraud_closed)), cols)
+    assert a == b and len(a) > 0
