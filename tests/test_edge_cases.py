@@ -162,3 +162,13 @@ def test_money_average_is_exact_and_partition_independent(spark):
     assert len(outs) == 1
     want = (exact * 10000 * 2 + 32) // 64 / 1e6                           # half-up in micro-units
     assert outs.pop() == want
+
+
+def test_kpi_alert_count_whole_or_retained(spark):
+    alerts = spark.range(7).selectExpr("CAST(id AS STRING) AS transaction_id")
+    loss = spark.createDataFrame([], "fraud_count_2m bigint, fraud_loss_2m double, "
+                                     "window_start timestamp_ntz, window_end timestamp_ntz")
+    summary = spark.createDataFrame([], "window_start timestamp_ntz, window_end timestamp_ntz, "
+                                        "transaction_type string, fraud_rate_2m double")
+    assert S.kpis(alerts, loss, summary).first()["alerts_count"] == 7
+    assert S.kpis(alerts, loss, summary, alerts_retained=5).first()["alerts_count"] == 5
