@@ -22,12 +22,14 @@ from .pipeline import TopologyPaths, start_insights, start_routing
 
 def run_online(spark: SparkSession, raw_path: str, artefacts: str, out: str,
                available_now: bool = False, max_files: int | None = None,
-               trigger_every: str = "2 minutes", timeout: float | None = None):
+               trigger_every: str = "2 minutes", timeout: float | None = None,
+               bootstrap: str | None = None):
     bf = BloomFilter.load(spark, f"{artefacts}/blacklist_senders")
     model = load_model(f"{artefacts}/fraud_model")
     paths = TopologyPaths(out)
     trig = {"availableNow": True} if available_now else {"processingTime": trigger_every}
-    routing = start_routing(spark, raw_path, bf, model, paths, trigger=trig, max_files=max_files)
+    routing = start_routing(spark, raw_path, bf, model, paths, trigger=trig, max_files=max_files,
+                            bootstrap=bootstrap)
     if available_now:
         routing.awaitTermination()
     insights = start_insights(spark, paths, trigger=trig, max_files=max_files)
@@ -47,10 +49,13 @@ def main(argv=None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--max-files", type=int, default=None)
+    p.add_argument("--bootstrap", default=None,
+                   help="bus brokers: read --raw as that topic name instead of a folder")
     p.add_argument("--master", default=None)
     a = p.parse_args(argv)
     spark = get_spark(a.master, app="fraudflow-online")
-    run_online(spark, a.raw, a.artefacts, a.out, a.available_now, a.max_files)
+    run_online(spark, a.raw, a.artefacts, a.out, a.available_now, a.max_files,
+               bootstrap=a.bootstrap)
 
 
 if __name__ == "__main__":

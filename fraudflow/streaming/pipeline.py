@@ -167,9 +167,12 @@ def _read_routed(spark, paths: TopologyPaths, max_files):
 
 def start_routing(spark: SparkSession, raw_path: str, bf, model, paths: TopologyPaths,
                   trigger=None, max_files: int | None = None,
-                  threshold: float = ONLINE_THRESHOLD):
-    """Start stage 1+2 over a raw topic folder (file topic) or bus topic."""
-    env = read_topic(spark, "transactions_raw", path=raw_path, max_per_trigger=max_files)
+                  threshold: float = ONLINE_THRESHOLD, bootstrap: str | None = None,
+                  raw_topic: str = "transactions_raw"):
+    """Start stage 1+2 over the raw stream: a file topic folder, or the bus
+    topic ``raw_topic`` when ``bootstrap`` names the brokers."""
+    env = read_topic(spark, raw_topic, path=raw_path, bootstrap=bootstrap,
+                     max_per_trigger=max_files)
     raw = decode(env)
     return (raw.writeStream.option("checkpointLocation", paths.checkpoint("routing"))
                .foreachBatch(route_batch(bf, model, paths, threshold))
