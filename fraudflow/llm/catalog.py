@@ -33,7 +33,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         work_path(spark, "token-cache"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_token_counts)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 20-word windows that start earlier."""
+    from .substrings import drop_repeats
+
+    out = drop_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op3_packing, op4_token_counts, op10_substring_dedup)}
 #: DuckDB twins, where SQL can express a query
 ORACLE: dict[str, str] = {}
 
