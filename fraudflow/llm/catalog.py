@@ -33,6 +33,16 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         work_path(spark, "token-cache"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words and benchmark items in shared windows of ten words."""
+    from .positional_index import decontaminate
+
+    out = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    items = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(items, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of 20-word windows that start earlier."""
     from .substrings import drop_repeats
@@ -41,7 +51,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_token_counts, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op3_packing, op4_token_counts, op5_decontamination, op10_substring_dedup)}
 #: DuckDB twins, where SQL can express a query
 ORACLE: dict[str, str] = {}
 
