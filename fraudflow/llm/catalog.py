@@ -43,6 +43,21 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(items, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its WARC record says, after a round trip through Zstandard archives."""
+    from .warc import read_archives, with_originals, write_archives
+
+    path = work_path(spark, "warc")
+    # content is compressed already
+    write_archives(with_originals(_table(spark, sf_dir, "pages"))).write.option("compression", "uncompressed").parquet(path)
+    out = read_archives(spark.read.parquet(path), payload=False)
+    number = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("long")
+    bad = F.raise_error(F.concat(F.lit("invalid record in "), "archive", F.lit(": "), "error"))
+    return out.select(number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
+                      F.when(F.col("error").isNotNull(), bad).otherwise(F.col("record_type")).alias("record_type"),
+                      number(F.col("refers_to")).alias("refers_to"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of 20-word windows that start earlier."""
     from .substrings import drop_repeats
@@ -51,7 +66,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_token_counts, op5_decontamination, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op3_packing, op4_token_counts, op5_decontamination, op6_warc, op10_substring_dedup)}
 #: DuckDB twins, where SQL can express a query
 ORACLE: dict[str, str] = {}
 

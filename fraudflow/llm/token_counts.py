@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import stored
 from .tokenize import encoder, version
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
@@ -54,5 +55,5 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, id_col: str =
     found = texts.select("digest", "text").mapInArrow(encode, "digest binary, n_tokens long")
     (found.select("digest", F.lit(tokenizer).alias("tokenizer"), "n_tokens")
      .write.mode("append").parquet(cache))
-    return (keys.join(read_cache(spark, cache, tokenizer), "digest")
+    return (keys.join(stored(read_cache(spark, cache, tokenizer), "token-counts"), "digest")
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
