@@ -58,6 +58,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                       number(F.col("refers_to")).alias("refers_to"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component under links of 0.75 or more on five-word shingles."""
+    from .jaccard import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of 20-word windows that start earlier."""
     from .substrings import drop_repeats
@@ -66,7 +73,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_token_counts, op5_decontamination, op6_warc, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op3_packing, op4_token_counts, op5_decontamination, op6_warc, op9_ngram_jaccard_join, op10_substring_dedup)}
 #: DuckDB twins, where SQL can express a query
 ORACLE: dict[str, str] = {}
 
