@@ -27,7 +27,7 @@ from .words import (SPACES, U64, Powers, grams, mix, multipliers, pack, pack_sor
 
 LEVELS = (1, 2, 3, 5, 10)  # words of a prefix, and the whole suffix after these
 SEED = 20
-SEGMENT_WORDS = 2_000_000  # words that a task gathers before it sends suffixes on
+SEGMENT_WORDS = 750_000  # words that a task gathers before it sends suffixes on
 NO_ID = -(1 << 63)  # stands for a null id, before all others
 PARTS = "segment long, kind int, bucket int, codes binary, rows binary, starts binary, own binary, ids binary, keys array<long>"
 

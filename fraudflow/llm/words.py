@@ -70,7 +70,7 @@ LOWER[65:91] += 32
 NON_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
-def slices(column, max_bytes: int = 4 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(column, max_bytes: int = 2 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets) for runs of rows of about max_bytes.
 
     A null text counts as empty; a text longer than max_bytes is a run of its own.
