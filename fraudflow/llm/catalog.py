@@ -12,6 +12,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, learned from the labels that aren't held out."""
+    from .toxicity import fit, held_out, score_documents
+
+    docs = _table(spark, sf_dir, "documents")
+    model = fit(docs, _table(spark, sf_dir, "labels").where(~held_out()))
+    return score_documents(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "terms", "neighbours")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 2048 tokens."""
     import public_tokenizers
@@ -73,7 +83,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_token_counts, op5_decontamination, op6_warc, op9_ngram_jaccard_join, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_packing, op4_token_counts, op5_decontamination, op6_warc, op9_ngram_jaccard_join, op10_substring_dedup)}
 #: DuckDB twins, where SQL can express a query
 ORACLE: dict[str, str] = {}
 
