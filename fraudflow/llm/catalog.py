@@ -22,6 +22,26 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "terms", "neighbours")
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is read back of every conversation from its formatted windows."""
+    from .chat import chat_windows, read_loss, read_turns
+
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
+                                  "conv_id long, turn long, role string, text string")
+    windows = chat_windows(turns.unionByName(extra)).select(
+        "conv_id", "window", F.length("text").alias("chars"), read_turns(F.col("text")).alias("turns"), "n_repeated",
+        F.array_join(read_loss(F.col("text"), F.col("loss_spans")), "").alias("loss"))
+    new = F.slice("turns", (F.col("n_repeated") + 1).cast("int"), F.greatest(F.lit(0), F.size("turns") - F.col("n_repeated").cast("int")))
+    windows = windows.select("conv_id", "window", "chars", "loss", F.size(new).alias("n"), F.array_join(
+        F.transform(new, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("said"))
+    both = windows.groupBy("conv_id").agg(F.sum("n").alias("n_turns"), F.sum("chars").alias("formatted_chars"),
+                                          F.array_sort(F.collect_list(F.struct("window", "said", "loss"))).alias("w"))
+    loss = F.array_join(F.transform("w", lambda w: w["loss"]), "")
+    return both.select("conv_id", "n_turns", F.sha2(F.array_join(F.transform("w", lambda w: w["said"]), ""), 256).alias("turns_sha256"),
+                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 2048 tokens."""
     import public_tokenizers
@@ -83,7 +103,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_packing, op4_token_counts, op5_decontamination, op6_warc, op9_ngram_jaccard_join, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_formatting, op3_packing, op4_token_counts, op5_decontamination, op6_warc, op9_ngram_jaccard_join, op10_substring_dedup)}
 #: DuckDB twins, where SQL can express a query
 ORACLE: dict[str, str] = {}
 
