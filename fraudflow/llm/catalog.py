@@ -88,6 +88,18 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                       number(F.col("refers_to")).alias("refers_to"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, the base rules and the learned list's verdict."""
+    from .quality import learn_rules, text_statistics
+    from .store import stored
+
+    stats = stored(text_statistics(_table(spark, sf_dir, "documents")), "statistics")
+    rules = learn_rules(stats, _table(spark, sf_dir, "labels"))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+                        (~failed & rules.verdict()).alias("kept"), rules.rule_number().alias("rule"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component under links of 0.75 or more on five-word shingles."""
     from .jaccard import near_duplicates
@@ -103,7 +115,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_formatting, op3_packing, op4_token_counts, op5_decontamination, op6_warc, op9_ngram_jaccard_join, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_formatting, op3_packing, op4_token_counts, op5_decontamination, op6_warc, op8_quality_rules, op9_ngram_jaccard_join, op10_substring_dedup)}
 #: DuckDB twins, where SQL can express a query
 ORACLE: dict[str, str] = {}
 
