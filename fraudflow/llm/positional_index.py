@@ -1,8 +1,8 @@
 """Benchmark decontamination over a positional inverted index (dealt operator 5).
 
 ``build_index`` stores the postings of every token of the training texts, a
-row for each term of a segment (a run of documents of one task): document
-rows and word places.  A segment has all postings of its documents, so lists
+row for each term of a segment (a run of documents of one task): its places on
+the segment's line of words.  A segment has all postings of its documents, so lists
 are intersected without moving them between segments.
 
 ``search`` takes benchmark items in blocks of bounded size.  The frequencies
@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from .words import LOWER, NON_ALNUM, pack, pack_sorted, slices, spans, unpack, unpack_sorted
+from .words import LOWER, NON_ALNUM, Powers, slices, span_hashes, spans
 
-INDEX = "segment long, term string, n long, rows binary, places binary, ids array<long>, sizes array<long>"
+INDEX = "segment long, term string, n long, places binary, ids array<long>, sizes array<long>"
 MATCHES = "segment long, row int, doc_id long, n_words long, spans array<struct<item_id:long,start:long,end:long,exact:boolean>>"
-SEGMENT_WORDS = 1_000_000
+SEGMENT_WORDS = 1_500_000  # a segment's line of words must stay under 2^32
 BLOCK_WORDS = 1_000_000  # words of benchmark items that one search takes at once
 
 
@@ -33,10 +33,11 @@ def build_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     """Write the positional index of ``docs`` to ``path`` (Parquet on shared storage).
 
     Words: ASCII letters lower-cased, runs of ASCII letters, digits and
-    non-ASCII characters.  A term's row holds the document rows (ascending)
-    and word places within them as packed integers; the row without a term
-    holds the segment's doc ids and word counts.  A null text has no words;
-    rows with equal or null ids stay apart.
+    non-ASCII characters.  A segment's texts stand on one line of words; a
+    term's row holds its places on that line (32-bit, ascending), the row
+    without a term the segment's doc ids and word counts, which give each
+    text's place.  A null text has no words; rows with equal or null ids stay
+    apart.  A run of documents ends a segment at about ``segment_words`` words.
     """
     def run(batches):
         import pyarrow as pa
@@ -44,41 +45,42 @@ def build_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
 
         def flush():
             segment = (TaskContext.get().partitionId() << 32) + number
-            code = np.concatenate(codes)
-            size = np.concatenate(sizes)
-            row = np.repeat(np.arange(len(size)), size)
-            place = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
-            order = np.argsort(code, kind="stable")
-            edges = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(terms)))])
-            row, place = row[order], place[order]
-            names = list(terms)
-            for at in range(0, len(names), 20_000):
-                part = names[at: at + 20_000]
-                e = edges[at: at + len(part) + 1].tolist()
-                yield pa.record_batch([
-                    pa.array(np.full(len(part), segment)), pa.array([t.decode() for t in part], pa.string()),
-                    pa.array(np.diff(e)), pa.array([pack_sorted(row[a:b]) for a, b in zip(e, e[1:])], pa.binary()),
-                    pa.array([pack(place[a:b]) for a, b in zip(e, e[1:])], pa.binary()),
-                    pa.nulls(len(part), pa.list_(pa.int64())), pa.nulls(len(part), pa.list_(pa.int64()))], names=fields)
-            yield pa.record_batch([
-                pa.array([segment]), pa.array([None], pa.string()), pa.array([len(code)]), pa.array([None], pa.binary()),
-                pa.array([None], pa.binary()), pa.array([ids], pa.list_(pa.int64())), pa.array([size], pa.list_(pa.int64()))], names=fields)
-
-        number, total, terms, codes, sizes, ids = 0, 0, {}, [], [], []
+            code, s, e = np.concatenate(codes), np.concatenate(starts), np.concatenate(ends)
+            line = np.argsort(code, kind="stable")
+            c = code[line]
+            head = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, np.int64)
+            places = line.astype("<u4")
+            raw = np.concatenate(texts)
+            edges = np.append(head, len(c))
+            for at in range(0, len(head), 50_000):
+                k = edges[at: at + 50_001]
+                x, y = s[line[k[:-1]]], e[line[k[:-1]]]
+                size = np.cumsum(np.concatenate([[0], y - x]))
+                data = raw[np.repeat(x - size[:-1], y - x) + np.arange(size[-1])]
+                n = len(k) - 1
+                term = pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(size.astype(np.int32)), pa.py_buffer(data)])
+                where = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(((k - k[0]) * 4).astype(np.int32)), pa.py_buffer(places[k[0]: k[-1]])])
+                yield pa.record_batch([pa.array(np.full(n, segment)), term, pa.array(np.diff(k)), where,
+                                       pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64()))], names=fields)
+            yield pa.record_batch([pa.array([segment]), pa.array([None], pa.string()), pa.array([len(c)]), pa.array([None], pa.binary()),
+                                   pa.array([ids], pa.list_(pa.int64())), pa.array([np.concatenate(sizes)], pa.list_(pa.int64()))], names=fields)
+
+        powers, number, total, size, ids, codes, starts, ends, texts, sizes = Powers(), 0, 0, 0, [], [], [], [], [], []
         for b in batches:
             doc = b.column("doc_id").to_pylist()
-            for first_row, buf, off in slices(b.column("text")):
+            for row, buf, off in slices(b.column("text")):
                 low = LOWER[buf]
                 s, e, first = spans(low, off, NON_ALNUM)
-                raw = low.tobytes()
-                words = [raw[x:y] for x, y in zip(s.tolist(), e.tolist())]
-                codes.append(np.fromiter((terms.setdefault(w, len(terms)) for w in words), np.int32, len(words)))
+                codes.append(span_hashes(low, s, e, powers))
+                starts.append(s + size)
+                ends.append(e + size)
+                texts.append(low)
                 sizes.append(np.diff(first))
-                ids += doc[first_row: first_row + len(off) - 1]
-                total += len(words)
+                ids += doc[row: row + len(off) - 1]
+                total, size = total + len(s), size + len(low)
                 if total >= segment_words:
                     yield from flush()
-                    number, total, terms, codes, sizes, ids = number + 1, 0, {}, [], [], []
+                    number, total, size, ids, codes, starts, ends, texts, sizes = number + 1, 0, 0, [], [], [], [], [], []
         if ids:
             yield from flush()
 
@@ -117,11 +119,11 @@ def _windows(block, window: int, frequency: dict[str, int]):
     return out
 
 
-def _near(sorted_starts: np.ndarray, starts: np.ndarray, slop: int) -> np.ndarray:
-    """Which of ``starts`` have a value of ``sorted_starts`` within ``slop``."""
-    at = np.searchsorted(sorted_starts, starts - slop)
-    ok = at < len(sorted_starts)
-    ok[ok] = sorted_starts[at[ok]] <= starts[ok] + slop
+def _near(places: np.ndarray, want: np.ndarray, slop: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Which of ``want`` have one of the ascending ``places`` within ``slop``, from low on and before high."""
+    at = np.searchsorted(places, np.maximum(want - slop, low))
+    ok = at < len(places)
+    ok[ok] = places[at[ok]] <= np.minimum(want + slop, high - 1)[ok]
     return ok
 
 
@@ -151,7 +153,7 @@ def _search_block(spark: SparkSession, index: DataFrame, block, window: int, slo
     rare = sorted({w[order[0]] for w, (_, order) in windows.items()})
     hit = postings.join(F.broadcast(spark.createDataFrame([(t,) for t in rare], "term string")), "term", "left_semi")
     segments = hit.select("segment").distinct()
-    own = postings.select("segment", "term", "rows", "places", "ids", "sizes").join(segments, "segment", "left_semi")
+    own = postings.select("segment", "term", "places", "ids", "sizes").join(segments, "segment", "left_semi")
 
     def intersect(group):
         import pyarrow as pa
@@ -161,37 +163,34 @@ def _search_block(spark: SparkSession, index: DataFrame, block, window: int, slo
             if p["term"] is None:
                 ids, sizes = p["ids"], np.array(p["sizes"], np.int64)
             else:
-                lists[p["term"]] = (p["rows"], p["places"])
-        gap = 2 * window + 2 * slop
-        base = np.cumsum(sizes + gap) - sizes  # so far apart that no match crosses documents
+                lists[p["term"]] = p["places"]
+        ends = np.cumsum(sizes)
+        base = ends - sizes
         ready = {}
 
-        def starts(t):  # a term's places on one line through all documents
+        def places(t):
             if t not in ready:
-                r, p = lists[t]
-                ready[t] = base[unpack_sorted(r).astype(np.int64)] + unpack(p).astype(np.int64)
+                ready[t] = np.frombuffer(lists[t], "<u4").astype(np.int64)
             return ready[t]
 
         found = []
         for w, items_, order in spark_windows.value:
             if any(t not in lists for t in w):
                 continue
-            at = starts(w[order[0]]) - order[0]
+            at = places(w[order[0]])
+            row = np.searchsorted(ends, at, "right")  # the text that the rarest word stands in
+            low, high, at = base[row], ends[row], at - order[0]
             exact = np.ones(len(at), bool)
             for k in order[1:]:
-                ok = _near(starts(w[k]), at + k, slop)
-                at, exact = at[ok], exact[ok]
+                ok = _near(places(w[k]), at + k, slop, low, high)
+                at, exact, row, low, high = (x[ok] for x in (at, exact, row, low, high))
                 if not len(at):
                     break
                 if slop:
-                    exact &= _near(starts(w[k]), at + k, 0)
-            if len(at):
-                row = np.clip(np.searchsorted(base, at, "right") - 1, 0, None)
-                # a start may lie before its document when words may stand apart
-                row = np.where(at > base[row] + sizes[row] + window, np.minimum(row + 1, len(base) - 1), row)
-                begin = at - base[row]
-                found += [(int(r), i, max(0, int(b)), int(min(b + len(w), sizes[r])), bool(x))
-                          for r, b, x in zip(row, begin, exact) for i in items_]
+                    exact &= _near(places(w[k]), at + k, 0, low, high)
+            begin = at - low
+            found += [(int(r), i, max(0, int(b)), int(min(b + len(w), sizes[r])), bool(x))
+                      for r, b, x in zip(row, begin, exact) for i in items_]
         found.sort()
         by: dict[int, list] = {}
         for r, i, b, e, x in found:
@@ -205,7 +204,7 @@ def _search_block(spark: SparkSession, index: DataFrame, block, window: int, slo
     import pyarrow as pa
 
     span_type = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("exact", pa.bool_())]))
-    documents = index.where("term IS NULL").select("segment", "term", "rows", "places", "ids", "sizes").join(segments, "segment", "left_semi")
+    documents = index.where("term IS NULL").select("segment", "term", "places", "ids", "sizes").join(segments, "segment", "left_semi")
     return own.unionByName(documents).groupBy("segment").applyInArrow(intersect, MATCHES)
 
 
