@@ -88,6 +88,16 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                       number(F.col("refers_to")).alias("refers_to"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The confirmed licence families of every document, and what the classifier found."""
+    from .licenses import corpus_paragraphs, scan_licenses, train
+
+    docs = _table(spark, sf_dir, "documents")
+    out = scan_licenses(docs, train(corpus_paragraphs(docs)))
+    families = F.array_sort(F.array_distinct(F.transform(F.filter("found", lambda x: x["confirmed"]), lambda x: x["family"])))
+    return out.select("doc_id", "n_lines", F.size("found").cast("long").alias("n_found"), F.array_join(families, ",").alias("licenses"), "found")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, the base rules and the learned list's verdict."""
     from .quality import learn_rules, text_statistics
@@ -115,7 +125,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_formatting, op3_packing, op4_token_counts, op5_decontamination, op6_warc, op8_quality_rules, op9_ngram_jaccard_join, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_formatting, op3_packing, op4_token_counts, op5_decontamination, op6_warc, op7_license_scan, op8_quality_rules, op9_ngram_jaccard_join, op10_substring_dedup)}
 #: DuckDB twins, where SQL can express a query
 ORACLE: dict[str, str] = {}
 

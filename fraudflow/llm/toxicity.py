@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from .store import stored
 from .words import LOWER, NON_ALNUM, U64, Powers, mix, slices, span_hashes, spans
@@ -247,9 +248,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     return m
 
 
-def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", k: int = NEIGHBOURS) -> DataFrame:
+def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", k: int = NEIGHBOURS,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, score, terms, neighbours (doc_id, cosine, toxic) for every row of ``docs``.
 
+    ``carry`` names columns of ``docs`` to give instead of doc_id.
+
     Every whole text is scored; a null or empty one, like any without the
     model's terms, gets the share of toxic examples among such texts.
     """
@@ -259,7 +263,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
         powers, known, flags = Powers(), {}, model.flags()
         near_type = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
         for b in batches:
-            for row, buf, off in slices(b.column("text")):
+            for row, buf, off in slices(b.column("_text")):
                 n = len(off) - 1
                 r, term, count = model.vectors(buf, off, powers, flags)
                 edges = np.searchsorted(r, np.arange(n + 1))
@@ -274,11 +278,15 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
                         known[key] = (model.score(model.vote(ids, cosine)), [model.terms[j] for j in term[x]],
                                       [{"doc_id": model.ids[j], "cosine": float(c), "toxic": int(model.toxic[j])} for j, c in zip(ids, cosine)])
                     scores[i], terms[i], near[i] = known[key]
-                yield pa.record_batch([b.column("doc_id").slice(row, n), pa.array(scores, pa.float64()), pa.array(terms, pa.list_(pa.string())), pa.array(near, near_type)],
-                                      names=["doc_id", "score", "terms", "neighbours"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double, terms array<string>, neighbours array<struct<doc_id:long,cosine:double,toxic:int>>")
+                yield pa.record_batch([*(b.column(i).slice(row, n) for i in range(kept)), pa.array(scores, pa.float64()), pa.array(terms, pa.list_(pa.string())), pa.array(near, near_type)],
+                                      names=names)
+
+    first = docs.select(*carry) if carry else docs.select(F.col(id_col).cast("long").alias("doc_id"))
+    names, kept = [*first.columns, "score", "terms", "neighbours"], len(first.columns)
+    rows = docs.select(*(carry or [F.col(id_col).cast("long").alias("doc_id")]), F.col(text_col).cast("string").alias("_text"))
+    schema = StructType([*first.schema, StructField("score", DoubleType()), StructField("terms", ArrayType(StringType())),
+                         StructField("neighbours", ArrayType(StructType().add("doc_id", LongType()).add("cosine", DoubleType()).add("toxic", IntegerType())))])
+    return rows.mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id"):
