@@ -50,37 +50,25 @@ def format_event_time(c) -> Column:
                     F.rpad(F.substring(s, 21, 6), 6, "0"))
 
 
-def flag(cond: Column) -> Column:
-    """CASE WHEN cond THEN 1 ELSE 0 END: null condition -> 0."""
-    return F.when(cond, F.lit(1)).otherwise(F.lit(0))
+def _listed(values) -> str:
+    return ", ".join(repr(v) for v in values)
 
 
-def hour_of_day(t: Column) -> Column:            # FN2
-    return F.hour(t)
+#: FN3-FN8: what each flag asks of a transaction with an ``event_time``
+FLAGS = {
+    "is_night": "hour(event_time) BETWEEN {} AND {}".format(*NIGHT_HOURS),
+    "is_weekend": f"dayofweek(event_time) IN ({_listed(WEEKEND_DAYS)})",
+    "is_online_channel": f"payment_channel = {ONLINE_CHANNEL!r}",
+    "high_risk_merchant": f"merchant_category IN ({_listed(HIGH_RISK_MERCHANTS)})",
+    "is_large_amount": f"amount > {LARGE_AMOUNT}",
+    "sender_equals_receiver": "sender_account = receiver_account",
+}
+HOUR = ("hour_of_day", "hour(event_time)")  # FN2
 
 
-def is_night(t: Column) -> Column:               # FN3
-    return flag(F.hour(t).between(*NIGHT_HOURS))
-
-
-def is_weekend(t: Column) -> Column:             # FN4
-    return flag(F.dayofweek(t).isin(*WEEKEND_DAYS))
-
-
-def is_online_channel(c="payment_channel") -> Column:   # FN5
-    return flag(_c(c) == F.lit(ONLINE_CHANNEL))
-
-
-def high_risk_merchant(c="merchant_category") -> Column:  # FN6
-    return flag(_c(c).isin(*HIGH_RISK_MERCHANTS))
-
-
-def is_large_amount(c="amount") -> Column:      # FN7 (strict >)
-    return flag(_c(c) > F.lit(LARGE_AMOUNT))
-
-
-def sender_equals_receiver(s="sender_account", r="receiver_account") -> Column:  # FN8
-    return flag(_c(s) == _c(r))
+def flag_sql(name: str) -> str:
+    """A flag as 1 or 0, an unknown answer counting as 0."""
+    return f"int(coalesce({FLAGS[name]}, false)) AS {name}"
 
 
 def bool_to_int(cond: Column) -> Column:

@@ -20,6 +20,7 @@ inserted); false negatives cannot happen; a null key never matches.
 
 from __future__ import annotations
 
+import logging
 import math
 from dataclasses import dataclass
 
@@ -31,6 +32,7 @@ from ..schema import BLOOM_FPP
 BLOCK_BITS = 64
 SALT = "fraudflow-bloom-v1"
 DEFAULT_MAX_BROADCAST_BLOCKS = 4 << 20     # 4 Mi words = 32 MiB of filter
+log = logging.getLogger(__name__)
 
 
 def _fpr(bits_per_key: float, k: int) -> float:
@@ -89,19 +91,33 @@ class BloomFilter:
     # -- probe -------------------------------------------------------------
     def might_contain(self, df: DataFrame, key: str, out: str = "bf_hit",
                       max_broadcast_blocks: int = DEFAULT_MAX_BROADCAST_BLOCKS) -> DataFrame:
-        """JN3 / UDF1: add boolean ``out``; null key -> false."""
+        """JN3 / UDF1: add boolean ``out``; null key -> false.
+
+        The words are broadcast up to ``max_broadcast_blocks`` (as rows of a
+        hash table about 64 bytes each, 256 MiB at the default), else shuffled
+        to; the answer is the same.  A null key has no block: in a shuffle it
+        is dealt out by the whole row's hash, and meets nothing.
+        """
         kc = F.col(key)
-        probe = (df.withColumn("_bf_block", block_of(kc, self.num_blocks))
-                   .withColumn("_bf_mask", mask_of(kc, self.k)))
         words = self.words.select(F.col("block").alias("_bf_b"), F.col("word").alias("_bf_w"))
+        block = block_of(kc, self.num_blocks)
         if self.num_blocks <= max_broadcast_blocks:
             words = F.broadcast(words)
+        else:
+            log.info("Bloom filter of %d blocks: probed by a shuffle", self.num_blocks)
+            # negative numbers are no blocks
+            block = F.coalesce(block, -1 - F.pmod(F.xxhash64(*df.columns), F.lit(1 << 31)))
+        probe = df.withColumn("_bf_block", block).withColumn("_bf_mask", mask_of(kc, self.k))
         j = probe.join(words, F.col("_bf_block") == F.col("_bf_b"), "left")
         hit = (kc.isNotNull() &
                (F.coalesce(F.col("_bf_w"), F.lit(0).cast("bigint")).bitwiseAND(F.col("_bf_mask"))
                 == F.col("_bf_mask")))
         return j.withColumn(out, hit).drop("_bf_block", "_bf_mask", "_bf_b", "_bf_w")
 
+    def release(self) -> None:
+        """Let go of the words held in memory; later probes read them again."""
+        self.words.unpersist()
+
     # -- persistence (SNK4) --------------------------------------------------
     def save(self, path: str) -> None:
         spark = self.words.sparkSession

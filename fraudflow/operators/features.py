@@ -1,11 +1,10 @@
 """Feature engineering (ML3, ML14; FN1-FN9, FN14, FLT3).
 
-``FEATURE_SQL`` is the single definition of the derived columns: it is the
-``SQLTransformer`` stage saved inside the model pipeline (so streaming
-scoring recomputes exactly the training features) and, through
-``add_features``, the batch/stream feature function.  The time stamp is
-parsed once in an inner SELECT, zone-free, bad text -> null (the same rule
-as ``functions.expressions.parse_event_time``).
+The flags are stated once (``functions.expressions.FLAGS``).  ``feature_sql``
+puts them into the statement of the ``SQLTransformer`` stage that is saved
+inside the model pipeline, so streaming scoring recomputes exactly the
+training features.  The time stamp is parsed once in an inner SELECT,
+zone-free, bad text -> null (the rule of ``parse_event_time``).
 """
 
 from __future__ import annotations
@@ -14,32 +13,20 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import TIMESTAMP_TEXT, bool_to_int, parse_event_time
-from ..schema import HIGH_RISK_MERCHANTS, LARGE_AMOUNT
+from ..functions.expressions import FLAGS, HOUR, TIMESTAMP_TEXT, bool_to_int, flag_sql, parse_event_time
 
-_RISKY = ", ".join(f"'{m}'" for m in HIGH_RISK_MERCHANTS)
+FEATURE_COLUMNS = ["event_time", HOUR[0], *FLAGS]
 
-FEATURE_SQL = f"""
-SELECT *,
-  hour(event_time) AS hour_of_day,
-  CASE WHEN hour(event_time) BETWEEN 0 AND 5 THEN 1 ELSE 0 END AS is_night,
-  CASE WHEN dayofweek(event_time) IN (1, 7) THEN 1 ELSE 0 END AS is_weekend,
-  CASE WHEN payment_channel = 'online' THEN 1 ELSE 0 END AS is_online_channel,
-  CASE WHEN merchant_category IN ({_RISKY}) THEN 1 ELSE 0 END AS high_risk_merchant,
-  CASE WHEN amount > {LARGE_AMOUNT} THEN 1 ELSE 0 END AS is_large_amount,
-  CASE WHEN sender_account = receiver_account THEN 1 ELSE 0 END AS sender_equals_receiver
-FROM (SELECT *, CASE WHEN timestamp RLIKE '{TIMESTAMP_TEXT}'
-                     THEN TRY_CAST(timestamp AS TIMESTAMP_NTZ) END AS event_time
-      FROM __THIS__)
-"""
 
-FEATURE_COLUMNS = ["event_time", "hour_of_day", "is_night", "is_weekend",
-                   "is_online_channel", "high_risk_merchant", "is_large_amount",
-                   "sender_equals_receiver"]
+def feature_sql() -> str:
+    """The statement that adds FEATURE_COLUMNS to ``__THIS__``."""
+    time = f"if(timestamp RLIKE '{TIMESTAMP_TEXT}', try_cast(timestamp AS timestamp_ntz), null) AS event_time"
+    columns = [f"{HOUR[1]} AS {HOUR[0]}", *map(flag_sql, FLAGS)]
+    return f"SELECT *, {', '.join(columns)} FROM (SELECT *, {time} FROM __THIS__)"
 
 
 def feature_stage() -> SQLTransformer:
-    return SQLTransformer(statement=FEATURE_SQL)
+    return SQLTransformer(statement=feature_sql())
 
 
 def add_features(df: DataFrame) -> DataFrame:
@@ -53,20 +40,9 @@ def add_features_cast_variant(df: DataFrame) -> DataFrame:
     """ML14 (older variant): fill time gap with 0.0, boolean casts where a null
     input stays null (FN9), then drop rows whose time features are null and
     rows without a label."""
-    t = parse_event_time("timestamp")
-    out = (df.drop("event_time", "fraud_type")
-             .na.fill({"time_since_last_transaction": 0.0})
-             .withColumn("is_fraud", F.col("is_fraud").cast("int"))
-             .withColumn("event_time", t)
-             .withColumn("hour_of_day", F.hour("event_time"))
-             .withColumn("is_night", bool_to_int(F.col("hour_of_day").between(0, 5)))
-             .withColumn("is_weekend", bool_to_int(F.dayofweek("event_time").isin(1, 7)))
-             .withColumn("is_online_channel", bool_to_int(F.col("payment_channel") == "online"))
-             .withColumn("high_risk_merchant",
-                         bool_to_int(F.col("merchant_category").isin(*HIGH_RISK_MERCHANTS)))
-             .withColumn("is_large_amount", bool_to_int(F.col("amount") > LARGE_AMOUNT))
-             .withColumn("sender_equals_receiver",
-                         bool_to_int(F.col("sender_account") == F.col("receiver_account"))))
+    out = (df.drop("event_time", "fraud_type").na.fill({"time_since_last_transaction": 0.0})
+             .withColumns({"is_fraud": F.col("is_fraud").cast("int"), "event_time": parse_event_time("timestamp")}))
+    out = out.withColumns({HOUR[0]: F.expr(HOUR[1]), **{name: bool_to_int(F.expr(asked)) for name, asked in FLAGS.items()}})
     return (out.where(F.col("hour_of_day").isNotNull() & F.col("is_night").isNotNull()
                       & F.col("is_weekend").isNotNull())
                .na.drop(subset=["is_fraud"]))
@@ -75,10 +51,10 @@ def add_features_cast_variant(df: DataFrame) -> DataFrame:
 def string_index_table(df: DataFrame, cols: list[str]) -> DataFrame:
     """ML5 as a table: label -> index by frequency desc, ties by label asc
     (StringIndexer's ``frequencyDesc``); nulls are not labels."""
-    from pyspark.sql import Window
-    from ..operators.profile import _long
+    from .profile import _long
+    from .ranking import global_row_number
     counts = _long(df, cols).groupBy("column_name", "value").agg(
         F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy("column_name").orderBy(F.col("count").desc(), F.col("value"))
-    return (counts.withColumn("label_index", (F.row_number().over(w) - 1).cast("double"))
+    ranked = global_row_number(counts, ["column_name", F.desc("count"), "value"], out="label_index", group="column_name")
+    return (ranked.withColumn("label_index", F.col("label_index").cast("double"))
                   .withColumnRenamed("value", "label"))

@@ -66,17 +66,3 @@ def global_row_number(df: DataFrame, order: list, out: str = "rn",
     res = positioned.join(F.broadcast(offs) if not group else offs, keys)
     return (res.withColumn(out, F.col("_off") + F.col("_loc") - F.col("_first"))
                .drop("_pid", "_loc", "_off", "_first"))
-
-
-def shard(df: DataFrame, n: int, order: list, part: int | None = None,
-          out: str = "shard") -> DataFrame:
-    """SRC7: row i of the ordered input goes to shard ``i % n``.
-
-    With ``part`` only that shard's rows are returned (what producer copy
-    ``part`` of ``n`` would send); every row is in exactly one shard.
-    """
-    ranked = global_row_number(df, order, out="_row_no")
-    tagged = ranked.withColumn(out, F.pmod(F.col("_row_no"), F.lit(n)).cast("int"))
-    if part is not None:
-        tagged = tagged.where(F.col(out) == part)
-    return tagged.drop("_row_no")

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .windows import RATE_DECIMALS
 
 
 def bad_senders(df: DataFrame, label: str = "is_fraud", key: str = "sender_account") -> DataFrame:
@@ -51,7 +50,7 @@ def per_sender_counts(df: DataFrame, label: str = "is_fraud", key: str = "sender
              .where(F.col("fraud_tx_count") > 0))
     total = F.col("fraud_tx_count") + F.col("nonfraud_tx_count")
     return (agg.withColumn("total_tx", total)
-               .withColumn("fraud_rate", F.round(F.col("fraud_tx_count") / total, RATE_DECIMALS)))
+               .withColumn("fraud_rate", F.col("fraud_tx_count") / total))
 
 
 def clean_senders(df: DataFrame, label: str = "is_fraud", key: str = "sender_account") -> DataFrame:

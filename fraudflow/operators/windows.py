@@ -7,10 +7,9 @@ Spark runs it as partial (map-side) + final aggregation, so a hot window or
 a hot transaction type never moves more than one partial row per task
 through the shuffle.
 
-Money is aggregated as exact integer micro-units (``money_aggs``): sums are
-reported in cents and averages rounded half-up to 6 decimals, identical on
-every partitioning, in batch, stream and the SQL oracle.  Rates are
-rounded to 6 decimals.
+Money is summed as DECIMAL(38, 10) (``money_sum``): exact, so equal on every
+partitioning, for amounts up to 1e28.  Results are doubles and not rounded.  A
+NaN or infinite amount counts as a row but adds nothing to sums and averages.
 """
 
 from __future__ import annotations
@@ -21,36 +20,19 @@ from pyspark.sql import functions as F
 from ..functions.expressions import parse_event_time, safe_div
 from ..schema import WATERMARK_2M, WINDOW_2M
 
-MONEY_DECIMALS = 2
-RATE_DECIMALS = 6
-MICROS = 1_000_000
+def money(c="amount") -> Column:
+    """Amount as an exact decimal; NaN, infinite and unrepresentable ones are null."""
+    return F.col(c).try_cast("decimal(38,10)")
 
 
-def money_units(c="amount") -> Column:
-    """Amount in exact integer micro-units (amounts carry at most 6 decimals)."""
-    return F.round(F.col(c) * MICROS).cast("bigint")
+def money_sum(c="amount") -> Column:
+    """Sum of the representable amounts, 0.0 without any, null where it exceeds the decimal."""
+    total = F.coalesce(F.try_sum(money(c)), F.when(F.count(money(c)) == 0, F.lit(0)))
+    return total.cast("double")
 
 
-def money_aggs(c: str = "amount") -> list[Column]:
-    """Exact money sum and count as partial-aggregatable integers.
-
-    Float sums depend on summation order, i.e. on partitioning; an average
-    sitting exactly on a rounding tie (a 32-row window of whole cents) would
-    then round either way from run to run.  Integer sums are exact and the
-    same on every cluster layout (ANSI mode raises on overflow instead of
-    wrapping).
-    """
-    return [F.sum(money_units(c)).alias("_mu"), F.count(c).alias("_mn")]
-
-
-def money_sum(u: str = "_mu") -> Column:
-    return F.round(F.col(u) / F.lit(float(MICROS)), MONEY_DECIMALS)
-
-
-def money_avg(u: str = "_mu", n: str = "_mn") -> Column:
-    """Exact average rounded half-up (away from zero) to 6 decimals."""
-    q = F.expr(f"(abs({u}) * 2 + {n}) div (2 * {n})")
-    return F.when(F.col(n) > 0, F.signum(F.col(u)) * q / F.lit(float(MICROS)))
+def money_avg(c="amount") -> Column:
+    return F.when(F.count(money(c)) > 0, F.try_sum(money(c)).cast("double") / F.count(money(c)))
 
 
 def with_event_time(df: DataFrame, watermark: str | None = WATERMARK_2M,
@@ -84,22 +66,8 @@ def flatten_window(df: DataFrame) -> DataFrame:
 
 def fraud_loss(fraud: DataFrame, duration: str = WINDOW_2M, suffix: str = "_2m") -> DataFrame:
     """Q2: fraud count and loss per window."""
-    out = _windowed(fraud, duration, [], [
-        F.count(F.lit(1)).alias(f"fraud_count{suffix}"), *money_aggs()])
-    return _finish_money(out, f"fraud_loss{suffix}", None)
-
-
-def _finish_money(df: DataFrame, sum_name: str | None, avg_name: str | None) -> DataFrame:
-    cols = [c for c in df.columns if c not in ("_mu", "_mn")]
-    extra = []
-    if sum_name:
-        extra.append(money_sum().alias(sum_name))
-    if avg_name:
-        extra.append(money_avg().alias(avg_name))
-    # keep window columns last, as the other aggregates do
-    head = [c for c in cols if c not in ("window", "window_start", "window_end")]
-    tail = [c for c in cols if c in ("window", "window_start", "window_end")]
-    return df.select(*head, *extra, *tail)
+    return _windowed(fraud, duration, [], [
+        F.count(F.lit(1)).alias(f"fraud_count{suffix}"), money_sum().alias(f"fraud_loss{suffix}")])
 
 
 def fraud_minmax(fraud: DataFrame, duration: str = WINDOW_2M, suffix: str = "_2m") -> DataFrame:
@@ -120,9 +88,7 @@ def fraud_rate(flagged: DataFrame, is_fraud: Column, duration: str = WINDOW_2M,
     out = _windowed(flagged, duration, [], [
         F.count(F.lit(1)).alias(f"total_tx{suffix}"),
         F.count_if(F.coalesce(is_fraud, F.lit(False))).alias(f"fraud_tx{suffix}")])
-    return out.withColumn(
-        f"fraud_rate{suffix}",
-        F.round(safe_div(f"fraud_tx{suffix}", f"total_tx{suffix}"), RATE_DECIMALS))
+    return out.withColumn(f"fraud_rate{suffix}", safe_div(f"fraud_tx{suffix}", f"total_tx{suffix}"))
 
 
 def window_counts(df: DataFrame, name: str, duration: str = WINDOW_2M,
@@ -147,8 +113,7 @@ def fraud_rate_join(total: DataFrame, fraud: DataFrame, suffix: str = "_2m") ->
         f = fraud.select("window_start", "window_end", f"fraud_tx{suffix}")
         j = total.join(f, ["window_start", "window_end"], "left")
     return (j.withColumn(f"fraud_tx{suffix}", F.coalesce(F.col(f"fraud_tx{suffix}"), F.lit(0)).cast("bigint"))
-             .withColumn(f"fraud_rate{suffix}",
-                         F.round(safe_div(f"fraud_tx{suffix}", f"total_tx{suffix}"), RATE_DECIMALS)))
+             .withColumn(f"fraud_rate{suffix}", safe_div(f"fraud_tx{suffix}", f"total_tx{suffix}")))
 
 
 def suspicious_receivers(fraud: DataFrame, duration: str = WINDOW_2M, threshold: int = 10,
@@ -167,9 +132,9 @@ def suspicious_receivers(fraud: DataFrame, duration: str = WINDOW_2M, threshold:
 
 def summary_total_by_type(raw: DataFrame, duration: str = WINDOW_2M, suffix: str = "_2m") -> DataFrame:
     """Q6 part 1: totals per (window, transaction_type) from the raw stream."""
-    out = _windowed(raw, duration, ["transaction_type"], [
-        F.count(F.lit(1)).alias(f"total_tx{suffix}"), *money_aggs()])
-    return _finish_money(out, f"total_amount{suffix}", f"avg_amount{suffix}")
+    return _windowed(raw, duration, ["transaction_type"], [
+        F.count(F.lit(1)).alias(f"total_tx{suffix}"), money_sum().alias(f"total_amount{suffix}"),
+        money_avg().alias(f"avg_amount{suffix}")])
 
 
 def summary_fraud_by_type(fraud: DataFrame, duration: str = WINDOW_2M, suffix: str = "_2m") -> DataFrame:
@@ -187,9 +152,7 @@ def summary_by_type(flagged: DataFrame, is_fraud: Column, duration: str = WINDOW
     totals and fraud counts close on the same watermark.
     """
     out = _windowed(flagged, duration, ["transaction_type"], [
-        F.count(F.lit(1)).alias(f"total_tx{suffix}"), *money_aggs(),
+        F.count(F.lit(1)).alias(f"total_tx{suffix}"), money_sum().alias(f"total_amount{suffix}"),
+        money_avg().alias(f"avg_amount{suffix}"),
         F.count_if(F.coalesce(is_fraud, F.lit(False))).alias(f"fraud_tx{suffix}")])
-    out = _finish_money(out, f"total_amount{suffix}", f"avg_amount{suffix}")
-    return out.withColumn(
-        f"fraud_rate{suffix}",
-        F.round(safe_div(f"fraud_tx{suffix}", f"total_tx{suffix}"), RATE_DECIMALS))
+    return out.withColumn(f"fraud_rate{suffix}", safe_div(f"fraud_tx{suffix}", f"total_tx{suffix}"))

@@ -22,9 +22,23 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: decimals of money and rates in the catalogue's results (the library doesn't round)
+DECIMALS = {"fraud_loss": 2, "last_fraud_loss": 2, "total_amount": 2, "avg_amount": 6, "fraud_rate": 6, "worst_rate": 6}
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Money and rate columns as both engines show them."""
+    stems = {c: DECIMALS.get(c.removesuffix("_2m").removesuffix("_1d")) for c, t in df.dtypes if t == "double"}
+    return df.withColumns({c: F.round(c, n) for c, n in stems.items() if n is not None})
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        def run(spark, sf_dir):
+            return rounded(fn(spark, sf_dir))
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -204,17 +218,7 @@ alerts AS (
   SELECT transaction_id, timestamp, sender_account, receiver_account, amount,
          transaction_type, merchant_category, payment_channel, fraud_source
   FROM fraud_txn),
-types AS (SELECT DISTINCT transaction_type FROM alerts
-          WHERE trim(transaction_type) <> '' ORDER BY transaction_type LIMIT 10),
-cats AS (SELECT DISTINCT merchant_category FROM alerts
-         WHERE trim(merchant_category) <> '' ORDER BY merchant_category LIMIT 10),
-filtered AS (
-  SELECT (coalesce(amount, 0) >= 1000.0) AS HIGH_AMOUNT, *
-  FROM alerts
-  WHERE transaction_type IN (SELECT transaction_type FROM types)
-    AND merchant_category IN (SELECT merchant_category FROM cats)
-    AND trim(payment_channel) <> ''
-    AND amount IS NOT NULL)"""
+filtered AS (SELECT (coalesce(amount, 0) >= 1000.0) AS HIGH_AMOUNT, * FROM alerts)"""
 
 
 @query("alerts_filtered_topn", O.with_ctes(_ALERTS_FILTERED_CTE, """
@@ -236,6 +240,57 @@ def q_alerts_filtered_counts(spark, sf):
     return alert_counts(filter_alerts(fraud_alerts(fx.fraud_txn(spark, sf))))
 
 
+@query("alerts_many_facets", O.with_ctes(O.ROUTED_CTE, """
+SELECT CAST(count(*) AS BIGINT) AS filtered_alerts,
+       CAST(count(*) FILTER (WHERE amount >= 1000.0) AS BIGINT) AS high_amount_alerts
+FROM fraud_txn"""))
+def q_alerts_many_facets(spark, sf):
+    """FLT6: with no list chosen, alerts of any number of categories are kept."""
+    from ..operators.alerts import fraud_alerts
+    from ..operators.serving import alert_counts, filter_alerts
+    alerts = fraud_alerts(fx.fraud_txn(spark, sf)).withColumn("merchant_category", F.col("receiver_account"))
+    return alert_counts(filter_alerts(alerts))
+
+
+@query("alerts_first_facets", O.with_ctes(O.ROUTED_CTE, """
+SELECT (coalesce(amount, 0) >= 1000.0) AS HIGH_AMOUNT, transaction_id, timestamp, sender_account,
+       receiver_account, amount, transaction_type, merchant_category, payment_channel, fraud_source
+FROM fraud_txn
+WHERE transaction_type IN (SELECT DISTINCT transaction_type FROM fraud_txn ORDER BY 1 LIMIT 3)
+  AND merchant_category IN (SELECT DISTINCT merchant_category FROM fraud_txn ORDER BY 1 LIMIT 2)"""))
+def q_alerts_first_facets(spark, sf):
+    """LIM1 + FLT6: a dashboard's preselection, the first sorted values, as explicit lists."""
+    from ..operators.alerts import fraud_alerts
+    from ..operators.serving import filter_alerts, first_facets, select_present
+    from ..schema import ALERT_COLUMNS
+    alerts = fraud_alerts(fx.fraud_txn(spark, sf))
+    out = filter_alerts(alerts, types=first_facets(alerts, "transaction_type", 3),
+                        categories=first_facets(alerts, "merchant_category", 2))
+    return select_present(out, ["HIGH_AMOUNT", *ALERT_COLUMNS])
+
+
+@query("raw_alerts_last300", O.with_ctes(O.ROUTED_CTE, """
+SELECT transaction_id, timestamp, sender_account, receiver_account, amount, transaction_type, merchant_category,
+       payment_channel, fraud_source
+FROM fraud_txn ORDER BY timestamp DESC, transaction_id DESC LIMIT 300"""))
+def q_raw_alerts_last300(spark, sf):
+    """LIM2 + PRJ7: the last alerts by arrival, unfiltered."""
+    from ..operators.serving import raw_alerts_view
+    return raw_alerts_view(fx.fraud_txn(spark, sf), 300, ["timestamp", "transaction_id"])
+
+
+@query("summary_view_types", O.with_ctes(O.ROUTED_CTE + "," + _SUMMARY_2M_SQL, """
+SELECT window_start, window_end, transaction_type, total_tx_2m, total_amount_2m, avg_amount_2m,
+       fraud_tx_2m, fraud_rate_2m
+FROM summary WHERE transaction_type IN ('purchase', 'error') AND trim(transaction_type) <> ''"""))
+def q_summary_view_types(spark, sf):
+    """FLT6 on Q6: the activity summary of chosen transaction types."""
+    from ..operators.serving import select_present, summary_view
+    return select_present(summary_view(_summary_2m(spark, sf), ["purchase", "error"]), [
+        "window_start", "window_end", "transaction_type", "total_tx_2m", "total_amount_2m", "avg_amount_2m",
+        "fraud_tx_2m", "fraud_rate_2m"])
+
+
 @query("alerts_explicit_filter", O.with_ctes(O.ROUTED_CTE, """
 SELECT (coalesce(amount, 0) >= 500.0) AS HIGH_AMOUNT, transaction_id, timestamp,
        sender_account, receiver_account, amount, transaction_type, merchant_category,
@@ -492,6 +547,37 @@ def q_bloom_false_negatives(spark, sf):
         F.count_if(~F.col("bf_hit")).alias("false_negatives"))
 
 
+@query("bloom_report", O.with_ctes(O.BIG_CTE, """
+SELECT CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS bad_senders, CAST(0 AS BIGINT) AS false_negatives,
+       CAST(count(*) FILTER (WHERE NOT bad) AS BIGINT) AS clean_senders, true AS fp_rate_within_bound,
+       true AS some_pass
+FROM (SELECT sender_account, bool_or(is_fraud) AS bad FROM txn_big
+      WHERE sender_account IS NOT NULL GROUP BY sender_account)"""))
+def q_bloom_report(spark, sf):
+    """AG17, JN3, UDF1, ML13: no bad sender is missed and at most 2 % of the clean ones
+    are hit; a filter that passes everything or nothing fails this row."""
+    from ..operators.bloom import quality_report
+    t, _, bf = _bloom_big(spark, sf)
+    return quality_report(bf, t).select(
+        "bad_senders", "false_negatives", "clean_senders", (F.col("fp_rate") <= 0.02).alias("fp_rate_within_bound"),
+        (F.col("tx_flagged") < F.col("total_tx")).alias("some_pass"))
+
+
+@query("bloom_rest", O.with_ctes(O.BIG_CTE, """
+SELECT CAST(count(*) AS BIGINT) AS clean_rows, CAST(0 AS BIGINT) AS bad_rows_passed, true AS most_pass
+FROM txn_big WHERE sender_account NOT IN (SELECT sender_account FROM fraud_big)"""))
+def q_bloom_rest(spark, sf):
+    """FLT4: what passes the filter are rows of clean senders, nearly all of them."""
+    from ..operators.bloom import build
+    t = fx.txn_big(spark, sf)
+    bf = build(t.where(F.col("is_fraud")), "sender_account")
+    bad = t.where("is_fraud").groupBy("sender_account").agg(F.lit(True).alias("bad"))
+    tagged = bf.might_contain(t.select("sender_account"), "sender_account").join(bad, "sender_account", "left")
+    clean, passed = F.col("bad").isNull(), ~F.col("bf_hit")
+    return tagged.agg(F.count_if(clean).alias("clean_rows"), F.count_if(passed & ~clean).alias("bad_rows_passed"),
+                      (F.count_if(passed) >= 0.9 * F.count_if(clean)).alias("most_pass"))
+
+
 @query("bloom_quality")
 def q_bloom_quality(spark, sf):
     """ML13 report; false positives are random (rows-only check, FP rate
@@ -660,14 +746,28 @@ def q_metrics_at_threshold(spark, sf):
     return metrics_at(rule_score(_txn(spark, sf)), 0.15)
 
 
-# -- the fitted forest (rows-only checks; properties in tests) -------------------
+_TRAINING_SQL = f"""
+drawn AS (SELECT *, CASE WHEN {_unit_hash_sql(43)} < 0.8 THEN 'train' ELSE 'test' END AS split FROM txn
+          WHERE (is_fraud AND {_unit_hash_sql(42)} < 1.0) OR (NOT is_fraud AND {_unit_hash_sql(42)} < 0.2))"""
+
+
+@query("training_ids", O.with_ctes(O.TXN_CTE + "," + _TRAINING_SQL, """
+SELECT split, transaction_id, CAST(is_fraud AS INTEGER) AS is_fraud FROM drawn"""))
+def q_training_ids(spark, sf):
+    """ML1 + ML2: the very rows that the model is fitted and tested on."""
+    from .model import training_sets
+    train, test = (d.select("transaction_id", "is_fraud") for d in training_sets(_txn(spark, sf)))
+    return train.select(F.lit("train").alias("split"), "*").unionByName(test.select(F.lit("test").alias("split"), "*"))
+
+
+# -- the fitted forest (properties in tests) --------------------------------------
 
 _TRAINED: dict = {}
 
 
 def trained(spark, sf):
     from .model import train_model
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _TRAINED:
         _TRAINED.clear()
         _TRAINED[key] = train_model(_txn(spark, sf))
@@ -682,13 +782,30 @@ def q_model_scored(spark, sf):
                                          "prediction", "prediction_custom")
 
 
+@query("model_scored_ids", O.with_ctes(O.TXN_CTE + "," + _TRAINING_SQL, """
+SELECT transaction_id, amount IS NOT NULL AS scored, true AS valid FROM drawn WHERE split = 'test'"""))
+def q_model_scored_ids(spark, sf):
+    """ML9: every test row is scored or reported as unscored; scores are probabilities
+    and the decision follows them."""
+    from .model import score, unscored
+    t = trained(spark, sf)
+    p = F.col("fraud_probability")
+    valid = p.between(0, 1) & (F.col("prediction_custom") == (p >= 0.15).cast("double"))
+    done = score(t.model, t.test).select("transaction_id", F.lit(True).alias("scored"), valid.alias("valid"))
+    return done.unionByName(unscored(t.test).select("transaction_id", F.lit(False).alias("scored"), F.lit(True).alias("valid")))
+
+
 @query("model_metrics")
 def q_model_metrics(spark, sf):
     """ML10-ML11: evaluator metrics of the held-out split, one row."""
+    from pyspark import StorageLevel
     from .model import evaluator_metrics, score
     t = trained(spark, sf)
-    m = evaluator_metrics(score(t.model, t.test))
-    return spark.createDataFrame([m])
+    scored = score(t.model, t.test).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return spark.createDataFrame([evaluator_metrics(scored)])
+    finally:
+        scored.unpersist()
 
 
 @query("ml_not_fraud")
@@ -738,9 +855,10 @@ SELECT transaction_id, timestamp,
 FROM txn"""))
 def q_sharded_rows(spark, sf):
     """SRC7: every row tagged with its producer shard (row i -> i % 4)."""
-    from ..operators.ranking import shard
+    from ..operators.ranking import global_row_number
     t = _txn(spark, sf).select("transaction_id", "timestamp")
-    return shard(t, 4, ["timestamp", "transaction_id"])
+    ranked = global_row_number(t, ["timestamp", "transaction_id"], out="nth")
+    return ranked.select("transaction_id", "timestamp", F.pmod("nth", F.lit(4)).cast("int").alias("shard"))
 
 
 @query("keyed_order", O.with_ctes(O.TXN_CTE, """
@@ -749,11 +867,10 @@ SELECT sender_account AS key, transaction_id,
 FROM txn"""))
 def q_keyed_order(spark, sf):
     """SRC6: position of each record in its sender's ordered sequence."""
-    from ..operators.ranking import global_row_number
-    t = _txn(spark, sf).select("sender_account", "timestamp", "transaction_id")
-    r = global_row_number(t, ["sender_account", "timestamp", "transaction_id"], out="key_seq",
-                          group="sender_account")
-    return r.select(F.col("sender_account").alias("key"), "transaction_id", "key_seq")
+    from ..sources.topics import keyed_handoff
+    sent = keyed_handoff(_txn(spark, sf).select("sender_account", "timestamp", "transaction_id"))
+    return sent.select("key", F.get_json_object("value", "$.transaction_id").alias("transaction_id"),
+                       F.col("seq").cast("bigint").alias("key_seq"))
 
 
 # ---------------------------------------------------------------------------
@@ -787,8 +904,7 @@ def q_bounded_store(spark, sf):
 
 
 @query("incremental_read", O.with_ctes(O.BIG_CTE, f"""
-SELECT * FROM txn_big WHERE event_time >= TIMESTAMP '{_CUTOFF}'
-ORDER BY event_time, transaction_id, receiver_account, amount LIMIT 200000"""))
+SELECT * FROM txn_big WHERE event_time >= TIMESTAMP '{_CUTOFF}'"""))
 def q_incremental_read(spark, sf):
     """SRC5: rows loaded before the cut-off set the cursor; the next refresh
     returns exactly the rows after it."""
@@ -820,15 +936,23 @@ def q_union_append(spark, sf):
 # closed windows only: window_end <= max(event_time) - 2 minutes.
 # ---------------------------------------------------------------------------
 
+def replay(df: DataFrame, path: str, key: str = "transaction_id") -> None:
+    """Write a table as a file topic in event-time order (one append)."""
+    from ..sources.topics import encode
+    encode(df.orderBy("event_time", key), key).write.mode("append").json(path)
+
+
 def _stream_insight(spark, sf, names: list[str]) -> dict:
     from ..session import work_path
-    from ..streaming.pipeline import TopologyPaths, await_all, replay, start_insights
+    from ..streaming.pipeline import TopologyPaths, await_all, start_insights
     from ..streaming.sinks import read_table
     paths = TopologyPaths(work_path(spark, "stream-insights"))
     replay(fx.txn_routed(spark, sf), f"{paths.topic('routed_transactions')}/replay")
-    # state partitions sized to the cluster's cores for a replay
-    qs = start_insights(spark, paths, names=names,
-                        state_partitions=spark.sparkContext.defaultParallelism)
+    # state partitions sized to the cluster's cores, in a session of the stream's own
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    qs = start_insights(own, paths, names=names)
     await_all(qs)
     return {n: read_table(spark, paths.table(n)).drop("_batch", "_row") for n in names}
 
@@ -881,7 +1005,7 @@ def q_stream_pipeline_routes(spark, sf):
     from ..operators import bloom
     from ..operators.senders import bad_senders
     from ..session import work_path
-    from ..streaming.pipeline import TopologyPaths, replay, start_routing
+    from ..streaming.pipeline import TopologyPaths, start_routing
     from ..sources.topics import decode
     t = _txn(spark, sf)
     bf = bloom.build(bad_senders(t), "sender_account")

@@ -26,6 +26,7 @@ from ..schema import (CATEGORICAL_COLS, NUMERIC_FEATURE_COLS, OFFLINE_THRESHOLD,
                       SWEEP_THRESHOLDS, TRANSACTION_COLUMNS)
 
 RATE_DECIMALS = 6
+MAX_BINS = 32
 
 
 # -- sampling and splitting ---------------------------------------------------
@@ -71,7 +72,7 @@ def hash_split(df: DataFrame, train_fraction: float = SPLIT_WEIGHTS[0], seed: in
 
 # -- pipeline -----------------------------------------------------------------
 
-def build_pipeline(label: str = "is_fraud", max_bins: int = 32) -> Pipeline:
+def build_pipeline(label: str = "is_fraud", max_bins: int = MAX_BINS) -> Pipeline:
     """ML3-ML8: features -> median imputer -> 5 indexers -> assembler -> forest."""
     imputer = Imputer(inputCols=["time_since_last_transaction"],
                       outputCols=["time_since_last_transaction"], strategy="median")
@@ -84,12 +85,14 @@ def build_pipeline(label: str = "is_fraud", max_bins: int = 32) -> Pipeline:
     return Pipeline(stages=[feature_stage(), imputer, *indexers, assembler, rf])
 
 
-def required_bins(train: DataFrame, floor: int = 32) -> int:
-    """The forest treats indexed columns as categorical and needs
-    ``maxBins >= categories``; with ``handleInvalid='keep'`` a column has
-    (distinct labels + 1) categories.  One aggregate over the training set."""
+def check_bins(train: DataFrame, max_bins: int) -> None:
+    """The forest treats indexed columns as categorical and needs a bin for
+    each category (with ``handleInvalid='keep'`` the labels and one more).
+    One aggregate over the training set; fails with the columns at fault."""
     r = train.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL_COLS]).first()
-    return max(floor, max(int(r[c] or 0) for c in CATEGORICAL_COLS) + 1)
+    over = {c: r[c] + 1 for c in CATEGORICAL_COLS if (r[c] or 0) + 1 > max_bins}
+    if over:
+        raise ValueError(f"max_bins is {max_bins}; categories of the training set: {over}")
 
 
 def prepare(df: DataFrame) -> DataFrame:
@@ -106,18 +109,32 @@ class Trained:
     test: DataFrame
 
 
-def train_model(transactions: DataFrame, seed: int = SEED) -> Trained:
-    """ML1 + ML2 + ML8: down-sample, split 80/20, fit."""
+def training_sets(transactions: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """ML1 + ML2 by hashes of the transaction id: (train, test).
+
+    Which rows are drawn depends on their ids alone, so both sets are the same
+    whenever, wherever and over however many partitions they are computed.
+    """
+    split = hash_split(hash_sample(transactions, seed=seed), seed=seed)
+    return tuple(prepare(split.where(F.col("split") == part)) for part in ("train", "test"))
+
+
+def train_model(transactions: DataFrame, seed: int = SEED, max_bins: int = MAX_BINS) -> Trained:
+    """ML1 + ML2 + ML8: down-sample, split 80/20, fit.
+
+    A model that needs more than ``max_bins`` categories is refused, since
+    more bins would also change the splits of the continuous features.
+    """
     from pyspark import StorageLevel
-    sampled = prepare(stratified_sample(transactions, seed=seed))
-    train, test = random_split(sampled, seed=seed)
+    train, test = training_sets(transactions, seed)
     # the imputer, five indexers and the forest each read the training set:
     # keep it for the fit (spilling to disk if needed), then release it
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = build_pipeline(max_bins=required_bins(train)).fit(train)
+        check_bins(kept, max_bins)
+        model = build_pipeline(max_bins=max_bins).fit(kept)
     finally:
-        train.unpersist()
+        kept.unpersist()
     return Trained(model, train, test)
 
 

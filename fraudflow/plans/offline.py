@@ -2,8 +2,8 @@
 
     python -m fraudflow.plans.offline --input data.csv --out /shared/fraud
 
-Reads the labelled transactions once (persisted — the original rescanned
-the CSV for every count), writes the Bloom filter (SNK4), fits / evaluates
+Each step reads the columns it needs of the labelled transactions (Parquet
+prunes them; nothing is held of the raw table), writes the Bloom filter (SNK4), fits / evaluates
 the pipeline and saves it (SNK5), and writes the metrics as a table.
 """
 
@@ -23,20 +23,19 @@ from . import model as M
 
 def run_offline(spark: SparkSession, transactions: DataFrame, out: str,
                 fpp: float = BLOOM_FPP, threshold: float = OFFLINE_THRESHOLD) -> dict:
-    raw = transactions.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = overall_counts(raw).first().asDict()              # AG1, one pass
+    counts = overall_counts(transactions.select("sender_account", "is_fraud")).first().asDict()   # AG1, one pass
     # fraud rows as they are: duplicates collapse inside the build aggregate
-    fraud_senders = raw.where("is_fraud").select("sender_account")
+    fraud_senders = transactions.where("is_fraud").select("sender_account")
     bf = bloom.build(fraud_senders, "sender_account", n=counts["distinct_bad_senders"], fpp=fpp)
     bf.save(f"{out}/blacklist_senders")
-    trained = M.train_model(raw)
+    trained = M.train_model(transactions)
     scored = M.score(trained.model, trained.test, threshold).persist(StorageLevel.MEMORY_AND_DISK)
     metrics = M.evaluator_metrics(scored)
     M.metrics_at(scored, threshold).write.mode("overwrite").parquet(f"{out}/metrics")
     M.threshold_sweep(scored).write.mode("overwrite").parquet(f"{out}/threshold_sweep")
     M.save_model(trained.model, f"{out}/fraud_model")
     scored.unpersist()
-    raw.unpersist()
+    bf.release()
     return {**counts, **metrics, "bloom_blocks": bf.num_blocks, "bloom_k": bf.k}
 
 

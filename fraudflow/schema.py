@@ -23,15 +23,13 @@ SWEEP_THRESHOLDS = [0.05, 0.10, 0.15, 0.20]
 SAMPLE_FRACTIONS = {False: 0.2, True: 1.0}
 SPLIT_WEIGHTS = [0.8, 0.2]
 SEED = 42
-RECEIVER_THRESHOLD = 10
 ALERTS_LIMIT = 500
 FACET_DEFAULT_COUNT = 10
 SOURCE_BLOOM = "bloom_filter"
 SOURCE_MODEL = "ml_model"
 MAX_OFFSETS_PER_TRIGGER = 50
 RETENTION = {"alerts": 5000, "windows": 5000, "summary": 20000, "not_fraud": 3000}
-FETCH_BATCH_SIZE = 1000
-FETCH_MAX_BATCHES = 200
+FETCH_ROWS = 1000 * 200           # rows of one dashboard refresh: 200 batches of 1,000
 RF_PARAMS = dict(numTrees=100, maxDepth=10, subsamplingRate=0.7,
                  featureSubsetStrategy="sqrt", seed=42)
 CATEGORICAL_COLS = ["transaction_type", "merchant_category", "location",
@@ -82,16 +80,3 @@ STREAM_SCHEMA = T.StructType(
 
 TRANSACTION_COLUMNS = [f.name for f in TRANSACTION_SCHEMA.fields]
 STREAM_COLUMNS = [f.name for f in STREAM_SCHEMA.fields]
-NUMERIC_PROFILE_COLS = [f.name for f in TRANSACTION_SCHEMA.fields
-                        if isinstance(f.dataType, (T.DoubleType, T.IntegerType,
-                                                   T.LongType))]
-
-# Envelope of a topic record (the shape of a message-bus source).
-ENVELOPE_SCHEMA = T.StructType([
-    T.StructField("key", T.BinaryType()),
-    T.StructField("value", T.BinaryType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-])

@@ -49,7 +49,7 @@ def get_spark(master: str | None = None, app: str = "fraudflow",
         builder = builder.config(k, v)
     if master and master.startswith("local"):
         builder = builder.config("spark.driver.memory",
-                                 os.environ.get("FRAUDFLOW_DRIVER_MEMORY", "16g"))
+                                 os.environ.get("FRAUDFLOW_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     if spark.sparkContext.master.startswith("local"):
         for k, v in _LOCAL_CONF.items():
@@ -90,3 +90,31 @@ def work_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/fraudflow-work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the file system that Spark reads it from."""
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Rename a finished folder to ``path`` unless that is there already.
+
+    On file systems with an atomic rename, readers see all of it or nothing,
+    and what was published once is never replaced.
+    """
+    src, fs = _file_system(spark, staged)
+    dst, _ = _file_system(spark, path)
+    if fs.exists(dst):
+        fs.delete(src, True)
+        return
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot rename {staged} to {path}")

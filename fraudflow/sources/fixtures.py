@@ -26,24 +26,9 @@ ROUTE_MODEL_AMOUNT = 2000.0
 BIG_ARRIVAL_ORDER = ["event_time", "transaction_id", "receiver_account", "amount"]
 
 
-_TABLES: dict = {}
-
-
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of a test table, resolved once per session.
-
-    Resolving a parquet relation lists its files and reads footers; on a
-    large table that is worth doing once, not once per query.  The frame
-    is lazy — nothing is cached in memory.  The test tables are one row
-    group each, so they are spread over the cores (``balance_splits``).
-    """
-    from .tables import balance_splits
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = balance_splits(spark.read.parquet(path))
-    return df
+    """Scan of a test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case_mod(c, n: int, labels: list[str]):

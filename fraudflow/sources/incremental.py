@@ -1,8 +1,8 @@
 """Incremental cursor reads of stored result tables (SRC5).
 
 The reader keeps a cursor (the greatest key it has seen) and asks for rows
-with a greater key, ascending, at most ``batch_size * max_batches`` per
-refresh.  No row is missed or read twice as long as keys are unique and
+with a greater key: all of them, or at most ``max_rows``, the smallest keys,
+where a refresh has a budget.  No row is missed or read twice as long as keys are unique and
 grow with arrival (the table sinks write ``(_batch, _row)``).  A null
 cursor is a full reload.
 """
@@ -14,8 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import FETCH_BATCH_SIZE, FETCH_MAX_BATCHES
-
 
 def _literal(value, dtype: str) -> Column:
     """A literal of the key column's own type.  A TIMESTAMP_NTZ value comes
@@ -45,11 +43,12 @@ def after(keys: list[str], cursor: tuple | None, dtypes: dict | None = None) ->
 
 
 def fetch_new(df: DataFrame, keys: list[str], cursor: tuple | None = None,
-              batch_size: int = FETCH_BATCH_SIZE, max_batches: int = FETCH_MAX_BATCHES) -> DataFrame:
-    """Rows after ``cursor`` in key order, capped at one refresh's budget."""
+              max_rows: int | None = None) -> DataFrame:
+    """Rows after ``cursor``: a pushed-down filter, in no order; with
+    ``max_rows`` the first so many in key order (a refresh's budget)."""
     cond = after(keys, cursor, dict(df.dtypes))
     src = df if cond is None else df.where(cond)
-    return src.orderBy(*keys).limit(batch_size * max_batches)
+    return src if max_rows is None else src.orderBy(*keys).limit(max_rows)
 
 
 def next_cursor(rows: DataFrame, keys: list[str], cursor: tuple | None = None) -> tuple | None:

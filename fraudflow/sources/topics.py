@@ -9,11 +9,12 @@ envelope (``key``, ``value`` as text).  Both give the same decoded frame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import empty_to_null, text_bool
 from ..schema import STREAM_SCHEMA, TRANSACTION_SCHEMA
+from ..session import path_exists, publish
 
 FILE_TOPIC_SCHEMA = "key string, value string"
 
@@ -64,32 +65,49 @@ def read_topic(spark: SparkSession, topic: str, *, path: str | None = None,
     return r.load() if bootstrap else r.load(path)
 
 
-def write_topic(df: DataFrame, topic: str, *, path: str | None = None,
-                bootstrap: str | None = None) -> None:
-    """Batch write of envelopes to a topic (bus or file folder), append."""
+def bus_options(topic: str, bootstrap: str) -> dict[str, str]:
+    """Options of a bus sink."""
+    return {"kafka.bootstrap.servers": bootstrap, "topic": topic}
+
+
+def write_topic(df: DataFrame, topic: str, *, path: str | None = None, bootstrap: str | None = None,
+                batch_id: int | None = None) -> None:
+    """SNK1: write a batch of envelopes to a topic, the bus or a file folder.
+
+    A file topic gets a folder for each ``batch_id``, written aside and then
+    renamed, so a batch that is run again changes nothing.  A bus may get such
+    a batch twice; readers tell by the record's id.
+    """
+    rows = df.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
     if bootstrap:
-        (df.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
-           .write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-           .option("topic", topic).save())
+        rows.write.format("kafka").options(**bus_options(topic, bootstrap)).save()
+    elif batch_id is None:
+        rows.write.mode("append").json(path)
     else:
-        df.select("key", "value").write.mode("append").json(path)
+        done = f"{path}/batch-{batch_id:012d}"
+        if not path_exists(df.sparkSession, done):
+            staged = f"{path}.staged/batch-{batch_id:012d}"
+            rows.write.mode("overwrite").json(staged)
+            publish(df.sparkSession, staged, done)
 
 
 def keyed_handoff(df: DataFrame, key: str = "sender_account", order: str = "timestamp",
                   partitions: int | None = None) -> DataFrame:
     """SRC6: envelopes keyed by ``key``; one key's rows land in one
     partition, in ``order`` (what a keyed topic partition guarantees).
+    ``seq`` is a row's place in its key's sequence, from 0.
 
     ``repartition(key)`` + ``sortWithinPartitions``: a hot key stays in one
     partition because per-key order is the contract; Spark's external sort
     spills it rather than failing.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seq = F.row_number().over(Window.partitionBy(key).orderBy(order, "transaction_id")) - 1
     return (df.repartition(n, F.col(key))
               .sortWithinPartitions(F.col(key), F.col(order), "transaction_id")
               .select(F.col(key).cast("string").alias("key"),
                       F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"),
-                      F.spark_partition_id().alias("partition")))
+                      F.spark_partition_id().alias("partition"), seq.alias("seq")))
 
 
 def coerce_text_record(df: DataFrame) -> DataFrame:

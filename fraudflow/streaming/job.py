@@ -4,9 +4,11 @@ any query ends (ST10).
     python -m fraudflow.streaming.job --raw /shared/topics/raw --artefacts /shared/fraud \
         --out /shared/online [--bootstrap host:9092]
 
-Triggers: the routing query and the insight queries run on a processing
-time trigger (Q6 every 2 minutes as in the original, ST7); ``--available-now``
-processes what is there and stops (tests, backfills).
+With ``--bootstrap``, ``--raw`` is the name of the raw topic, and the routed
+topics go through the bus as well.  Routing, alerts and the other insights
+start a batch whenever the last has ended, the activity summaries every two
+minutes (ST7); ``--available-now`` processes what is there and stops (tests,
+backfills).
 """
 
 from __future__ import annotations
@@ -17,22 +19,33 @@ from pyspark.sql import SparkSession
 
 from ..operators.bloom import BloomFilter
 from ..plans.model import load_model
-from .pipeline import TopologyPaths, start_insights, start_routing
+from .pipeline import TRIGGERS, TopologyPaths, start_insights, start_routing
+
+
+def plan_online(raw: str, available_now: bool = False, bootstrap: str | None = None) -> dict:
+    """Sources and triggers of the online job."""
+    now = {"availableNow": True}
+    return {
+        "source": {"raw_path": None, "raw_topic": raw, "bootstrap": bootstrap} if bootstrap else {"raw_path": raw},
+        "routing": now if available_now else {},
+        "insights": now if available_now else {None: {}, **TRIGGERS},
+        # the bus may carry a record twice: alerts are told apart by id
+        "dedupe_alerts": bool(bootstrap),
+    }
 
 
 def run_online(spark: SparkSession, raw_path: str, artefacts: str, out: str,
                available_now: bool = False, max_files: int | None = None,
-               trigger_every: str = "2 minutes", timeout: float | None = None,
-               bootstrap: str | None = None):
+               timeout: float | None = None, bootstrap: str | None = None):
     bf = BloomFilter.load(spark, f"{artefacts}/blacklist_senders")
     model = load_model(f"{artefacts}/fraud_model")
     paths = TopologyPaths(out)
-    trig = {"availableNow": True} if available_now else {"processingTime": trigger_every}
-    routing = start_routing(spark, raw_path, bf, model, paths, trigger=trig, max_files=max_files,
-                            bootstrap=bootstrap)
+    plan = plan_online(raw_path, available_now, bootstrap)
+    routing = start_routing(spark, bf=bf, model=model, paths=paths, trigger=plan["routing"], max_files=max_files, **plan["source"])
     if available_now:
         routing.awaitTermination()
-    insights = start_insights(spark, paths, trigger=trig, max_files=max_files)
+    insights = start_insights(spark, paths, trigger=plan["insights"], max_files=max_files, bootstrap=bootstrap,
+                              dedupe_alerts=plan["dedupe_alerts"])
     if available_now:
         for q in insights.values():
             q.awaitTermination()
@@ -50,7 +63,7 @@ def main(argv=None) -> None:
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--max-files", type=int, default=None)
     p.add_argument("--bootstrap", default=None,
-                   help="bus brokers: read --raw as that topic name instead of a folder")
+                   help="bus brokers: --raw is then the name of a topic instead of a folder")
     p.add_argument("--master", default=None)
     a = p.parse_args(argv)
     spark = get_spark(a.master, app="fraudflow-online")

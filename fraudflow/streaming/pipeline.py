@@ -28,7 +28,7 @@ from ..operators import windows as W
 from ..operators.alerts import fraud_alerts, is_model_fraud, is_model_not_fraud
 from ..schema import (NOT_FRAUD_COLUMNS, ONLINE_THRESHOLD, SOURCE_BLOOM, SOURCE_MODEL,
                       STREAM_COLUMNS, TRANSACTION_COLUMNS, WATERMARK_2M, WINDOW_2M)
-from ..sources.topics import decode, encode, read_topic
+from ..sources.topics import decode, encode, read_topic, write_topic
 from .sinks import start_table_query, table_sink
 
 
@@ -79,38 +79,42 @@ class TopologyPaths:
         return f"{self.base}/checkpoints/{name}"
 
 
-def route_batch(bf, model, paths: TopologyPaths, threshold: float = ONLINE_THRESHOLD):
-    """Stage 1+2 as one ``foreachBatch`` function (ST9, SET2, FLT4, FLT5)."""
+ROUTED_TOPICS = ("other_transactions", "fraud_transactions", "routed_transactions")
+
+
+def route_batch(bf, model, paths: TopologyPaths, threshold: float = ONLINE_THRESHOLD, bootstrap: str | None = None):
+    """Stage 1+2 as one ``foreachBatch`` function (ST9, SET2, FLT4, FLT5).
+
+    A batch that is run again after a failure leaves file topics and tables
+    as they are.  ``bootstrap`` sends the topics to that bus instead.
+    """
+    from ..plans.model import unscored
     not_fraud_sink = table_sink(paths.table("ml_not_fraud"))
     unscored_sink = table_sink(paths.table("unscored"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        held = [batch.persist(StorageLevel.MEMORY_AND_DISK)]
         try:
             if batch.isEmpty():
                 return
             hits, other = split_bloom(tag_bloom(batch, bf))
-            other = other.persist(StorageLevel.MEMORY_AND_DISK)
-            scored = score_other(other, model, threshold).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(other := other.persist(StorageLevel.MEMORY_AND_DISK))
+            held.append(scored := score_other(other, model, threshold).persist(StorageLevel.MEMORY_AND_DISK))
             ml_fraud, clear = split_model(scored, threshold)
-            fraud = as_stream_record(hits).unionByName(as_stream_record(ml_fraud))
-            routed = as_stream_record(hits).unionByName(as_stream_record(
-                scored.withColumn("fraud_source",
-                                  F.when(is_model_fraud(threshold=threshold), F.lit(SOURCE_MODEL)))))
             # rows the assembler skips (a null / NaN numeric input): same rule
             # as the model's VectorAssembler, as a predicate (ids may repeat)
-            from ..plans.model import unscored
-            skipped = unscored(other.select(*[c for c in TRANSACTION_COLUMNS if c in other.columns]))
-            for name, df in (("other_transactions", as_stream_record(other)),
-                             ("fraud_transactions", fraud),
-                             ("routed_transactions", routed.unionByName(as_stream_record(skipped)))):
-                encode(df).write.mode("overwrite").json(f"{paths.topic(name)}/batch-{batch_id:012d}")
+            skipped = as_stream_record(unscored(other.select(*[c for c in TRANSACTION_COLUMNS if c in other.columns])))
+            fraud = as_stream_record(hits).unionByName(as_stream_record(ml_fraud))
+            by_model = F.when(is_model_fraud(threshold=threshold), F.lit(SOURCE_MODEL))
+            routed = (as_stream_record(hits).unionByName(as_stream_record(scored.withColumn("fraud_source", by_model)))
+                      .unionByName(skipped))
+            for name, df in zip(ROUTED_TOPICS, (as_stream_record(other), fraud, routed)):
+                write_topic(encode(df), name, path=paths.topic(name), bootstrap=bootstrap, batch_id=batch_id)
             not_fraud_sink(clear.select(*NOT_FRAUD_COLUMNS), batch_id)
-            unscored_sink(as_stream_record(skipped), batch_id)
-            scored.unpersist()
-            other.unpersist()
+            unscored_sink(skipped, batch_id)
         finally:
-            batch.unpersist()
+            for df in held:
+                df.unpersist()
     return run
 
 
@@ -143,46 +147,49 @@ def insights(routed: DataFrame, duration: str = WINDOW_2M, watermark: str = WATE
 OUTPUT_MODES = {"suspicious_receivers_2m": "update"}
 
 
+#: when an insight runs: the activity summaries every two minutes, all others
+#: whenever the last batch has ended (ST7)
+EVERY_2M = {"processingTime": "2 minutes"}
+TRIGGERS = {"summary_by_type_2m": EVERY_2M, "summary_total_by_type_2m": EVERY_2M, "summary_fraud_by_type_2m": EVERY_2M}
+
+
 def start_insights(spark: SparkSession, paths: TopologyPaths, names=None, trigger=None,
-                   max_files: int | None = None, modes: dict | None = None,
-                   state_partitions: int | None = None, **kw) -> dict:
-    """Start the stage-3 queries reading the routed topic; returns the
-    running queries by name."""
+                   max_files: int | None = None, modes: dict | None = None, bootstrap: str | None = None, **kw) -> dict:
+    """Start the stage-3 queries reading the routed topic; returns the running
+    queries by name.  ``trigger`` is one for all, or a dict by name with
+    ``None`` for the rest (see TRIGGERS)."""
     qs = {}
     modes = {**OUTPUT_MODES, **(modes or {})}
-    for name, df in insights(_read_routed(spark, paths, max_files), **kw).items():
+    for name, df in insights(_read_routed(spark, paths, max_files, bootstrap), **kw).items():
         if names and name not in names:
             continue
+        own = trigger.get(name, trigger[None]) if trigger and None in trigger else trigger
         qs[name] = start_table_query(df, paths.table(name), paths.checkpoint(name),
-                                     mode=modes.get(name, "append"), trigger=trigger,
-                                     state_partitions=state_partitions)
+                                     mode=modes.get(name, "append"), trigger=own)
     return qs
 
 
-def _read_routed(spark, paths: TopologyPaths, max_files):
+def _read_routed(spark, paths: TopologyPaths, max_files, bootstrap=None):
+    # a bus topic is read from its start on the first run: insights miss nothing routed before
     env = read_topic(spark, "routed_transactions", path=f"{paths.topic('routed_transactions')}/*",
-                     max_per_trigger=max_files)
+                     bootstrap=bootstrap, starting="earliest", max_per_trigger=max_files)
     return decode(env)
 
 
-def start_routing(spark: SparkSession, raw_path: str, bf, model, paths: TopologyPaths,
+def start_routing(spark: SparkSession, raw_path: str | None, bf, model, paths: TopologyPaths,
                   trigger=None, max_files: int | None = None,
                   threshold: float = ONLINE_THRESHOLD, bootstrap: str | None = None,
                   raw_topic: str = "transactions_raw"):
     """Start stage 1+2 over the raw stream: a file topic folder, or the bus
-    topic ``raw_topic`` when ``bootstrap`` names the brokers."""
+    topic ``raw_topic`` when ``bootstrap`` names the brokers (then the routed
+    topics go to the bus too)."""
     env = read_topic(spark, raw_topic, path=raw_path, bootstrap=bootstrap,
                      max_per_trigger=max_files)
     raw = decode(env)
-    return (raw.writeStream.option("checkpointLocation", paths.checkpoint("routing"))
-               .foreachBatch(route_batch(bf, model, paths, threshold))
-               .trigger(**(trigger or {"availableNow": True})).start())
-
-
-def replay(df: DataFrame, path: str, key: str = "transaction_id") -> None:
-    """Write a table as a file topic in event-time order (one append)."""
-    order = "event_time" if "event_time" in df.columns else "timestamp"
-    encode(df.orderBy(order, key), key).write.mode("append").json(path)
+    w = (raw.writeStream.option("checkpointLocation", paths.checkpoint("routing"))
+            .foreachBatch(route_batch(bf, model, paths, threshold, bootstrap)))
+    trigger = {"availableNow": True} if trigger is None else trigger
+    return (w.trigger(**trigger) if trigger else w).start()
 
 
 def await_all(queries, timeout: float | None = None) -> None:

@@ -34,41 +34,28 @@ def table_sink(path: str, log: list | None = None):
 
 
 def read_table(spark, path: str, schema: str | None = None) -> DataFrame:
-    """Read a sink table (``_batch`` comes back as a partition column)."""
-    import os
-    r = spark.read
-    if schema:
-        r = r.schema(schema)
-    if path.startswith("/") and not os.path.exists(path):
-        if schema is None:
-            raise FileNotFoundError(path)
+    """Read a sink table (``_batch`` comes back as a partition column); with
+    ``schema`` a table that no batch has written yet is empty."""
+    from ..session import path_exists
+    if schema and not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    r = spark.read.schema(schema) if schema else spark.read
     return r.option("basePath", path).parquet(path)
 
 
 def start_table_query(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
-                      trigger: dict | None = None, name: str | None = None, log=None,
-                      state_partitions: int | None = None):
+                      trigger: dict | None = None, name: str | None = None, log=None):
     """Start ``df.writeStream.foreachBatch(table_sink(path))`` with its own
     checkpoint (offsets, state, watermark survive restarts).
 
-    ``state_partitions`` sets the number of state-store partitions of a new
-    query (it is fixed in the checkpoint at the first start; AQE does not
-    resize streaming state).  The session setting is only changed while the
-    query starts — the query copies the configuration then.
+    The number of state partitions is the session's
+    ``spark.sql.shuffle.partitions`` at the first start; give a stream of
+    another width a session of its own (``spark.newSession()``).  An empty
+    ``trigger`` starts a batch whenever the last has ended.
     """
     w = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
            .foreachBatch(table_sink(path, log)))
     if name:
         w = w.queryName(name)
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    if not state_partitions:
-        return w.start()
-    conf = df.sparkSession.conf
-    key = "spark.sql.shuffle.partitions"
-    old = conf.get(key)
-    conf.set(key, str(state_partitions))
-    try:
-        return w.start()
-    finally:
-        conf.set(key, old)
+    trigger = {"availableNow": True} if trigger is None else trigger
+    return (w.trigger(**trigger) if trigger else w).start()

@@ -3,6 +3,7 @@ denominators, arrivals, blank facets, empty inputs, ties)."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from fraudflow.functions.expressions import parse_event_time, safe_div, to_number
@@ -149,26 +150,68 @@ def test_event_time_is_zone_free(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_money_average_is_exact_and_partition_independent(spark):
-    """32 amounts whose exact mean ends in ...5 at the 7th decimal: the
-    result is half-up and the same for any partitioning."""
-    amounts = [48146.51] * 31 + [48146.51 - 0.0001 * 32 + 0.0032 - 0.01]  # odd cent total
-    exact = sum(round(a * 100) for a in amounts)                        # cents
-    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, i), "t", a)
-                                for i, a in enumerate(amounts)],
-                               "event_time timestamp_ntz, transaction_type string, amount double")
-    outs = {W.summary_total_by_type(df.repartition(n), "1 day").first()["avg_amount_2m"]
+def money_rows(spark, amounts):
+    return spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, i % 60), "t", a) for i, a in enumerate(amounts)],
+                                 "event_time timestamp_ntz, transaction_type string, amount double")
+
+
+def test_money_is_exact_and_partition_independent(spark):
+    amounts = [48146.51] * 31 + [0.1, 0.2, 0.3] * 7
+    cents = sum(round(a * 100) for a in amounts)
+    df = money_rows(spark, amounts)
+    outs = {tuple(W.summary_total_by_type(df.repartition(n), "1 day").select("total_amount_2m", "avg_amount_2m").first())
             for n in (1, 3, 7)}
-    assert len(outs) == 1
-    want = (exact * 10000 * 2 + 32) // 64 / 1e6                           # half-up in micro-units
-    assert outs.pop() == want
+    assert outs == {(cents / 100, cents / 100 / len(amounts))}
+
+
+def test_money_survives_bad_and_large_amounts(spark):
+    """NaN, infinities and nulls count as rows but add nothing; large and tiny amounts are kept."""
+    bad = [float("nan"), float("inf"), float("-inf"), None]
+    for amounts, total in (([5e12] * 2, 1e13), ([1e20] * 3, 3e20), ([4e-7] * 1000, 4e-4), ([1e-7], 1e-7), ([], 0.0)):
+        df = money_rows(spark, amounts + bad)
+        loss = W.fraud_loss(df, "1 day").first()
+        assert (loss["fraud_count_2m"], loss["fraud_loss_2m"]) == (len(amounts) + 4, total)
+        s = W.summary_by_type(df, F.lit(True), "1 day").first()
+        assert s["total_amount_2m"] == total
+        assert s["avg_amount_2m"] == (pytest.approx(total / len(amounts)) if amounts else None)
 
 
-def test_kpi_alert_count_whole_or_retained(spark):
+def test_kpi_alert_count_is_that_of_the_store(spark):
     alerts = spark.range(7).selectExpr("CAST(id AS STRING) AS transaction_id")
     loss = spark.createDataFrame([], "fraud_count_2m bigint, fraud_loss_2m double, "
                                      "window_start timestamp_ntz, window_end timestamp_ntz")
     summary = spark.createDataFrame([], "window_start timestamp_ntz, window_end timestamp_ntz, "
                                         "transaction_type string, fraud_rate_2m double")
     assert S.kpis(alerts, loss, summary).first()["alerts_count"] == 7
-    assert S.kpis(alerts, loss, summary, alerts_retained=5).first()["alerts_count"] == 5
+    assert S.kpis(S.last_n(alerts, 5, ["transaction_id"]), loss, summary).first()["alerts_count"] == 5
+
+
+def test_worst_type_reads_its_input_once(spark):
+    summary = spark.createDataFrame([(1, 2, "a", 0.5), (2, 3, "b", None), (2, 3, "c", 0.1), (2, None, "d", 0.9)],
+                                    "window_start int, window_end int, transaction_type string, fraud_rate_2m double")
+    out = S.worst_type_latest(summary)
+    assert tuple(out.first()) == (3, "c", 0.1)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+
+
+def test_facets_are_unfiltered_unless_chosen(spark):
+    df = spark.createDataFrame([(f"T{i}", f"type{i:02d}" if i else " ", f"m{i:02d}", float(i)) for i in range(25)],
+                               "transaction_id string, transaction_type string, merchant_category string, amount double")
+    assert S.filter_alerts(df).count() == 25
+    first = S.first_facets(df, "transaction_type", 10)
+    assert first == [f"type{i:02d}" for i in range(1, 11)]
+    assert S.filter_alerts(df, types=first).count() == 10
+    assert S.filter_alerts(df, types=first, amount_range=(5, 7)).count() == 3
+    assert S.summary_view(df).count() == 24 and S.summary_view(df, ["type03"]).count() == 1
+    assert S.raw_alerts_view(df, 3, ["transaction_id"]).columns == ["transaction_id", "amount", "transaction_type", "merchant_category"]
+
+
+def test_null_keys_pass_the_filter_by(spark):
+    from fraudflow.operators import bloom
+    keys = spark.range(2000).selectExpr("concat('K', id) AS k")
+    bf = bloom.build(keys, "k")
+    probe = keys.unionByName(spark.range(2000).selectExpr("CAST(null AS STRING) AS k"))
+    for bound in (0, bloom.DEFAULT_MAX_BROADCAST_BLOCKS):
+        out = bf.might_contain(probe, "k", max_broadcast_blocks=bound)
+        assert out.where("bf_hit").count() == 2000 and out.where("k IS NULL AND NOT bf_hit").count() == 2000
+    bf.release()

@@ -82,5 +82,13 @@ def test_many_categories_train(spark):
     t = (fx.txn(spark, SF_MID).select(*TRANSACTION_COLUMNS)
          .withColumn("location", F.concat(F.lit("L"), (F.substring("transaction_id", 2, 9)
                                                       .cast("int") % 40).cast("string"))))
-    tr = M.train_model(t)
+    with pytest.raises(ValueError, match="location"):
+        M.train_model(t)
+    tr = M.train_model(t, max_bins=64)
     assert M.score(tr.model, tr.test).count() > 0
+
+
+def test_training_sets_are_reproducible(spark):
+    t = fx.txn(spark, SF_MID).select(*TRANSACTION_COLUMNS)
+    ids = [{r[0] for r in d.select("transaction_id").collect()} for n in (1, 7) for d in M.training_sets(t.repartition(n))]
+    assert ids[0] == ids[2] and ids[1] == ids[3] and ids[0] and ids[1] and not ids[0] & ids[1]

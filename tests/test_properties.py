@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from fraudflow.operators import bloom
-from fraudflow.operators.ranking import global_row_number, shard
+from fraudflow.operators.ranking import global_row_number
 from fraudflow.operators.senders import bad_senders, clean_senders
 from fraudflow.operators.serving import dedupe_keep_last
 from fraudflow.sources import fixtures as fx
@@ -127,12 +127,6 @@ def test_grouped_row_number_matches_pandas(spark, skewed):
     assert len(m) == 9000 and (m["rn"] == m["rn_exp"]).all()
 
 
-def test_shard_covers_every_row_once(spark, skewed):
-    s = shard(skewed, 4, ["id"]).toPandas()
-    assert len(s) == 9000
-    assert (s.sort_values("id")["shard"].values == (pd.Series(range(9000)) % 4).values).all()
-
-
 def test_dedupe_keep_last_hot_key_and_idempotent(spark, skewed):
     d = dedupe_keep_last(skewed, ["g"], ["v", "id"])
     pdf = skewed.toPandas().sort_values(["v", "id"]).drop_duplicates("g", keep="last")
@@ -154,7 +148,7 @@ def test_two_cursor_reads_equal_one_full_read(spark):
     keys = fx.BIG_ARRIVAL_ORDER
     seen, cursor = [], None
     for _ in range(10):
-        rows = fetch_new(t, keys, cursor, batch_size=500, max_batches=2)
+        rows = fetch_new(t, keys, cursor, max_rows=1000)
         got = rows.select("transaction_id", *[k for k in keys if k != "transaction_id"]).collect()
         if not got:
             break

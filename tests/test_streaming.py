@@ -253,3 +253,53 @@ def test_two_table_summary_merged_by_serving(spark, routed, tmp_path):
     a = rows(merged.where(F.col("window_end") <= F.lit(fraud_closed)), cols)
     b = rows(one.where(F.col("window_end") <= F.lit(fraud_closed)), cols)
     assert a == b and len(a) > 0
+
+
+def test_router_batch_twice_changes_nothing(spark, tmp_path):
+    """Batch 0, insights, batch 0 again, insights: every alert once, the same window counts."""
+    from fraudflow.plans.model import train_model
+    from fraudflow.streaming.pipeline import route_batch
+    t = fx.txn(spark, "/root/testdata/sf0.01").select(*TRANSACTION_COLUMNS)
+    bf = bloom.build(bad_senders(t), "sender_account")
+    paths = TopologyPaths(str(tmp_path))
+    route = route_batch(bf, train_model(t).model, paths)
+    raw = fx.txn(spark, SF_SMALL).select(*TRANSACTION_COLUMNS, F.lit(None).cast("string").alias("fraud_source"))
+    names = ["fraud_alerts_realtime", "fraud_rate_2m"]
+
+    def seen():
+        await_all(start_insights(spark, paths, names=names))
+        return [rows(read_table(spark, paths.table(n)), cols) for n, cols in ((names[0], ["transaction_id"]), (names[1], COLS))]
+
+    route(raw, 0)
+    first = seen()
+    route(raw, 0)
+    assert seen() == first and len(first[0]) == len(set(first[0])) > 0
+
+
+def test_online_plan():
+    from fraudflow.streaming.job import plan_online
+    files = plan_online("/shared/raw")
+    assert files["source"] == {"raw_path": "/shared/raw"} and not files["dedupe_alerts"]
+    assert files["routing"] == {} and files["insights"]["summary_total_by_type_2m"] == {"processingTime": "2 minutes"}
+    assert files["insights"][None] == {} and "fraud_alerts_realtime" not in files["insights"]
+    bus = plan_online("raw_topic", bootstrap="host:1")
+    assert bus["source"]["raw_topic"] == "raw_topic" and bus["source"]["bootstrap"] == "host:1" and bus["dedupe_alerts"]
+    assert plan_online("x", available_now=True)["routing"] == {"availableNow": True}
+
+
+def test_missing_table(spark, tmp_path):
+    assert read_table(spark, f"file://{tmp_path}/none", schema="a int").count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_table(spark, f"file://{tmp_path}/none")
+
+
+def test_full_reload_keeps_the_newest(spark, tmp_path):
+    from fraudflow.operators.serving import refresh_store
+    path = str(tmp_path / "t")
+    spark.range(210_000).selectExpr("id AS k", "id AS _row").write.parquet(f"{path}/_batch=0")
+    table = read_table(spark, path)
+    for step in (None, 80_000):
+        store, cursor = refresh_store(None, table, None, ["k"], 5000, fetch_rows=step)
+        assert store.count() == 5000 and store.agg(F.min("k")).first()[0] == 205_000 and cursor == (0, 209_999)
+        again, same = refresh_store(store, table, cursor, ["k"], 5000, fetch_rows=step)
+        assert again.count() == 5000 and same == cursor
