@@ -1086,3 +1086,118 @@ WHERE window_end <= {_CLOSED_FRAUD}"""))
 def q_stream_fraud_minmax_2m(spark, sf):
     """Q3 through the stream: closed windows of the fraud rows."""
     return _stream_insight(spark, sf, ["fraud_minmax_2m"])["fraud_minmax_2m"]
+
+
+# ---------------------------------------------------------------------------
+# Operators whose results SQL can only check, as rows of checks that can fail
+# ---------------------------------------------------------------------------
+
+def _same_rows(a: DataFrame, b: DataFrame, name: str = "same") -> DataFrame:
+    """One row: how many rows ``a`` has, and whether ``b`` has the same ones."""
+    sides = a.select(F.struct("*").alias("r"), F.lit(1).alias("d")).unionByName(b.select(F.struct("*").alias("r"), F.lit(-1).alias("d")))
+    per = sides.groupBy(F.to_json("r").alias("r")).agg(F.sum("d").alias("d"), F.count_if(F.col("d") > 0).alias("n"))
+    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.bool_and(F.col("d") == 0), F.lit(True)).alias(name))
+
+
+@query("bloom_reload", O.with_ctes(O.BIG_CTE, """
+SELECT CAST(count(*) AS BIGINT) AS rows, true AS same FROM txn_big"""))
+def q_bloom_reload(spark, sf):
+    """SNK4: a saved filter answers as the one that was built."""
+    from ..operators.bloom import BloomFilter
+    from ..session import work_path
+    t, _, bf = _bloom_big(spark, sf)
+    bf.save(path := work_path(spark, "bloom"))
+    rows = t.select("transaction_id", "sender_account")
+    return _same_rows(bf.might_contain(rows, "sender_account"), BloomFilter.load(spark, path).might_contain(rows, "sender_account"))
+
+
+@query("model_reload", O.with_ctes(O.TXN_CTE + "," + _TRAINING_SQL, """
+SELECT CAST(count(*) AS BIGINT) AS rows, true AS same FROM drawn WHERE split = 'test'"""))
+def q_model_reload(spark, sf):
+    """SNK5: a saved pipeline scores as the fitted one."""
+    from ..session import work_path
+    from .model import load_model, save_model, score
+    t = trained(spark, sf)
+    save_model(t.model, path := work_path(spark, "model"))
+    cols = ["transaction_id", "fraud_probability", "prediction_custom"]
+    return _same_rows(score(t.model, t.test).select(cols), score(load_model(path), t.test).select(cols))
+
+
+@query("inferred_csv", O.with_ctes(O.TXN_CTE, """
+SELECT transaction_id, amount, velocity_score, is_fraud, merchant_category, time_since_last_transaction FROM txn"""))
+def q_inferred_csv(spark, sf):
+    """SRC2: types inferred from a CSV with header."""
+    from ..session import work_path
+    from ..sources.tables import read_inferred, write_sorted
+    write_sorted(_txn(spark, sf), path := work_path(spark, "csv-inferred"))
+    return read_inferred(spark, path).select("transaction_id", "amount", "velocity_score", "is_fraud", "merchant_category",
+                                             "time_since_last_transaction")
+
+
+@query("imputed_median", O.with_ctes(O.TXN_CTE + "," + _TRAINING_SQL, """
+SELECT CAST(count(*) FILTER (WHERE time_since_last_transaction IS NULL) AS BIGINT) AS imputed_rows,
+       true AS is_median FROM drawn WHERE split = 'train'"""))
+def q_imputed_median(spark, sf):
+    """ML4: gaps are filled with the training median (within 1 % of the ranks)."""
+    from pyspark.ml.feature import Imputer
+    train = trained(spark, sf).train.select(F.col("time_since_last_transaction").alias("v"))
+    filled = Imputer(inputCols=["v"], outputCols=["f"], strategy="median").fit(train).transform(train)
+    gap = F.max(F.when(F.col("v").isNull(), F.col("f")))
+    near = gap.between(F.percentile("v", 0.49), F.percentile("v", 0.51))
+    return filled.agg(F.count_if(F.col("v").isNull()).alias("imputed_rows"), near.alias("is_median"))
+
+
+@query("approx_within_error", O.with_ctes(O.BIG_CTE, f"""
+SELECT CAST(count(*) AS BIGINT) AS windows, true AS within_error FROM (
+  SELECT DISTINCT {O.w1d()} AS w, receiver_account FROM fraud_big)"""))
+def q_approx_within_error(spark, sf):
+    """AG16: approximate distinct senders within five standard deviations (0.05) or one sender."""
+    big = fx.fraud_big(spark, sf)
+    both = big.groupBy(F.window("event_time", "1 day"), "receiver_account").agg(
+        F.approx_count_distinct("sender_account").alias("a"), F.count_distinct("sender_account").alias("n"))
+    ok = F.abs(F.col("a") - F.col("n")) <= F.greatest(F.lit(1.0), 0.25 * F.col("n"))
+    return both.agg(F.count("*").alias("windows"), F.bool_and(ok).alias("within_error"))
+
+
+@query("normalised_table", O.with_ctes(O.TXN_CTE, """
+SELECT substr(transaction_id, 2) AS _id, event_time AS timestamp, amount FROM txn"""))
+def q_normalised_table(spark, sf):
+    """FN12 + FN23: ids as text, time columns parsed."""
+    from ..operators.serving import normalise_table
+    t = _txn(spark, sf)
+    return normalise_table(t.select(F.substring("transaction_id", 2, 20).cast("bigint").alias("_id"), "timestamp", "amount"))
+
+
+@query("stream_routes", O.with_ctes(O.ROUTED_CTE, """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE fraud_source = 'bloom_filter') AS BIGINT) AS member_rows,
+       CAST(0 AS BIGINT) AS members_missed, true AS false_hits_within_bound, CAST(0 AS BIGINT) AS wrong_model_routes
+FROM txn_routed"""))
+def q_stream_routes(spark, sf):
+    """ST9, SET2, FLT4, FLT5: the whole router, with a rule in the model's place: every row
+    of a member is a hit, few others are, and the rest goes where the rule sends it."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+    from ..operators import bloom
+    from ..session import work_path
+    from ..sources.topics import decode
+    from ..streaming.pipeline import TopologyPaths, start_routing
+    member = F.col("fraud_source") == "bloom_filter"
+    t = fx.txn_routed(spark, sf)
+    rule = PipelineModel([
+        SQLTransformer(statement=f"SELECT *, if(amount > {fx.ROUTE_MODEL_AMOUNT}, 0.9D, 0.1D) AS p1, if(amount > {fx.ROUTE_MODEL_AMOUNT}, 0.1D, 0.9D) AS p0 FROM __THIS__"),
+        VectorAssembler(inputCols=["p0", "p1"], outputCol="probability"),
+        SQLTransformer(statement="SELECT *, double(p1 >= 0.5) AS prediction FROM __THIS__")])
+    paths = TopologyPaths(work_path(spark, "stream-routes"))
+    replay(t.select(*TRANSACTION_COLUMNS, "event_time"), f"{paths.base}/raw/replay")
+    bf = bloom.build(t.where(member).select("sender_account"), "sender_account")
+    q = start_routing(spark, f"{paths.base}/raw/*", bf, rule, paths)
+    q.awaitTermination()
+    bf.release()
+    routed = decode(spark.read.schema("key string, value string").json(f"{paths.topic('routed_transactions')}/*"))
+    truth = t.select(F.col("transaction_id").alias("id"), F.col("fraud_source").alias("truth"))
+    j = routed.join(truth, F.col("transaction_id") == F.col("id"), "full")
+    is_member, hit = F.col("truth").eqNullSafe(F.lit("bloom_filter")), F.col("fraud_source").eqNullSafe(F.lit("bloom_filter"))
+    return j.agg(F.count("transaction_id").alias("rows"), F.count_if(is_member).alias("member_rows"),
+                 F.count_if(is_member & ~hit).alias("members_missed"),
+                 (F.count_if(hit & ~is_member) <= 0.02 * F.count_if(~is_member) + 50).alias("false_hits_within_bound"),
+                 F.count_if(~is_member & ~hit & ~F.col("fraud_source").eqNullSafe(F.col("truth"))).alias("wrong_model_routes"))

@@ -24,12 +24,10 @@ SAMPLE_FRACTIONS = {False: 0.2, True: 1.0}
 SPLIT_WEIGHTS = [0.8, 0.2]
 SEED = 42
 ALERTS_LIMIT = 500
-FACET_DEFAULT_COUNT = 10
 SOURCE_BLOOM = "bloom_filter"
 SOURCE_MODEL = "ml_model"
 MAX_OFFSETS_PER_TRIGGER = 50
 RETENTION = {"alerts": 5000, "windows": 5000, "summary": 20000, "not_fraud": 3000}
-FETCH_ROWS = 1000 * 200           # rows of one dashboard refresh: 200 batches of 1,000
 RF_PARAMS = dict(numTrees=100, maxDepth=10, subsamplingRate=0.7,
                  featureSubsetStrategy="sqrt", seed=42)
 CATEGORICAL_COLS = ["transaction_type", "merchant_category", "location",
