@@ -13,19 +13,26 @@ from pyspark.sql import functions as F
 
 from .store import stored
 
+FEW = 200_000  # links that one task takes; as many need no shuffle
 
-def _star(edges: DataFrame, name: str, large: bool) -> DataFrame:
-    """One step over edges (a, b), a > b."""
+
+def _star(edges: DataFrame, name: str, large: bool, few: bool) -> DataFrame:
+    """One step over edges (a, b), a > b; ``few`` of them stay in one partition."""
     both = edges.select("a", "b")
     if large:
         both = both.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    if few:
+        both = both.coalesce(1)
     least = stored(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), name + "-least")
+    if few:
+        least = least.coalesce(1)
     met = both.join(least, "a")
     if large:
         out = met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = met.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-    return stored(out.where("a <> b").distinct(), name)
+    out = out.where("a <> b")
+    return stored((out.coalesce(1) if few else out).distinct(), name)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -40,6 +47,7 @@ def components(links: DataFrame) -> DataFrame:
         if not found["n"] or tuple(found) == state:
             break
         state = tuple(found)
-        edges = _star(_star(edges, "large-star", True), "small-star", False)
+        few = found["n"] <= FEW
+        edges = _star(_star(edges, "large-star", True, few), "small-star", False, few)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -26,7 +26,7 @@ from .store import stored
 from .words import (LOWER, SPACES, U64, Powers, grams, mix, multipliers, pack, pack_sorted, slices, span_hashes, spans,
                     unpack, unpack_sorted)
 
-SEGMENT_WORDS = 2_000_000  # words that a task gathers before it sends shingles on
+SEGMENT_WORDS = 600_000  # words that a task gathers before it sends shingles on
 OFTEN = 16  # a shingle of more documents of a segment is sent once, with their number
 MAX_MATCH = 8  # longest multi-match
 VERIFY_COST = 16  # of comparing two sets, in postings read
@@ -226,28 +226,29 @@ def choose_match(n: int, counts: np.ndarray, percent: int) -> tuple[int, int]:
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that share enough prefix shingles and then reach the threshold."""
+    """The pairs (a, b, ...) of classes that share enough prefix shingles and then reach the threshold."""
     def side(x):
         return classes.select(*(F.col(c).alias(f"{x}_{c}") for c in ("set_id", "n", "k", "q", "shingles")))
 
+    names = pairs.columns
     both = pairs.join(side("a"), F.col("a") == F.col("a_set_id")).join(side("b"), F.col("b") == F.col("b_set_id"))
 
     def verify(batches):
         import pyarrow as pa
 
         for batch in batches:
-            c = batch.to_pydict()
+            c = batch.select([f"{x}_{y}" for y in ("n", "k", "q", "shingles") for x in "ab"]).to_pydict()
             ok = []
-            for na, nb, ka, kb, qa, qb, sa, sb in zip(*(c[f"{x}_{y}"] for y in ("n", "k", "q", "shingles") for x in "ab")):
+            for na, nb, ka, kb, qa, qb, sa, sb in zip(*c.values()):
                 x, y = np.frombuffer(sa, U64), np.frombuffer(sb, U64)
                 if len(np.intersect1d(x[:qa], y[:qb], assume_unique=True)) < min(ka, kb):
                     ok.append(False)
                     continue
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * common >= percent * (na + nb - common))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            yield batch.select(names).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("a", "b", *(f"{x}_{y}" for x in "ab" for y in ("n", "k", "q", "shingles"))).mapInArrow(verify, "a binary, b binary")
+    return both.select(*names, *(f"{x}_{y}" for x in "ab" for y in ("n", "k", "q", "shingles"))).mapInArrow(verify, pairs.schema)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -262,8 +263,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
     ids.  A component whose ids are all null has a null component_id.
     """
     texts = texts_with_counts(docs, n, percent, id_col, text_col)
-    classes = stored(texts.where("shingles IS NOT NULL").groupBy("set_id").agg(
-        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("shingles").alias("shingles"), F.first("counts").alias("counts")), "classes")
+    classes = texts.where("shingles IS NOT NULL").groupBy("set_id").agg(
+        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("shingles").alias("shingles"), F.first("counts").alias("counts"))
 
     def prefixes(batches):
         import pyarrow as pa
@@ -282,7 +283,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
                                    pa.array(centre), b.column("shingles")],
                                   names=["set_id", "first_id", "n", "shared", "k", "q", "centre", "shingles"])
 
-    classes = stored(classes.mapInArrow(prefixes, "set_id binary, first_id long, n long, shared long, k long, q long, centre double, shingles binary"), "prefixes")
+    classes = stored(classes.mapInArrow(prefixes, "set_id binary, first_id long, n long, shared long, k long, q long, centre double, shingles binary"), "classes")
 
     def post(batches):
         import pyarrow as pa
@@ -301,21 +302,16 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
     rank = F.struct("centre", "set_id")
     heads = stored(postings.groupBy("shingle").agg(F.max(rank).alias("head"), F.count("*").alias("size")).where("size > 1")
                    .select("shingle", F.col("head.set_id").alias("hub"), F.col("head.centre").alias("hub_centre")), "hubs")
-    met = postings.join(heads, "shingle")
-    lists = stored(met, "postings")
-    first = lists.where("set_id <> hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b")).distinct()
+    lists = stored(postings.join(heads, "shingle"), "postings")
+    first = lists.where("set_id <> hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b"), "hub_centre").distinct()
     links = stored(_verified(first, classes, percent), "hub-links")
 
-    # a text's label is the most central hub it is linked with, followed twice
-    centre = stored(lists.select(F.col("hub").alias("b"), F.col("hub_centre").alias("c")).distinct(), "hub-centres")
-    label = (links.join(centre, "b").groupBy("a").agg(F.max(F.struct("c", "b")).alias("m")).select("a", F.col("m.b").alias("label")))
-    label = stored(label, "labels")
-    for _ in range(2):
-        up = label.select(F.col("a").alias("label"), F.col("label").alias("up"))
-        label = stored(label.join(up, "label", "left").select("a", F.coalesce("up", "label").alias("label")), "labels")
-    own = lists.select("shingle", "set_id", "n", "shared").join(label, F.col("set_id") == F.col("a"), "left").select(
-        "shingle", "set_id", "n", "shared", F.coalesce("label", "set_id").alias("label"))
-    own = stored(own, "labelled-postings")
+    # a text's label is the most central hub it is linked with, followed once
+    label = links.groupBy("a").agg(F.max(F.struct("hub_centre", "b")).alias("m")).select("a", F.col("m.b").alias("label"))
+    up = label.select(F.col("a").alias("label"), F.col("label").alias("up"))
+    label = stored(label.join(up, "label", "left").select("a", F.coalesce("up", "label").alias("label")), "labels")
+    own = stored(lists.select("shingle", "set_id", "n", "shared").join(label, F.col("set_id") == F.col("a"), "left").select(
+        "shingle", "set_id", "n", "shared", F.coalesce("label", "set_id").alias("label")), "labelled-postings")
     # lists with one label are joined already
     mixed = own.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("shingle")
     own = stored(own.join(stored(mixed, "mixed"), "shingle", "left_semi"), "mixed-postings")
@@ -326,7 +322,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
                   & (F.col("x.set_id") < F.col("y.set_id")) & reach).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct()
     more = stored(_verified(rest, classes, percent), "other-links")
 
-    found = components(links.union(more))
+    found = components(links.select("a", "b").union(more))
     ids = (classes.select("set_id", "first_id").join(found, F.col("set_id") == F.col("node"), "left")
            .select("set_id", "first_id", F.coalesce("component", "set_id").alias("component")))
     least = ids.groupBy("component").agg(F.min("first_id").alias("component_id"))
