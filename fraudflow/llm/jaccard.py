@@ -9,10 +9,12 @@ pair is verified if it shares the smaller ``k`` of the two.
 
 Shingles that only one text has can't be shared; they come first in the order
 and are counted, never sent back or joined.  Equal sets are one class.  In
-every posting list the most central text is compared with all others first;
-pairs that this has joined need no more comparison, all others follow.  So a
-group of near copies costs about its size, and no link between classes that
-would join two components is lost.
+every posting list the most central text is compared with all others first.
+Pairs that this has joined need no more comparison.  Of the others, two that
+were compared with the same central text follow where what they have in common
+with it could do, or where they share a shingle that it lacks; all pairs
+without such a text follow.  So a group of near copies costs about its size,
+and no link that would join two components is lost.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, StructType
 
 from .components import components
 from .store import stored
@@ -225,30 +228,58 @@ def choose_match(n: int, counts: np.ndarray, percent: int) -> tuple[int, int]:
     return best[1:]
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, ...) of classes that share enough prefix shingles and then reach the threshold."""
+def _compared(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, ...) with how many shingles they have in common, whether that reaches the
+    threshold, and which shared shingles of a (in the global order) b lacks.
+
+    Pairs without ``all`` are left out if they don't share enough of their prefixes.
+    """
     def side(x):
         return classes.select(*(F.col(c).alias(f"{x}_{c}") for c in ("set_id", "n", "k", "q", "shingles")))
 
     names = pairs.columns
     both = pairs.join(side("a"), F.col("a") == F.col("a_set_id")).join(side("b"), F.col("b") == F.col("b_set_id"))
 
-    def verify(batches):
+    def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            c = batch.select([f"{x}_{y}" for y in ("n", "k", "q", "shingles") for x in "ab"]).to_pydict()
-            ok = []
-            for na, nb, ka, kb, qa, qb, sa, sb in zip(*c.values()):
+            c = batch.select(["all", *(f"{x}_{y}" for y in ("n", "k", "q", "shingles") for x in "ab")]).to_pydict()
+            keep, common, linked, lacks = [], [], [], []
+            for whole, na, nb, ka, kb, qa, qb, sa, sb in zip(*c.values()):
                 x, y = np.frombuffer(sa, U64), np.frombuffer(sb, U64)
-                if len(np.intersect1d(x[:qa], y[:qb], assume_unique=True)) < min(ka, kb):
-                    ok.append(False)
-                    continue
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * common >= percent * (na + nb - common))
-            yield batch.select(names).filter(pa.array(ok, pa.bool_()))
+                keep.append(whole or len(np.intersect1d(x[:qa], y[:qb], assume_unique=True)) >= min(ka, kb))
+                if keep[-1]:
+                    other = ~np.isin(x, y, assume_unique=True)
+                    common.append(len(x) - int(other.sum()))
+                    linked.append(100 * common[-1] >= percent * (na + nb - common[-1]))
+                    lacks.append(x[other].tobytes() if whole else None)
+            out = batch.select(names).filter(pa.array(keep, pa.bool_()))
+            yield pa.record_batch([*out.columns, pa.array(common, pa.int64()), pa.array(linked, pa.bool_()), pa.array(lacks, pa.binary())],
+                                  names=[*names, "common", "linked", "lacks"])
+
+    schema = StructType([*pairs.schema, StructField("common", LongType()), StructField("linked", BooleanType()), StructField("lacks", BinaryType())])
+    return both.select(*names, *(f"{x}_{y}" for x in "ab" for y in ("n", "k", "q", "shingles"))).mapInArrow(run, schema)
+
 
-    return both.select(*names, *(f"{x}_{y}" for x in "ab" for y in ("n", "k", "q", "shingles"))).mapInArrow(verify, pairs.schema)
+def _of_several_labels(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows of lists (by ``keys``) that have more than one label; in the others all are joined already."""
+    several = rows.groupBy(*keys).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(*keys)
+    return rows.join(stored(several, "several-labels"), list(keys), "left_semi")
+
+
+def _pairs(rows: DataFrame, keys: tuple[str, ...], percent: int, also) -> DataFrame:
+    """Pairs (a, b) of a list whose labels differ and whose shared shingles could reach the threshold.
+
+    Common shingles are at most the shared ones of either, and a link needs
+    100 * common >= percent * (sum of sizes - common).
+    """
+    x, y = rows.alias("x"), rows.alias("y")
+    on = (F.col("x.label") != F.col("y.label")) & (F.col("x.set_id") < F.col("y.set_id")) & also
+    for k in keys:
+        on = on & (F.col(f"x.{k}") == F.col(f"y.{k}"))
+    on = on & (F.least("x.shared", "y.shared") * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
+    return x.join(y, on).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -304,25 +335,50 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
                    .select("shingle", F.col("head.set_id").alias("hub"), F.col("head.centre").alias("hub_centre")), "hubs")
     lists = stored(postings.join(heads, "shingle"), "postings")
     first = lists.where("set_id <> hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b"), "hub_centre").distinct()
-    links = stored(_verified(first, classes, percent), "hub-links")
+    # a text's home is the most central hub that it is compared with
+    home = first.groupBy("a").agg(F.max(F.struct("hub_centre", "b")).alias("m")).select(F.col("a").alias("i"), F.col("m.b").alias("home"))
+    first = first.join(home, F.col("a") == F.col("i")).select("a", "b", "hub_centre", (F.col("b") == F.col("home")).alias("all"))
+    checked = stored(_compared(first, classes, percent), "hub-pairs")
+    links = checked.where("linked")
 
     # a text's label is the most central hub it is linked with, followed once
     label = links.groupBy("a").agg(F.max(F.struct("hub_centre", "b")).alias("m")).select("a", F.col("m.b").alias("label"))
     up = label.select(F.col("a").alias("label"), F.col("label").alias("up"))
-    label = stored(label.join(up, "label", "left").select("a", F.coalesce("up", "label").alias("label")), "labels")
-    own = stored(lists.select("shingle", "set_id", "n", "shared").join(label, F.col("set_id") == F.col("a"), "left").select(
-        "shingle", "set_id", "n", "shared", F.coalesce("label", "set_id").alias("label")), "labelled-postings")
-    # lists with one label are joined already
-    mixed = own.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("shingle")
-    own = stored(own.join(stored(mixed, "mixed"), "shingle", "left_semi"), "mixed-postings")
-    x, y = own.alias("x"), own.alias("y")
-    # common <= the shared shingles of either, and 100 * common >= percent * (sum of sizes - common)
-    reach = (F.least("x.shared", "y.shared") * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
-    rest = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label"))
-                  & (F.col("x.set_id") < F.col("y.set_id")) & reach).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct()
-    more = stored(_verified(rest, classes, percent), "other-links")
-
-    found = components(links.select("a", "b").union(more))
+    label = label.join(up, "label", "left").select(F.col("a").alias("i"), F.coalesce("up", "label").alias("label"))
+    homes = checked.where("all").select(F.col("a").alias("set_id"), F.col("b").alias("home"), F.col("common").alias("at_home"), "lacks")
+    facts = stored(classes.select("set_id", "n", "shared").join(homes, "set_id", "left").join(label, F.col("set_id") == F.col("i"), "left").select(
+        "set_id", "n", "shared", F.coalesce("home", "set_id").alias("home"), F.coalesce("at_home", "n").alias("at_home"),
+        F.coalesce("label", "set_id").alias("label"), "lacks"), "facts")
+
+    # Two texts of one home have in common at most what the lesser has with it, and
+    # what both have beyond it.  So either the first alone can reach the threshold ...
+    lists = stored(_of_several_labels(lists.select("shingle", "set_id").join(facts.drop("lacks"), "set_id"), "shingle"), "mixed-postings")
+    near = F.least("x.at_home", "y.at_home") * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
+    rest = _pairs(lists, ("shingle",), percent, (F.col("x.home") != F.col("y.home")) | near)
+
+    # ... or they share a shingle that their home lacks
+    def beyond(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                codes = []
+                for n, c, lacks in zip(*(part.column(x).to_pylist() for x in ("n", "at_home", "lacks"))):
+                    z = np.frombuffer(lacks, np.int64)
+                    least = max(1, -(-n * percent // 100) - c)  # so many must be shared, so the last ones needn't be listed
+                    codes.append(z[: max(0, len(z) - least + 1)])
+                rows = pa.array(np.repeat(np.arange(len(codes)), [len(c) for c in codes]))
+                yield pa.record_batch([pa.array(np.concatenate(codes)), *(part.column(x).take(rows) for x in kept)], names=["shingle", *kept])
+
+    kept = ["set_id", "n", "shared", "home", "label"]
+    extra = facts.where("lacks IS NOT NULL").select(*kept, "at_home", "lacks").mapInArrow(
+        beyond, "shingle long, set_id binary, n long, shared long, home binary, label binary")
+    extra = stored(_of_several_labels(stored(extra, "beyond-home"), "home", "shingle"), "mixed-beyond-home")
+    rest = rest.union(_pairs(extra, ("home", "shingle"), percent, F.lit(True))).distinct().withColumn("all", F.lit(False))
+    more = _compared(rest, classes, percent).where("linked").select("a", "b")
+
+    found = components(stored(links.select("a", "b").union(more), "all-links"))
     ids = (classes.select("set_id", "first_id").join(found, F.col("set_id") == F.col("node"), "left")
            .select("set_id", "first_id", F.coalesce("component", "set_id").alias("component")))
     least = ids.groupBy("component").agg(F.min("first_id").alias("component_id"))
