@@ -196,7 +196,7 @@ def texts_with_counts(docs: DataFrame, n: int, percent: int, id_col: str, text_c
         shingles, counts = [None] * len(ids), [None] * len(ids)
         for i in np.flatnonzero(enough):
             x = slice(edges[i], edges[i + 1])
-            shingles[i], counts[i] = codes[x].tobytes(), total[x].tobytes()
+            shingles[i], counts[i] = codes[x].tobytes(), pack(total[x])
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n": pa.array(size), "set_id": pa.array(mine["sets"], pa.binary()),
                          "shingles": pa.array(shingles, pa.binary()), "counts": pa.array(counts, pa.binary())})
 
@@ -304,7 +304,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
             k, q, centre, shared = [], [], [], []
             size = b.column("n").to_pylist()
             for m, c in zip(size, b.column("counts").to_pylist()):
-                c = np.frombuffer(c, np.int64)
+                c = unpack(c).astype(np.int64)
                 x, y = choose_match(m, c, percent)
                 k.append(x)
                 q.append(y)

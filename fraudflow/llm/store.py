@@ -15,5 +15,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     plain shuffle, so that Spark can split a hot key of the other side.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
