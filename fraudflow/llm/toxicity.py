@@ -1,15 +1,20 @@
 """Toxicity by nearest labelled examples (dealt operator 1).
 
-Texts are TF-IDF vectors over words and word beginnings that labelled texts
-show to go with toxicity.  A block-max inverted index of the labelled examples
-finds the exact top-k by cosine: examples come in blocks, every term knows its
-largest weight in each block, and blocks are scored in the order of their
-upper bounds until none can reach the k-th best.  Votes are weighted by
-distance and calibrated on the examples themselves, each left out once.
+Texts are TF-IDF vectors over all words of the labelled texts, and over those
+word beginnings that go with toxicity.  How much a word goes with toxic labels
+is a factor of its weight, never a reason to leave it out.  A block-max
+inverted index of the labelled examples finds the exact top-k by cosine: the
+heaviest terms of a text are summed over their postings; examples come in
+blocks, every term knows its largest weight in each block, and of the rest
+only examples are compared whose sum and block's bound can reach the k-th
+best.  Votes are weighted by distance and calibrated on the examples
+themselves, each left out once.
 """
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,10 +27,10 @@ from .words import LOWER, NON_ALNUM, U64, Powers, mix, slices, span_hashes, span
 
 BEGINNINGS = (4, 5, 6)  # characters
 MAX_EXAMPLES = 20_000  # labelled rows that a model is fitted on, the smallest by a hash of their id
-MAX_TERMS = 512
 BLOCK = 64
 NEIGHBOURS = 15
-WORDS = "(words)"
+PLAIN = 0.05  # factor of a term that doesn't go with toxicity; of one that surely does it is 1
+CHI = 10.83  # chi-square (0.1 %) from which a term goes with toxicity
 
 
 def _lower(buf: np.ndarray) -> np.ndarray:
@@ -39,10 +44,10 @@ def _lower(buf: np.ndarray) -> np.ndarray:
 
 
 def features(buf: np.ndarray, off: np.ndarray, powers: Powers, within: np.ndarray | None = None):
-    """The lower-cased bytes, (text row, feature hash, byte start, byte end) of all
-    words and word beginnings, and each text's number of words.
+    """The lower-cased bytes, and (text row, feature hash, byte start, byte end, characters
+    or 0 for a word) of all words and word beginnings.
 
-    ``within``: 65,536 flags by the low bits of the hashes that are wanted.
+    ``within``: 65,536 flags by the low bits of the beginnings' hashes that are wanted.
     """
     low = _lower(buf)
     s, e, first = spans(low, off, NON_ALNUM)
@@ -58,51 +63,66 @@ def features(buf: np.ndarray, off: np.ndarray, powers: Powers, within: np.ndarra
         else:
             r, x, y = rows, s, e
         h = mix(span_hashes(low, x, y, powers) + U64(kind))
-        if within is not None:
+        if n and within is not None:
             ok = within[(h & U64(0xFFFF)).astype(np.int64)]
             r, h, x, y = r[ok], h[ok], x[ok], y[ok]
-        out.append((r, h, x, y))
-    return low, [np.concatenate(x) for x in zip(*out)], np.diff(first)
+        out.append((r, h, x, y, np.full(len(r), n, np.int32)))
+    return low, [np.concatenate(x) for x in zip(*out)]
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All places of the ranges [start, end), one after the other."""
+    n = ends - starts
+    return np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
 @dataclass
 class Model:
-    """A fitted index; all arrays are bounded by MAX_EXAMPLES and MAX_TERMS."""
+    """A fitted index; all arrays are bounded by the words of the examples."""
 
     hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))  # ascending
-    terms: list[str] = field(default_factory=lambda: [WORDS])
-    idf: np.ndarray = field(default_factory=lambda: np.ones(1))
+    terms: list[str] = field(default_factory=list)  # empty for those that don't go with toxicity
+    beginnings: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))  # hashes
+    idf: np.ndarray = field(default_factory=lambda: np.zeros(0))  # times the factor of the association
     ids: list[int] = field(default_factory=list)
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
     prior: float = 0.0
-    without: float = 0.0  # vote of a text with none of the terms
+    without: float = 0.0  # score of a text with none of the terms
     points: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))  # calibration
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # by term: examples, weights
-    bounds: np.ndarray = field(default_factory=lambda: np.zeros((1, 0)))  # by term and block: the largest weight
-    starts: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.int64))  # by term and block: first posting
+    # postings by term: from each term's first, examples and weights; the same by example
+    edges: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    rows: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    own: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    own_terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    own_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    counts: np.ndarray | None = None  # by example, of which the weights are made
+    # bounds by term: from each term's first, blocks and the largest weights there; the largest of all
+    bound_edges: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    bound_blocks: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    bounds: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    most: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    @property
+    def postings(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By term: examples, weights."""
+        self._ready()
+        return [(self.rows[a:b], self.weights[a:b]) for a, b in zip(self.edges, self.edges[1:])]
 
     def flags(self) -> np.ndarray:
         out = np.zeros(1 << 16, bool)
-        out[(self.hashes & U64(0xFFFF)).astype(np.int64)] = True
+        out[(self.beginnings & U64(0xFFFF)).astype(np.int64)] = True
         return out
 
     def vectors(self, buf, off, powers, flags):
-        """(rows, term numbers, counts) of the texts of a slice, by row and term.
-
-        A text with terms also has its number of words, as one more term: how
-        thick the terms stand is part of its direction.
-        """
-        _, (r, h, _, _), words = features(buf, off, powers, flags)
+        """(rows, term numbers, counts) of the texts of a slice, by row and term."""
+        _, (r, h, *_) = features(buf, off, powers, flags)
         at = np.searchsorted(self.hashes, h)
         at[at == len(self.hashes)] = 0
         ok = self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), bool)
-        r, at = r[ok], at[ok]
-        m = len(self.terms)
-        key, n = np.unique(r * m + at, return_counts=True)
-        some = np.unique(r)
-        key = np.concatenate([key, some * m + m - 1])
-        order = np.argsort(key, kind="stable")
-        return key[order] // max(1, m), key[order] % max(1, m), np.concatenate([n, words[some]])[order]
+        m = max(1, len(self.terms))
+        key, n = np.unique(r[ok] * m + at[ok], return_counts=True)
+        return key // m, key % m, n
 
     def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.idf[terms]
@@ -110,35 +130,91 @@ class Model:
 
     def build(self, rows, terms, weights) -> None:
         """The inverted index of examples from (example, term, weight) entries."""
-        order = np.lexsort((rows, terms))
-        rows, terms, weights = rows[order], terms[order], weights[order]
-        blocks = -(-len(self.ids) // BLOCK)
-        edges = np.searchsorted(terms, np.arange(len(self.terms) + 1))
-        self.postings = [(rows[a:b], weights[a:b]) for a, b in zip(edges, edges[1:])]
-        self.bounds = np.zeros((len(self.terms), blocks))
-        np.maximum.at(self.bounds, (terms, rows // BLOCK), weights)
-        self.starts = np.stack([np.searchsorted(r, np.arange(blocks + 1) * BLOCK) for r, _ in self.postings]) if self.terms else np.zeros((0, blocks + 1), np.int64)
+        by = np.lexsort((terms, rows))
+        self.own = np.searchsorted(rows[by], np.arange(len(self.ids) + 1))
+        self.own_terms, self.own_weights = terms[by].astype(np.int32), weights[by]
+        self._invert()
+
+    def _ready(self) -> None:
+        """Weights and index, which aren't sent with the model."""
+        if self.counts is not None and len(self.own_weights) != len(self.counts):
+            self.own_weights = np.concatenate([self.weigh(self.own_terms[a:b], self.counts[a:b].astype(np.int64)) for a, b in zip(self.own, self.own[1:])])
+            self._invert()
+
+    def _invert(self) -> None:
+        order = np.argsort(self.own_terms, kind="stable")
+        terms, self.weights = self.own_terms[order], self.own_weights[order]
+        self.rows = np.repeat(np.arange(len(self.ids)), np.diff(self.own))[order]
+        self.edges = np.searchsorted(terms, np.arange(len(self.terms) + 1))
+        block = self.rows // BLOCK
+        head = np.flatnonzero((np.diff(terms, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+        self.bound_edges = np.searchsorted(terms[head], np.arange(len(self.terms) + 1))
+        self.bound_blocks = block[head]
+        self.bounds = np.maximum.reduceat(self.weights, head) if len(head) else np.zeros(0)
+        self.most = np.zeros(len(self.terms))
+        np.maximum.at(self.most, terms, self.weights)
+
+    def __getstate__(self):
+        """What the index is made of, small; it is made again where it is used."""
+        made = ("own_weights", "edges", "rows", "weights", "bound_edges", "bound_blocks", "bounds", "most")
+        return zlib.compress(pickle.dumps({k: v for k, v in self.__dict__.items() if self.counts is None or k not in made}, 5), 1)
+
+    def __setstate__(self, state) -> None:
+        self.__init__()
+        self.__dict__.update(pickle.loads(zlib.decompress(state)))
+
+    def _sums(self, edges, of, values, terms, weights, size) -> np.ndarray:
+        lists = [slice(a, b) for a, b in zip(edges[terms].tolist(), edges[terms + 1].tolist())]
+        w = np.repeat(weights, edges[terms + 1] - edges[terms])
+        w *= np.concatenate([values[x] for x in lists])
+        return np.bincount(np.concatenate([of[x] for x in lists]), w, size)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine above 0, and these; equal ones by example number."""
-        best, cosine, worst = np.zeros(0, np.int64), np.zeros(0), 0.0
-        bound = weights @ self.bounds[terms]
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < worst - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                x = slice(self.starts[t, b], self.starts[t, b + 1])
-                r, v = self.postings[t]
-                score[r[x] - b * BLOCK] += w * v[x]
-            score = np.round(score, 12)
-            found = np.flatnonzero(score > 0)
-            best = np.concatenate([best, found[found + b * BLOCK != leave] + b * BLOCK])
-            cosine = np.concatenate([cosine, score[found[found + b * BLOCK != leave]]])
-            top = np.lexsort((best, -cosine))[:k]
-            best, cosine = best[top], cosine[top]
-            worst = cosine[-1] if len(best) == k else 0.0
-        return best, cosine
+        self._ready()
+        n = len(self.ids)
+        bound = weights * self.most[terms]
+        order = np.argsort(-bound, kind="stable")
+        terms, weights, bound = terms[order], weights[order], bound[order]
+        left = np.append(np.cumsum(bound[::-1])[::-1], 0.0)  # what the terms from here on can add
+        size = np.append(np.cumsum((self.edges[terms + 1] - self.edges[terms])[::-1])[::-1], 0)  # their postings
+        score, at, step = np.zeros(n), 0, 16
+        found = None
+        while at < len(terms):
+            upto = min(len(terms), at + step)
+            if size[upto] < 2 * n:  # cheaper than another look
+                upto = len(terms)
+            score += self._sums(self.edges, self.rows, self.weights, terms[at:upto], weights[at:upto], n)
+            at, step = upto, 4 * step
+            if at == len(terms) or n <= k + 1:
+                continue
+            # one more than k, as one may be left out
+            worst = np.partition(score, n - k - 1)[n - k - 1] - 1e-9
+            if left[at] < worst:
+                some = np.flatnonzero(score >= worst - left[at])
+                if len(some) > n // 4:
+                    continue
+                rest = self._sums(self.bound_edges, self.bound_blocks, self.bounds, terms[at:], weights[at:], n // BLOCK + 1)
+                some = some[score[some] + rest[some // BLOCK] >= worst]
+                if (self.own[some + 1] - self.own[some]).sum() < size[at]:
+                    found = some
+                    break
+        if found is None:
+            found, cosine = np.arange(n), score
+        else:
+            text = np.zeros(len(self.terms))
+            text[terms] = weights
+            x = _ranges(self.own[found], self.own[found + 1])
+            of = np.repeat(np.arange(len(found)), self.own[found + 1] - self.own[found])
+            cosine = np.bincount(of, text[self.own_terms[x]] * self.own_weights[x], len(found))
+        cosine = np.round(cosine, 12)
+        ok = (cosine > 0) & (found != leave)
+        found, cosine = found[ok], cosine[ok]
+        if len(found) > k:
+            ok = cosine >= np.partition(cosine, len(found) - k)[len(found) - k]
+            found, cosine = found[ok], cosine[ok]
+        top = np.lexsort((found, -cosine))[:k]
+        return found[top], cosine[top]
 
     def vote(self, near: np.ndarray, cosine: np.ndarray) -> float:
         w = 1 / (1.05 - np.minimum(cosine, 1))
@@ -163,15 +239,17 @@ class Model:
         return float(min(1.0, max(0.0, np.interp(vote, *self.points))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS,
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
         id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from ``labels`` (doc_id, toxic 0 or 1) and the texts of ``docs``.
 
     At most ``max_examples`` labelled rows are used, those of the smallest
     hash of their id: the one bounded sample.  Rows with a null id or label
-    are left out, an id labelled twice is toxic if either says so.  Terms: of
-    those in five or more examples, with three times the usual share of toxic
-    ones, the ``max_terms`` of the largest chi-square.
+    are left out, an id labelled twice is toxic if either says so.  Terms:
+    all words of these texts, and the beginnings that go with toxicity, which
+    are those of three times the usual share of toxic examples and a
+    chi-square (continuity-corrected) of CHI or more.  A term's idf is taken
+    times PLAIN up to 1 as its chi-square goes from CHI to infinity.
     """
     chosen = (labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1))
               .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -187,21 +265,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
         for b in batches:
             toxic = b.column("toxic").to_numpy()
             for row, buf, off in slices(b.column("text"), 2 << 20):
-                low, (r, h, s, e), _ = features(buf, off, powers)
+                low, (r, h, s, e, k) = features(buf, off, powers)
                 order = np.lexsort((r, h))
-                r, h, s, e = r[order], h[order], s[order], e[order]
+                r, h, s, e, k = r[order], h[order], s[order], e[order], k[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
-                r, h, s, e = r[new], h[new], s[new], e[new]  # once a text
+                r, h, s, e, k = r[new], h[new], s[new], e[new], k[new]  # once a text
                 head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
                 t = toxic[row + r].astype(np.int64)
                 raw = low.tobytes()
                 yield pa.record_batch({
                     "hash": pa.array(h[head].view(np.int64)), "n": pa.array(np.diff(np.append(head, len(h)))),
-                    "n_toxic": pa.array(np.add.reduceat(t, head) if len(head) else head),
+                    "n_toxic": pa.array(np.add.reduceat(t, head) if len(head) else head), "kind": pa.array(k[head]),
                     "term": pa.array([raw[x:y].decode("utf-8", "replace") for x, y in zip(s[head].tolist(), e[head].tolist())], pa.string())})
 
-    counts = (sample.mapInArrow(count, "hash long, n long, n_toxic long, term string").groupBy("hash")
+    counts = (sample.mapInArrow(count, "hash long, n long, n_toxic long, kind int, term string").groupBy("hash", "kind")
               .agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"), F.min("term").alias("term")))
     totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
     n, t = totals["n"], totals["t"]
@@ -210,14 +288,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
         m.without = m.prior
         m.points = (np.array([0.0, 1.0]), np.array([m.prior, m.prior]))
         return m
-    a, b = F.col("n_toxic"), F.col("n") - F.col("n_toxic")
-    chi = (n * F.pow(a * (n - t - b) - b * (t - a), F.lit(2.0))) / (F.col("n") * (n - F.col("n")) * float(t) * (n - t))
-    top = (counts.where((F.col("n") >= 5) & (F.col("n") < n) & (a * n >= 3 * t * F.col("n"))).withColumn("chi", chi)
-           .where("chi >= 10.83").orderBy(F.desc("chi"), "hash").limit(max_terms).collect())
-    top.sort(key=lambda r: r["hash"] & ((1 << 64) - 1))
-    m.hashes = np.array([r["hash"] for r in top], np.int64).view(U64)
-    m.terms = [*(r["term"] for r in top), WORDS]  # the last has no hash
-    m.idf = np.array([*(np.log((n + 1) / (r["n"] + 1)) + 1 for r in top), 1.0])
+    # how far the toxic examples with a term are above what chance gives, in squared deviations
+    over = F.greatest(F.lit(0.0), F.col("n_toxic") - F.col("n") * float(t) / n - 0.5)
+    chi = over * over / (F.col("n") * (float(t) / n) * (float(n - t) / n))
+    goes = (F.col("chi") >= CHI) & (F.col("n_toxic") * n >= 3 * t * F.col("n"))
+    top = (counts.withColumn("chi", chi).where((F.col("kind") == 0) | goes)
+           .select("hash", "kind", "n", F.when(goes, F.col("chi")).alias("chi"), F.when(goes, F.col("term")).otherwise("").alias("term")).toArrow())
+    hashes = top["hash"].to_numpy().view(U64)
+    order = np.argsort(hashes, kind="stable")
+    m.hashes = hashes[order]
+    m.terms = top["term"].take(order).to_pylist()
+    m.beginnings = m.hashes[top["kind"].to_numpy()[order] > 0]
+    chi = np.nan_to_num(top["chi"].cast("double").to_numpy().astype(float), nan=CHI)[order]
+    m.idf = (np.log((n + 1) / (top["n"].to_numpy()[order] + 1)) + 1) * (PLAIN + (1 - PLAIN) * (1 - CHI / chi))
+
+    del top, hashes, order, chi
+    import pyarrow as pa
 
     flags = m.flags()
 
@@ -226,40 +312,72 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
 
         powers = Powers()
         for batch in batches:
-            for row, buf, off in slices(batch.column("text")):
+            for row, buf, off in slices(batch.column("text"), 1 << 20):
                 r, term, k = m.vectors(buf, off, powers, flags)
                 at = pa.array(np.searchsorted(r, np.arange(len(off))).astype(np.int32))
                 part = batch.slice(row, len(off) - 1)
-                yield pa.record_batch([part.column("doc_id"), part.column("toxic"), pa.ListArray.from_arrays(at, pa.array(term)), pa.ListArray.from_arrays(at, pa.array(k))],
+                yield pa.record_batch([part.column("doc_id"), part.column("toxic"), pa.ListArray.from_arrays(at, pa.array(term.astype(np.int32))), pa.ListArray.from_arrays(at, pa.array(k.astype(np.int32)))],
                                       names=["doc_id", "toxic", "terms", "counts"])
 
-    rows = sorted(sample.mapInArrow(vectors, "doc_id long, toxic int, terms array<long>, counts array<long>").collect(),
-                  key=lambda r: (r["doc_id"], r["terms"], r["counts"]))
-    with_terms = [r for r in rows if r["terms"]]
-    none = [r["toxic"] for r in rows if not r["terms"]]
+    got = sample.mapInArrow(vectors, "doc_id long, toxic int, terms array<int>, counts array<int>").toArrow().combine_chunks()
+    terms, counts = (got[c].chunk(0) if got.num_rows else pa.array([], pa.list_(pa.int32())) for c in ("terms", "counts"))
+    edges, terms, counts = terms.offsets.to_numpy(), terms.values.to_numpy(), counts.values.to_numpy()
+    ids, toxic = got["doc_id"].to_pylist(), got["toxic"].to_pylist()
+    part = [slice(x, y) for x, y in zip(edges.tolist(), edges[1:].tolist())]
+    goes = np.array([bool(x) for x in m.terms])
+    none = [y for x, y in zip(part, toxic) if not goes[terms[x]].any()]
     m.without = (sum(none) + m.prior) / (len(none) + 1)
-    m.ids = [r["doc_id"] for r in with_terms]
-    m.toxic = np.array([r["toxic"] for r in with_terms], float)
-    vecs = [(np.array(r["terms"]), m.weigh(np.array(r["terms"]), np.array(r["counts"]))) for r in with_terms]
-    if vecs:
-        m.build(np.repeat(np.arange(len(vecs)), [len(v) for v, _ in vecs]), np.concatenate([v for v, _ in vecs]), np.concatenate([w for _, w in vecs]))
-        votes = np.array([m.vote(*m.nearest(v, w, leave=i)) for i, (v, w) in enumerate(vecs)])
-        m.calibrate(votes, m.toxic)
+    rows = sorted((i for i, x in enumerate(part) if x.stop > x.start), key=lambda i: (ids[i], terms[part[i]].tobytes(), counts[part[i]].tobytes()))
+    m.ids = [ids[i] for i in rows]
+    m.toxic = np.array([toxic[i] for i in rows], float)
+    if rows:
+        m.own = np.concatenate([[0], np.cumsum([part[i].stop - part[i].start for i in rows])])
+        m.own_terms = np.concatenate([terms[part[i]] for i in rows])
+        m.counts = np.concatenate([counts[part[i]] for i in rows]).astype(np.min_scalar_type(counts.max()))
+        m.calibrate(_votes(docs.sparkSession, m), m.toxic)
     return m
 
 
+def _votes(spark, model: Model) -> np.ndarray:
+    """Each example's vote by its neighbours but itself."""
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches):
+        import pyarrow as pa
+
+        m = shared.value
+        m._ready()
+        for b in batches:
+            i = b.column("id").to_numpy()
+            votes = []
+            for e in i.tolist():
+                x = slice(m.own[e], m.own[e + 1])
+                votes.append(m.vote(*m.nearest(m.own_terms[x].astype(np.int64), m.own_weights[x], leave=e)))
+            yield pa.record_batch({"id": pa.array(i), "vote": pa.array(votes, pa.float64())})
+
+    parts = max(1, min(spark.sparkContext.defaultParallelism, len(model.ids) // 500))
+    got = spark.range(0, len(model.ids), 1, parts).mapInArrow(run, "id long, vote double").toArrow()
+    shared.unpersist()
+    out = np.zeros(len(model.ids))
+    out[got["id"].to_numpy()] = got["vote"].to_numpy()
+    return out
+
+
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", k: int = NEIGHBOURS,
                     carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, score, terms, neighbours (doc_id, cosine, toxic) for every row of ``docs``.
 
+    ``terms`` are those that go with toxicity; all words count for the score.
     ``carry`` names columns of ``docs`` to give instead of doc_id.
 
     Every whole text is scored; a null or empty one, like any without the
-    model's terms, gets the share of toxic examples among such texts.
+    model's terms, gets the share of toxic ones among the examples without a
+    term that goes with toxicity.
     """
     def run(batches):
         import pyarrow as pa
 
+        model = shared.value
         powers, known, flags = Powers(), {}, model.flags()
         near_type = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
         for b in batches:
@@ -272,15 +390,16 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
                     x = slice(edges[i], edges[i + 1])
                     key = (term[x].tobytes(), count[x].tobytes())
                     if key not in known:
-                        if len(known) > 20_000:
+                        if len(known) > 2_000:  # a vector has all words of a text
                             known.clear()
                         ids, cosine = model.nearest(term[x], model.weigh(term[x], count[x]), k)
-                        known[key] = (model.score(model.vote(ids, cosine)), [model.terms[j] for j in term[x]],
+                        known[key] = (model.score(model.vote(ids, cosine)), [model.terms[j] for j in term[x] if model.terms[j]],
                                       [{"doc_id": model.ids[j], "cosine": float(c), "toxic": int(model.toxic[j])} for j, c in zip(ids, cosine)])
                     scores[i], terms[i], near[i] = known[key]
                 yield pa.record_batch([*(b.column(i).slice(row, n) for i in range(kept)), pa.array(scores, pa.float64()), pa.array(terms, pa.list_(pa.string())), pa.array(near, near_type)],
                                       names=names)
 
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     first = docs.select(*carry) if carry else docs.select(F.col(id_col).cast("long").alias("doc_id"))
     names, kept = [*first.columns, "score", "terms", "neighbours"], len(first.columns)
     rows = docs.select(*(carry or [F.col(id_col).cast("long").alias("doc_id")]), F.col(text_col).cast("string").alias("_text"))

@@ -90,3 +90,26 @@ def test_held_out_split(spark):
     ids = [*range(50), -3, 2**40]
     got = spark.createDataFrame([(i,) for i in [*ids, None]], "doc_id long").select("doc_id", held_out().alias("h")).collect()
     assert {r["doc_id"]: r["h"] for r in got} == {**{i: zlib.crc32(str(i).encode()) % 3 == 1 for i in ids}, None: False}
+
+
+def test_rare_words_and_exact_copies(spark):
+    """Every example is found by all its words, also one whose words no other example has."""
+    docs, marks = made(spark)
+    rare = [(2000 + i, " ".join(f"r{i}x{j}" for j in range(12)), i % 2) for i in range(40)]
+    model = fit(table(spark, docs + [r[:2] for r in rare]), labels(spark, marks + [(i, t) for i, _, t in rare]))
+    assert len(model.ids) == len(docs) + len(rare)
+    out = {r["doc_id"]: r for r in score_documents(table(spark, [(i + 1000, t) for i, t, _ in rare]), model).collect()}
+    for i, _, toxic in rare:
+        near = out[i + 1000]["neighbours"]
+        assert [(r["doc_id"], r["toxic"], round(r["cosine"], 9)) for r in near] == [(i, toxic, 1.0)]
+
+
+def test_more_toxic_words_than_the_old_cap(spark):
+    docs = [(i, " ".join(f"plain{(i * 7 + j * j) % 97}" for j in range(20)) + (f" slur{i // 50:04d}q" if i % 5 == 0 else "")) for i in range(4000)]
+    docs = [(i, t.replace("slur", chr(97 + i // 50 % 26) + chr(97 + i // 1300) + "slur")) for i, t in docs]
+    marks = [(i, int(i % 5 == 0)) for i, _ in docs]
+    model = fit(table(spark, docs), labels(spark, marks))
+    assert len([t for t in model.terms if t]) > 80
+    new = [(10_000 + i, f"plain1 plain2 {docs[i][1].split()[-1]}") for i in range(0, 4000, 50)]
+    out = score_documents(table(spark, new), model).collect()
+    assert len(out) == 80 and all(r["score"] >= 0.7 for r in out)
