@@ -1,7 +1,7 @@
 """Licence scan by a trained paragraph classifier (dealt operator 7).
 
-Paragraphs (lines; long ones in overlapping windows) are sparse vectors of
-hashed word 1- to 3-grams.  A multinomial logistic regression tells licence
+Paragraphs (lines, and runs of lines with words, joined, so that wrapped notices
+are whole; long ones in overlapping windows) are sparse vectors of hashed word 1- to 3-grams.  A multinomial logistic regression tells licence
 families and an ``unknown`` class apart; a temperature fitted on examples kept
 apart calibrates its probabilities.  What it predicts is compared with the
 family's templates, and confirmed if enough of one template's word pairs occur.
@@ -76,6 +76,7 @@ WINDOW, STRIDE = 40, 20  # words of a window of a long line, and between their s
 FEATURES = 1 << 15
 MAX_UNKNOWN = 4000  # paragraphs of the corpus that stand for the unknown class in training
 SAMPLE_DOCUMENTS = 2000  # documents that these come from, those of the smallest hash of their id
+MAYBE = 0.95  # probability of unknown under which a window is compared with all templates
 CONFIRM = 0.6  # share of a template's word pairs that confirms it
 
 
@@ -92,6 +93,26 @@ def units(buf: np.ndarray, off: np.ndarray, powers: Powers):
     return low, span_hashes(low, s, e, powers), s, e, first, line, begin, np.minimum(begin + WINDOW, first[line + 1]), np.searchsorted(edge, off)
 
 
+def joined(first: np.ndarray, top: np.ndarray):
+    """Windows over runs of two or more lines with words: (runs' first word and the end, unit run, begin, end).
+
+    Comment marks are no words, so a line of them alone ends a run, as an empty one does.
+    """
+    has = np.diff(first) > 0
+    start = has.copy()
+    start[1:] &= ~has[:-1]
+    texts = top[:-1][top[:-1] < len(has)]
+    start[texts] = has[texts]
+    at = np.flatnonzero(start)
+    runs = np.append(first[at], first[-1])
+    lines = np.add.reduceat(has.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+    n = np.diff(runs)
+    k = np.where(n > WINDOW, -(-(n - WINDOW) // STRIDE) + 1, 1) * (lines > 1)
+    run = np.repeat(np.arange(len(n)), k)
+    begin = runs[run] + (np.arange(len(run)) - np.repeat(np.cumsum(k) - k, k)) * STRIDE
+    return runs, run, begin, np.minimum(begin + WINDOW, runs[run + 1])
+
+
 def columns(words: np.ndarray, first: np.ndarray):
     """By n-gram length: the feature of the n-gram at each word, and whether one line holds it."""
     out = []
@@ -128,6 +149,25 @@ class Classifier:
         """The largest share of a template's word pairs that occur."""
         return max(float(np.isin(t, pairs).mean()) for t in self.pairs[family])
 
+    def own(self, family: str, template: np.ndarray) -> np.ndarray:
+        """The template's pairs that no other family's templates have."""
+        return template[~np.isin(template, np.concatenate([t for f, ts in self.pairs.items() if f != family for t in ts] or [np.zeros(0, U64)]))]
+
+    def confirmed(self, pairs: np.ndarray) -> dict[str, tuple[float, np.ndarray]]:
+        """The families with CONFIRM of a template's word pairs, that and the template; of
+        templates that share half of their pairs the one that fits best.  If a template has
+        pairs that no other family's has, one of them must occur."""
+        best = {}
+        for f, ts in self.pairs.items():
+            ts = [t for t in ts if not len(self.own(f, t)) or np.isin(self.own(f, t), pairs).any()]
+            if not ts:
+                continue
+            same, t = max(((float(np.isin(t, pairs).mean()), t) for t in ts), key=lambda x: (x[0], len(x[1])))
+            if same >= CONFIRM:
+                best[f] = same, t
+        return {f: (same, t) for f, (same, t) in best.items()
+                if not any(other > same and np.isin(t, u).mean() >= 0.5 for other, u in best.values())}
+
 
 def _pairs(words: np.ndarray) -> np.ndarray:
     return np.unique(grams(words, np.array([0, len(words)]), 2, 32)[0]) if len(words) > 1 else words
@@ -240,30 +280,59 @@ def corpus_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def scan_licenses(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines, found (line, family, probability, similarity, confirmed) for every row of ``docs``.
 
-    n_lines counts lines with a word; ``line`` counts all lines from 0.  A
-    line's best window counts.  ``found`` holds the lines whose most likely
-    class isn't unknown.  A null or empty text has none.
+    n_lines counts lines with a word; ``line`` counts all lines from 0.  For
+    each line and family the best window counts, a confirmed one first.
+    ``found`` holds the lines' most likely families, and all families whose
+    templates confirm them in a window that may hold a notice.  A notice over
+    several lines stands at its first one.  A null or empty text has none.
     """
     def run(batches):
         import pyarrow as pa
 
-        powers = Powers()
+        powers, number = Powers(), {f: k for k, f in enumerate(model.families)}
+        longest = max(WINDOW, *(len(t) + 1 for ts in model.pairs.values() for t in ts))
         kind = pa.list_(pa.struct([("line", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64()), ("confirmed", pa.bool_())]))
         for b in batches:
             for row, buf, off in slices(b.column("text"), 1 << 20):
                 n = len(off) - 1
                 _, words, _, _, first, line, begin, end, top = units(buf, off, powers)
+                found: list[dict] = [{} for _ in range(n)]
+
+                def put(doc, at, family, probability, same, sure):
+                    old = found[doc].get((at, family))
+                    if old is None or (old["confirmed"], old["probability"]) < (sure, probability):
+                        found[doc][at, family] = {"line": at, "family": family, "probability": float(probability), "similarity": same, "confirmed": sure}
+
                 p = model.probabilities(words, first, begin, end)
                 best = p.argmax(axis=1)
-                found: list[dict] = [{} for _ in range(n)]
-                for u in np.flatnonzero(best < len(model.families) - 1):
+                for u in np.flatnonzero(p[:, -1] < MAYBE):
                     doc = int(np.searchsorted(top, line[u], "right")) - 1
-                    family, at = model.families[best[u]], int(line[u] - top[doc])
-                    if at not in found[doc] or found[doc][at]["probability"] < p[u, best[u]]:
-                        # a template may be longer than a window
-                        x, y = max(first[line[u]], begin[u] - WINDOW), min(first[line[u] + 1], end[u] + WINDOW)
-                        same = model.similarity(family, _pairs(words[x:y]))
-                        found[doc][at] = {"line": at, "family": family, "probability": float(p[u, best[u]]), "similarity": same, "confirmed": same >= CONFIRM}
+                    at = int(line[u] - top[doc])
+                    # a template may be longer than a window
+                    x, y = max(first[line[u]], begin[u] - longest), min(first[line[u] + 1], end[u] + longest)
+                    pairs = _pairs(words[x:y])
+                    sure = model.confirmed(pairs)
+                    for family, (same, _) in sure.items():
+                        put(doc, at, family, p[u, number[family]], same, True)
+                    family = model.families[best[u]]
+                    if family != UNKNOWN and family not in sure:
+                        put(doc, at, family, p[u, best[u]], model.similarity(family, pairs), False)
+                runs, run_of, begin, end = joined(first, top)
+                p = model.probabilities(words, runs, begin, end)
+                for u in np.flatnonzero(p[:, -1] < MAYBE):
+                    x, y = max(runs[run_of[u]], begin[u] - longest), min(runs[run_of[u] + 1], end[u] + longest)
+                    row_of = np.searchsorted(first, [x, y - 1], "right") - 1
+                    doc = int(np.searchsorted(top, row_of[0], "right")) - 1
+                    low, high = row_of - top[doc]
+                    inside = grams(words[x:y], np.array([0, y - x]), 2, 32)[0]
+                    for family, (same, t) in model.confirmed(np.unique(inside)).items():
+                        if any(f == family and z["confirmed"] and low <= at <= high for (at, f), z in found[doc].items()):
+                            continue  # on a line of its own, or in the window before
+                        hits = np.flatnonzero(np.isin(inside, t))
+                        # where most of the template's pairs stand close together
+                        start = hits[np.argmax(np.searchsorted(hits, hits + 2 * len(t)) - np.arange(len(hits)))]
+                        at = int(np.searchsorted(first, x + start, "right") - 1 - top[doc])
+                        put(doc, at, family, p[u, number[family]], same, True)
                 has = np.concatenate([[0], np.cumsum(np.diff(first) > 0)])
                 lines = has[np.minimum(top[1:], len(has) - 1)] - has[np.minimum(top[:-1], len(has) - 1)]
                 yield pa.record_batch([b.column("doc_id").slice(row, n), pa.array(lines), pa.array([[x[k] for k in sorted(x)] for x in found], kind)],

@@ -74,3 +74,18 @@ def test_edge_cases(spark, edge, empty, model):
     assert corpus_paragraphs(empty) == []
     alone = train([])  # no paragraphs of unknown kind
     assert [x[1] for x in found(table(spark, [(1, LINES["mit"])]), alone)[1]] == ["mit"]
+
+
+def test_wrapped_notices(spark, model):
+    import textwrap
+
+    rows, want = [], {}
+    for f, ts in sorted(TEMPLATES.items()):
+        for t in ts:
+            for mark in ("", "# ", " * "):
+                body = "\n".join(mark + x for x in textwrap.wrap(t, 30))
+                want[len(rows)] = f
+                rows.append((len(rows), f"import os\n\n{body}\n\nThe river is wide here."))
+    got = found(table(spark, rows), model)
+    for i, f in want.items():
+        assert [x for x in got[i] if x[2]] == [(2, f, True)], (rows[i][1], got[i])
