@@ -89,3 +89,11 @@ def test_wrapped_notices(spark, model):
     got = found(table(spark, rows), model)
     for i, f in want.items():
         assert [x for x in got[i] if x[2]] == [(2, f, True)], (rows[i][1], got[i])
+
+
+def test_two_licences_on_a_line(spark, model):
+    prose = " ".join(f"filler{i}" for i in range(200))
+    texts = [f"{LINES['mit']} {LINES['gpl-3.0']}", f"{prose} {LINES['mit']} {prose} {LINES['apache-2.0']} {prose}", f"{LINES['apache-2.0']} {LINES['cc-by-nc-4.0']}"]
+    got = found(table(spark, list(enumerate(texts))), model)
+    want = [["gpl-3.0", "mit"], ["apache-2.0", "mit"], ["apache-2.0", "cc-by-nc-4.0"]]
+    assert [[x[1] for x in got[i] if x[2]] for i in range(3)] == want
