@@ -23,6 +23,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 REJECT_SCORE = 0.7  # documents of this toxicity score or more go
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """A stored copy with a key for each row, as ids may be null or repeat."""
+    return stored(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score under REJECT_SCORE, learned from all labels of ``docs``.
 
@@ -35,12 +40,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies (0.75 or more on five-word shingles) the document of the smallest id.
 
-    Documents without words are in no group and stay, as do rows without id.
-    Rows of equal id are one document, which goes if any of them does.
+    Documents without words are in no group and stay, as do rows without id
+    and rows that share the smallest id.  Rows of equal id go by their own texts.
     """
-    linked = near_duplicates(docs)
-    copies = linked.where((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    keyed = _keyed(docs)
+    rows = near_duplicates(keyed, id_col="_row").where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id")
+    rows = stored(rows.join(keyed.select("_row", "doc_id"), "_row"), "linked-rows")
+    least = stored(rows.groupBy("component_id").agg(F.min("doc_id").alias("least")), "least-ids")
+    copies = rows.join(least, "component_id").where(F.col("doc_id") != F.col("least")).select("_row")
+    return keyed.join(copies, "_row", "left_anti").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +62,12 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of ten words with a benchmark item.
 
-    Rows of equal id, or without one, stay or go together.
+    Rows of equal id, or without one, stay or go by their own texts.
     """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = decontaminate(docs, items).where(F.col("n_hit") > 0).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(*COLUMNS)
+    keyed = _keyed(docs)
+    hit = decontaminate(keyed, items, id_col="_row").where(F.col("n_hit") > 0).select(F.col("doc_id").alias("_row"))
+    return keyed.join(hit, "_row", "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

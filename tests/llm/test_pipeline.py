@@ -111,3 +111,14 @@ def test_registered_names():
     q = E.queries()
     assert q["pipeline"] and sum(k.startswith("op") and k[2:].split("_")[0].isdigit() for k in q) == 10
     assert C.ORACLE_SQL is None and [n for n, _ in C.STAGES][0] == "toxicity" and len(C.STAGES) == 5
+
+
+def test_rows_of_one_id_go_by_their_own_texts(spark):
+    """One contaminated row, or one copy, takes no other row of its id, or without id, with it."""
+    item = next(r["text"] for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect() if len(r["text"].split()) >= 10)
+    clean = [(None, "clean words of no benchmark"), (None, "other clean words here"), (5, "a third clean text")]
+    got = rows(C.benchmark_decontamination(spark, table(spark, [*clean, (None, item), (5, item)]), SMALL))
+    assert sorted((r[:2] for r in got), key=str) == sorted(clean, key=str)
+    own = [(7, PASSAGE), (8, "a text of its own that nothing else resembles at all")]
+    got = rows(C.ngram_jaccard_join(spark, table(spark, [*own, (8, PASSAGE)]), SMALL))
+    assert [r[:2] for r in got] == own
