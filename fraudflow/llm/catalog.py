@@ -125,8 +125,85 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_formatting, op3_packing, op4_token_counts, op5_decontamination, op6_warc, op7_license_scan, op8_quality_rules, op9_ngram_jaccard_join, op10_substring_dedup)}
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document, sources weighing 5, 2, 1 in turn."""
+    from .mixing import mix
+
+    out = mix(_table(spark, sf_dir, "documents"), (5, 2, 1), most=3)
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two to four words of each language."""
+    from .collocations import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the manifest, and whether its row, tampered with for every other crc32, still proves it."""
+    from .merkle import digest, field, fold, leaf, prove, siblings
+
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    bare = leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), F.replace("text", F.lit("\n"), F.lit("")))
+    out = prove(_table(spark, sf_dir, "documents"), carry={"tampered": F.when(even, bare)})
+    folded = out.withColumn("folded_root", fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", digest(siblings(F.col("path"))).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_formatting, op3_packing, op4_token_counts, op5_decontamination, op6_warc, op7_license_scan, op8_quality_rules, op9_ngram_jaccard_join, op10_substring_dedup,
+                                      op11_mixing, op12_collocations, op13_merkle_manifest)}
 #: DuckDB twins, where SQL can express a query
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    # the stops are taken in order of size over weight; ids are unique there, so no draw needs a row's place
+    "op11_mixing": r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(text, '') AS body,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS s,
+         [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
+  FROM docs GROUP BY source),
+stops AS (
+  SELECT *, sum(s) OVER ()::BIGINT AS total, sum(w) OVER () AS weight,
+         coalesce(sum(s) OVER before, 0)::BIGINT AS used, coalesce(sum(w) OVER before, 0) AS closed
+  FROM sources WINDOW before AS (ORDER BY 3 * s / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+share AS (
+  SELECT (total - 3 * used)::DOUBLE AS free, weight - closed AS open FROM stops
+  WHERE (total - 3 * used)::DOUBLE * w / (weight - closed) <= 3 * s ORDER BY used, closed LIMIT 1),
+rates AS (
+  SELECT source, s, least(free * w / open, (3 * s)::DOUBLE) AS target,
+         CASE WHEN s > 0 THEN least(free * w / open, (3 * s)::DOUBLE) / s ELSE 0 END AS rate FROM stops, share),
+draws AS (
+  SELECT doc_id, size, s, target, rate,
+         ('0x' || substr(md5(concat_ws(':', '0', coalesce(doc_id::VARCHAR, '-'), md5(body))), 1, 13))::BIGINT::DOUBLE / 4503599627370496 AS u
+  FROM docs JOIN rates ON docs.source IS NOT DISTINCT FROM rates.source)
+SELECT doc_id, size, s AS source_size, target, (size * (floor(rate) + (u < rate - floor(rate))::INT))::BIGINT AS taken FROM draws""",
+    "op12_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+found AS (
+  SELECT lang, m, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)]) AS phrase
+  FROM words, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m),
+counts AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM found GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY lang),
+phrases AS MATERIALIZED (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND f >= 30),
+cuts AS (
+  SELECT p.lang, p.phrase, p.m, p.a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * p.a) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM phrases) p
+  JOIN counts x ON x.lang = p.lang AND x.m = k AND x.phrase = array_to_string(p.w[1:k], ' ')
+  JOIN counts y ON y.lang = p.lang AND y.m = p.m - k AND y.phrase = array_to_string(p.w[k + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT s.lang, array_to_string(s.w[i:i + size - 1], ' ') AS phrase, s.a
+  FROM (SELECT *, unnest(range(1, m - size + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS size FROM phrases WHERE m > 2)) s),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM inside o WHERE o.lang = b.lang AND o.phrase = b.phrase AND 100 * o.a >= 80 * b.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
+}
 
 __all__ = ["ORACLE", "QUERIES", "ensure_checkpoint_dir"]
