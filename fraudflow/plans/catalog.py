@@ -803,7 +803,8 @@ def q_model_metrics(spark, sf):
     t = trained(spark, sf)
     scored = score(t.model, t.test).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return spark.createDataFrame([evaluator_metrics(scored)])
+        found = evaluator_metrics(scored)
+        return spark.createDataFrame([tuple(found.values())], ", ".join(f"{k} double" for k in found))
     finally:
         scored.unpersist()
 
@@ -936,10 +937,18 @@ def q_union_append(spark, sf):
 # closed windows only: window_end <= max(event_time) - 2 minutes.
 # ---------------------------------------------------------------------------
 
-def replay(df: DataFrame, path: str, key: str = "transaction_id") -> None:
-    """Write a table as a file topic in event-time order (one append)."""
+def replay(df: DataFrame, path: str, key: str = "transaction_id", order: list | None = None) -> None:
+    """Write a table as a file topic (one append), in event-time order if no other is given."""
     from ..sources.topics import encode
-    encode(df.orderBy("event_time", key), key).write.mode("append").json(path)
+    encode(df.orderBy(*(order or ["event_time", key])), key).write.mode("append").json(path)
+
+
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session of a stream's own, its state partitions sized to the cluster's cores."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return own
 
 
 def _stream_insight(spark, sf, names: list[str]) -> dict:
@@ -948,11 +957,7 @@ def _stream_insight(spark, sf, names: list[str]) -> dict:
     from ..streaming.sinks import read_table
     paths = TopologyPaths(work_path(spark, "stream-insights"))
     replay(fx.txn_routed(spark, sf), f"{paths.topic('routed_transactions')}/replay")
-    # state partitions sized to the cluster's cores, in a session of the stream's own
-    own = spark.newSession()
-    own.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    qs = start_insights(own, paths, names=names)
+    qs = start_insights(stream_session(spark), paths, names=names)
     await_all(qs)
     return {n: read_table(spark, paths.table(n)).drop("_batch", "_row") for n in names}
 
@@ -1136,27 +1141,108 @@ def q_inferred_csv(spark, sf):
 
 @query("imputed_median", O.with_ctes(O.TXN_CTE + "," + _TRAINING_SQL, """
 SELECT CAST(count(*) FILTER (WHERE time_since_last_transaction IS NULL) AS BIGINT) AS imputed_rows,
-       true AS is_median FROM drawn WHERE split = 'train'"""))
+       round(quantile_cont(time_since_last_transaction, 0.5), 6) AS median FROM drawn WHERE split = 'train'"""))
 def q_imputed_median(spark, sf):
-    """ML4: gaps are filled with the training median (within 1 % of the ranks)."""
-    from pyspark.ml.feature import Imputer
-    train = trained(spark, sf).train.select(F.col("time_since_last_transaction").alias("v"))
-    filled = Imputer(inputCols=["v"], outputCols=["f"], strategy="median").fit(train).transform(train)
-    gap = F.max(F.when(F.col("v").isNull(), F.col("f")))
-    near = gap.between(F.percentile("v", 0.49), F.percentile("v", 0.51))
-    return filled.agg(F.count_if(F.col("v").isNull()).alias("imputed_rows"), near.alias("is_median"))
+    """ML4: the fitted pipeline's own stage fills gaps with the exact training median."""
+    from .imputer import MedianImputerModel
+    t = trained(spark, sf)
+    stage = next(s for s in t.model.stages if isinstance(s, MedianImputerModel))
+    rows = t.train.select("time_since_last_transaction")
+    gaps = stage.transform(rows.where(F.col("time_since_last_transaction").isNull()))
+    filled = gaps.agg(F.count("time_since_last_transaction").alias("imputed_rows"), F.max("time_since_last_transaction").alias("filled"))
+    return filled.select("imputed_rows", F.round(F.coalesce("filled", F.lit(stage.medians()["time_since_last_transaction"])), 6).alias("median"))
+
+
+def _within_error(approx: DataFrame, exact: DataFrame, by: str, sd: float) -> DataFrame:
+    """One row: how many windows ``exact`` has, and whether ``approx`` has the same ones, each within five
+    standard deviations or one sender."""
+    keys = ["receiver_account", "window_start", "window_end"]
+    both = approx.join(exact, keys, "full")
+    a, n = F.col(f"approx_distinct_senders{by}"), F.col(f"distinct_senders{by}")
+    ok = F.coalesce(F.abs(a - n) <= F.greatest(F.lit(1.0), 5 * sd * n), F.lit(False))
+    return both.agg(F.count(n).alias("windows"), F.bool_and(ok).alias("within_error"))
 
 
 @query("approx_within_error", O.with_ctes(O.BIG_CTE, f"""
 SELECT CAST(count(*) AS BIGINT) AS windows, true AS within_error FROM (
   SELECT DISTINCT {O.w1d()} AS w, receiver_account FROM fraud_big)"""))
 def q_approx_within_error(spark, sf):
-    """AG16: approximate distinct senders within five standard deviations (0.05) or one sender."""
+    """AG16: the approximate list of suspicious receivers against the exact one (deviation 0.05)."""
+    big = fx.fraud_big(spark, sf)
+    approx, exact = (W.suspicious_receivers(big, "1 day", 1, exact=e, suffix="_1d") for e in (False, True))
+    return _within_error(approx, exact, "_1d", 0.05)
+
+
+@query("sketch_rollup", ORACLE["approx_within_error"])
+def q_sketch_rollup(spark, sf):
+    """AG16 / Q4: stored two-minute sketches merged to days, against the exact daily counts."""
+    from ..operators.sketches import merge_windows, relative_error, sender_sketches, suspicious_from_sketches
+    from ..session import work_path
     big = fx.fraud_big(spark, sf)
-    both = big.groupBy(F.window("event_time", "1 day"), "receiver_account").agg(
-        F.approx_count_distinct("sender_account").alias("a"), F.count_distinct("sender_account").alias("n"))
-    ok = F.abs(F.col("a") - F.col("n")) <= F.greatest(F.lit(1.0), 0.25 * F.col("n"))
-    return both.agg(F.count("*").alias("windows"), F.bool_and(ok).alias("within_error"))
+    path = work_path(spark, "sender-sketches")
+    # two loads, as a table that grows: windows of either may share a day
+    early = F.col("event_time") < F.lit(_CUTOFF).cast("timestamp_ntz")
+    for part in (big.where(early), big.where(~early)):
+        sender_sketches(part).write.mode("append").parquet(path)
+    days = merge_windows(spark.read.parquet(path), "1 day")
+    return _within_error(suspicious_from_sketches(days, 1, "_1d"), W.suspicious_receivers(big, "1 day", 1, exact=True, suffix="_1d"),
+                         "_1d", relative_error())
+
+
+_AUC_SQL = """
+counted AS (SELECT s AS threshold, count(*) FILTER (WHERE y) AS pos, count(*) FILTER (WHERE NOT y) AS neg
+            FROM labelled WHERE s IS NOT NULL AND y IS NOT NULL GROUP BY s),
+curve AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS n
+          FROM counted WINDOW w AS (ORDER BY threshold DESC)),
+points AS (SELECT *, tp / (tp + fp) AS precision, lag(tp / (tp + fp)) OVER (ORDER BY threshold DESC) AS before FROM curve)
+SELECT CAST(max(p) AS BIGINT) AS positives, CAST(max(n) AS BIGINT) AS negatives, CAST(count(*) AS BIGINT) AS thresholds,
+       round(sum(CAST(neg AS DOUBLE) * (2 * (tp - pos) + pos)) / (2.0 * max(p) * max(n)), 9) AS area_under_roc,
+       round(sum(pos * (precision + coalesce(before, precision)) / 2) / max(p), 9) AS area_under_pr
+FROM points"""
+
+
+def _areas(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 9) for c in ("area_under_roc", "area_under_pr")})
+
+
+@query("auc_rule_score", O.with_ctes(O.TXN_CTE + "," + _RULE_SCORE_SQL.format("0.15") + """,
+labelled AS (SELECT fraud_probability AS s, is_fraud = 1 AS y FROM scored),""" + _AUC_SQL.split("SELECT CAST(max", 1)[0].rstrip(), "SELECT CAST(max" + _AUC_SQL.split("SELECT CAST(max", 1)[1]))
+def q_auc_rule_score(spark, sf):
+    """ML10: exact areas of the rule score, a few values that many rows share."""
+    from ..operators.auc import exact_auc
+    from .model import rule_score
+    return _areas(exact_auc(rule_score(_txn(spark, sf))))
+
+
+@query("auc_amount", O.with_ctes(O.BIG_CTE + """,
+labelled AS (SELECT amount AS s, is_fraud AS y FROM txn_big),""" + _AUC_SQL.split("SELECT CAST(max", 1)[0].rstrip(), "SELECT CAST(max" + _AUC_SQL.split("SELECT CAST(max", 1)[1]))
+def q_auc_amount(spark, sf):
+    """ML10: exact areas of a score of which nearly every row has its own, far beyond an evaluator's bins."""
+    from ..operators.auc import exact_auc
+    return _areas(exact_auc(fx.txn_big(spark, sf), score="amount"))
+
+
+def rule_model():
+    """A pipeline model that SQL can check: fraud above a fixed amount, with probabilities 0.9 and 0.1."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+    over = f"amount > {fx.ROUTE_MODEL_AMOUNT}"
+    return PipelineModel([
+        SQLTransformer(statement=f"SELECT *, if({over}, 0.9D, 0.1D) AS p1, if({over}, 0.1D, 0.9D) AS p0 FROM __THIS__"),
+        VectorAssembler(inputCols=["p0", "p1"], outputCol="probability"),
+        SQLTransformer(statement="SELECT *, double(p1 >= 0.5) AS prediction FROM __THIS__")])
+
+
+@query("not_fraud_list", O.with_ctes(O.ROUTED_CTE, """
+SELECT transaction_id, sender_account, receiver_account, amount, transaction_type, merchant_category, payment_channel,
+       0.1 AS fraud_probability, 0 AS is_fraud_prediction FROM txn_routed WHERE fraud_source IS NULL"""))
+def q_not_fraud_list(spark, sf):
+    """Q8: what the filter lets pass and the model clears, with the rule in the model's place."""
+    from ..operators.alerts import ml_not_fraud
+    from .model import score
+    from ..schema import ONLINE_THRESHOLD
+    passed = fx.txn_routed(spark, sf).where(~F.col("fraud_source").eqNullSafe(F.lit("bloom_filter"))).drop("fraud_source")
+    return ml_not_fraud(score(rule_model(), passed, ONLINE_THRESHOLD))
 
 
 @query("normalised_table", O.with_ctes(O.TXN_CTE, """
@@ -1175,22 +1261,16 @@ FROM txn_routed"""))
 def q_stream_routes(spark, sf):
     """ST9, SET2, FLT4, FLT5: the whole router, with a rule in the model's place: every row
     of a member is a hit, few others are, and the rest goes where the rule sends it."""
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.feature import SQLTransformer, VectorAssembler
     from ..operators import bloom
     from ..session import work_path
     from ..sources.topics import decode
     from ..streaming.pipeline import TopologyPaths, start_routing
     member = F.col("fraud_source") == "bloom_filter"
     t = fx.txn_routed(spark, sf)
-    rule = PipelineModel([
-        SQLTransformer(statement=f"SELECT *, if(amount > {fx.ROUTE_MODEL_AMOUNT}, 0.9D, 0.1D) AS p1, if(amount > {fx.ROUTE_MODEL_AMOUNT}, 0.1D, 0.9D) AS p0 FROM __THIS__"),
-        VectorAssembler(inputCols=["p0", "p1"], outputCol="probability"),
-        SQLTransformer(statement="SELECT *, double(p1 >= 0.5) AS prediction FROM __THIS__")])
     paths = TopologyPaths(work_path(spark, "stream-routes"))
     replay(t.select(*TRANSACTION_COLUMNS, "event_time"), f"{paths.base}/raw/replay")
     bf = bloom.build(t.where(member).select("sender_account"), "sender_account")
-    q = start_routing(spark, f"{paths.base}/raw/*", bf, rule, paths)
+    q = start_routing(spark, f"{paths.base}/raw/*", bf, rule_model(), paths)
     q.awaitTermination()
     bf.release()
     routed = decode(spark.read.schema("key string, value string").json(f"{paths.topic('routed_transactions')}/*"))
@@ -1201,3 +1281,7 @@ def q_stream_routes(spark, sf):
                  F.count_if(is_member & ~hit).alias("members_missed"),
                  (F.count_if(hit & ~is_member) <= 0.02 * F.count_if(~is_member) + 50).alias("false_hits_within_bound"),
                  F.count_if(~is_member & ~hit & ~F.col("fraud_source").eqNullSafe(F.col("truth"))).alias("wrong_model_routes"))
+
+
+# more of the catalogue, registered in the same tables
+from . import catalog_online  # noqa: E402, F401

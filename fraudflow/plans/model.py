@@ -13,17 +13,18 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
-                                   MulticlassClassificationEvaluator)
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import threshold_decision, vector_element
+from ..operators.auc import exact_auc
 from ..operators.features import feature_stage
 from ..schema import (CATEGORICAL_COLS, NUMERIC_FEATURE_COLS, OFFLINE_THRESHOLD,
                       RF_PARAMS, SAMPLE_FRACTIONS, SEED, SPLIT_WEIGHTS,
                       SWEEP_THRESHOLDS, TRANSACTION_COLUMNS)
+from .imputer import MedianImputer
 
 RATE_DECIMALS = 6
 MAX_BINS = 32
@@ -74,8 +75,7 @@ def hash_split(df: DataFrame, train_fraction: float = SPLIT_WEIGHTS[0], seed: in
 
 def build_pipeline(label: str = "is_fraud", max_bins: int = MAX_BINS) -> Pipeline:
     """ML3-ML8: features -> median imputer -> 5 indexers -> assembler -> forest."""
-    imputer = Imputer(inputCols=["time_since_last_transaction"],
-                      outputCols=["time_since_last_transaction"], strategy="median")
+    imputer = MedianImputer(inputCols=["time_since_last_transaction"], outputCols=["time_since_last_transaction"])
     indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep")
                 for c in CATEGORICAL_COLS]
     assembler = VectorAssembler(inputCols=NUMERIC_FEATURE_COLS + [f"{c}_idx" for c in CATEGORICAL_COLS],
@@ -173,12 +173,11 @@ def load_model(path: str) -> PipelineModel:
 
 def evaluator_metrics(scored: DataFrame, label: str = "is_fraud",
                       pred: str = "prediction_custom") -> dict[str, float]:
-    """ML10 + ML11 with Spark's evaluators (AUC from rawPrediction)."""
+    """ML10 + ML11: exact areas over all distinct fraud probabilities, and Spark's
+    evaluator for the weighted metrics."""
     lab = scored.withColumn(label, F.col(label).cast("double"))
-    out = {}
-    for m in ("areaUnderROC", "areaUnderPR"):
-        out[m] = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                               metricName=m).evaluate(lab)
+    auc = exact_auc(lab, label).first()
+    out = {"areaUnderROC": auc["area_under_roc"], "areaUnderPR": auc["area_under_pr"]}
     ev = lab.select(F.col(pred).cast("double").alias("prediction"),
                     F.col(label).alias("label"))
     for m in ("accuracy", "weightedPrecision", "weightedRecall", "weightedFMeasure"):

@@ -35,7 +35,6 @@ _DEFAULT_CONF = {
 # hundred MB per partition), and AQE coalesces what turns out small.
 _LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -50,10 +49,12 @@ def get_spark(master: str | None = None, app: str = "fraudflow",
     if master and master.startswith("local"):
         builder = builder.config("spark.driver.memory",
                                  os.environ.get("FRAUDFLOW_DRIVER_MEMORY", "8g"))
+        # fixed when the session starts: no web page for local runs
+        builder = builder.config("spark.ui.enabled", (conf or {}).get("spark.ui.enabled", "false"))
     spark = builder.getOrCreate()
     if spark.sparkContext.master.startswith("local"):
         for k, v in _LOCAL_CONF.items():
-            if k not in (conf or {}) and k != "spark.ui.enabled":
+            if k not in (conf or {}):
                 spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -104,6 +105,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it isn't there."""
+    p, fs = _file_system(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of the library's own."""
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def publish(spark: SparkSession, staged: str, path: str) -> None:
     """Rename a finished folder to ``path`` unless that is there already.
 

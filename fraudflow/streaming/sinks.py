@@ -44,9 +44,10 @@ def read_table(spark, path: str, schema: str | None = None) -> DataFrame:
 
 
 def start_table_query(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
-                      trigger: dict | None = None, name: str | None = None, log=None):
-    """Start ``df.writeStream.foreachBatch(table_sink(path))`` with its own
-    checkpoint (offsets, state, watermark survive restarts).
+                      trigger: dict | None = None, name: str | None = None, log=None, sink=None):
+    """Start ``df.writeStream.foreachBatch(table_sink(path))``, or another
+    ``sink``, with its own checkpoint (offsets, state, watermark survive
+    restarts).
 
     The number of state partitions is the session's
     ``spark.sql.shuffle.partitions`` at the first start; give a stream of
@@ -54,7 +55,7 @@ def start_table_query(df: DataFrame, path: str, checkpoint: str, mode: str = "ap
     ``trigger`` starts a batch whenever the last has ended.
     """
     w = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-           .foreachBatch(table_sink(path, log)))
+           .foreachBatch(sink or table_sink(path, log)))
     if name:
         w = w.queryName(name)
     trigger = {"availableNow": True} if trigger is None else trigger

@@ -52,7 +52,10 @@ def test_plain_aggregate_metrics_equal_spark_evaluator(spark, trained):
     assert mine["weighted_precision"] == pytest.approx(ev["weightedPrecision"], abs=1e-6)
     assert mine["weighted_recall"] == pytest.approx(ev["weightedRecall"], abs=1e-6)
     assert mine["weighted_f1"] == pytest.approx(ev["weightedFMeasure"], abs=1e-6)
-    assert 0.0 <= ev["areaUnderROC"] <= 1.0 and 0.0 <= ev["areaUnderPR"] <= 1.0
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    for name in ("areaUnderROC", "areaUnderPR"):
+        whole = BinaryClassificationEvaluator(labelCol="is_fraud", rawPredictionCol="rawPrediction", metricName=name, numBins=0)
+        assert ev[name] == pytest.approx(whole.evaluate(s.withColumn("is_fraud", F.col("is_fraud").cast("double"))), abs=1e-9)
 
 
 def test_string_index_table_matches_string_indexer(spark):

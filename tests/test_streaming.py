@@ -177,7 +177,7 @@ def test_stream_stream_left_join_of_window_aggregates(spark, routed, tmp_path):
     paths = TopologyPaths(str(tmp_path))
     write_slices(routed, paths.topic("routed_transactions"), 3)
     s = W.with_event_time(decode(read_topic(spark, "r", path=f"{paths.topic('routed_transactions')}/*",
-                                            max_per_trigger=1)))
+                                            max_files=1)))
     total = W.window_counts(s, "total_tx_2m", flatten=False)
     fraud = W.window_counts(s.where("fraud_source IS NOT NULL"), "fraud_tx_2m", flatten=False)
     joined = W.fraud_rate_join(total, fraud)
