@@ -26,8 +26,8 @@ from .words import LOWER, Powers, byte_table, slices, span_hashes, spans
 BREAKS = byte_table(".,;:!?\n\x0b\x0c\r")  # a phrase doesn't cross these
 SEPARATORS = BREAKS | byte_table(" \t")
 BLOCK = 1 << 19  # candidates in a trie; each trie is one broadcast, and one scan of the texts
-CHUNK = 4 << 20  # bytes of text taken together
-_PAIRS = 1 << 21  # proposals a task gathers before it hands them on
+CHUNK = 1 << 20  # bytes of text taken together
+_PAIRS = 1 << 19  # proposals, or words, that a task gathers before it hands them on
 
 
 def _strings(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -37,13 +37,42 @@ def _strings(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(to.astype(np.int64)), pa.py_buffer(data.tobytes()))
 
 
+def spell(hashes: np.ndarray, codes: np.ndarray) -> bytes:
+    """A run of words: its distinct hashes, and each word's place among them from 1 (0 is a break), in two bytes where they do."""
+    width = "<u2" if len(hashes) < 1 << 16 else "<u4"
+    return np.uint32(len(hashes)).tobytes() + hashes.astype("<u8").tobytes() + codes.astype(width).tobytes()
+
+
+def read_run(blob) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes (0, the break, first) and codes of a run."""
+    n = int(np.frombuffer(blob, "<u4", 1)[0])
+    hashes = np.zeros(n + 1, np.uint64)
+    hashes[1:] = np.frombuffer(blob, "<u8", n, 4)
+    return hashes, np.frombuffer(blob, "<u2" if n < 1 << 16 else "<u4", offset=4 + 8 * n)
+
+
+def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Hashes, counts and spellings of several lists of words, one row a hash."""
+    hashes = np.concatenate([p[0] for p in parts])
+    one, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+    n = np.bincount(back, np.concatenate([p[1] for p in parts]), len(one)).astype(np.int64)
+    return one, n, pa.concat_arrays([p[2] for p in parts]).take(pa.array(at))
+
+
 def encode_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, words) and, for the words of each chunk, (lang, hash, word, n).
+    """Rows (lang, words), a row a chunk and language, and rows (lang, hash, word, n) of the task's words.
 
-    ``words`` holds 64-bit hashes, 0 at each piece's start.
+    ``words`` (see ``spell``) holds 64-bit hashes, and a break at each piece's start.
     """
     powers = Powers()
     names = ["lang", "words", "hash", "word", "n"]
+    known: dict[str, list] = {}
+
+    def vocabulary(lang):
+        one, n, word = _merged(known.pop(lang))
+        return pa.record_batch([pa.array([lang] * len(one)), pa.nulls(len(one), pa.binary()), pa.array(one.view(np.int64)),
+                                word.cast(pa.string()), pa.array(n)], names)
+
     for b in batches:
         langs = b.column(0).dictionary_encode()
         code = langs.indices.to_numpy(zero_copy_only=False)
@@ -61,27 +90,39 @@ def encode_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             of = np.repeat(code[row: row + len(off) - 1], np.diff(first))
             for c in np.unique(of):
                 own = np.flatnonzero(of == c)
-                hs, place = h[own], np.arange(len(own)) + np.cumsum(new[own])
-                words = np.zeros(place[-1] + 1, "<u8")
-                words[place] = hs
+                place = np.arange(len(own)) + np.cumsum(new[own])
+                one, at, back, n = np.unique(h[own], return_index=True, return_inverse=True, return_counts=True)
+                codes = np.zeros(place[-1] + 1, np.uint32)
+                codes[place] = back + 1
                 lang = langs.dictionary[int(c)].as_py()
-                one, at, n = np.unique(hs, return_index=True, return_counts=True)
-                yield pa.record_batch([pa.array([lang]), pa.array([words.tobytes()], pa.binary()), pa.nulls(1, pa.int64()),
+                yield pa.record_batch([pa.array([lang]), pa.array([spell(one, codes)], pa.binary()), pa.nulls(1, pa.int64()),
                                        pa.nulls(1, pa.string()), pa.nulls(1, pa.int64())], names)
-                yield pa.record_batch([pa.array([lang] * len(one)), pa.nulls(len(one), pa.binary()), pa.array(one.view(np.int64)),
-                                       _strings(low, starts[own[at]], ends[own[at]]).cast(pa.string()), pa.array(n.astype(np.int64))], names)
+                parts = known.setdefault(lang, [])
+                parts.append((one, n, _strings(low, starts[own[at]], ends[own[at]])))
+                if sum(len(x) for x, _, _ in parts) > _PAIRS:
+                    known[lang] = [_merged(parts)]
+                    if len(known[lang][0][0]) > _PAIRS // 2:
+                        yield vocabulary(lang)
+    for lang in list(known):
+        yield vocabulary(lang)
 
 
 class PhraseTrie:
-    """Candidates of one level: language, then words, as a double array over the symbols that occur in it."""
+    """Candidates of one level, language first, as a double array over the words that occur in them.
+
+    A word's number is spelled in two digits, so that a node has at most the
+    root of the vocabulary's size of children: wide nodes would leave the
+    array mostly empty.
+    """
 
     def __init__(self, langs: np.ndarray, keys: np.ndarray) -> None:
         """langs: strings, keys: a matrix of word hashes, in the order of the candidates' numbers."""
         self.langs, lang = np.unique(langs.astype(str), return_inverse=True)
         self.keys, self.lang = keys, lang
         self.words = np.unique(keys)
-        rows = np.concatenate([lang[:, None], np.searchsorted(self.words, keys)], axis=1)
-        self.trie = DoubleArray(rows, max(len(self.langs), len(self.words)))
+        self.base = int(np.ceil(np.sqrt(len(self.words))))
+        digits = np.stack(np.divmod(np.searchsorted(self.words, keys), self.base), axis=2).reshape(len(keys), -1)
+        self.trie = DoubleArray(np.concatenate([lang[:, None], digits], axis=1), max(len(self.langs), self.base))
 
     def arrays(self) -> dict:
         return vars(self) | {"trie": vars(self.trie)}
@@ -92,21 +133,23 @@ class PhraseTrie:
         out.__dict__.update(arrays, trie=DoubleArray.of(arrays["trie"]))
         return out
 
-    def accepted(self, lang: str, words: np.ndarray) -> np.ndarray:
-        """At each position, the number of the candidate that starts there, or -1."""
-        n, depth, trie = len(words), self.keys.shape[1], self.trie
+    def accepted(self, lang: str, hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """At each position of a run, the number of the candidate that starts there, or -1."""
+        n, depth, trie = len(codes), self.keys.shape[1], self.trie
         out = np.full(n, -1, np.int64)
         at = int(np.searchsorted(self.langs, lang))
         if at == len(self.langs) or self.langs[at] != lang or n < depth:
             return out
-        symbol = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        symbol[self.words[symbol] != words] = -1
-        alive = np.flatnonzero(symbol[: n - depth + 1] >= 0)
+        symbol = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        symbol[self.words[symbol] != hashes] = -1
+        high, low = (d[codes] for d in np.divmod(symbol.astype(np.int32), np.int32(self.base)))  # no word: the high digit is negative
+        alive = np.flatnonzero(high[: n - depth + 1] >= 0)
         states = np.broadcast_to(trie.step(np.array([trie.root]), np.array([at])), alive.shape)
         for j in range(depth):
-            states = trie.step(states, symbol[alive + j])
-            live = states > 0
-            alive, states = alive[live], states[live]
+            for digit in (high, low):
+                states = trie.step(states, digit[alive + j])
+                live = states > 0
+                alive, states = alive[live], states[live]
         out[alive] = trie.accept[states]
         return out
 
@@ -116,52 +159,73 @@ def _summed(values: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return one, np.bincount(at, n, len(one)).astype(np.int64)
 
 
-def _rows(langs: pa.Array, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    keys = np.ascontiguousarray(keys, "<u8")
-    fixed = pa.Array.from_buffers(pa.binary(keys.shape[1] * 8), len(keys), [None, pa.py_buffer(keys.tobytes())])
-    return pa.record_batch([langs, fixed.cast(pa.binary()), pa.array(n)], ["lang", "key", "n"])
-
-
 def scan(words: DataFrame, held: Broadcast, whole: bool, more: bool) -> DataFrame:
-    """Partial counts (lang, key, n) of a trie's candidates, and with ``more`` of proposals, which are a word longer.
+    """Partial counts (code, word, n) of a trie's candidates, and with ``more`` of proposals, which are a word longer.
 
-    ``whole``: the trie holds all candidates of its level, so a proposal whose
-    last words are no candidate is left out here already.
+    A candidate's code is -1 less its number.  A proposal is a candidate and
+    the word after it: with ``whole`` (the trie holds all candidates of its
+    level) only if its last words are a candidate as well, and the code names
+    both; else the code is the candidate's number and ``word`` the hash.
     """
     def run(batches):
         t = PhraseTrie.of(held.value)
         size, depth = t.keys.shape
         count = np.zeros(size, np.int64)
-        waiting: dict[str, list] = {}
+        waiting: list = []
+
+        def rows(code, word, n):
+            return pa.record_batch([pa.array(code), pa.array(word) if word is not None else pa.array(np.zeros(len(code), np.int64)), pa.array(n)],
+                                   ["code", "word", "n"])
 
-        def proposals(lang, parts):
-            p, n = _summed(*map(np.concatenate, zip(*parts)))
-            return _rows(pa.array([lang] * len(p), pa.string()), np.concatenate([t.keys[p // size], t.keys[p % size, -1:]], axis=1), n)
+        def proposals():
+            code, n = _summed(*map(np.concatenate, zip(*waiting)))
+            waiting.clear()
+            return rows(code, None, n)
 
         for b in batches:
             for lang, blob in zip(b.column(0).to_pylist(), b.column(1)):
-                w = np.frombuffer(blob.as_buffer(), "<u8")
-                ids = t.accepted(lang, w)
+                hashes, codes = read_run(blob.as_buffer())
+                ids = t.accepted(lang, hashes, codes)
                 count += np.bincount(ids[ids >= 0], minlength=size)
                 if more and whole:
                     at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-                    waiting.setdefault(lang, []).append(_summed(ids[at] * size + ids[at + 1], np.ones(len(at), np.int64)))
-                    if sum(len(x) for x, _ in waiting[lang]) > _PAIRS:
-                        yield proposals(lang, waiting.pop(lang))
+                    waiting.append(_summed(ids[at] * size + ids[at + 1], np.ones(len(at), np.int64)))
+                    if sum(len(x) for x, _ in waiting) > _PAIRS:
+                        yield proposals()
                 elif more:
-                    at = np.flatnonzero(ids[: max(0, len(w) - depth)] >= 0)
-                    at = at[w[at + depth] > 0]
-                    last, code = np.unique(w[at + depth], return_inverse=True)
-                    p, n = _summed(ids[at] * max(1, len(last)) + code, np.ones(len(at), np.int64))
+                    at = np.flatnonzero(ids[: max(0, len(codes) - depth)] >= 0)
+                    at = at[codes[at + depth] > 0]
+                    p, n = _summed(ids[at] * len(hashes) + codes[at + depth], np.ones(len(at), np.int64))
                     if len(p):
-                        yield _rows(pa.array([lang] * len(p), pa.string()),
-                                    np.concatenate([t.keys[p // len(last)], last[p % len(last), None]], axis=1), n)
-        for lang, parts in waiting.items():
-            yield proposals(lang, parts)
+                        yield rows(p // len(hashes), hashes[p % len(hashes)].view(np.int64), n)
+        if waiting:
+            yield proposals()
         at = np.flatnonzero(count)
-        yield _rows(pa.array(t.langs[t.lang[at]].tolist(), pa.string()), t.keys[at], count[at])
+        yield rows(-1 - at, None, count[at])
+
+    return words.mapInArrow(run, "code long, word long, n long")
+
 
-    return words.mapInArrow(run, "lang string, key binary, n long")
+def spelled_out(sums: DataFrame, held: Broadcast, whole: bool) -> DataFrame:
+    """lang, key, f of summed codes."""
+    def run(batches):
+        t = PhraseTrie.of(held.value)
+        size, depth = t.keys.shape
+        for b in batches:
+            code, word = (b.column(i).to_numpy() for i in (0, 1))
+            for own in (code < 0, code >= 0):
+                c, w = code[own], word[own]
+                number = -1 - c if len(c) and c[0] < 0 else c // size if whole else c
+                key = t.keys[number]
+                if len(c) and c[0] >= 0:
+                    last = t.keys[c % size, -1] if whole else w.view(np.uint64)
+                    key = np.concatenate([key, last[:, None]], axis=1)
+                key = np.ascontiguousarray(key, "<u8")
+                fixed = pa.Array.from_buffers(pa.binary(key.shape[1] * 8), len(key), [None, pa.py_buffer(key.tobytes())])
+                yield pa.record_batch([pa.array(t.langs[t.lang[number]].tolist(), pa.string()), fixed.cast(pa.binary()),
+                                       b.column(2).filter(pa.array(own))], ["lang", "key", "f"])
+
+    return sums.mapInArrow(run, "lang string, key binary, f long")
 
 
 def count_level(words: DataFrame, candidates: DataFrame, depth: int, min_count: int, more: bool,
@@ -181,8 +245,8 @@ def count_level(words: DataFrame, candidates: DataFrame, depth: int, min_count:
         if not len(keys):
             continue
         held = spark.sparkContext.broadcast(PhraseTrie(np.array(own.column("lang").to_pylist()), keys).arrays())
-        sums = scan(words, held, blocks == 1, more).groupBy("lang", "key").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-        sums = stored(sums, f"phrases-{depth}-{b}")
+        sums = scan(words, held, blocks == 1, more).groupBy("code", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+        sums = stored(spelled_out(sums, held, blocks == 1), f"phrases-{depth}-{b}")
         held.destroy()
         found = sums if found is None else found.union(sums)
     if found is None:

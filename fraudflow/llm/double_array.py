@@ -46,7 +46,7 @@ class DoubleArray:
         rng = np.random.default_rng(1)
         degree = np.bincount(parent, minlength=nodes)
         first = np.concatenate([[0], np.cumsum(degree)])
-        taken = np.zeros(2 * nodes + symbols + 2, bool)
+        taken = np.zeros(nodes + nodes // 4 + symbols + 2, bool)
         taken[0] = True  # the dead state
         base = np.zeros(nodes, np.int64)
         inner = np.flatnonzero(degree)
@@ -84,9 +84,10 @@ class DoubleArray:
             good = ~bad
             base[left[good]] = tries[good]
             taken[slots[good[owner]]] = True
-            if good.sum() < 0.2 * len(left):
-                taken = np.concatenate([taken, np.zeros(len(taken) // 4 + 1, bool)])
             left = left[bad]
+            # hardly any found room: make some
+            if good.sum() < 0.02 * len(bad):
+                taken = np.concatenate([taken, np.zeros(len(taken) // 8 + 1, bool)])
         size = len(taken)
         slot = np.full(nodes, size)  # the root's is past all others
         slot[child] = base[parent] + symbol
