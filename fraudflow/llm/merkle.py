@@ -189,7 +189,7 @@ def prove(docs: DataFrame, values: Sequence[str] = ("doc_id", "source", "lang",
     """
     bands, top, _ = manifest(docs, values, id_col, source_col, carry)
     spark = docs.sparkSession
-    start = spark.range(1).select(F.lit(-1).cast("long").alias("tree"), F.lit(None).cast("string").alias("top"),
+    start = spark.range(1).select((F.col("id") - 1).alias("tree"), F.lit(None).cast("string").alias("top"),
                                   F.array().cast("array<struct<left:string,right:string>>").alias("path"))
     over = paths(top, start).select(F.col("payload").cast("long").alias("tree"), "path", F.col("digest").alias("top"))
     over = stored(over, "merkle-over")
