@@ -1,10 +1,14 @@
 """Licence scan by a trained paragraph classifier (dealt operator 7).
 
-Paragraphs (lines, and runs of lines with words, joined, so that wrapped notices
-are whole; long ones in overlapping windows) are sparse vectors of hashed word 1- to 3-grams.  A multinomial logistic regression tells licence
+Paragraphs (lines, and runs of lines with words, joined, so that wrapped
+notices are whole; long ones in overlapping windows) are sparse vectors of
+hashed word 1- to 3-grams.  A multinomial logistic regression tells licence
 families and an ``unknown`` class apart; a temperature fitted on examples kept
-apart calibrates its probabilities.  What it predicts is compared with the
-family's templates, and confirmed if enough of one template's word pairs occur.
+apart calibrates its probabilities.  The families that it gives a window at
+least ``PROPOSE`` are compared with their templates, and so are their siblings,
+whose templates share most of their word pairs.  A family is confirmed if
+enough of one template's word pairs occur, and no sibling fits better.  What
+the classifier doesn't propose is not looked for.
 """
 
 from __future__ import annotations
@@ -28,9 +32,16 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "SPDX-License-Identifier: Apache-2.0",
     ],
+    "bsd": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    ],
+    "bsd-2-clause": [
+        "Released under the BSD 2-Clause License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+    ],
     "bsd-3-clause": [
         "Released under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "cc-by-4.0": [
@@ -41,6 +52,18 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    "cc-by-nc-nd-4.0": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ],
+    "cc-by-nc-sa-4.0": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ],
+    "cc-by-nd-4.0": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
     "cc-by-sa-4.0": [
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
@@ -49,6 +72,10 @@ TEMPLATES = {
         "Dedicated to the public domain under CC0 1.0.",
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     ],
+    "epl-2.0": [
+        "Released under the Eclipse Public License 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    ],
     "gpl-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
@@ -57,6 +84,18 @@ TEMPLATES = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
+    "isc": [
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "lgpl-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "lgpl-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
     "mit": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction.",
@@ -70,31 +109,43 @@ TEMPLATES = {
         "All rights reserved.",
         "No part of this publication may be reproduced or transmitted in any form without prior written permission of the publisher.",
     ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
 }
 UNKNOWN = "unknown"
 WINDOW, STRIDE = 40, 20  # words of a window of a long line, and between their starts
 FEATURES = 1 << 15
 MAX_UNKNOWN = 4000  # paragraphs of the corpus that stand for the unknown class in training
 SAMPLE_DOCUMENTS = 2000  # documents that these come from, those of the smallest hash of their id
-MAYBE = 0.95  # probability of unknown under which a window is compared with all templates
+PROPOSE = 0.01  # probability from which a family is proposed for a window (its recall: tests, README)
 CONFIRM = 0.6  # share of a template's word pairs that confirms it
+ALIKE = 0.5  # share of a template's word pairs that make another one its sibling
 
 
-def units(buf: np.ndarray, off: np.ndarray, powers: Powers):
-    """Words of a slice and its units: (word hashes, byte starts, byte ends, lines' first word, unit line, begin, end, text's first line)."""
+def windows(first: np.ndarray, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, begin, end) of the windows over units of words; of ``some`` units only, if given."""
+    n = np.diff(first)
+    k = np.where(n > WINDOW, -(-(n - WINDOW) // STRIDE) + 1, (n > 0).astype(np.int64))
+    if some is not None:
+        k = k * some
+    unit = np.repeat(np.arange(len(n)), k)
+    begin = first[unit] + (np.arange(len(unit)) - np.repeat(np.cumsum(k) - k, k)) * STRIDE
+    return unit, begin, np.minimum(begin + WINDOW, first[unit + 1])
+
+
+def line_words(buf: np.ndarray, off: np.ndarray, powers: Powers):
+    """Words of a slice by line: lower-cased bytes, word hashes, byte starts, byte ends, lines' first word, texts' first line."""
     low = LOWER[buf]
     edge = np.unique(np.concatenate([off, np.flatnonzero(buf == 10) + 1]))
     edge = edge[edge <= off[-1]]
     s, e, first = spans(low, edge, NON_ALNUM)
-    n = np.diff(first)
-    k = np.where(n > WINDOW, -(-(n - WINDOW) // STRIDE) + 1, (n > 0).astype(np.int64))
-    line = np.repeat(np.arange(len(n)), k)
-    begin = first[line] + (np.arange(len(line)) - np.repeat(np.cumsum(k) - k, k)) * STRIDE
-    return low, span_hashes(low, s, e, powers), s, e, first, line, begin, np.minimum(begin + WINDOW, first[line + 1]), np.searchsorted(edge, off)
+    return low, span_hashes(low, s, e, powers), s, e, first, np.searchsorted(edge, off)
 
 
-def joined(first: np.ndarray, top: np.ndarray):
-    """Windows over runs of two or more lines with words: (runs' first word and the end, unit run, begin, end).
+def joined(first: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of lines with words: their first words, and which have two lines or more.
 
     Comment marks are no words, so a line of them alone ends a run, as an empty one does.
     """
@@ -104,13 +155,8 @@ def joined(first: np.ndarray, top: np.ndarray):
     texts = top[:-1][top[:-1] < len(has)]
     start[texts] = has[texts]
     at = np.flatnonzero(start)
-    runs = np.append(first[at], first[-1])
     lines = np.add.reduceat(has.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
-    n = np.diff(runs)
-    k = np.where(n > WINDOW, -(-(n - WINDOW) // STRIDE) + 1, 1) * (lines > 1)
-    run = np.repeat(np.arange(len(n)), k)
-    begin = runs[run] + (np.arange(len(run)) - np.repeat(np.cumsum(k) - k, k)) * STRIDE
-    return runs, run, begin, np.minimum(begin + WINDOW, runs[run + 1])
+    return np.append(first[at], first[-1]), lines > 1
 
 
 def columns(words: np.ndarray, first: np.ndarray):
@@ -122,22 +168,66 @@ def columns(words: np.ndarray, first: np.ndarray):
     return out
 
 
+class Templates:
+    """The templates' distinct word pairs as one sorted table, and which template has which."""
+
+    def __init__(self, families: list[str], pairs: list[list[np.ndarray]]) -> None:
+        """``pairs``: the templates' hashed word pairs, by family."""
+        flat = [t for ts in pairs for t in ts]
+        self.family = np.repeat(np.arange(len(pairs)), [len(ts) for ts in pairs])
+        self.table = np.unique(np.concatenate(flat))
+        self.has = np.stack([np.isin(self.table, t) for t in flat], axis=1)  # pairs x templates
+        self.size = self.has.sum(axis=0)
+        of = np.stack([self.has[:, self.family == k].any(axis=1) for k in range(len(pairs))], axis=1)
+        self.of_family = of.astype(np.int32)
+        # pairs that no other family's templates have
+        self.own = self.has & (of.sum(axis=1) == 1)[:, None]
+        shared = self.has.T.astype(np.int64) @ self.has
+        self.alike = shared >= ALIKE * self.size[:, None]  # of the first template's pairs, in the second
+        m = len(families)
+        self.siblings = np.eye(m, dtype=bool)
+        for i, j in zip(*np.nonzero(self.alike | self.alike.T)):
+            self.siblings[self.family[i], self.family[j]] = True
+        need = np.ceil(CONFIRM * self.size - 1e-9)
+        self.need = np.array([need[self.family == k].min(initial=np.inf) for k in range(m)])  # of a family's pairs, at least
+
+    def fit(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For distinct pairs (places in the table): the share of each template that occurs, and which may be confirmed at all."""
+        rows = self.has[found]
+        own = self.own[found].any(axis=0) | ~self.own.any(axis=0)
+        return rows.sum(axis=0) / self.size, own
+
+    def confirmed(self, found: np.ndarray, proposed: np.ndarray) -> list[tuple[int, float, int]]:
+        """(family, share, template) of the proposed families with CONFIRM of a template's pairs, of siblings
+        the one that fits best.  If a template has pairs that no other family's has, one of them must occur."""
+        share, own = self.fit(found)
+        best = {}
+        for t in np.flatnonzero(own & proposed[self.family] & (share >= CONFIRM)):
+            k = int(self.family[t])
+            if k not in best or (share[t], self.size[t]) > (best[k][1], self.size[best[k][2]]):
+                best[k] = (k, float(share[t]), int(t))
+        return [x for x in best.values() if not any(y[1] > x[1] and self.alike[x[2], y[2]] for y in best.values())]
+
+
 @dataclass
 class Classifier:
     families: list[str]  # the last is UNKNOWN
     weights: np.ndarray  # FEATURES x families
     bias: np.ndarray
     temperature: float
-    pairs: dict[str, list[np.ndarray]]  # by family: each template's distinct word pairs, hashed
+    templates: Templates
 
     def probabilities(self, words, first, begin, end) -> np.ndarray:
+        """Calibrated probabilities of windows [begin, end) over words; ``first``: the units' first words."""
         logits = np.zeros((len(begin), len(self.families)))
         size = np.zeros(len(begin))
         for n, (feature, ok) in enumerate(columns(words, first), 1):
             if not len(feature):
                 continue
+            rows = self.weights[feature]
+            rows[~ok] = 0
             total = np.zeros((len(feature) + 1, len(self.families)))
-            np.cumsum(self.weights[feature] * ok[:, None], axis=0, out=total[1:])
+            np.cumsum(rows, axis=0, dtype=np.float64, out=total[1:])
             stop = np.clip(end - n + 1, begin, len(feature))
             logits += total[stop] - total[np.minimum(begin, len(feature))]
             size += np.maximum(0, end - begin - n + 1)
@@ -145,28 +235,65 @@ class Classifier:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
-    def similarity(self, family: str, pairs: np.ndarray) -> float:
-        """The largest share of a template's word pairs that occur."""
-        return max(float(np.isin(t, pairs).mean()) for t in self.pairs[family])
-
-    def own(self, family: str, template: np.ndarray) -> np.ndarray:
-        """The template's pairs that no other family's templates have."""
-        return template[~np.isin(template, np.concatenate([t for f, ts in self.pairs.items() if f != family for t in ts] or [np.zeros(0, U64)]))]
-
-    def confirmed(self, pairs: np.ndarray) -> dict[str, tuple[float, np.ndarray]]:
-        """The families with CONFIRM of a template's word pairs, that and the template; of
-        templates that share half of their pairs the one that fits best.  If a template has
-        pairs that no other family's has, one of them must occur."""
-        best = {}
-        for f, ts in self.pairs.items():
-            ts = [t for t in ts if not len(self.own(f, t)) or np.isin(self.own(f, t), pairs).any()]
-            if not ts:
-                continue
-            same, t = max(((float(np.isin(t, pairs).mean()), t) for t in ts), key=lambda x: (x[0], len(x[1])))
-            if same >= CONFIRM:
-                best[f] = same, t
-        return {f: (same, t) for f, (same, t) in best.items()
-                if not any(other > same and np.isin(t, u).mean() >= 0.5 for other, u in best.values())}
+    def notices(self, words, first, unit, begin, end):
+        """Of windows over units: probabilities, the places of the templates' pairs among the words, and the confirmed
+        notices as (window, family, probability, share, its pairs' first place, first and last place of all pairs near).
+
+        What is left of a window beside the notices found in it is classified
+        again, as two notices close together hide one another.
+        """
+        t, every = self.templates, None
+        h, ok = grams(words, first, 2, 32)
+        at = np.minimum(np.searchsorted(t.table, h), len(t.table) - 1)
+        places = np.flatnonzero(ok & (t.table[at] == h))
+        hits = at[places]
+        upto = np.zeros((len(hits) + 1, len(t.need)), np.int32)
+        np.cumsum(t.of_family[hits], axis=0, out=upto[1:])
+        # a template may be longer than a window
+        longest = max(WINDOW, int(t.size.max()) + 1)
+        window, floor, top = np.arange(len(begin)), first[unit], first[unit + 1]
+        out = []
+        while len(window):
+            p = self.probabilities(words, first, begin, end)
+            every = p if every is None else every
+            proposed = p[:, :-1] >= PROPOSE
+            some = np.flatnonzero(proposed.any(axis=1))
+            wanted = (proposed[some].astype(np.int32) @ t.siblings.astype(np.int32)) > 0
+            low = np.searchsorted(places, np.maximum(floor[some], begin[some] - longest))
+            high = np.searchsorted(places, np.minimum(top[some], end[some] + longest) - 1)
+            wanted &= upto[high] - upto[low] >= t.need
+            rest = []
+            for i in np.flatnonzero(wanted.any(axis=1)):
+                w, a, z = int(some[i]), int(low[i]), int(high[i])
+                spans_ = []
+                for k, share, template in t.confirmed(np.unique(hits[a:z]), wanted[i]):
+                    x, y = _closest(places[a:z], hits[a:z], t.has[:, template])
+                    spans_.append((x, y + 2))
+                    out.append((int(window[w]), k, p[w, k], share, x, int(places[a]), int(places[z - 1])))
+                left = int(begin[w])
+                edge = int(floor[w])
+                for x, y in sorted(spans_):
+                    rest.append((window[w], left, min(x, int(end[w])), edge, x))
+                    left, edge = max(left, y), max(edge, y)
+                if spans_:
+                    rest.append((window[w], left, int(end[w]), edge, int(top[w])))
+            rest = [r for r in rest if r[2] - r[1] > 1]
+            window, begin, end, floor, top = np.array(rest, np.int64).reshape(-1, 5).T
+        return np.zeros((0, len(self.families))) if every is None else every, places, hits, out
+
+
+def _closest(places: np.ndarray, hits: np.ndarray, has: np.ndarray) -> tuple[int, int]:
+    """First and last place of the shortest stretch of twice a template's length with the most of its pairs."""
+    own = has[hits]
+    places, hits = places[own], hits[own]
+    ends = np.searchsorted(places, places + 2 * has.sum())
+    best = max(range(len(places)), key=lambda j: (len(np.unique(hits[j: ends[j]])), j))
+    known, last = set(), best
+    for j in range(best, ends[best]):  # repeats at the end don't belong
+        if hits[j] not in known:
+            known.add(hits[j])
+            last = j
+    return int(places[best]), int(places[last])
 
 
 def _pairs(words: np.ndarray) -> np.ndarray:
@@ -192,7 +319,7 @@ def _variants(template: str, fillers: list[str], rng: np.random.Generator, count
     return out
 
 
-def train(paragraphs: list[str], templates: dict[str, list[str]] = TEMPLATES, copies: int = 40, epochs: int = 80, seed: int = 7) -> Classifier:
+def train(paragraphs: list[str], templates: dict[str, list[str]] = TEMPLATES, copies: int = 40, epochs: int = 60, seed: int = 7) -> Classifier:
     """A classifier from templates and paragraphs of unknown kind.
 
     Paragraphs that hold CONFIRM of a template don't stand for the unknown
@@ -200,8 +327,13 @@ def train(paragraphs: list[str], templates: dict[str, list[str]] = TEMPLATES, co
     """
     powers, rng = Powers(), np.random.default_rng(seed)
     families = [*sorted(templates), UNKNOWN]
-    pairs = {f: [_pairs(_hash(t, powers)) for t in ts] for f, ts in templates.items()}
-    plain = [p for p in paragraphs if not any(np.isin(t, _pairs(_hash(p, powers))).mean() >= CONFIRM for ts in pairs.values() for t in ts)]
+    table = Templates(families[:-1], [[_pairs(_hash(t, powers)) for t in templates[f]] for f in families[:-1]])
+
+    def holds(text):
+        found = np.flatnonzero(np.isin(table.table, _pairs(_hash(text, powers))))
+        return (table.fit(found)[0] >= CONFIRM).any()
+
+    plain = [p for p in paragraphs if not holds(p)]
     texts, kinds = [], []
     for k, f in enumerate(families[:-1]):
         for t in templates[f]:
@@ -222,20 +354,23 @@ def train(paragraphs: list[str], templates: dict[str, list[str]] = TEMPLATES, co
         rows.append(np.full(len(c), i))
         cols.append(c)
         values.append(np.full(len(c), 1 / np.sqrt(max(1, len(c)))))
-    rows, cols, values, kinds = np.concatenate(rows), np.concatenate(cols), np.concatenate(values), np.array(kinds)
+    rows, cols, values, kinds = np.concatenate(rows), np.concatenate(cols), np.concatenate(values).astype(np.float32), np.array(kinds)
     apart = rng.permutation(len(texts)) % 5 == 0
     used, cols = np.unique(cols, return_inverse=True)
     m, n = len(families), len(texts)
-    weights, bias = np.zeros((len(used), m)), np.zeros(m)
-    speed, speed_b = np.full((len(used), m), 1e-8), np.full(m, 1e-8)
-    truth = np.eye(m)[kinds]
+    # entries by example, and by feature
+    has, starts = np.unique(rows, return_index=True)
+    by = np.argsort(cols, kind="stable")
+    rows_by, values_by, starts_by = rows[by], values[by][:, None], np.searchsorted(cols[by], np.arange(len(used)))
+    weights, bias = np.zeros((len(used), m), np.float32), np.zeros(m, np.float32)
+    speed, speed_b = np.full((len(used), m), 1e-8, np.float32), np.full(m, 1e-8, np.float32)
+    truth = np.eye(m, dtype=np.float32)[kinds]
     each = (~apart / np.maximum(1, np.bincount(kinds, minlength=m))[kinds])[:, None]  # classes weigh the same
-    each = each / each.sum()
+    each = (each / each.sum()).astype(np.float32)
 
     def logits():
-        z = np.empty((n, m))
-        for k in range(m):
-            z[:, k] = np.bincount(rows, weights[cols, k] * values, n)
+        z = np.zeros((n, m), np.float32)
+        z[has] = np.add.reduceat(weights[cols] * values[:, None], starts, axis=0)
         return z + bias
 
     def soft(z):
@@ -244,18 +379,17 @@ def train(paragraphs: list[str], templates: dict[str, list[str]] = TEMPLATES, co
 
     for _ in range(epochs):
         g = (soft(logits()) - truth) * each
-        for k in range(m):
-            d = np.bincount(cols, g[rows, k] * values, len(used)) + 1e-6 * weights[:, k]
-            speed[:, k] += d * d
-            weights[:, k] -= 0.5 * d / np.sqrt(speed[:, k])
+        d = np.add.reduceat(g[rows_by] * values_by, starts_by, axis=0) + 1e-6 * weights
+        speed += d * d
+        weights -= 0.5 * d / np.sqrt(speed)
         d = g.sum(axis=0)
         speed_b += d * d
         bias -= 0.5 * d / np.sqrt(speed_b)
-    z = logits()[apart]
+    z = logits()[apart].astype(np.float64)
     loss = [(-np.log(np.maximum(1e-12, soft(z / t)[np.arange(len(z)), kinds[apart]])).mean(), t) for t in np.geomspace(0.2, 5, 33)]
-    full = np.zeros((FEATURES, m))
+    full = np.zeros((FEATURES, m), np.float32)
     full[used] = weights
-    return Classifier(families, full, bias, float(min(loss)[1]), pairs)
+    return Classifier(families, full, bias.astype(np.float64), float(min(loss)[1]), table)
 
 
 def corpus_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", documents: int = SAMPLE_DOCUMENTS, limit: int = MAX_UNKNOWN) -> list[str]:
@@ -270,7 +404,8 @@ def corpus_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         powers = Powers()
         for b in batches:
             for _, buf, off in slices(b.column("text")):
-                low, _, s, e, _, _, begin, end, _ = units(buf, off, powers)
+                low, _, s, e, first, _ = line_words(buf, off, powers)
+                _, begin, end = windows(first)
                 raw = low.tobytes()
                 yield pa.record_batch({"p": pa.array([raw[s[x]: e[y - 1]].decode("utf-8", "replace") for x, y in zip(begin, end)], pa.string())})
 
@@ -282,57 +417,48 @@ def scan_licenses(docs: DataFrame, model: Classifier, id_col: str = "doc_id", te
 
     n_lines counts lines with a word; ``line`` counts all lines from 0.  For
     each line and family the best window counts, a confirmed one first.
-    ``found`` holds the lines' most likely families, and all families whose
-    templates confirm them in a window that may hold a notice.  A notice over
-    several lines stands at its first one.  A null or empty text has none.
+    ``found`` holds the families that the classifier prefers to unknown on a
+    line, and those proposed that a template confirms.  A notice over several
+    lines stands at its first one.  A null or empty text has none.
     """
     def run(batches):
         import pyarrow as pa
 
-        powers, number = Powers(), {f: k for k, f in enumerate(model.families)}
-        longest = max(WINDOW, *(len(t) + 1 for ts in model.pairs.values() for t in ts))
+        powers, t = Powers(), model.templates
         kind = pa.list_(pa.struct([("line", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64()), ("confirmed", pa.bool_())]))
         for b in batches:
             for row, buf, off in slices(b.column("text"), 1 << 20):
                 n = len(off) - 1
-                _, words, _, _, first, line, begin, end, top = units(buf, off, powers)
+                _, words, _, _, first, top = line_words(buf, off, powers)
                 found: list[dict] = [{} for _ in range(n)]
 
-                def put(doc, at, family, probability, same, sure):
+                def put(line, k, probability, same, sure):
+                    doc = int(np.searchsorted(top, line, "right")) - 1
+                    at, family = int(line - top[doc]), model.families[k]
                     old = found[doc].get((at, family))
                     if old is None or (old["confirmed"], old["probability"]) < (sure, probability):
                         found[doc][at, family] = {"line": at, "family": family, "probability": float(probability), "similarity": same, "confirmed": sure}
 
-                p = model.probabilities(words, first, begin, end)
+                line, begin, end = windows(first)
+                p, places, hits, sure = model.notices(words, first, line, begin, end)
+                for u, k, probability, same, *_ in sure:
+                    put(line[u], k, probability, same, True)
+                known = {x[:2] for x in sure}
                 best = p.argmax(axis=1)
-                for u in np.flatnonzero(p[:, -1] < MAYBE):
-                    doc = int(np.searchsorted(top, line[u], "right")) - 1
-                    at = int(line[u] - top[doc])
-                    # a template may be longer than a window
-                    x, y = max(first[line[u]], begin[u] - longest), min(first[line[u] + 1], end[u] + longest)
-                    pairs = _pairs(words[x:y])
-                    sure = model.confirmed(pairs)
-                    for family, (same, _) in sure.items():
-                        put(doc, at, family, p[u, number[family]], same, True)
-                    family = model.families[best[u]]
-                    if family != UNKNOWN and family not in sure:
-                        put(doc, at, family, p[u, best[u]], model.similarity(family, pairs), False)
-                runs, run_of, begin, end = joined(first, top)
-                p = model.probabilities(words, runs, begin, end)
-                for u in np.flatnonzero(p[:, -1] < MAYBE):
-                    x, y = max(runs[run_of[u]], begin[u] - longest), min(runs[run_of[u] + 1], end[u] + longest)
-                    row_of = np.searchsorted(first, [x, y - 1], "right") - 1
-                    doc = int(np.searchsorted(top, row_of[0], "right")) - 1
-                    low, high = row_of - top[doc]
-                    inside = grams(words[x:y], np.array([0, y - x]), 2, 32)[0]
-                    for family, (same, t) in model.confirmed(np.unique(inside)).items():
-                        if any(f == family and z["confirmed"] and low <= at <= high for (at, f), z in found[doc].items()):
-                            continue  # on a line of its own, or in the window before
-                        hits = np.flatnonzero(np.isin(inside, t))
-                        # where most of the template's pairs stand close together
-                        start = hits[np.argmax(np.searchsorted(hits, hits + 2 * len(t)) - np.arange(len(hits)))]
-                        at = int(np.searchsorted(first, x + start, "right") - 1 - top[doc])
-                        put(doc, at, family, p[u, number[family]], same, True)
+                for u in np.flatnonzero(best < len(model.families) - 1):
+                    if (u, best[u]) not in known:
+                        near = hits[np.searchsorted(places, begin[u]): np.searchsorted(places, end[u] - 1)]
+                        put(line[u], best[u], p[u, best[u]], float(t.fit(np.unique(near))[0][t.family == best[u]].max()), False)
+
+                runs, several = joined(first, top)
+                run_of, begin, end = windows(runs, several)
+                p, places, hits, sure = model.notices(words, runs, run_of, begin, end)
+                for _, k, probability, same, start, *ends in sure:
+                    a, z = np.searchsorted(first, ends, "right") - 1
+                    doc = int(np.searchsorted(top, a, "right")) - 1
+                    if any(f == model.families[k] and x["confirmed"] and a <= at + top[doc] <= z for (at, f), x in found[doc].items()):
+                        continue  # on a line of its own, or in the window before
+                    put(np.searchsorted(first, start, "right") - 1, k, probability, same, True)
                 has = np.concatenate([[0], np.cumsum(np.diff(first) > 0)])
                 lines = has[np.minimum(top[1:], len(has) - 1)] - has[np.minimum(top[:-1], len(has) - 1)]
                 yield pa.record_batch([b.column("doc_id").slice(row, n), pa.array(lines), pa.array([[x[k] for k in sorted(x)] for x in found], kind)],
