@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
 from .store import stored
 from .tokenize import encoder, version
 
@@ -13,7 +15,8 @@ CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
 def read_cache(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
     """Stored counts of one tokenizer version (digest, n_tokens), one row a digest."""
-    spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache)  # makes an empty cache readable
+    if not path_exists(spark, cache):
+        spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache)  # makes an empty cache readable
     rows = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("tokenizer") == tokenizer)
     return rows.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
@@ -25,10 +28,11 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, id_col: str =
     The normalised content is the text with null as empty; any further
     normalisation would change counts.  Its SHA-256 and the tokenizer's
     digest are joined to the stored counts in ``cache`` (a Parquet folder on
-    shared storage).  Of the digests that miss, one row each is encoded and
-    its count appended, so a later call over grown data encodes only what is
-    new.  An append that fails half-way leaves no rows; one done twice is
-    harmless, as equal digests have equal counts.
+    shared storage).  Of the digests that miss, the text of one id each is
+    encoded, rows equal in id and text once a batch, and one row a digest is
+    appended, so a later call over grown data encodes only what is new.  An
+    append that fails half-way leaves no rows; one done twice is harmless, as
+    equal digests have equal counts.
 
     Null ids and repeated rows keep a result row each.  Only the columns
     named are read, so others may have any name.
@@ -48,12 +52,18 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, id_col: str =
     def encode(batches):
         import pyarrow as pa
 
-        counts = encoder(tokenizer_path).counts
+        counts, last = encoder(tokenizer_path).counts, None
         for b in batches:
-            yield pa.record_batch({"digest": b.column("digest"), "n_tokens": pa.array(counts(b.column("text")))})
+            # rows equal in id and text come one after the other from the join
+            codes = b.column("digest").dictionary_encode()
+            at = np.unique(codes.indices.to_numpy(zero_copy_only=False), return_index=True)[1]
+            digests = b.column("digest").take(pa.array(at))
+            at = pa.array([i for i, d in zip(at.tolist(), digests.to_pylist()) if d != last], pa.int64())
+            last = b.column("digest")[-1].as_py() if len(codes) else last
+            yield pa.record_batch({"digest": b.column("digest").take(at), "n_tokens": pa.array(counts(b.column("text").take(at)))})
 
     found = texts.select("digest", "text").mapInArrow(encode, "digest binary, n_tokens long")
-    (found.select("digest", F.lit(tokenizer).alias("tokenizer"), "n_tokens")
-     .write.mode("append").parquet(cache))
+    (found.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+     .select("digest", F.lit(tokenizer).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache))
     return (keys.join(stored(read_cache(spark, cache, tokenizer), "token-counts"), "digest")
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))

@@ -10,7 +10,7 @@ import pytest
 import tokenizers
 
 from fraudflow.llm import catalog, tokenize
-from fraudflow.llm.cutting_stock import knapsack, plan
+from fraudflow.llm.cutting_stock import knapsack, plan, solve
 from fraudflow.llm.packing import pack_documents, padding
 from fraudflow.llm.token_counts import count_tokens
 from fraudflow.session import work_path
@@ -66,13 +66,22 @@ def test_cache_encodes_only_new_digests(spark, edge, library, monkeypatch):
     assert n == len({t or "" for _, t in EDGE})
     more = table(spark, EDGE + [(77, "brand new text"), (78, "brand new text"), (None, None), (6, "one two three four five six")])
     got = count_tokens(more, BPE, cache, limit=3).collect()
-    assert spark.read.parquet(cache).count() == n + 1
+    assert spark.read.parquet(cache).count() == n + 2  # "brand new text", and row 6's new text
     want = {i: (len((t or "").encode()), len(x)) for (i, t), x in zip(EDGE, library([t for _, t in EDGE]))}
     assert {r["doc_id"]: (r["n_bytes"], r["n_tokens"]) for r in first} == want
     assert len(got) == len(EDGE) + 4
     assert all(r["over_limit"] == (r["n_tokens"] > 3) for r in got)
 
 
+@pytest.mark.parametrize("row", [(None, "one text for all"), (3, "one text for all")])
+def test_cache_has_one_row_a_digest(spark, row):
+    """Rows equal in id and text, or of no id, are encoded once."""
+    cache = work_path(spark, "cache-test")
+    got = count_tokens(table(spark, [row] * 1000 + [(5, None), (6, "")], 7), BPE, cache).collect()
+    assert len(got) == 1002
+    assert spark.read.parquet(cache).count() == 2
+
+
 def test_empty_tables(spark, empty):
     assert count_tokens(empty, BPE, work_path(spark, "cache-test")).collect() == []
     assert pack_documents(empty, BPE).collect() == []
@@ -128,7 +137,10 @@ def test_column_generation_is_near_the_bound():
     made = plan(sizes, demand, 64)
     assert sum(p * n for p, n in made).tolist() == demand.tolist()
     assert all((p * sizes).sum() <= 64 for p, _ in made)
-    assert sum(n for _, n in made) <= 1.003 * np.ceil((demand * sizes).sum() / 64) + 64
+    # no plan takes fewer sequences than the linear program's optimum
+    best = solve(sizes, demand, 64, gap=1e-9)[1].sum()
+    assert np.ceil(best - 1e-6) <= sum(n for _, n in made) <= np.ceil(best) + 1
+    assert best > (demand * sizes).sum() / 64
     assert plan(np.array([], int), np.array([], int), 64) == []
     value, pattern = knapsack(np.array([0.3, 0.5, 0.75]), np.array([2, 3, 5]), 10)
     assert (round(value, 9), pattern.tolist()) == (1.6, [2, 2, 0])
