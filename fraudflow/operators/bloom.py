@@ -8,12 +8,14 @@ hash.  That shape maps onto plain DataFrame operations:
 * **build** = one aggregate: ``groupBy(block).agg(bit_or(mask))`` over the
   distinct keys, combined map-side (the partition-filter-then-merge of the
   original, done by Spark's partial/final aggregation);
-* **probe** = one equi-join on the block number plus ``word & mask == mask``
-  — no Python, no JVM internals, works on batch and streaming frames.
+* **probe** = ``word & mask == mask`` for the word of the key's block — no
+  Python, no JVM internals, works on batch and streaming frames.
 
 The filter's size is fixed by (n, fpp) before it is built: ``num_blocks``
-words of 8 bytes.  The probe broadcasts the words only when that number is
-at most ``max_broadcast_blocks``; a bigger filter is joined by shuffle.
+words of 8 bytes.  Up to ``MAX_PACKED_BYTES`` all words are one binary value
+that goes with the plan, and the probe is a scalar expression: no join, so no
+join in a micro-batch either.  A bigger filter's words are broadcast up to
+``max_broadcast_blocks``, and joined by shuffle beyond; the hits are the same.
 False positives are part of the semantics (at most ``fpp`` on keys never
 inserted); false negatives cannot happen; a null key never matches.
 """
@@ -22,8 +24,9 @@ from __future__ import annotations
 
 import logging
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,7 @@ from ..schema import BLOOM_FPP
 BLOCK_BITS = 64
 SALT = "fraudflow-bloom-v1"
 DEFAULT_MAX_BROADCAST_BLOCKS = 4 << 20     # 4 Mi words = 32 MiB of filter
+MAX_PACKED_BYTES = 1 << 20                 # some 700,000 keys at 1 %
 log = logging.getLogger(__name__)
 
 
@@ -87,18 +91,40 @@ class BloomFilter:
     k: int
     n: int
     fpp: float
+    _packed: bytes | None = field(default=None, repr=False, compare=False)
 
     # -- probe -------------------------------------------------------------
+    def packed(self) -> bytes | None:
+        """All words in one value, 8 bytes a block, highest first; None for a filter over MAX_PACKED_BYTES."""
+        if self._packed is None and self.num_blocks * 8 <= MAX_PACKED_BYTES:
+            rows = self.words.select("block", "word").toArrow()
+            words = np.zeros(self.num_blocks, ">i8")
+            words[rows["block"].to_numpy()] = rows["word"].to_numpy()
+            self._packed = words.tobytes()
+            self.release()  # later probes don't read the words
+        return self._packed
+
+    def hit(self, key: Column) -> Column:
+        """The probe as a scalar expression over the packed words; a null key is no hit."""
+        if (words := self.packed()) is None:
+            raise ValueError(f"a filter of {self.num_blocks} blocks isn't packed: probe it with might_contain")
+        at = (block_of(key, self.num_blocks) * 8 + 1).cast("int")
+        word = F.conv(F.hex(F.substring(F.lit(words), at, F.lit(8))), 16, -10).cast("bigint")
+        mask = mask_of(key, self.k)
+        return key.isNotNull() & (word.bitwiseAND(mask) == mask)
+
     def might_contain(self, df: DataFrame, key: str, out: str = "bf_hit",
-                      max_broadcast_blocks: int = DEFAULT_MAX_BROADCAST_BLOCKS) -> DataFrame:
+                      max_broadcast_blocks: int = DEFAULT_MAX_BROADCAST_BLOCKS, packed: bool = True) -> DataFrame:
         """JN3 / UDF1: add boolean ``out``; null key -> false.
 
-        The words are broadcast up to ``max_broadcast_blocks`` (as rows of a
+        Without ``packed``, or beyond its bound, the words are joined.  They are broadcast up to ``max_broadcast_blocks`` (as rows of a
         hash table about 64 bytes each, 256 MiB at the default), else shuffled
         to; the answer is the same.  A null key has no block: in a shuffle it
         is dealt out by the whole row's hash, and meets nothing.
         """
         kc = F.col(key)
+        if packed and self.packed() is not None:
+            return df.withColumn(out, self.hit(kc))
         words = self.words.select(F.col("block").alias("_bf_b"), F.col("word").alias("_bf_w"))
         block = block_of(kc, self.num_blocks)
         if self.num_blocks <= max_broadcast_blocks:

@@ -10,9 +10,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 # AQE re-plans joins from measured shuffle sizes (broadcast when the real
 # output is small), coalesces small shuffle partitions and splits skewed
 # ones.  Explicit broadcasts in the library are only for proven bounds.
@@ -89,8 +93,23 @@ def work_path(spark: SparkSession, name: str) -> str:
     Used for intermediate tables, stream sinks and stream checkpoints so
     they live on the cluster's shared storage, never on one machine.
     """
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/fraudflow-work/{name}-{uuid.uuid4().hex[:12]}"
+    base = _SCRATCH.get() or ensure_checkpoint_dir(spark).rstrip("/") + "/fraudflow-work"
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str):
+    """Work paths asked for inside lie below one folder, which is removed at the end.
+
+    What is to outlast it must be written to a path asked for outside.
+    """
+    folder = work_path(spark, name)
+    token = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(token)
+        remove(spark, folder)
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -211,7 +211,7 @@ def test_null_keys_pass_the_filter_by(spark):
     keys = spark.range(2000).selectExpr("concat('K', id) AS k")
     bf = bloom.build(keys, "k")
     probe = keys.unionByName(spark.range(2000).selectExpr("CAST(null AS STRING) AS k"))
-    for bound in (0, bloom.DEFAULT_MAX_BROADCAST_BLOCKS):
-        out = bf.might_contain(probe, "k", max_broadcast_blocks=bound)
+    for bound, packed in ((0, False), (bloom.DEFAULT_MAX_BROADCAST_BLOCKS, False), (0, True)):
+        out = bf.might_contain(probe, "k", max_broadcast_blocks=bound, packed=packed)
         assert out.where("bf_hit").count() == 2000 and out.where("k IS NULL AND NOT bf_hit").count() == 2000
     bf.release()

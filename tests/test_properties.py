@@ -55,10 +55,28 @@ def test_bloom_save_load_roundtrip(spark, keys, tmp_path):
 
 def test_bloom_probe_works_without_broadcast(spark, keys):
     bf = bloom.build(keys, "k")
-    a = bf.might_contain(keys, "k", max_broadcast_blocks=0).where(F.col("bf_hit")).count()
+    a = bf.might_contain(keys, "k", max_broadcast_blocks=0, packed=False).where(F.col("bf_hit")).count()
     assert a == 20000
 
 
+def test_bloom_packed_probe_is_a_scalar(spark, keys, monkeypatch):
+    """The same hits as by a join, and no join in the plan, in batch and in a micro-batch."""
+    bf = bloom.build(keys, "k")
+    probe = spark.range(60000).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("K"), (F.col("id") * 3 % 50000).cast("string"))).alias("k"))
+    scalar, joined = bf.might_contain(probe, "k"), bf.might_contain(probe, "k", packed=False)
+    count = lambda df: {tuple(r) for r in df.groupBy("k", "bf_hit").count().collect()}
+    assert count(scalar) == count(joined)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan(scalar) and "Exchange" not in plan(scalar) and "Join" in plan(joined)
+    assert len(bf.packed()) == 8 * bf.num_blocks
+    monkeypatch.setattr(bloom, "MAX_PACKED_BYTES", 100)
+    big = bloom.build(keys, "k")
+    assert big.packed() is None and "Join" in plan(big.might_contain(probe, "k"))
+    with pytest.raises(ValueError, match="packed"):
+        big.hit(F.col("k"))
+    assert count(big.might_contain(probe, "k")) == count(scalar)
+
+
 def test_bloom_quality_report(spark):
     from fraudflow.operators.bloom import quality_report
     t = fx.txn_big(spark, SF_MID)
