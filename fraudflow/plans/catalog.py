@@ -1012,9 +1012,10 @@ def q_stream_pipeline_routes(spark, sf):
     from ..session import work_path
     from ..streaming.pipeline import TopologyPaths, start_routing
     from ..sources.topics import decode
+    from .model import compiled
     t = _txn(spark, sf)
     bf = bloom.build(bad_senders(t), "sender_account")
-    model = trained(spark, sf).model
+    model = compiled(trained(spark, sf).model, spark)
     paths = TopologyPaths(work_path(spark, "stream-pipeline"))
     replay(t, f"{paths.base}/raw/replay")
     q = start_routing(spark, f"{paths.base}/raw/*", bf, model, paths, max_files=None)
@@ -1128,6 +1129,29 @@ def q_model_reload(spark, sf):
     return _same_rows(score(t.model, t.test).select(cols), score(load_model(path), t.test).select(cols))
 
 
+@query("forest_expression", O.with_ctes(O.TXN_CTE, """
+SELECT CAST(count(amount) AS BIGINT) AS scored_rows, true AS same_probability, true AS same_decisions FROM txn"""))
+def q_forest_expression(spark, sf):
+    """ML7 + ML9: the forest as a Spark expression scores every transaction as the fitted pipeline does."""
+    from .forest import CompiledForest
+    from .model import compiled, score
+    t = _txn(spark, sf)
+    model = trained(spark, sf).model
+    forest = compiled(model, spark)
+    if not isinstance(forest, CompiledForest):
+        raise ValueError("the forest is larger than an expression may be")
+    cols = ["fraud_probability", "prediction", "prediction_custom", "is_fraud_prediction"]
+    a = score(model, t).select("transaction_id", F.struct(*cols).alias("a"))
+    b = score(forest, t).select("transaction_id", F.struct(*cols).alias("b"))
+    both = a.join(b, "transaction_id", "full")
+    near = F.abs(F.col("a.fraud_probability") - F.col("b.fraud_probability")) < 1e-9
+    same = (F.col("a.prediction") == F.col("b.prediction")) & (F.col("a.is_fraud_prediction") == F.col("b.is_fraud_prediction")) & (
+        (F.col("a.prediction_custom") == F.col("b.prediction_custom")) | (F.abs(F.col("a.fraud_probability") - 0.15) < 1e-9))
+    miss = F.lit(False)
+    return both.agg(F.count("*").alias("scored_rows"), F.bool_and(F.coalesce(near, miss)).alias("same_probability"),
+                    F.bool_and(F.coalesce(same, miss)).alias("same_decisions"))
+
+
 @query("inferred_csv", O.with_ctes(O.TXN_CTE, """
 SELECT transaction_id, amount, velocity_score, is_fraud, merchant_category, time_since_last_transaction FROM txn"""))
 def q_inferred_csv(spark, sf):

@@ -24,6 +24,7 @@ from ..operators.features import feature_stage
 from ..schema import (CATEGORICAL_COLS, NUMERIC_FEATURE_COLS, OFFLINE_THRESHOLD,
                       RF_PARAMS, SAMPLE_FRACTIONS, SEED, SPLIT_WEIGHTS,
                       SWEEP_THRESHOLDS, TRANSACTION_COLUMNS)
+from .forest import CompiledForest, compile_forest
 from .imputer import MedianImputer
 
 RATE_DECIMALS = 6
@@ -139,13 +140,24 @@ def train_model(transactions: DataFrame, seed: int = SEED, max_bins: int = MAX_B
 
 
 def score(model: PipelineModel, df: DataFrame, threshold: float = OFFLINE_THRESHOLD) -> DataFrame:
-    """ML9 + FN15 + FN16: fraud probability and custom-threshold decision."""
+    """ML9 + FN15 + FN16: fraud probability and custom-threshold decision.
+
+    ``model`` is the fitted pipeline, or its expression (``compiled``), which
+    gives the same numbers without the vector columns.
+    """
+    if isinstance(model, CompiledForest):
+        return model.score(df, threshold)
     out = model.transform(df)
     return (out.withColumn("fraud_probability", vector_element("probability", 1))
                .withColumn("prediction_custom", threshold_decision("fraud_probability", threshold))
                .withColumn("is_fraud_prediction", F.col("prediction").cast("int")))
 
 
+def compiled(model: PipelineModel, spark) -> PipelineModel | CompiledForest:
+    """The pipeline as a Spark expression where it can be one, else itself."""
+    return compile_forest(model, spark) or model
+
+
 def unscored(df: DataFrame) -> DataFrame:
     """Rows the assembler would skip (a null / NaN numeric feature input):
     neither fraud nor not-fraud downstream, so they are reported apart."""
