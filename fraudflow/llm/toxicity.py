@@ -3,16 +3,20 @@
 Texts are TF-IDF vectors over all words of the labelled texts, and over those
 word beginnings that go with toxicity.  How much a word goes with toxic labels
 is a factor of its weight, never a reason to leave it out.  A block-max
-inverted index of the labelled examples finds the exact top-k by cosine: the
-heaviest terms of a text are summed over their postings; examples come in
-blocks, every term knows its largest weight in each block, and of the rest
-only examples are compared whose sum and block's bound can reach the k-th
-best.  Votes are weighted by distance and calibrated on the examples
-themselves, each left out once.
+inverted index of the labelled examples finds the exact top-k by cosine, for
+many texts at once.  Examples are laid out by content, so that neighbours in
+meaning share a block of 64.  The postings of rarer terms are summed first.
+For the terms that stand in many examples every block knows its largest
+weights, which bound what they can add: only blocks whose bound reaches the
+k-th best are multiplied out.  That is done in single precision; all examples
+within its error of the k-th best are compared again exactly.  Votes are
+weighted by distance and calibrated on the examples themselves, each left out
+once.
 """
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 import zlib
 from dataclasses import dataclass, field
@@ -23,12 +27,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from .store import stored
-from .words import LOWER, NON_ALNUM, U64, Powers, mix, slices, span_hashes, spans
+from .words import LOWER, NON_ALNUM, U64, Powers, byte_sums, mix, slices, span_hashes, spans
 
 BEGINNINGS = (4, 5, 6)  # characters
 MAX_EXAMPLES = 20_000  # labelled rows that a model is fitted on, the smallest by a hash of their id
 BLOCK = 64
+HIGH = 20  # bits of a term's hash that lead to its number
+GROUP = 64  # texts that are multiplied with the index together
+COMMON = 0.05  # share of the examples from which a term is kept in rows of weights instead of a posting list
+ERROR = 1e-4  # of a cosine in single precision: terms of a text x 2^-24, with room to spare
 NEIGHBOURS = 15
+MAX_BROADCAST = 512 << 20  # bytes of a model that is sent to the executors
+CALIBRATE = 5_000  # examples that are left out in turn for the calibration, evenly from all
 PLAIN = 0.05  # factor of a term that doesn't go with toxicity; of one that surely does it is 1
 CHI = 10.83  # chi-square (0.1 %) from which a term goes with toxicity
 
@@ -52,9 +62,12 @@ def features(buf: np.ndarray, off: np.ndarray, powers: Powers, within: np.ndarra
     low = _lower(buf)
     s, e, first = spans(low, off, NON_ALNUM)
     rows = np.repeat(np.arange(len(off) - 1), np.diff(first))
-    chars = np.flatnonzero((low & 0xC0) != 0x80)
-    edge = np.append(chars, len(low))
-    a, b = np.searchsorted(chars, s), np.searchsorted(chars, e)
+    begins = (low & 0xC0) != 0x80
+    edge = np.append(np.flatnonzero(begins), len(low))
+    upto = np.zeros(len(low) + 1, np.int32)  # characters before each byte
+    np.cumsum(begins, out=upto[1:])
+    a, b = upto[s], upto[e]
+    sums = byte_sums(low, powers)
     out = []
     for kind, n in enumerate((0, *BEGINNINGS)):
         if n:
@@ -62,7 +75,7 @@ def features(buf: np.ndarray, off: np.ndarray, powers: Powers, within: np.ndarra
             r, x, y = rows[long], s[long], edge[a[long] + n]
         else:
             r, x, y = rows, s, e
-        h = mix(span_hashes(low, x, y, powers) + U64(kind))
+        h = mix(span_hashes(low, x, y, powers, sums) + U64(kind))
         if n and within is not None:
             ok = within[(h & U64(0xFFFF)).astype(np.int64)]
             r, h, x, y = r[ok], h[ok], x[ok], y[ok]
@@ -81,6 +94,7 @@ class Model:
     """A fitted index; all arrays are bounded by the words of the examples."""
 
     hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))  # ascending
+    high: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # by a hash's high bits, the first term
     terms: list[str] = field(default_factory=list)  # empty for those that don't go with toxicity
     beginnings: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))  # hashes
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0))  # times the factor of the association
@@ -89,25 +103,41 @@ class Model:
     prior: float = 0.0
     without: float = 0.0  # score of a text with none of the terms
     points: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))  # calibration
-    # postings by term: from each term's first, examples and weights; the same by example
-    edges: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    rows: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    # by example: from its first, terms and weights
     own: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     own_terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     own_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     counts: np.ndarray | None = None  # by example, of which the weights are made
-    # bounds by term: from each term's first, blocks and the largest weights there; the largest of all
-    bound_edges: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    bound_blocks: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    bounds: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    most: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    norms: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by example, what its weights are divided by
+    logs: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by count, one more than its logarithm
+    # its broadcast, and its bytes
+    shared: object = None
+    state: bytes | None = None
+    size: int = 0
+    # postings of rarer terms: from each term's first, examples and weights
+    edges: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    rows: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+    # common terms: their column or -1, their weights (blocks x BLOCK x columns), the largest of each block
+    column: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    common: np.ndarray = field(default_factory=lambda: np.zeros((0, BLOCK, 0), np.float32))
+    bounds: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
 
     @property
     def postings(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """By term: examples, weights."""
         self._ready()
-        return [(self.rows[a:b], self.weights[a:b]) for a, b in zip(self.edges, self.edges[1:])]
+        weights = self._weights(np.arange(len(self.own_terms)), np.repeat(np.arange(len(self.ids)), np.diff(self.own)))
+        order = np.argsort(self.own_terms, kind="stable")
+        rows = np.repeat(np.arange(len(self.ids)), np.diff(self.own))[order]
+        edges = np.searchsorted(self.own_terms[order], np.arange(len(self.terms) + 1))
+        return [(rows[a:b], weights[order][a:b]) for a, b in zip(edges, edges[1:])]
+
+    def _weights(self, places: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Weights of entries, and whose they are."""
+        if self.counts is None:
+            return self.own_weights[places]
+        return self.logs[self.counts[places]] * self.idf[self.own_terms[places]] / self.norms[of]
 
     def flags(self) -> np.ndarray:
         out = np.zeros(1 << 16, bool)
@@ -117,13 +147,26 @@ class Model:
     def vectors(self, buf, off, powers, flags):
         """(rows, term numbers, counts) of the texts of a slice, by row and term."""
         _, (r, h, *_) = features(buf, off, powers, flags)
-        at = np.searchsorted(self.hashes, h)
-        at[at == len(self.hashes)] = 0
-        ok = self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), bool)
+        at = self.find(h)
+        ok = at >= 0
         m = max(1, len(self.terms))
         key, n = np.unique(r[ok] * m + at[ok], return_counts=True)
         return key // m, key % m, n
 
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash's term, or -1: hashes are spread evenly, so their high bits tell where to look."""
+        if not len(self.hashes):
+            return np.full(len(h), -1)
+        if not len(self.high):
+            self.high = np.searchsorted(self.hashes, np.arange(1 << HIGH, dtype=U64) << U64(64 - HIGH)).astype(np.int32)
+        known = np.append(self.hashes, U64(0))
+        at = self.high[(h >> U64(64 - HIGH)).astype(np.int64)].astype(np.int64)
+        left = np.flatnonzero((at < len(self.hashes)) & (known[at] < h))
+        while len(left):  # few steps: a place has less than one hash on the average
+            at[left] += 1
+            left = left[(at[left] < len(self.hashes)) & (known[at[left]] < h[left])]
+        return np.where((at < len(self.hashes)) & (known[at] == h), at, -1)
+
     def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.idf[terms]
         return w / np.sqrt((w * w).sum())
@@ -135,86 +178,145 @@ class Model:
         self.own_terms, self.own_weights = terms[by].astype(np.int32), weights[by]
         self._invert()
 
+    def common_weights(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The weights of the common terms of (terms, counts) vectors, a row each."""
+        df = np.zeros(len(self.terms), np.int64)
+        for terms, _ in vectors:
+            df[terms] += 1
+        column = np.full(len(df), -1, np.int32)
+        many = np.flatnonzero(df >= max(2, COMMON * len(vectors)))
+        column[many] = np.arange(len(many))
+        out = np.zeros((len(vectors), len(many)), np.float32)
+        for row, (terms, counts) in zip(out, vectors):
+            at, w = column[terms], self.weigh(terms, counts.astype(np.int64))
+            row[at[at >= 0]] = w[at >= 0]
+        return out
+
     def _ready(self) -> None:
-        """Weights and index, which aren't sent with the model."""
-        if self.counts is not None and len(self.own_weights) != len(self.counts):
-            self.own_weights = np.concatenate([self.weigh(self.own_terms[a:b], self.counts[a:b].astype(np.int64)) for a, b in zip(self.own, self.own[1:])])
+        """The index, which isn't sent with the model."""
+        if self.counts is not None and len(self.norms) != len(self.ids):
+            self.logs = 1 + np.log(np.maximum(1, np.arange(int(self.counts.max(initial=0)) + 1)))
+            self.norms = np.array([np.sqrt((w * w).sum()) for w in (
+                self.logs[self.counts[a:b]] * self.idf[self.own_terms[a:b]] for a, b in zip(self.own, self.own[1:]))])
             self._invert()
 
     def _invert(self) -> None:
-        order = np.argsort(self.own_terms, kind="stable")
-        terms, self.weights = self.own_terms[order], self.own_weights[order]
-        self.rows = np.repeat(np.arange(len(self.ids)), np.diff(self.own))[order]
-        self.edges = np.searchsorted(terms, np.arange(len(self.terms) + 1))
-        block = self.rows // BLOCK
-        head = np.flatnonzero((np.diff(terms, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
-        self.bound_edges = np.searchsorted(terms[head], np.arange(len(self.terms) + 1))
-        self.bound_blocks = block[head]
-        self.bounds = np.maximum.reduceat(self.weights, head) if len(head) else np.zeros(0)
-        self.most = np.zeros(len(self.terms))
-        np.maximum.at(self.most, terms, self.weights)
+        n, m = len(self.ids), len(self.terms)
+        df = np.bincount(self.own_terms, minlength=m)
+        many = np.flatnonzero(df >= max(2, COMMON * n))
+        self.column = np.full(m, -1, np.int32)
+        self.column[many] = np.arange(len(many))
+        blocks = -(-n // BLOCK)
+        self.common = np.zeros((blocks * BLOCK, len(many)), np.float32)
+        df[many] = 0
+        self.edges = np.concatenate([[0], np.cumsum(df)])
+        self.rows, self.weights = np.zeros(self.edges[-1], np.int32), np.zeros(self.edges[-1], np.float32)
+        upto = self.edges[:-1].copy()
+        for a in range(0, n, 256):  # some examples at a time: no second copy of all entries
+            some = np.arange(a, min(n, a + 256))
+            x = np.arange(self.own[some[0]], self.own[some[-1] + 1])
+            of = np.repeat(some, self.own[some + 1] - self.own[some])
+            w, terms = self._weights(x, of), self.own_terms[x]
+            at = self.column[terms]
+            self.common[of[at >= 0], at[at >= 0]] = w[at >= 0]
+            few = np.flatnonzero(at < 0)
+            few = few[np.argsort(terms[few], kind="stable")]
+            t = terms[few]
+            head = np.flatnonzero(np.diff(t, prepend=-1))
+            place = upto[t] + np.arange(len(t)) - np.repeat(head, np.diff(np.append(head, len(t))))
+            self.rows[place], self.weights[place] = of[few], w[few]
+            upto[t[head]] += np.diff(np.append(head, len(t)))
+        self.common = self.common.reshape(blocks, BLOCK, len(many))
+        self.bounds = self.common.max(axis=1)
 
     def __getstate__(self):
         """What the index is made of, small; it is made again where it is used."""
-        made = ("own_weights", "edges", "rows", "weights", "bound_edges", "bound_blocks", "bounds", "most")
-        return zlib.compress(pickle.dumps({k: v for k, v in self.__dict__.items() if self.counts is None or k not in made}, 5), 1)
+        if self.state is not None:
+            return self.state
+        made = ("high", "norms", "logs", "edges", "rows", "weights", "column", "common", "bounds")
+        keep = {k: v for k, v in self.__dict__.items() if k not in ("shared", "state", "size") and (self.counts is None or k not in made)}
+        return zlib.compress(pickle.dumps(keep, 5), 1)
 
     def __setstate__(self, state) -> None:
         self.__init__()
         self.__dict__.update(pickle.loads(zlib.decompress(state)))
 
-    def _sums(self, edges, of, values, terms, weights, size) -> np.ndarray:
-        lists = [slice(a, b) for a, b in zip(edges[terms].tolist(), edges[terms + 1].tolist())]
-        w = np.repeat(weights, edges[terms + 1] - edges[terms])
-        w *= np.concatenate([values[x] for x in lists])
-        return np.bincount(np.concatenate([of[x] for x in lists]), w, size)
-
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine above 0, and these; equal ones by example number."""
+        """The k examples of largest cosine above 0, all that equal the last of them, and these cosines."""
+        return self.nearest_of(np.array([0, len(terms)]), terms, weights, k, np.array([leave]))[0]
+
+    def nearest_of(self, edges: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS,
+                   leave: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` for many texts: text i has the terms from edges[i] to edges[i + 1]."""
         self._ready()
-        n = len(self.ids)
-        bound = weights * self.most[terms]
-        order = np.argsort(-bound, kind="stable")
-        terms, weights, bound = terms[order], weights[order], bound[order]
-        left = np.append(np.cumsum(bound[::-1])[::-1], 0.0)  # what the terms from here on can add
-        size = np.append(np.cumsum((self.edges[terms + 1] - self.edges[terms])[::-1])[::-1], 0)  # their postings
-        score, at, step = np.zeros(n), 0, 16
-        found = None
-        while at < len(terms):
-            upto = min(len(terms), at + step)
-            if size[upto] < 2 * n:  # cheaper than another look
-                upto = len(terms)
-            score += self._sums(self.edges, self.rows, self.weights, terms[at:upto], weights[at:upto], n)
-            at, step = upto, 4 * step
-            if at == len(terms) or n <= k + 1:
-                continue
-            # one more than k, as one may be left out
-            worst = np.partition(score, n - k - 1)[n - k - 1] - 1e-9
-            if left[at] < worst:
-                some = np.flatnonzero(score >= worst - left[at])
-                if len(some) > n // 4:
-                    continue
-                rest = self._sums(self.bound_edges, self.bound_blocks, self.bounds, terms[at:], weights[at:], n // BLOCK + 1)
-                some = some[score[some] + rest[some // BLOCK] >= worst]
-                if (self.own[some + 1] - self.own[some]).sum() < size[at]:
-                    found = some
-                    break
-        if found is None:
-            found, cosine = np.arange(n), score
-        else:
-            text = np.zeros(len(self.terms))
-            text[terms] = weights
-            x = _ranges(self.own[found], self.own[found + 1])
-            of = np.repeat(np.arange(len(found)), self.own[found + 1] - self.own[found])
-            cosine = np.bincount(of, text[self.own_terms[x]] * self.own_weights[x], len(found))
-        cosine = np.round(cosine, 12)
-        ok = (cosine > 0) & (found != leave)
-        found, cosine = found[ok], cosine[ok]
-        if len(found) > k:
-            ok = cosine >= np.partition(cosine, len(found) - k)[len(found) - k]
-            found, cosine = found[ok], cosine[ok]
-        top = np.lexsort((found, -cosine))[:k]
-        return found[top], cosine[top]
+        texts = len(edges) - 1
+        leave = np.full(texts, -1) if leave is None else leave
+        if not len(self.ids):
+            return [(np.zeros(0, np.int64), np.zeros(0))] * texts
+        of = np.repeat(np.arange(texts), np.diff(edges))
+        col = self.column[terms]
+        common = np.zeros((texts, self.common.shape[2]), np.float32)
+        common[of[col >= 0], col[col >= 0]] = weights[col >= 0]
+        bound = common @ self.bounds.T
+        out: list = [None] * texts
+        vector = np.zeros(len(self.terms))
+        # texts whose best blocks are close need much the same blocks
+        order = np.argsort(bound.argmax(axis=1), kind="stable")
+        for at in range(0, texts, GROUP):
+            group = order[at: at + GROUP]
+            for i, found in zip(group, self._candidates(group, edges, terms, weights, col, common[group], bound[group], k + 1)):
+                x = slice(edges[i], edges[i + 1])
+                vector[terms[x]] = weights[x]
+                y = _ranges(self.own[found], self.own[found + 1])
+                by = np.repeat(np.arange(len(found)), self.own[found + 1] - self.own[found])
+                cosine = np.round(np.bincount(by, vector[self.own_terms[y]] * self._weights(y, found[by]), len(found)), 12)
+                vector[terms[x]] = 0
+                ok = (cosine > 0) & (found != leave[i])
+                found, cosine = found[ok], cosine[ok]
+                if len(found) > k:
+                    ok = cosine >= np.partition(cosine, len(found) - k)[len(found) - k]
+                    found, cosine = found[ok], cosine[ok]
+                top = np.lexsort((found, -cosine))
+                out[i] = found[top], cosine[top]
+        return out
+
+    def _candidates(self, group, edges, terms, weights, col, common, bound, k):
+        """For each text of a group, examples that hold its k best."""
+        n, blocks = len(self.ids), len(self.common)
+        score = np.zeros((len(group), blocks * BLOCK), np.float32)
+        for i, e in enumerate(group):
+            x = np.arange(edges[e], edges[e + 1])
+            x = x[col[x] < 0]
+            a, b = self.edges[terms[x]], self.edges[terms[x] + 1]
+            y = _ranges(a, b)
+            score[i] = np.bincount(self.rows[y], np.repeat(weights[x].astype(np.float32), b - a) * self.weights[y], blocks * BLOCK)
+        score = score.reshape(len(group), blocks, BLOCK)
+        if n <= k:
+            return [np.arange(n)] * len(group)
+        bound = bound + score.max(axis=2) + ERROR
+        # the best block's examples give the k-th best a floor
+        one, best = np.arange(len(group)), bound.argmax(axis=1)
+        first = score[one, best] + (self.common[best] @ common[:, :, None])[:, :, 0]
+        floor = np.partition(first, BLOCK - k, axis=1)[:, BLOCK - k] if k <= BLOCK else np.zeros(len(group))
+        some = np.flatnonzero((bound >= floor[:, None] - ERROR).any(axis=0))
+        rows = self.common
+        if len(some) < blocks:
+            rows, score = rows[some], score[:, some]
+        score += (common @ rows.reshape(-1, common.shape[1]).T).reshape(len(group), len(some), BLOCK)
+        tops = score.max(axis=2)
+        if len(some) >= k:  # the k-th best block's best is no better than the k-th best of all
+            floor = np.maximum(floor, np.partition(tops, len(some) - k, axis=1)[:, len(some) - k])
+        least = np.maximum(floor - 2 * ERROR, np.finfo(np.float32).tiny)
+        g, s = np.nonzero(tops >= least[:, None])
+        near = score[g, s]
+        h, r = np.nonzero(near >= least[g][:, None])
+        g, value, found = g[h], near[h, r], some[s[h]] * BLOCK + r
+        edge = np.searchsorted(g, np.arange(len(group) + 1))
+        out = []
+        for a, b in zip(edge, edge[1:]):
+            own = value[a:b]
+            out.append(found[a:b][own >= np.partition(own, len(own) - k)[len(own) - k] - 2 * ERROR] if len(own) > k else found[a:b])
+        return out
 
     def vote(self, near: np.ndarray, cosine: np.ndarray) -> float:
         w = 1 / (1.05 - np.minimum(cosine, 1))
@@ -244,8 +346,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     """A model from ``labels`` (doc_id, toxic 0 or 1) and the texts of ``docs``.
 
     At most ``max_examples`` labelled rows are used, those of the smallest
-    hash of their id: the one bounded sample.  Rows with a null id or label
-    are left out, an id labelled twice is toxic if either says so.  Terms:
+    hash of their id: the one bounded sample.  Rows equal in id and text count
+    once.  Rows with a null id or label are left out, an id labelled twice is
+    toxic if either says so.  Terms:
     all words of these texts, and the beginnings that go with toxicity, which
     are those of three times the usual share of toxic examples and a
     chi-square (continuity-corrected) of CHI or more.  A term's idf is taken
@@ -255,8 +358,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
               .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
               .orderBy(F.xxhash64("_id"), "_id").limit(max_examples))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # at most max_examples rows are broadcast
-    sample = stored(texts.join(F.broadcast(stored(chosen, "labelled")), F.col("doc_id") == F.col("_id")).select("doc_id", "toxic", "text"), "examples")
+    texts = texts.withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
+    # at most max_examples rows are broadcast: first their ids, then one of each id and text
+    own = F.col("doc_id") == F.col("_id")
+    pairs = texts.join(F.broadcast(stored(chosen, "labelled")), own).select("_id", "digest", "toxic").distinct()
+    pairs = stored(pairs.orderBy(F.xxhash64("_id"), "_id", "digest").limit(max_examples).withColumnRenamed("digest", "_digest"), "labelled-texts")
+    sample = (texts.join(F.broadcast(pairs), own & (F.col("digest") == F.col("_digest")))
+              .groupBy("doc_id", "digest", "toxic").agg(F.any_value("text").alias("text")))
+    sample = stored(sample.select("doc_id", "toxic", "text"), "examples")
 
     def count(batches):
         import pyarrow as pa
@@ -327,20 +436,59 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     goes = np.array([bool(x) for x in m.terms])
     none = [y for x, y in zip(part, toxic) if not goes[terms[x]].any()]
     m.without = (sum(none) + m.prior) / (len(none) + 1)
-    rows = sorted((i for i, x in enumerate(part) if x.stop > x.start), key=lambda i: (ids[i], terms[part[i]].tobytes(), counts[part[i]].tobytes()))
-    m.ids = [ids[i] for i in rows]
-    m.toxic = np.array([toxic[i] for i in rows], float)
-    if rows:
-        m.own = np.concatenate([[0], np.cumsum([part[i].stop - part[i].start for i in rows])])
-        m.own_terms = np.concatenate([terms[part[i]] for i in rows])
-        m.counts = np.concatenate([counts[part[i]] for i in rows]).astype(np.min_scalar_type(counts.max()))
-        m.calibrate(_votes(docs.sparkSession, m), m.toxic)
+    full = [i for i, x in enumerate(part) if x.stop > x.start]
+    # ids decide nothing: examples are ordered by vector and label, then laid out by content
+    full.sort(key=lambda i: (hashlib.blake2b(terms[part[i]].tobytes() + counts[part[i]].tobytes(), digest_size=16).digest(), toxic[i], ids[i]))
+    if full:
+        vectors_ = [(terms[part[i]], counts[part[i]]) for i in full]
+        order = by_content(m.common_weights(vectors_))
+        m.ids, m.toxic = [ids[full[i]] for i in order], np.array([toxic[full[i]] for i in order], float)
+        m.own = np.concatenate([[0], np.cumsum([len(vectors_[i][0]) for i in order])])
+        m.own_terms = np.concatenate([vectors_[i][0] for i in order])
+        m.counts = np.concatenate([vectors_[i][1].astype(np.min_scalar_type(counts.max())) for i in order])
+        del got, terms, counts, part, vectors_
+        chosen = np.unique(np.linspace(0, len(m.ids) - 1, min(len(m.ids), CALIBRATE)).astype(np.int64))
+        m.calibrate(_votes(docs.sparkSession, m, chosen), m.toxic[chosen])
     return m
 
 
-def _votes(spark, model: Model) -> np.ndarray:
-    """Each example's vote by its neighbours but itself."""
-    shared = spark.sparkContext.broadcast(model)
+def by_content(rows: np.ndarray) -> np.ndarray:
+    """An order in which similar rows stand together: halved at the median of the widest of eight main directions,
+    and the halves again, down to blocks."""
+    if not rows.shape[1]:
+        return np.arange(len(rows))
+    mean = rows.mean(axis=0)
+    values, vectors = np.linalg.eigh(rows.T @ rows / len(rows) - np.outer(mean, mean))
+    seen = rows @ vectors[:, np.argsort(-values)[:8]]
+    out, left = [], [np.arange(len(rows))]
+    while left:
+        part = left.pop()
+        if len(part) <= BLOCK:
+            out.append(part)
+            continue
+        own = seen[part]
+        part = part[np.argsort(own[:, own.var(axis=0).argmax()], kind="stable")]
+        half = -(-len(part) // (2 * BLOCK)) * BLOCK  # whole blocks on the one side
+        left += [part[half:], part[:half]]
+    return np.concatenate(out)
+
+
+def send(spark, model: Model):
+    """The model as a broadcast, made once, if it isn't larger than MAX_BROADCAST; the calibration isn't part of it."""
+    if model.shared is None:
+        model.state = model.__getstate__()
+        model.size = len(model.state)
+        if model.size <= MAX_BROADCAST:
+            model.shared = spark.sparkContext.broadcast(model)
+        model.state = None
+    if model.size > MAX_BROADCAST:
+        raise ValueError(f"a model of {model.size >> 20} MB: fit it on fewer examples (max_examples)")
+    return model.shared
+
+
+def _votes(spark, model: Model, chosen: np.ndarray) -> np.ndarray:
+    """The votes of the chosen examples by their neighbours but themselves."""
+    shared = send(spark, model)
 
     def run(batches):
         import pyarrow as pa
@@ -348,17 +496,17 @@ def _votes(spark, model: Model) -> np.ndarray:
         m = shared.value
         m._ready()
         for b in batches:
-            i = b.column("id").to_numpy()
-            votes = []
-            for e in i.tolist():
-                x = slice(m.own[e], m.own[e + 1])
-                votes.append(m.vote(*m.nearest(m.own_terms[x].astype(np.int64), m.own_weights[x], leave=e)))
-            yield pa.record_batch({"id": pa.array(i), "vote": pa.array(votes, pa.float64())})
-
-    parts = max(1, min(spark.sparkContext.defaultParallelism, len(model.ids) // 500))
-    got = spark.range(0, len(model.ids), 1, parts).mapInArrow(run, "id long, vote double").toArrow()
-    shared.unpersist()
-    out = np.zeros(len(model.ids))
+            i, votes = b.column("id").to_numpy(), []
+            for part in np.array_split(chosen[i], -(-len(i) // 512)):
+                x = _ranges(m.own[part], m.own[part + 1])
+                size = m.own[part + 1] - m.own[part]
+                near = m.nearest_of(np.concatenate([[0], np.cumsum(size)]), m.own_terms[x], m._weights(x, np.repeat(part, size)), leave=part)
+                votes += [m.vote(*found) for found in near]
+            yield pa.record_batch({"id": b.column("id"), "vote": pa.array(votes, pa.float64())})
+
+    parts = max(1, min(spark.sparkContext.defaultParallelism, len(chosen) // 250))
+    got = spark.range(0, len(chosen), 1, parts).mapInArrow(run, "id long, vote double").toArrow()
+    out = np.zeros(len(chosen))
     out[got["id"].to_numpy()] = got["vote"].to_numpy()
     return out
 
@@ -368,6 +516,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     """doc_id, score, terms, neighbours (doc_id, cosine, toxic) for every row of ``docs``.
 
     ``terms`` are those that go with toxicity; all words count for the score.
+    Examples as near as the k-th all vote; ``neighbours`` shows k.
     ``carry`` names columns of ``docs`` to give instead of doc_id.
 
     Every whole text is scored; a null or empty one, like any without the
@@ -378,28 +527,40 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
         import pyarrow as pa
 
         model = shared.value
-        powers, known, flags = Powers(), {}, model.flags()
+        model.points = points
+        powers, flags = Powers(), model.flags()
+        goes = np.array([bool(t) for t in model.terms])
         near_type = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+        plain = (model.without, [], [])
         for b in batches:
             for row, buf, off in slices(b.column("_text")):
                 n = len(off) - 1
                 r, term, count = model.vectors(buf, off, powers, flags)
                 edges = np.searchsorted(r, np.arange(n + 1))
-                scores, terms, near = [model.without] * n, [[]] * n, [[]] * n
-                for i in np.flatnonzero(np.diff(edges)):
+                # texts of one vector are scored once
+                same: dict[bytes, list] = {}
+                for i in np.flatnonzero(np.diff(edges)).tolist():
                     x = slice(edges[i], edges[i + 1])
-                    key = (term[x].tobytes(), count[x].tobytes())
-                    if key not in known:
-                        if len(known) > 2_000:  # a vector has all words of a text
-                            known.clear()
-                        ids, cosine = model.nearest(term[x], model.weigh(term[x], count[x]), k)
-                        known[key] = (model.score(model.vote(ids, cosine)), [model.terms[j] for j in term[x] if model.terms[j]],
-                                      [{"doc_id": model.ids[j], "cosine": float(c), "toxic": int(model.toxic[j])} for j, c in zip(ids, cosine)])
-                    scores[i], terms[i], near[i] = known[key]
+                    same.setdefault(term[x].tobytes() + count[x].tobytes(), []).append(i)
+                first = np.array([i[0] for i in same.values()], np.int64)
+                x = _ranges(edges[first], edges[first + 1])
+                size = edges[first + 1] - edges[first]
+                w = (1 + np.log(count[x])) * model.idf[term[x]]
+                at = np.repeat(np.arange(len(first)), size)
+                w = w / np.sqrt(np.bincount(at, w * w, len(first)))[at]
+                found = model.nearest_of(np.concatenate([[0], np.cumsum(size)]), term[x], w, k)
+                every = [plain] * n
+                for rows_, (near, cosine) in zip(same.values(), found):
+                    own = term[edges[rows_[0]]: edges[rows_[0] + 1]]
+                    made = (model.score(model.vote(near, cosine)), [model.terms[j] for j in own[goes[own]]],
+                            [{"doc_id": model.ids[j], "cosine": float(c), "toxic": int(model.toxic[j])} for j, c in zip(near[:k], cosine)])
+                    for i in rows_:
+                        every[i] = made
+                scores, terms, near = zip(*every) if n else ((), (), ())
                 yield pa.record_batch([*(b.column(i).slice(row, n) for i in range(kept)), pa.array(scores, pa.float64()), pa.array(terms, pa.list_(pa.string())), pa.array(near, near_type)],
                                       names=names)
 
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, points = send(docs.sparkSession, model), model.points
     first = docs.select(*carry) if carry else docs.select(F.col(id_col).cast("long").alias("doc_id"))
     names, kept = [*first.columns, "score", "terms", "neighbours"], len(first.columns)
     rows = docs.select(*(carry or [F.col(id_col).cast("long").alias("doc_id")]), F.col(text_col).cast("string").alias("_text"))

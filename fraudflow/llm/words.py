@@ -46,11 +46,18 @@ class Powers:
         return self.up, self.down
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
-    """64-bit hash of each byte span [start, end)."""
-    up, down = powers.upto(len(buf) + 1)
+def byte_sums(buf: np.ndarray, powers: Powers) -> np.ndarray:
+    """What ``span_hashes`` takes differences of: one more than the bytes."""
+    up, _ = powers.upto(len(buf) + 1)
     h = np.zeros(len(buf) + 1, U64)
     np.cumsum(multipliers(256, 7)[buf] * up[: len(buf)], dtype=U64, out=h[1:])
+    return h
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers, sums: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hash of each byte span [start, end); ``sums`` of the same bytes serve several calls."""
+    h = byte_sums(buf, powers) if sums is None else sums
+    _, down = powers.upto(len(buf) + 1)
     return mix((h[ends] - h[starts]) * down[starts] + (ends - starts).astype(U64))
 
 
