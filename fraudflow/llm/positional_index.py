@@ -106,17 +106,25 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int)
         yield block
 
 
-def _windows(block, window: int, frequency: dict[str, int]):
-    """{window words: (item ids, places from the rarest term on)}; windows with a term that is nowhere are left out."""
-    out = {}
+def _windows(block, window: int, number: dict[str, int], frequency: np.ndarray) -> dict[int, list]:
+    """Windows filed under their rarest term: (terms by number, places from the rarest on, item ids).
+
+    Windows with a term that is nowhere are left out.
+    """
+    out: dict[tuple, set] = {}
     for item, words in block:
-        for j in range(max(1, len(words) - window + 1) if words else 0):
-            w = tuple(words[j: j + window])
+        terms = [number[w] for w in words]
+        for j in range(max(1, len(terms) - window + 1) if terms else 0):
+            w = tuple(terms[j: j + window])
             if w in out:
-                out[w][0].add(item)
-            elif all(t in frequency for t in w):
-                out[w] = ({item}, sorted(range(len(w)), key=lambda k: (frequency[w[k]], k)))
-    return out
+                out[w].add(item)
+            elif frequency[list(w)].all():
+                out[w] = {item}
+    filed: dict[int, list] = {}
+    for w, ids in out.items():
+        order = sorted(range(len(w)), key=lambda k: (frequency[w[k]], k))
+        filed.setdefault(w[order[0]], []).append((np.array(w, np.int32), np.array(order, np.int16), sorted(ids)))
+    return filed
 
 
 def _near(places: np.ndarray, want: np.ndarray, slop: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -143,27 +151,26 @@ def search(spark: SparkSession, path: str, items: DataFrame, window: int = 10, s
 
 def _search_block(spark: SparkSession, index: DataFrame, block, window: int, slop: int) -> DataFrame:
     terms = sorted({t for _, words in block for t in words})
-    wanted = spark.createDataFrame([(t,) for t in terms], "term string")
-    # the block's terms are bounded by block_words
-    postings = index.where("term IS NOT NULL").join(F.broadcast(wanted), "term", "left_semi")
-    frequency = {r["term"]: r["n"] for r in postings.groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    windows = _windows(block, window, frequency)
-    spark_windows = spark.sparkContext.broadcast([(w, sorted(i), order) for w, (i, order) in windows.items()])
-    # a segment is looked at only where it has the rarest term of some window
-    rare = sorted({w[order[0]] for w, (_, order) in windows.items()})
-    hit = postings.join(F.broadcast(spark.createDataFrame([(t,) for t in rare], "term string")), "term", "left_semi")
-    segments = hit.select("segment").distinct()
-    own = postings.select("segment", "term", "places", "ids", "sizes").join(segments, "segment", "left_semi")
+    number = {t: i for i, t in enumerate(terms)}
+    wanted = spark.createDataFrame(list(number.items()), "term string, number int")
+    # the block's terms are bounded by block_words; from here on they go by number
+    postings = index.where("term IS NOT NULL").join(F.broadcast(wanted), "term")
+    frequency = np.zeros(len(terms), np.int64)
+    for r in postings.groupBy("number").agg(F.sum("n").alias("n")).collect():
+        frequency[r["number"]] = r["n"]
+    filed = _windows(block, window, number, frequency)
+    windows = spark.sparkContext.broadcast(filed)
+    own = postings.select("segment", "number", "places", "ids", "sizes")
 
     def intersect(group):
         import pyarrow as pa
 
         lists, ids, sizes, segment = {}, [], [], group.column("segment")[0].as_py()
         for p in group.to_pylist():
-            if p["term"] is None:
+            if p["number"] is None:
                 ids, sizes = p["ids"], np.array(p["sizes"], np.int64)
             else:
-                lists[p["term"]] = p["places"]
+                lists[p["number"]] = p["places"]
         ends = np.cumsum(sizes)
         base = ends - sizes
         ready = {}
@@ -174,7 +181,9 @@ def _search_block(spark: SparkSession, index: DataFrame, block, window: int, slo
             return ready[t]
 
         found = []
-        for w, items_, order in spark_windows.value:
+        # only windows whose rarest term the segment has
+        for w, order, items_ in (x for t in lists for x in windows.value.get(t, ())):
+            w, order = w.tolist(), order.tolist()
             if any(t not in lists for t in w):
                 continue
             at = places(w[order[0]])
@@ -204,7 +213,8 @@ def _search_block(spark: SparkSession, index: DataFrame, block, window: int, slo
     import pyarrow as pa
 
     span_type = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("exact", pa.bool_())]))
-    documents = index.where("term IS NULL").select("segment", "term", "places", "ids", "sizes").join(segments, "segment", "left_semi")
+    documents = index.where("term IS NULL").select("segment", F.lit(None).cast("int").alias("number"), "places", "ids", "sizes")
+    # neither side is dealt by segment yet: one shuffle brings a segment's postings and its documents together
     return own.unionByName(documents).groupBy("segment").applyInArrow(intersect, MATCHES)
 
 

@@ -62,3 +62,10 @@ def test_proximity(spark):
     assert at(0) == {1: True}
     assert at(1) == {1: True, 2: False}
     assert at(2) == {1: True, 2: False, 3: False}
+
+
+def test_window_of_many_items(spark):
+    """A passage that hundreds of items share, in many documents."""
+    rows = [(i, f"start{i} {PASSAGE} end{i}" if i % 2 else f"plain text {i}") for i in range(60)]
+    its = [(100 + i, PASSAGE if i % 3 else f"{PASSAGE} more{i}") for i in range(400)]
+    assert result(decontaminate(table(spark, rows), items(spark, its))) == expected(rows, its)
