@@ -63,7 +63,8 @@ def write_archives(pages: DataFrame, archive_bytes: int = 16 << 20, level: int =
 
     A task starts a new archive after ``archive_bytes`` of payload.  The
     dictionary is trained on an archive's first ``sample_bytes``, a bound that
-    only concerns compression; too few of them give an archive without one.
+    only concerns compression; fewer than 16 records are cut into pieces for
+    it.  Records too small or too alike to train on give an archive without one.
     """
     def run(batches):
         import pyarrow as pa
@@ -77,6 +78,10 @@ def write_archives(pages: DataFrame, archive_bytes: int = 16 << 20, level: int =
                     sample.append(r[:sample_bytes])
                     size += len(sample[-1])
             trained = None
+            if len(sample) < 16:
+                every = b"".join(sample)
+                piece = max(64, len(every) // 32)
+                sample = [every[i: i + piece] for i in range(0, len(every), piece)]
             if len(sample) >= 16:
                 try:
                     trained = zstandard.train_dictionary(dictionary_bytes, sample, d=8, k=256)
@@ -142,6 +147,16 @@ def dictionary(buf) -> tuple[bytes | None, int]:
     return None, 0
 
 
+def skipped(buf, at: int) -> int | None:
+    """Where the skippable frame at ``at`` ends, if it is one."""
+    if len(buf) - at < 8 or struct.unpack_from("<I", buf, at)[0] & ~0xF != SKIPPABLE & ~0xF:
+        return None
+    end = at + 8 + struct.unpack_from("<I", buf, at + 4)[0]
+    if end > len(buf):
+        raise ValueError("skippable frame is cut off")
+    return end
+
+
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     """Headers (lower-case names) and block of one record; ValueError if it isn't valid."""
     end = raw.find(b"\r\n\r\n")
@@ -172,7 +187,8 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
 def read_archives(archives: DataFrame, name_col: str = "archive", content_col: str = "content", payload: bool = True) -> DataFrame:
     """A row for each record: its place, headers, payload, or what is wrong with it (``error``).
 
-    A record that fails a check keeps its place and reads on at the next frame;
+    Skippable frames between records are passed over.  A record that fails a
+    check keeps its place and reads on at the next frame;
     an archive that is cut off ends with an error row.  Null or empty content
     has no records.  ``payload=False`` validates payloads but returns none.
     """
@@ -191,11 +207,19 @@ def read_archives(archives: DataFrame, name_col: str = "archive", content_col: s
                     trained, at = dictionary(buf)
                     reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
                     while at < len(buf):
+                        if (end := skipped(buf, at)) is not None:
+                            at = end
+                            continue
                         if bytes(buf[at: at + 4]) != FRAME_MAGIC:
                             raise ValueError("no frame")
                         end = frame_end(buf, at)
                         try:
-                            head, block = parse(reader.decompress(buf[at:end]))
+                            # streaming writers don't state a frame's content size
+                            stream = reader.decompressobj()
+                            raw = stream.decompress(buf[at:end])
+                            if not stream.eof or stream.unused_data:
+                                raise ValueError("frame ends elsewhere")
+                            head, block = parse(raw)
                             rows.append((name, at, head["warc-type"], head["warc-record-id"].strip("<>"), head.get("warc-target-uri"),
                                          head["warc-refers-to"].strip("<>") if "warc-refers-to" in head else None,
                                          head.get("warc-payload-digest", "").removeprefix("sha1:") or None,

@@ -92,3 +92,45 @@ def test_files_and_damage(spark, tmp_path):
     assert out["cut"][:50] == [None] * 50 and out["cut"][50] and len(out["cut"]) == 51
     assert out["wrong"] == ["length differs from content-length"]
     assert out["junk"] == ["no frame"] and "none" not in out
+
+
+def test_streamed_and_skippable_frames(spark):
+    """Frames that don't state their size, with and without the dictionary, and skippable frames anywhere."""
+    import io
+    import struct
+
+    import zstandard
+
+    rows = [(i, f"<html>{'common words ' * 30}{i}</html>") for i in range(40)]
+    content = bytes(warc.write_archives(warc.with_originals(pages(spark, rows, 1))).first()["content"])
+    trained, at = warc.dictionary(content)
+    records = [warc.record("response", f"urn:page:{i}", f"page:{i}", b"payload %d" % i * (1 + i * 9000 % 70001)) for i in range(12)]
+
+    def streamed(raw, data=None):
+        out = io.BytesIO()
+        c = zstandard.ZstdCompressor(dict_data=data, write_content_size=False)
+        with c.stream_writer(out, closefd=False) as w:
+            for i in range(0, len(raw), 1000):
+                w.write(raw[i: i + 1000])
+        return out.getvalue()
+
+    skip = lambda kind, data: struct.pack("<II", 0x184D2A50 + kind, len(data)) + data
+    plain = [streamed(r) for r in records]
+    assert zstandard.frame_content_size(plain[0]) == -1
+    with_dict = [streamed(r, zstandard.ZstdCompressionDict(trained)) for r in records]
+    archives = {"plain": b"".join(plain), "dictionary": content[:at] + b"".join(with_dict),
+                "skips": skip(0, b"note") + b"".join(x + skip(i, b"x" * i) for i, x in enumerate(plain)),
+                "cut": plain[0] + skip(3, b"12345")[:-2]}
+    got = {}
+    for r in warc.read_archives(spark.createDataFrame(list(archives.items()), "archive string, content binary")).collect():
+        got.setdefault(r["archive"], []).append((r["record_id"], r["error"]))
+    want = [(f"urn:page:{i}", None) for i in range(12)]
+    assert got["plain"] == got["dictionary"] == got["skips"] == want
+    assert got["cut"][0] == want[0] and len(got["cut"]) == 2 and got["cut"][1][1]
+
+
+def test_few_records_have_a_dictionary(spark):
+    rows = [(i, f"<html>{' '.join(f'word{j * i % 97}' for j in range(400))}</html>") for i in range(4)]
+    content = bytes(warc.write_archives(warc.with_originals(pages(spark, rows, 1))).first()["content"])
+    assert warc.dictionary(content)[0]
+    assert [r["error"] for r in warc.read_archives(spark.createDataFrame([("a", content)], "archive string, content binary")).collect()] == [None] * 4
