@@ -153,9 +153,10 @@ def _best_condition(rows: list[tuple[dict, int]], cuts: int) -> tuple[float, tup
     return best
 
 
-def _grow(rows: list[tuple[dict, int]], cuts: int, longest: int) -> list[tuple[str, bool, float]]:
+def _grow(rows: list[tuple[dict, int]], cuts: int) -> list[tuple[str, bool, float]]:
+    """Conditions until none but bad rows hold them, or none tells more (each leaves fewer rows)."""
     conditions: list[tuple[str, bool, float]] = []
-    while len(conditions) < longest and any(not b for _, b in rows):
+    while any(not b for _, b in rows):
         found = _best_condition(rows, cuts)
         if found is None:
             break
@@ -182,19 +183,20 @@ def _prune(conditions, rows):
     return kept
 
 
-def cover(rows: list[tuple[dict, int]], precision: float = 0.95, least: int = 5, cuts: int = 64, longest: int = 4, most: int = 12) -> RuleList:
+def cover(rows: list[tuple[dict, int]], precision: float = 0.95, least: int = 5, cuts: int = 64) -> RuleList:
     """Ordered rules that reject bad rows, by sequential covering (rows: statistics, 1 for bad).
 
     Every third row prunes, the others grow.  A rule is taken if on all rows
     left it hits ``least`` bad ones at ``precision`` or better; then what it
-    covers is taken away.  It ends when no rule is good enough.
+    covers is taken away.  It ends when no rule is good enough, after as many
+    rules as that takes: at most one for each ``least`` bad rows.
     """
     out = RuleList()
-    while len(out.rules) < most:
+    while True:
         grow, prune = [x for i, x in enumerate(rows) if i % 3], rows[::3]
         if sum(b for _, b in grow) < least:
             break
-        conditions = _grow(grow, cuts, longest)
+        conditions = _grow(grow, cuts)
         if not conditions:
             break
         conditions = _prune(conditions, prune)
@@ -211,14 +213,15 @@ def learn_rules(statistics: DataFrame, labels: DataFrame, max_examples: int = MA
 
     At most ``max_examples`` labelled rows come to the driver, as eight
     numbers each: those of the smallest hash of their id, the one bounded
-    sample.  Null ids and labels are left out; an id labelled twice is good
-    only if both say so.  Labels of one kind or none give an empty list.
+    sample.  Rows equal in id and statistics count once.  Null ids and labels
+    are left out; an id labelled twice is good only if both say so.  Labels of one kind or none give an empty list.
     """
     marked = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").alias("_id"))
               .agg(F.min("quality").cast("int").alias("quality"))
               .orderBy(F.xxhash64("_id"), "_id").limit(max_examples))
     numbers = [F.expr(e).cast("double").alias(s) for s, e in STATISTICS.items()]
     # at most max_examples rows are broadcast
-    rows = statistics.join(F.broadcast(marked), F.col("doc_id") == F.col("_id")).select("doc_id", "quality", *numbers).collect()
+    rows = statistics.join(F.broadcast(marked), F.col("doc_id") == F.col("_id")).select("doc_id", "quality", *numbers).distinct()
+    rows = rows.orderBy(F.xxhash64("doc_id"), *rows.columns).limit(max_examples).collect()
     rows.sort(key=lambda r: tuple(r))
     return cover([({s: r[s] for s in STATISTICS}, 1 - r["quality"]) for r in rows], **kw)

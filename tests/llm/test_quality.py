@@ -67,6 +67,27 @@ def test_covering_finds_a_conjunction():
     assert {c[0] for c in rules[0].conditions} == {"symbols_per_word", "dup_line_share"}
 
 
+def test_covering_goes_on_as_long_as_rules_are_found():
+    """Twenty separate faults need twenty rules."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(8000):
+        at = rng.randrange(40)
+        rows.append((row(mean_word_chars=at + rng.random(), n_words=rng.random()), int(at % 2 == 0)))
+    rules = cover(rows).rules
+    assert len(rules) >= 20
+    left = [b for r, b in rows if not any(x.holds(r) for x in rules)]
+    assert sum(left) <= 0.02 * sum(b for _, b in rows) and len(left) - sum(left) >= 0.95 * sum(1 - b for _, b in rows)
+
+
+def test_a_repeated_row_is_one_example(spark):
+    docs = [(i, ("## & %% " * 12 if i % 4 == 0 else f"plain words of text {i} go on and on ") * 3) for i in range(240)]
+    labels = spark.createDataFrame([(i, int(i % 4 != 0), 0, "x", "y") for i, _ in docs], LABELS)
+    once = learn_rules(text_statistics(table(spark, docs)), labels)
+    often = learn_rules(text_statistics(table(spark, docs + [docs[1]] * 500)), labels)
+    assert once.rules and once == often
+
+
 def test_pruning_drops_what_only_fits_noise():
     rows = [(row(symbols_per_word=float(i % 10), n_words=float(i * 37 % 101)), int(i % 10 >= 8)) for i in range(300)]
     assert [len(r.conditions) for r in cover(rows).rules] == [1]
