@@ -49,12 +49,21 @@ def unescape_role(c: Column) -> Column:
     return unescape(F.replace(c, F.lit("&#124;"), F.lit("|")))
 
 
+def byte_tokens(text: Column) -> Column:
+    """No fewer tokens than any byte-level tokenizer makes of the escaped text: its UTF-8 bytes.  Three more are the
+    template's, whose marks are tokens of their own."""
+    return F.octet_length(escape(text)) + 3
+
+
 def word_tokens(text: Column) -> Column:
-    """Letter or digit runs and other visible characters, plus three for the template."""
+    """An estimate for alphabetic scripts: letter or digit runs and other visible characters, plus three for the template.
+
+    Scripts without spaces and unbroken runs take many more tokens than that.
+    """
     return F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]")) + 3
 
 
-def numbered_turns(turns: DataFrame, tokens: Callable[[Column], Column] = word_tokens) -> DataFrame:
+def numbered_turns(turns: DataFrame, tokens: Callable[[Column], Column] = byte_tokens) -> DataFrame:
     """cid, rank, role, text, tok, prefix: every turn's place and the tokens before it in its conversation.
 
     Prefix sums are taken in blocks of turn numbers and over the blocks'
@@ -84,10 +93,14 @@ def numbered_turns(turns: DataFrame, tokens: Callable[[Column], Column] = word_t
     return rows.withColumn("system", F.col("led") & (F.col("rank") == 0)).drop("led")
 
 
-def chat_windows(turns: DataFrame, budget: int = 1024, history_tokens: int = 256, history_turns: int = 4, target: str = "assistant",
-                 tokens: Callable[[Column], Column] = word_tokens) -> DataFrame:
+def chat_windows(turns: DataFrame, budget: int = 4096, history_tokens: int = 1024, history_turns: int = 4, target: str = "assistant",
+                 tokens: Callable[[Column], Column] = byte_tokens) -> DataFrame:
     """conv_id, window, text, n_turns, n_repeated, tokens, over_budget, loss_spans.
 
+    ``tokens`` bounds a turn's tokens from above, by default for every script
+    (``byte_tokens``), so a window that isn't over_budget keeps the budget; an
+    estimate such as ``word_tokens`` fills windows better where it holds.
+
     ``turns``: conv_id, turn, role, text.  Every turn is new in one window.
     The others repeat the system turn and up to ``history_turns`` turns of at
     most ``history_tokens`` together, which stand first (``n_repeated``).

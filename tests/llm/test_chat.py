@@ -4,7 +4,7 @@ import hashlib
 import pytest
 
 from fraudflow.llm import catalog
-from fraudflow.llm.chat import chat_windows, read_loss, read_turns, word_tokens
+from fraudflow.llm.chat import byte_tokens, chat_windows, read_loss, read_turns, word_tokens
 from pyspark.sql import functions as F
 
 from .conftest import SMALL
@@ -46,8 +46,9 @@ def read(df):
 
 
 @pytest.mark.parametrize("budget,tokens,turns", [(1024, 256, 4), (120, 40, 2), (60, 0, 1), (10, 5, 3)])
-def test_round_trip(spark, budget, tokens, turns):
-    got, expected = read(chat_windows(table(spark, ROWS), budget, tokens, turns)), want(ROWS)
+@pytest.mark.parametrize("count", [byte_tokens, word_tokens])
+def test_round_trip(spark, budget, tokens, turns, count):
+    got, expected = read(chat_windows(table(spark, ROWS), budget, tokens, turns, tokens=count)), want(ROWS)
     assert set(got) == set(expected)
     for conv, windows in got.items():
         said = [t for n, ts, _, _ in windows for t in ts[n:]]
@@ -68,11 +69,33 @@ def test_round_trip(spark, budget, tokens, turns):
 
 def test_budget_is_kept(spark):
     rows = [r for r in ROWS if r[0] in (1, 2)]
-    out = chat_windows(table(spark, rows), 400, 100, 3).collect()
+    out = chat_windows(table(spark, rows), 400, 100, 3, tokens=word_tokens).collect()
     assert len(out) > 10 and not any(r["over_budget"] for r in out)
     assert sum(r["tokens"] for r in out) > 0.4 * 400 * len(out)
 
 
+@pytest.mark.parametrize("kind", ["chinese", "run", "emoji", "english", "control"])
+def test_no_window_takes_more_tokens_than_it_says(spark, kind):
+    """By a byte-level tokenizer's own count, whatever the script."""
+    import random
+
+    import public_tokenizers as P
+    import tokenizers
+
+    rng = random.Random(3)
+    letters = {"chinese": [chr(c) for c in range(0x4E00, 0x9000, 7)], "run": list("qzxjkvw0189"), "emoji": ["🙂", "👩‍🚀", "𝟙", "é"],
+               "english": ["the ", "river ", "is ", "wide, "], "control": list("<|[&>;]")}[kind]
+    rows = [(1, i, ("user", "assistant")[i % 2], "".join(rng.choices(letters, k=rng.randint(0, 400 if kind == "chinese" else 120)))) for i in range(60)]
+    tk = tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    marks = ["<|user|>", "<|assistant|>", "<|end|>"]
+    tk.add_special_tokens([tokenizers.AddedToken(m, normalized=False) for m in marks])
+    out = chat_windows(table(spark, rows), budget=3000, history_tokens=400).collect()
+    assert len(out) > 1
+    for r in out:
+        n = len(tk.encode(r["text"], add_special_tokens=False).ids)
+        assert n <= r["tokens"] and (n <= 3000 or r["over_budget"])
+
+
 def test_tokens(spark):
     df = spark.createDataFrame([("Hi, you 2!",), ("",)], "t string").select(word_tokens(F.col("t")).alias("n"))
     assert [r["n"] for r in df.collect()] == [8, 3]
