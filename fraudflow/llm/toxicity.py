@@ -17,8 +17,6 @@ once.
 from __future__ import annotations
 
 import hashlib
-import pickle
-import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,7 +31,8 @@ BEGINNINGS = (4, 5, 6)  # characters
 MAX_EXAMPLES = 20_000  # labelled rows that a model is fitted on, the smallest by a hash of their id
 BLOCK = 64
 HIGH = 20  # bits of a term's hash that lead to its number
-GROUP = 64  # texts that are multiplied with the index together
+SLICE = 1 << 19  # bytes of text whose words are looked up together
+GROUP = 80  # texts that are multiplied with the index together, at most
 COMMON = 0.05  # share of the examples from which a term is kept in rows of weights instead of a posting list
 ERROR = 1e-4  # of a cosine in single precision: terms of a text x 2^-24, with room to spare
 NEIGHBOURS = 15
@@ -110,10 +109,7 @@ class Model:
     counts: np.ndarray | None = None  # by example, of which the weights are made
     norms: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by example, what its weights are divided by
     logs: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by count, one more than its logarithm
-    # its broadcast, and its bytes
-    shared: object = None
-    state: bytes | None = None
-    size: int = 0
+    shared: object = None  # its broadcast
     # postings of rarer terms: from each term's first, examples and weights
     edges: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     rows: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
@@ -210,7 +206,8 @@ class Model:
         self.common = np.zeros((blocks * BLOCK, len(many)), np.float32)
         df[many] = 0
         self.edges = np.concatenate([[0], np.cumsum(df)])
-        self.rows, self.weights = np.zeros(self.edges[-1], np.int32), np.zeros(self.edges[-1], np.float32)
+        narrow = np.uint16 if n <= 1 << 16 else np.int32
+        self.rows, self.weights = np.zeros(self.edges[-1], narrow), np.zeros(self.edges[-1], np.float32)
         upto = self.edges[:-1].copy()
         for a in range(0, n, 256):  # some examples at a time: no second copy of all entries
             some = np.arange(a, min(n, a + 256))
@@ -230,16 +227,17 @@ class Model:
         self.bounds = self.common.max(axis=1)
 
     def __getstate__(self):
-        """What the index is made of, small; it is made again where it is used."""
-        if self.state is not None:
-            return self.state
+        """What the index is made of; it is made again where it is used."""
         made = ("high", "norms", "logs", "edges", "rows", "weights", "column", "common", "bounds")
-        keep = {k: v for k, v in self.__dict__.items() if k not in ("shared", "state", "size") and (self.counts is None or k not in made)}
-        return zlib.compress(pickle.dumps(keep, 5), 1)
+        return {k: v for k, v in self.__dict__.items() if k != "shared" and (self.counts is None or k not in made)}
 
     def __setstate__(self, state) -> None:
         self.__init__()
-        self.__dict__.update(pickle.loads(zlib.decompress(state)))
+        self.__dict__.update(state)
+
+    def size(self) -> int:
+        """Bytes that are sent."""
+        return sum(v.nbytes for v in self.__getstate__().values() if isinstance(v, np.ndarray)) + sum(len(t) + 4 for t in self.terms)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine above 0, all that equal the last of them, and these cosines."""
@@ -262,8 +260,7 @@ class Model:
         vector = np.zeros(len(self.terms))
         # texts whose best blocks are close need much the same blocks
         order = np.argsort(bound.argmax(axis=1), kind="stable")
-        for at in range(0, texts, GROUP):
-            group = order[at: at + GROUP]
+        for group in np.array_split(order, -(-texts // GROUP)) if texts else ():
             for i, found in zip(group, self._candidates(group, edges, terms, weights, col, common[group], bound[group], k + 1)):
                 x = slice(edges[i], edges[i + 1])
                 vector[terms[x]] = weights[x]
@@ -373,7 +370,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
         powers = Powers()
         for b in batches:
             toxic = b.column("toxic").to_numpy()
-            for row, buf, off in slices(b.column("text"), 2 << 20):
+            for row, buf, off in slices(b.column("text"), SLICE):
                 low, (r, h, s, e, k) = features(buf, off, powers)
                 order = np.lexsort((r, h))
                 r, h, s, e, k = r[order], h[order], s[order], e[order], k[order]
@@ -421,7 +418,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
 
         powers = Powers()
         for batch in batches:
-            for row, buf, off in slices(batch.column("text"), 1 << 20):
+            for row, buf, off in slices(batch.column("text"), SLICE):
                 r, term, k = m.vectors(buf, off, powers, flags)
                 at = pa.array(np.searchsorted(r, np.arange(len(off))).astype(np.int32))
                 part = batch.slice(row, len(off) - 1)
@@ -475,14 +472,10 @@ def by_content(rows: np.ndarray) -> np.ndarray:
 
 def send(spark, model: Model):
     """The model as a broadcast, made once, if it isn't larger than MAX_BROADCAST; the calibration isn't part of it."""
+    if (size := model.size()) > MAX_BROADCAST:
+        raise ValueError(f"a model of {size >> 20} MB: fit it on fewer examples (max_examples)")
     if model.shared is None:
-        model.state = model.__getstate__()
-        model.size = len(model.state)
-        if model.size <= MAX_BROADCAST:
-            model.shared = spark.sparkContext.broadcast(model)
-        model.state = None
-    if model.size > MAX_BROADCAST:
-        raise ValueError(f"a model of {model.size >> 20} MB: fit it on fewer examples (max_examples)")
+        model.shared = spark.sparkContext.broadcast(model)
     return model.shared
 
 
@@ -533,7 +526,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
         near_type = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
         plain = (model.without, [], [])
         for b in batches:
-            for row, buf, off in slices(b.column("_text")):
+            for row, buf, off in slices(b.column(text_at), SLICE):
                 n = len(off) - 1
                 r, term, count = model.vectors(buf, off, powers, flags)
                 edges = np.searchsorted(r, np.arange(n + 1))
@@ -563,7 +556,11 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     shared, points = send(docs.sparkSession, model), model.points
     first = docs.select(*carry) if carry else docs.select(F.col(id_col).cast("long").alias("doc_id"))
     names, kept = [*first.columns, "score", "terms", "neighbours"], len(first.columns)
-    rows = docs.select(*(carry or [F.col(id_col).cast("long").alias("doc_id")]), F.col(text_col).cast("string").alias("_text"))
+    rows, text_at = first, kept
+    if carry and text_col in first.columns and dict(first.dtypes)[text_col] == "string":
+        text_at = first.columns.index(text_col)  # carried as it is: not sent twice
+    else:
+        rows = docs.select(*(carry or [F.col(id_col).cast("long").alias("doc_id")]), F.col(text_col).cast("string").alias("_text"))
     schema = StructType([*first.schema, StructField("score", DoubleType()), StructField("terms", ArrayType(StringType())),
                          StructField("neighbours", ArrayType(StructType().add("doc_id", LongType()).add("cosine", DoubleType()).add("toxic", IntegerType())))])
     return rows.mapInArrow(run, schema)
