@@ -1,14 +1,14 @@
-"""Substring deduplication by prefix-partitioned suffix trees (dealt operator 10).
+"""Substring deduplication over suffixes dealt out by prefix (dealt operator 10).
 
 Every place of a text where ``min_words`` words follow is a suffix.  Suffixes
 are split into groups by a prefix of variable length: one word, or as many
-more of ``LEVELS`` as it takes until the prefix is no longer frequent.  So a
-group is a subtree of the corpus's suffix tree that fits a task's memory, and
-a word or phrase that a third of all texts share is spread over many groups.
-The trees are cut at depth ``min_words``, below which nothing is asked: a
-subtree is its leaves in the order of their ``min_words``-word codes, and its
-internal nodes of that depth are the runs of equal codes.  Repeats that
-overlap or touch join into maximal spans.
+more of ``LEVELS`` as it takes until the prefix is no longer frequent, so a
+word or phrase that a third of all texts share is spread over many groups.
+
+No suffix trees are built (README: what they would move).  Nothing is asked
+below depth ``min_words``, and a node of that depth is the set of suffixes
+with the same ``min_words`` words: a group finds these by the suffixes' 64-bit
+codes.  Repeats that overlap or touch join into spans.
 
 Before suffixes leave a task, those whose words also start earlier in the
 same task are decided there, so a passage comes at most once from each run
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import work_path
+from .store import group_count, shuffles_dropped
 from .words import (SPACES, U64, Powers, grams, mix, multipliers, pack, pack_sorted, slices, span_hashes, spans, unpack,
                     unpack_sorted)
 
@@ -150,8 +151,8 @@ def repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_c
     equal in id and text once.
     """
     spark = docs.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _rows(docs, id_col, text_col)
+    buckets = group_count(rows)
     table = frequent_prefixes(rows, min_words, 8 * buckets)
     levels = tuple(n for n in LEVELS if n < min_words)
 
@@ -259,8 +260,9 @@ def repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_c
 
     fields = [x.split()[0] for x in PARTS.split(", ")]
     path = work_path(spark, "suffixes")
-    (rows.mapInArrow(send, PARTS).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(decide, PARTS)
-     .write.parquet(path))
+    with shuffles_dropped(spark):
+        (rows.mapInArrow(send, PARTS).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(decide, PARTS)
+         .write.parquet(path))
     found = (spark.read.schema(PARTS).parquet(path).groupBy("segment")
              .applyInArrow(join, "doc_id long, key long, starts array<long>, ends array<long>"))
     return found.groupBy("doc_id", "key").agg(F.first("starts").alias("starts"), F.first("ends").alias("ends"))
@@ -272,9 +274,11 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def drop_repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text",
-                 carry: tuple[str, ...] = ()) -> DataFrame:
+                 carry: tuple[str, ...] = (), cut: DataFrame | None = None) -> DataFrame:
     """doc_id, text, n_words, n_removed, kept_text, *carry for every row of ``docs``.
 
+    ``cut``: the spans, if ``repeats`` has found them already.
+
     ``kept_text``: the words that no repeating window covers, joined by one
     space.  Words are runs without space, tab, line feed, vertical tab, form
     feed and carriage return, compared as they are.  A null text has none.
@@ -282,7 +286,7 @@ def drop_repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", t
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                       *(F.col(c) for c in carry), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(text).alias("_key"))
-    cut = repeats(docs, min_words, id_col, text_col)
+    cut = repeats(docs, min_words, id_col, text_col) if cut is None else cut
     both = out.join(cut, (F.col("_id") == cut["doc_id"]) & (F.col("_key") == cut["key"]), "left").select(
         *(out[c] for c in out.columns if c not in ("_id", "_key")), "starts", "ends")
     names = both.columns[:-2]

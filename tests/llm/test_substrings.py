@@ -49,3 +49,20 @@ def test_hot_passage_is_spread(spark):
     rows = [(i, f"a{i} b{i} {hot} c{i} " + " ".join(f"u{i}_{j}" for j in range(30))) for i in range(300)]
     got = {r["doc_id"]: r["n_removed"] for r in drop_repeats(table(spark, rows, 7)).collect()}
     assert got == {i: 25 if i else 0 for i in range(300)}
+
+
+def test_registered_query(spark):
+    from fraudflow.llm import catalog
+
+    from .conftest import SMALL
+
+    rows = pairs(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    got = catalog.QUERIES["op10_substring_dedup"](spark, SMALL).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == expected(rows)
+
+
+def test_more_groups_than_partitions(small, monkeypatch):
+    from fraudflow.llm import store
+
+    monkeypatch.setattr(store, "GROUP_BYTES", 5_000)
+    assert result(small) == expected(pairs(small))
