@@ -2,7 +2,8 @@
 
 Nothing else in the library imports this subpackage.  The functions that run
 in Python workers are shipped with the job (pickled by value), so executors
-need the third-party libraries but not this package.
+need the third-party libraries but not this package; only op1's broadcast
+model names its class, so toxicity needs the package there (``--py-files``).
 """
 
 import sys

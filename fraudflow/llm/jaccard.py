@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, StructType
 
 from .components import components
-from .store import stored
+from .store import group_count, stored
 from .words import (LOWER, SPACES, U64, Powers, grams, mix, multipliers, pack, pack_sorted, slices, span_hashes, spans,
                     unpack, unpack_sorted)
 
@@ -88,8 +88,8 @@ def texts_with_counts(docs: DataFrame, n: int, percent: int, id_col: str, text_c
     those of one row only, and are null where so many are that no other text
     can reach the threshold.  ``set_id`` is an order-free 128-bit digest.
     """
-    spark = docs.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    buckets = group_count(rows)
     fields = [x.split()[0] for x in PARTS.split(", ")]
 
     def _batch(parts):
@@ -200,7 +200,6 @@ def texts_with_counts(docs: DataFrame, n: int, percent: int, id_col: str, text_c
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n": pa.array(size), "set_id": pa.array(mine["sets"], pa.binary()),
                          "shingles": pa.array(shingles, pa.binary()), "counts": pa.array(counts, pa.binary())})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     parts = stored(rows.mapInArrow(send, PARTS).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(count, PARTS), "shingle-counts")
     return stored(parts.groupBy("segment").applyInArrow(gather, TEXTS), "shingle-sets")
 
@@ -342,7 +341,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
     links = checked.where("linked")
 
     # a text's label is the most central hub it is linked with, followed once
-    label = links.groupBy("a").agg(F.max(F.struct("hub_centre", "b")).alias("m")).select("a", F.col("m.b").alias("label"))
+    label = stored(links.groupBy("a").agg(F.max(F.struct("hub_centre", "b")).alias("m")).select("a", F.col("m.b").alias("label")), "labels")
     up = label.select(F.col("a").alias("label"), F.col("label").alias("up"))
     label = label.join(up, "label", "left").select(F.col("a").alias("i"), F.coalesce("up", "label").alias("label"))
     homes = checked.where("all").select(F.col("a").alias("set_id"), F.col("b").alias("home"), F.col("common").alias("at_home"), "lacks")

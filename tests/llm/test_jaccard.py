@@ -93,3 +93,22 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == brute.components(ids, [p for p in links if p[0] != p[1]])
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_registered_query(spark):
+    from fraudflow.llm import catalog
+
+    from .conftest import SMALL
+
+    rows = pairs(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    got = catalog.QUERIES["op9_ngram_jaccard_join"](spark, SMALL).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == expected(rows)
+
+
+def test_more_groups_than_partitions(spark, small, monkeypatch):
+    """Groups are counted by the text's bytes."""
+    from fraudflow.llm import store
+
+    monkeypatch.setattr(store, "GROUP_BYTES", 5_000)
+    assert store.group_count(small) > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert result(small) == expected(pairs(small))
