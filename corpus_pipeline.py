@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor
 kept, and returns the columns of ``documents``; the last returns packed pieces.
 ``run`` writes each stage's result to the shared work folder as Parquet and
-reads it back as the next one's documents.
+reads it back as the next one's documents.  A stage stores what it decides (the
+rows to drop, the spans to cut) and removes the tables that this took.
 """
 
 from __future__ import annotations
@@ -15,17 +16,29 @@ from pyspark.sql import functions as F
 from fraudflow.llm.jaccard import near_duplicates
 from fraudflow.llm.packing import pack_documents
 from fraudflow.llm.positional_index import decontaminate
-from fraudflow.llm.store import stored
-from fraudflow.llm.substrings import drop_repeats
+from fraudflow.llm.store import settled, stored
+from fraudflow.llm.substrings import drop_repeats, repeats
 from fraudflow.llm.toxicity import fit, score_documents
+from fraudflow.operators.ranking import global_row_number
+from fraudflow.session import scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 REJECT_SCORE = 0.7  # documents of this toxicity score or more go
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """A stored copy with a key for each row, as ids may be null or repeat."""
-    return stored(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    """The documents with a key ``_row`` for each row, as ids may be null or repeat.
+
+    Rows of files are numbered by their file and their place in it, which no
+    change of the cluster alters; other tables are stored with their numbers.
+    """
+    spark, docs = docs.sparkSession, docs.select(*COLUMNS)
+    if not docs.inputFiles():
+        return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    placed = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    files = global_row_number(placed.select("_file").distinct(), ["_file"], out="_n")
+    files = stored(files.withColumnRenamed("_file", "_path"), "files")
+    return placed.join(files, F.col("_file") == F.col("_path")).select(*COLUMNS, (F.shiftleft("_n", 33) + F.col("_at")).alias("_row"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,27 +46,34 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows of equal id stay or go by their own texts.
     """
-    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    with scratch(spark, "toxicity"):
+        model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score_documents(docs, model, carry=COLUMNS).where(F.col("score") < REJECT_SCORE).select(*COLUMNS)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies (0.75 or more on five-word shingles) the document of the smallest id.
+    """Of every group of near copies (0.75 or more on five-word shingles) one document.
 
-    Documents without words are in no group and stay, as do rows without id
-    and rows that share the smallest id.  Rows of equal id go by their own texts.
+    It is that of the smallest id, null last, and of several such rows the
+    first.  Documents without words are in no group and stay.  Rows of equal
+    id go by their own texts.
     """
     keyed = _keyed(docs)
-    rows = near_duplicates(keyed, id_col="_row").where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id")
-    rows = stored(rows.join(keyed.select("_row", "doc_id"), "_row"), "linked-rows")
-    least = stored(rows.groupBy("component_id").agg(F.min("doc_id").alias("least")), "least-ids")
-    copies = rows.join(least, "component_id").where(F.col("doc_id") != F.col("least")).select("_row")
-    return keyed.join(copies, "_row", "left_anti").select(*COLUMNS)
+
+    def copies():
+        rows = near_duplicates(keyed, id_col="_row").where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id")
+        rows = rows.join(keyed.select("_row", "doc_id"), "_row")
+        rows = stored(rows.select("_row", "component_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("order")), "linked-rows")
+        first = stored(rows.groupBy("component_id").agg(F.min("order").alias("first")), "first-rows")
+        return rows.join(first, "component_id").where(F.col("_row") != F.col("first._row")).select("_row")
+
+    return keyed.join(settled(spark, "copies", copies), "_row", "left_anti").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of 20 words or more that stand earlier; untouched texts stay as they are."""
-    cut = drop_repeats(docs, carry=tuple(c for c in COLUMNS if c not in ("doc_id", "text")))
+    spans = settled(spark, "repeats", lambda: repeats(docs))
+    cut = drop_repeats(docs, carry=tuple(c for c in COLUMNS if c not in ("doc_id", "text")), cut=spans)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
     return cut.select("doc_id", text.alias("text"), "lang", "source", n_chars.alias("n_chars"))
@@ -66,7 +86,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     keyed = _keyed(docs)
-    hit = decontaminate(keyed, items, id_col="_row").where(F.col("n_hit") > 0).select(F.col("doc_id").alias("_row"))
+    hit = settled(spark, "contaminated", lambda: decontaminate(keyed, items, id_col="_row").where(F.col("n_hit") > 0).select(F.col("doc_id").alias("_row")))
     return keyed.join(hit, "_row", "left_anti").select(*COLUMNS)
 
 
