@@ -1098,10 +1098,20 @@ def q_stream_fraud_minmax_2m(spark, sf):
 # Operators whose results SQL can only check, as rows of checks that can fail
 # ---------------------------------------------------------------------------
 
+#: rows that a task of a comparison of tables holds
+SAME_ROWS = 250_000
+
+
 def _same_rows(a: DataFrame, b: DataFrame, name: str = "same") -> DataFrame:
-    """One row: how many rows ``a`` has, and whether ``b`` has the same ones."""
+    """One row: how many rows ``a`` has, and whether ``b`` has the same ones.
+
+    Nearly every row is a group of its own, so the rows are dealt out before
+    they are grouped, to as many tasks as their number asks for.
+    """
     sides = a.select(F.struct("*").alias("r"), F.lit(1).alias("d")).unionByName(b.select(F.struct("*").alias("r"), F.lit(-1).alias("d")))
-    per = sides.groupBy(F.to_json("r").alias("r")).agg(F.sum("d").alias("d"), F.count_if(F.col("d") > 0).alias("n"))
+    parts = max(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * a.count() // SAME_ROWS))
+    dealt = sides.select(F.to_json("r").alias("r"), "d").repartition(parts, "r")
+    per = dealt.groupBy("r").agg(F.sum("d").alias("d"), F.count_if(F.col("d") > 0).alias("n"))
     return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.bool_and(F.col("d") == 0), F.lit(True)).alias(name))
 
 

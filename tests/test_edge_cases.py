@@ -215,3 +215,16 @@ def test_null_keys_pass_the_filter_by(spark):
         out = bf.might_contain(probe, "k", max_broadcast_blocks=bound, packed=packed)
         assert out.where("bf_hit").count() == 2000 and out.where("k IS NULL AND NOT bf_hit").count() == 2000
     bf.release()
+
+
+def test_comparison_deals_rows_out_by_their_number(spark, monkeypatch):
+    """A task of a comparison holds a bounded number of rows, however many there are."""
+    from fraudflow.plans import catalog
+    monkeypatch.setattr(catalog, "SAME_ROWS", 100, raising=False)
+    a = spark.range(1000).selectExpr("if(id % 10 = 0, null, id) AS x", "id % 3 AS y")
+    same = catalog._same_rows(a, a.orderBy("y"))
+    assert "hashpartitioning(r" in (plan := same._jdf.queryExecution().executedPlan().toString()) and ", 20), REPARTITION_BY_NUM" in plan
+    assert tuple(same.first()) == (1000, True)
+    assert tuple(catalog._same_rows(a, a.where("x IS NULL OR x <> 7")).first()) == (1000, False)
+    assert tuple(catalog._same_rows(a.union(a.where("x = 7")), a).first()) == (1001, False)
+    assert tuple(catalog._same_rows(a.limit(0), a.limit(0)).first()) == (0, True)
