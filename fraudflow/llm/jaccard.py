@@ -26,8 +26,8 @@ from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, St
 
 from .components import components
 from .store import group_count, stored
-from .words import (LOWER, SPACES, U64, Powers, grams, mix, multipliers, pack, pack_sorted, slices, span_hashes, spans,
-                    unpack, unpack_sorted)
+from .words import (LOWER, SPACES, U64, Powers, grams, lean, mix, multipliers, pack, pack_sorted, slices, span_hashes,
+                    spans, unpack, unpack_sorted)
 
 SEGMENT_WORDS = 600_000  # words that a task gathers before it sends shingles on
 OFTEN = 16  # a shingle of more documents of a segment is sent once, with their number
@@ -103,6 +103,7 @@ def texts_with_counts(docs: DataFrame, n: int, percent: int, id_col: str, text_c
     def send(batches):
         from pyspark import TaskContext
 
+        lean()
         for number, (ids, rows, hashes) in enumerate(_segments(batches, n)):
             segment = (TaskContext.get().partitionId() << 32) + number
             size = np.bincount(rows, minlength=len(ids))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..session import work_path
 from .cutting_stock import plan
 from .tokenize import encoder
+from .words import lean
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1,
@@ -28,6 +29,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id:
     def run(batches):
         import pyarrow as pa
 
+        lean(tokenizers=True)
         enc = encoder(tokenizer_path)
         for b in batches:
             doc, text = b.column("doc_id"), b.column("text")

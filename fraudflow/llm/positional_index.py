@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from .words import LOWER, NON_ALNUM, Powers, slices, span_hashes, spans
+from .words import LOWER, NON_ALNUM, Powers, lean, slices, span_hashes, spans
 
 INDEX = "segment long, term string, n long, places binary, ids array<long>, sizes array<long>"
 MATCHES = "segment long, row int, doc_id long, n_words long, spans array<struct<item_id:long,start:long,end:long,exact:boolean>>"
@@ -43,6 +43,8 @@ def build_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
         import pyarrow as pa
         from pyspark import TaskContext
 
+        lean()
+
         def flush():
             segment = (TaskContext.get().partitionId() << 32) + number
             code, s, e = np.concatenate(codes), np.concatenate(starts), np.concatenate(ends)

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from ..session import work_path
 from .store import group_count, shuffles_dropped
-from .words import (SPACES, U64, Powers, grams, mix, multipliers, pack, pack_sorted, slices, span_hashes, spans, unpack,
-                    unpack_sorted)
+from .words import (SPACES, U64, Powers, grams, lean, mix, multipliers, pack, pack_sorted, slices, span_hashes, spans,
+                    unpack, unpack_sorted)
 
 LEVELS = (1, 2, 3, 5, 10)  # words of a prefix, and the whole suffix after these
 SEED = 20
@@ -102,6 +102,7 @@ def frequent_prefixes(docs: DataFrame, min_words: int, groups: int) -> dict[int,
     def count(batches):
         import pyarrow as pa
 
+        lean()
         for words, first, _, _ in segments(batches):
             _, ok = grams(words, first, min_words, SEED)
             rest = np.flatnonzero(ok)
@@ -160,6 +161,7 @@ def repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_c
         import pyarrow as pa
         from pyspark import TaskContext
 
+        lean()
         for number, (words, first, ids, keys) in enumerate(segments(batches)):
             segment = (TaskContext.get().partitionId() << 32) + number
             codes, ok = grams(words, first, min_words, SEED)

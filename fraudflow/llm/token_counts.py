@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..session import path_exists
 from .store import stored
 from .tokenize import encoder, version
+from .words import lean
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
@@ -52,6 +53,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, id_col: str =
     def encode(batches):
         import pyarrow as pa
 
+        lean(tokenizers=True)
         counts, last = encoder(tokenizer_path).counts, None
         for b in batches:
             # rows equal in id and text come one after the other from the join

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from .store import stored
-from .words import LOWER, NON_ALNUM, U64, Powers, byte_sums, mix, slices, span_hashes, spans
+from .words import LOWER, NON_ALNUM, U64, Powers, byte_sums, lean, mix, slices, span_hashes, spans
 
 BEGINNINGS = (4, 5, 6)  # characters
 MAX_EXAMPLES = 20_000  # labelled rows that a model is fitted on, the smallest by a hash of their id
@@ -367,6 +367,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     def count(batches):
         import pyarrow as pa
 
+        lean()
         powers = Powers()
         for b in batches:
             toxic = b.column("toxic").to_numpy()
@@ -416,6 +417,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     def vectors(batches):
         import pyarrow as pa
 
+        lean()
         powers = Powers()
         for batch in batches:
             for row, buf, off in slices(batch.column("text"), SLICE):
@@ -486,6 +488,7 @@ def _votes(spark, model: Model, chosen: np.ndarray) -> np.ndarray:
     def run(batches):
         import pyarrow as pa
 
+        lean()
         m = shared.value
         m._ready()
         for b in batches:
@@ -519,6 +522,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     def run(batches):
         import pyarrow as pa
 
+        lean()
         model = shared.value
         model.points = points
         powers, flags = Powers(), model.flags()

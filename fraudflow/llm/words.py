@@ -7,6 +7,8 @@ words.  For n distinct strings the chance of any clash is about n^2 / 2^65.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,21 @@ MASK = (1 << 64) - 1
 BASE = 0x5851F42D4C957F2D  # odd multiplier, congruent to 5 mod 8
 
 
+def lean(tokenizers: bool = False) -> None:
+    """Begin a task in a worker as small as can be.
+
+    Workers go from task to task, and an executor's workers count with its
+    heap.  So what the tasks before have freed is given back to the system,
+    and their tokenizers are let go unless this task is one of ``tokenizers``.
+    """
+    if not tokenizers:
+        sys.modules.pop("_encoders", None)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit values (xor-shift, multiply), elementwise."""
     x = x ^ (x >> U64(30))

@@ -1,11 +1,14 @@
 """The corpus pipeline, stage by stage, against brute-force versions."""
+import sys
+
 import numpy as np
 import public_tokenizers as P
 import tokenizers
 
 import corpus_pipeline as C
+from fraudflow.llm.tokenize import encoder
 from fraudflow.llm.toxicity import fit
-from fraudflow.llm.words import Powers, slices
+from fraudflow.llm.words import Powers, lean, slices
 
 from . import brute
 from .conftest import DOCS, EDGE, PASSAGE, SMALL, table
@@ -155,3 +158,25 @@ def test_rows_of_one_id_go_by_their_own_texts(spark):
     own = [(7, PASSAGE), (8, "a text of its own that nothing else resembles at all")]
     got = rows(C.ngram_jaccard_join(spark, table(spark, [*own, (8, PASSAGE)]), SMALL))
     assert [r[:2] for r in got] == own
+
+
+def _own_mb() -> float:
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(int(line.split()[1]) for line in f if line.startswith("Private_Dirty")) / 1024
+
+
+def test_a_stage_begins_without_the_memory_of_the_stages_before():
+    """The scoring stage lets the packing stage's tokenizer go, and gives back what tasks have freed."""
+    path = P.path("byte_bpe_50k.json")
+    lean()
+    before = _own_mb()
+    encoder(path)
+    parts = [np.ones(1 << 13) for _ in range(2000)]  # 131 MB in pieces that stay in the heap
+    pin = np.ones(1 << 13)
+    lean(tokenizers=True)
+    assert encoder(path) is sys.modules["_encoders"].__dict__[path]
+    full = _own_mb()
+    del parts
+    lean()
+    assert "_encoders" not in sys.modules
+    assert _own_mb() - before < 0.3 * (full - before) and len(pin)
