@@ -1012,10 +1012,10 @@ def q_stream_pipeline_routes(spark, sf):
     from ..session import work_path
     from ..streaming.pipeline import TopologyPaths, start_routing
     from ..sources.topics import decode
-    from .model import compiled
+    from .model import quickest
     t = _txn(spark, sf)
     bf = bloom.build(bad_senders(t), "sender_account")
-    model = compiled(trained(spark, sf).model, spark)
+    model = quickest(trained(spark, sf).model, spark)
     paths = TopologyPaths(work_path(spark, "stream-pipeline"))
     replay(t, f"{paths.base}/raw/replay")
     q = start_routing(spark, f"{paths.base}/raw/*", bf, model, paths, max_files=None)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -29,6 +29,9 @@ from .imputer import MedianImputer
 
 RATE_DECIMALS = 6
 MAX_BINS = 32
+#: A stream scores by the pipeline beyond so many nodes: of 197 nodes on, the expression took
+#: 3 to 4 times as long (its code outgrows whole-stage code generation), and seconds of planning a batch.
+QUICK_NODES = 100
 
 
 # -- sampling and splitting ---------------------------------------------------
@@ -158,6 +161,14 @@ def compiled(model: PipelineModel, spark) -> PipelineModel | CompiledForest:
     return compile_forest(model, spark) or model
 
 
+def quickest(model: PipelineModel, spark) -> PipelineModel | CompiledForest:
+    """The form to score a stream's batches with: the expression of a forest of up to
+    ``QUICK_NODES`` nodes, the pipeline itself beyond."""
+    forest = model.stages[-1] if model.stages else None
+    large = isinstance(forest, RandomForestClassificationModel) and forest.totalNumNodes > QUICK_NODES
+    return model if large else compiled(model, spark)
+
+
 def unscored(df: DataFrame) -> DataFrame:
     """Rows the assembler would skip (a null / NaN numeric feature input):
     neither fraud nor not-fraud downstream, so they are reported apart."""

@@ -19,7 +19,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from ..operators.bloom import BloomFilter
-from ..plans.model import compiled, load_model
+from ..plans.model import load_model, quickest
 from .pipeline import TRIGGERS, TopologyPaths, start_insights, start_routing
 
 
@@ -42,7 +42,7 @@ def run_online(spark: SparkSession, raw_path: str, artefacts: str, out: str,
     if available_now and max_records:
         raise ValueError("available_now takes all there is in one go: leave max_records out")
     bf = BloomFilter.load(spark, f"{artefacts}/blacklist_senders")
-    model = compiled(load_model(f"{artefacts}/fraud_model"), spark)
+    model = quickest(load_model(f"{artefacts}/fraud_model"), spark)
     paths = TopologyPaths(out)
     plan = plan_online(raw_path, available_now, bootstrap)
     routing = start_routing(spark, bf=bf, model=model, paths=paths, trigger=plan["routing"], max_files=max_files,

@@ -103,12 +103,15 @@ def route_batch(bf, model, paths: TopologyPaths, threshold: float = ONLINE_THRES
             if batch.isEmpty():
                 return
             hits, other = split_bloom(tag_bloom(batch, bf))
-            held.append(other := other.persist(StorageLevel.MEMORY_AND_DISK))
-            held.append(scored := score_other(other, model, threshold).persist(StorageLevel.MEMORY_AND_DISK))
+            scored = score_other(other, model, threshold)
+            # held without the model's features and vectors
+            scored = scored.select(*[c for c in TRANSACTION_COLUMNS if c in scored.columns], "fraud_probability", "is_fraud_prediction")
+            held.append(scored := scored.persist(StorageLevel.MEMORY_AND_DISK))
             ml_fraud, clear = split_model(scored, threshold)
             # rows the assembler skips (a null / NaN numeric input): same rule
             # as the model's VectorAssembler, as a predicate (ids may repeat)
             skipped = as_stream_record(unscored(other.select(*[c for c in TRANSACTION_COLUMNS if c in other.columns])))
+            held.append(skipped := skipped.persist(StorageLevel.MEMORY_AND_DISK))
             fraud = as_stream_record(hits).unionByName(as_stream_record(ml_fraud))
             by_model = F.when(is_model_fraud(threshold=threshold), F.lit(SOURCE_MODEL))
             routed = (as_stream_record(hits).unionByName(as_stream_record(scored.withColumn("fraud_source", by_model)))

@@ -95,3 +95,20 @@ def test_training_sets_are_reproducible(spark):
     t = fx.txn(spark, SF_MID).select(*TRANSACTION_COLUMNS)
     ids = [{r[0] for r in d.select("transaction_id").collect()} for n in (1, 7) for d in M.training_sets(t.repartition(n))]
     assert ids[0] == ids[2] and ids[1] == ids[3] and ids[0] and ids[1] and not ids[0] & ids[1]
+
+
+def test_a_stream_scores_a_large_forest_by_the_pipeline(spark, trained):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from fraudflow.plans.forest import CompiledForest
+    assert trained.model.stages[-1].totalNumNodes > M.QUICK_NODES
+    assert M.quickest(trained.model, spark) is trained.model
+    *before, _ = trained.model.stages
+    small = RandomForestClassifier(labelCol="is_fraud", numTrees=2, maxDepth=2, seed=1).fit(PipelineModel(before).transform(trained.train))
+    model = PipelineModel([*before, small])
+    quick = M.quickest(model, spark)
+    assert isinstance(quick, CompiledForest)
+    cols = ["transaction_id", F.round("fraud_probability", 9), "is_fraud_prediction"]
+    a, b = (M.score(m, trained.test).select(*cols) for m in (model, quick))
+    assert a.count() > 0 and a.exceptAll(b).count() == b.exceptAll(a).count() == 0

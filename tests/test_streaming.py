@@ -297,6 +297,47 @@ def test_router_batch_twice_changes_nothing(spark, tmp_path):
     assert seen() == first and len(first[0]) == len(set(first[0])) > 0
 
 
+def test_router_holds_a_row_once_and_once_more_scored(spark, tmp_path, monkeypatch):
+    """What a batch holds: its rows, the scored ones without features, those not scored."""
+    from fraudflow.plans.catalog import rule_model
+    from fraudflow.sources.topics import decode
+    from fraudflow.streaming.pipeline import route_batch
+    bf = bloom.build(spark.createDataFrame([("bad",)], "sender_account string"), "sender_account")
+    one = fx.txn(spark, SF_SMALL).select(*TRANSACTION_COLUMNS, F.lit(None).cast("string").alias("fraud_source")).limit(1)
+    given = spark.createDataFrame([("a", "bad", 5.0), ("b", "bad", None), ("c", "x1", 5.0), ("d", "x2", 5000.0), ("e", None, 7.0)],
+                                  "transaction_id string, sender_account string, amount double")
+    raw = given.crossJoin(one.drop(*given.columns)).select(*one.columns)
+    nan = raw.where("transaction_id = 'c'").withColumns({"transaction_id": F.lit("f"), "geo_anomaly_score": F.lit(float("nan"))})
+    held, persist = [], type(raw).persist
+    monkeypatch.setattr(type(raw), "persist", lambda df, *a: held.append(df) or persist(df, *a))
+    paths = TopologyPaths(str(tmp_path))
+    route_batch(bf, Skipping(rule_model()), paths)(raw.unionByName(nan), 0)
+    monkeypatch.undo()
+    ids = [{r["transaction_id"] for r in df.select("transaction_id").collect()} for df in held]
+    assert ids == [set("abcdef"), set("cde"), set("f")]
+    assert set(held[1].columns) == {*TRANSACTION_COLUMNS, "fraud_probability", "is_fraud_prediction"}
+
+    def topic(name):
+        rows = decode(spark.read.schema("key string, value string").json(f"{paths.topic(name)}/*"))
+        return sorted((r["transaction_id"], r["fraud_source"]) for r in rows.collect())
+    hits = [("a", "bloom_filter"), ("b", "bloom_filter")]
+    assert topic("routed_transactions") == [*hits, ("c", None), ("d", "ml_model"), ("e", None), ("f", None)]
+    assert topic("fraud_transactions") == [*hits, ("d", "ml_model")]
+    assert [x for x, _ in topic("other_transactions")] == list("cdef")
+    assert sorted(r[0] for r in read_table(spark, paths.table("ml_not_fraud")).select("transaction_id").collect()) == ["c", "e"]
+    assert [r[0] for r in read_table(spark, paths.table("unscored")).select("transaction_id").collect()] == ["f"]
+
+
+class Skipping:
+    """A model that skips what can't be scored, as the fitted pipeline does."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def transform(self, df):
+        return self.model.transform(df.where(~F.isnan("geo_anomaly_score")))
+
+
 def test_online_plan():
     from fraudflow.streaming.job import plan_online
     files = plan_online("/shared/raw")
