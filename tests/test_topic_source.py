@@ -103,6 +103,41 @@ def test_every_record_is_in_one_range(tmp_path, monkeypatch, split, read):
     assert got == want
 
 
+def test_a_small_batch_reads_little(tmp_path):
+    """Neither looking for a batch's end nor reading its records reads far beyond it."""
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "f.json").write_text("x" * 99 + "\n" + ("y" * 99 + "\n") * 30_000)
+    log = T.TopicLog(str(tmp_path / "t"), str(tmp_path / "p"))
+    log.refresh()
+    seen = []
+
+    class Counted:
+        def __init__(self, f):
+            self.f = f
+
+        def __getattr__(self, name):
+            return getattr(self.f, name)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            self.f.close()
+
+        def read(self, n):
+            seen.append(n)
+            return self.f.read(n)
+
+    real = log.system
+    log.system = type("Counting", (), {"open_input_file": lambda own, p: Counted(real.open_input_file(p)), "get_file_info": lambda own, p: real.get_file_info(p)})()
+    to = log.after({"file": 0, "byte": 0}, 250)
+    assert to == {"file": 0, "byte": 25_000} and sum(seen) <= 1 << 16
+    seen.clear()
+    parts = T.ranges(log, to, log.after(to, 250))
+    assert sum(b.num_rows for p in parts for b in T.lines(log.system, p)) == 250 and sum(seen) <= 1 << 18
+    assert log.after({"file": 0, "byte": 0}, 25_000) == {"file": 0, "byte": 2_500_000}
+
+
 def test_progress_folder_of_two_queries_is_refused(tmp_path):
     write(tmp_path / "t", "a.json", range(3))
     one, two = (T.TopicLog(str(tmp_path / "t"), str(tmp_path / "p")) for _ in range(2))
