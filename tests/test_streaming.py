@@ -105,6 +105,35 @@ def test_sink_takes_one_job_a_batch(spark, tmp_path):
     assert sorted(r["x"] for r in read_table(spark, str(tmp_path / "t")).collect()) == [0, 1]
 
 
+def test_batches_share_their_code(spark, tmp_path):
+    """A batch's number isn't part of its plan: what was compiled for one batch serves the next."""
+    compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME
+    sink = table_sink(str(tmp_path / "t"))
+    df = spark.range(5, numPartitions=1).withColumnRenamed("id", "x")
+    sink(df, 1000)
+    before = compiled().getCount()
+    sink(df, 1001)
+    assert compiled().getCount() == before
+    sink(df.withColumn("_batch", F.lit(7)), 1002)  # a column of that name gives way
+    got = read_table(spark, str(tmp_path / "t"))
+    assert got.columns == ["x", "_row", "_batch"]
+    assert sorted((r["_batch"], r["x"]) for r in got.collect()) == [(b, x) for b in (1000, 1001, 1002) for x in range(5)]
+
+
+def test_state_partitions_follow_the_records_of_a_batch(spark, routed, tmp_path):
+    from fraudflow.session import STATE_RECORDS, stream_session
+    width = lambda *a: int(stream_session(spark, *a).conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    assert width() == cores and width(500) == 1 and width(STATE_RECORDS + 1) == min(2, cores) and width(STATE_RECORDS * 1000) == cores
+    paths = TopologyPaths(str(tmp_path))
+    encode(routed.limit(40)).coalesce(1).write.json(f"{paths.topic('routed_transactions')}/part")
+    qs = start_insights(stream_session(spark, 20), paths, names=["fraud_rate_2m"], trigger={}, max_records=20)
+    qs["fraud_rate_2m"].processAllAvailable()
+    qs["fraud_rate_2m"].stop()
+    state = tmp_path / "checkpoints/fraud_rate_2m/state/0"
+    assert sorted(p.name for p in state.iterdir() if p.name.isdigit()) == ["0"]
+
+
 def test_full_topology(spark, tmp_path):
     from fraudflow.plans.model import train_model
     t = fx.txn(spark, "/root/testdata/sf0.01").select(*TRANSACTION_COLUMNS)
